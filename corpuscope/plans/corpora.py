@@ -145,7 +145,14 @@ def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.pmod(key, F.lit(5)) == 0, F.lit('"description": null'))
         .otherwise(F.concat(F.lit('"description": '), _quoted(F.col("c_mktsegment"))))
     )
-    column = F.concat(F.lit("    "), _quoted(F.col("c_name")), F.lit(": {"), description, F.lit("}"))
+    traits = F.when(
+        F.pmod(key, F.lit(3)) == 0,
+        F.lit('"column_type": "string", "max_length": "25", '
+              '"pii_confidentiality_impact_level": "low", '),
+    ).otherwise(F.lit('"pii_confidentiality_impact_level": null, '))
+    column = F.concat(
+        F.lit("    "), _quoted(F.col("c_name")), F.lit(": {"), traits, description, F.lit("}")
+    )
     blocks = (
         table(spark, sf_dir, "customer")
         .groupBy("c_nationkey", F.floor(key / CUSTOMERS_PER_FILE).alias("block"))
@@ -158,7 +165,9 @@ def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.lit('{\n  "schema": '), _quoted(F.col("r_name")), F.lit(',\n  "table": '),
             _quoted(F.col("n_name")), F.lit(',\n  "column_types": {\n'),
-            F.array_join(F.col("cols.text"), ",\n"), F.lit("\n  }\n}\n"),
+            F.array_join(F.col("cols.text"), ",\n"),
+            F.lit('\n  },\n  "table_id": ["id", "block"],\n  "source": ['),
+            _quoted(F.concat(F.lit("lake."), F.lower("n_name"))), F.lit("]\n}\n"),
         ).alias("content"),
     )
 
