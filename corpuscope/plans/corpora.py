@@ -11,13 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuscope.sources.tables import read_spread, read_table
+
 LINES_PER_FILE = 1000
 CUSTOMERS_PER_FILE = 1000
 ORDERS_PER_FILE = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become whole files, parsed in Python afterwards."""
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
 
 
 def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,30 +32,66 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffixes = F.array(*[F.lit(s) for s in (".yaml", ".json", ".sql", ".py", ".md")])
     suffix = F.get(suffixes, F.pmod(F.col("doc_id"), F.lit(5)).cast("int"))
     path = F.concat(F.lit("/repo/"), "source", F.lit("/"), F.col("doc_id").cast("string"), suffix)
-    return table(spark, sf_dir, "documents").select(path.alias("path"), F.col("text").alias("content"))
+    return spread_table(spark, sf_dir, "documents").select(path.alias("path"), F.col("text").alias("content"))
+
+
+def _spread_number(spark: SparkSession) -> int:
+    """Partitions of a shuffle whose output is parsed in Python: adaptive
+    coalescing looks at bytes and would leave too few of them."""
+    return max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items per order and file number, in a total order.
+def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``o_orderkey, file_no, o, lines`` with the lines in a total order.
 
-    Almost every order fits into one file. Only the orders above the limit are
-    counted out, and their lines are spread over several files.
+    Almost every order fits into one file. Only orders above the limit are
+    counted out, and their lines are dealt over several files. Orders and lines
+    are not joined but united and grouped, so each line is shuffled once and no
+    key gathers more than about one file's worth of rows.
     """
     lines = table(spark, sf_dir, "lineitem")
     long_orders = (
-        lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).where(F.col("n") >= LINES_PER_FILE)
+        lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(F.floor(F.count("*") / LINES_PER_FILE).alias("more_files"))
+        .where(F.col("more_files") > 0)
     )
-    files = 1 + F.floor(F.coalesce(F.col("n"), F.lit(0)) / LINES_PER_FILE)
+    more_files = F.coalesce("more_files", F.lit(0).cast("long"))
     line = F.struct(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
         "l_returnflag", "l_linestatus",
     )
-    return (
-        lines.join(long_orders, "l_orderkey", "left")
-        .withColumn("file_no", F.pmod(F.col("l_partkey"), files).cast("long"))
-        .groupBy("l_orderkey", "file_no")
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    line_rows = (
+        lines.withColumnRenamed("l_orderkey", "o_orderkey")
+        .join(long_orders, "o_orderkey", "left")
+        .select(
+            "o_orderkey", F.pmod(F.col("l_partkey"), 1 + more_files).alias("file_no"),
+            line.alias("line"),
+        )
+    )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    order_rows = (
+        table(spark, sf_dir, "orders")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(long_orders, "o_orderkey", "left")
+        .select(
+            "o_orderkey", F.explode(F.sequence(F.lit(0).cast("long"), more_files)).alias("file_no"),
+            F.struct("o_custkey", "o_orderpriority", "c_name", (more_files == 0).alias("short"))
+            .alias("o"),
+        )
     )
+    grouped = (
+        line_rows.unionByName(order_rows, allowMissingColumns=True)
+        .repartition(_spread_number(spark), "o_orderkey", "file_no")
+        .groupBy("o_orderkey", "file_no")
+        .agg(
+            F.first("o", ignorenulls=True).alias("o"),
+            F.sort_array(F.collect_list("line")).alias("lines"),
+        )
+    )
+    return grouped.where(F.col("o.short") | (F.size("lines") > 0))
 
 
 def _quoted(value: Column) -> Column:
@@ -77,25 +120,13 @@ def _order_workflow(lines: Column) -> Column:
         F.lit("dag:\n  dag_id: "),
         _quoted(F.concat(F.lit("order_"), F.col("o_orderkey").cast("string"))),
         F.lit("\n  schedule_interval: "),
-        _quoted(F.concat(F.lit("0 5 * * "), F.pmod("o_custkey", F.lit(7)).cast("string"))),
-        F.lit("\n  description: "), _quoted(F.col("o_orderpriority")),
-        F.lit("\n  default_args:\n    owner: "), _quoted(F.col("c_name")), F.lit("\n"),
+        _quoted(F.concat(F.lit("0 5 * * "), F.pmod(F.col("o.o_custkey"), F.lit(7)).cast("string"))),
+        F.lit("\n  description: "), _quoted(F.col("o.o_orderpriority")),
+        F.lit("\n  default_args:\n    owner: "), _quoted(F.col("o.c_name")), F.lit("\n"),
         F.when(F.size(lines) > 0, body).otherwise(F.lit("tasks: {}\n")),
     )
 
 
-def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    lines = _order_lines(spark, sf_dir)
-    return (
-        orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .withColumn("file_no", F.coalesce("file_no", F.lit(0).cast("long")))
-        .withColumn("lines", F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType)))
-    )
-
-
 def _numbered(prefix: str, key: Column, file_no: Column) -> Column:
     return F.concat(
         F.lit(prefix), key.cast("string"), F.lit("_"), file_no.cast("string"), F.lit(".yaml")
@@ -124,6 +155,7 @@ def faulty_workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("batch"),
             "file_no", "o_orderkey", content.alias("content"),
         )
+        .repartition(_spread_number(spark), "batch", "file_no")
         .groupBy("batch", "file_no")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "content"))).alias("parts"))
         .select(
@@ -203,7 +235,7 @@ def sql_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(query)
     )
     marker = F.when(key % 2 == 0, F.lit("-- Databricks notebook source\n")).otherwise(F.lit(""))
-    return table(spark, sf_dir, "part").select(
+    return spread_table(spark, sf_dir, "part").select(
         F.concat(F.lit("/sql/"), key.cast("string"), F.lit(".sql")).alias("path"),
         F.concat(marker, wrapped, F.lit("\n")).alias("content"),
     )
@@ -221,7 +253,7 @@ def python_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     keyword = F.when(key % 6 == 0, F.lit("async def f_")).otherwise(F.lit("def f_"))
     broken = F.when(key % 11 == 0, F.lit("def (:\n")).otherwise(F.lit(""))
-    return table(spark, sf_dir, "part").select(
+    return spread_table(spark, sf_dir, "part").select(
         F.concat(F.lit("/py/"), number(key), F.lit(".py")).alias("path"),
         F.concat(
             F.lit("import lib_"), number(size % 7), F.lit(", lib_"), number(size % 5),

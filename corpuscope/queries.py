@@ -11,17 +11,29 @@ from corpuscope.functions.parsing import with_parsed
 from corpuscope.functions.text import unix_newlines
 from corpuscope.operators import chunks, dictionary, lineage, workflows
 from corpuscope.plans import corpora
-from corpuscope.plans.ingest import documents, ingest, ingest_warnings, with_extension
+from corpuscope.plans.ingest import (
+    FALLBACK,
+    default_processors,
+    documents,
+    ingest,
+    ingest_warnings,
+    with_extension,
+)
 from corpuscope.config import DEFAULT_EXTENSIONS
 
 
-def _rows_of(files: DataFrame, kind: str) -> DataFrame:
-    return ingest(files).where(F.col("kind") == kind)
+def _only(suffix: str) -> dict:
+    """Processor of one extension, for a repository that holds nothing else."""
+    return {suffix: default_processors()[suffix]}
+
+
+def _rows_of(files: DataFrame, kind: str, suffix: str) -> DataFrame:
+    return ingest(files, processors=_only(suffix)).where(F.col("kind") == kind)
 
 
 # --- ingest ------------------------------------------------------------------
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.text_files(spark, sf_dir), "raw")
+    rows = ingest(corpora.text_files(spark, sf_dir)).where(F.col("kind") == "raw")
     return rows.select("source", "doc_id", "page_content")
 
 
@@ -33,7 +45,7 @@ def ext_dispatch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dag_summary_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_summary")
+    rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_summary", ".yaml")
     return rows.select(
         "source", "ordinal", "doc_id", "page_content", "dag_id", "owner", "schedule",
         "dag_description",
@@ -47,7 +59,7 @@ def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dag_task_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_task")
+    rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_task", ".yaml")
     return rows.select(
         "source", "ordinal", "doc_id", "page_content", "task_name", "operator", "script_file",
         "owner",
@@ -56,12 +68,12 @@ def dag_task_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dag_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which workflows run on the schedule '0 5 * * 1'?"""
-    rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_summary")
+    rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_summary", ".yaml")
     return rows.where(F.col("schedule") == "0 5 * * 1").select("dag_id", "owner")
 
 
 def dag_fault_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = documents(ingest(corpora.faulty_workflow_files(spark, sf_dir)))
+    rows = documents(ingest(corpora.faulty_workflow_files(spark, sf_dir), processors=_only(".yaml")))
     return rows.select("source", "ordinal", "kind", "doc_id")
 
 
@@ -73,12 +85,12 @@ def file_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_table_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.dictionary_files(spark, sf_dir), "table")
+    rows = _rows_of(corpora.dictionary_files(spark, sf_dir), "table", ".json")
     return rows.select("source", "ordinal", "page_content", "schema", "table", "table_description")
 
 
 def dictionary_column_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.dictionary_files(spark, sf_dir), "column")
+    rows = _rows_of(corpora.dictionary_files(spark, sf_dir), "column", ".json")
     return rows.select("source", "ordinal", "page_content", "schema", "table", "column")
 
 
@@ -99,7 +111,7 @@ def sql_main_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.sql_files(spark, sf_dir), "sql_summary")
+    rows = _rows_of(corpora.sql_files(spark, sf_dir), "sql_summary", ".sql")
     return rows.select("source", "page_content", "content_type")
 
 
@@ -115,12 +127,12 @@ def sql_table_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def python_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.python_files(spark, sf_dir), "python_summary")
+    rows = _rows_of(corpora.python_files(spark, sf_dir), "python_summary", ".py")
     return rows.select("source", "page_content", "content_type")
 
 
 def python_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows_of(corpora.python_files(spark, sf_dir), "function")
+    rows = _rows_of(corpora.python_files(spark, sf_dir), "function", ".py")
     return rows.select("source", "ordinal", "page_content", "function_name")
 
 
@@ -151,11 +163,11 @@ def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = corpora.table(spark, sf_dir, "documents").select(
+    files = corpora.spread_table(spark, sf_dir, "documents").select(
         F.concat(F.lit("/text/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),
         F.col("text").alias("content"),
     )
-    rows = documents(ingest(files))
+    rows = documents(ingest(files, processors=_only(FALLBACK)))
     return rows.select("source", "ordinal", "page_content")
 
 
