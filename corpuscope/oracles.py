@@ -78,6 +78,63 @@ _PY = """
 py AS (SELECT *, '/py/' || p_partkey || '.py' AS source FROM part)
 """
 
+_WEIGHTS = """
+tok AS (
+  SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+size AS (SELECT count(*) + 1.0::DOUBLE AS n FROM documents),
+raw AS (
+  SELECT doc_id, term, tf * ln(n / (df + 1)) AS w FROM tf JOIN df USING (term) CROSS JOIN size),
+weights AS (
+  SELECT doc_id, term,
+         coalesce(w / nullif(sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 0), 0) AS weight
+  FROM raw)
+"""
+
+_TEXT_TOPK = _WEIGHTS + """,
+qtok AS (
+  SELECT item_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+')) AS term
+  FROM benchmark),
+qtf AS (SELECT item_id, term, count(*) AS tf FROM qtok WHERE term <> '' GROUP BY ALL),
+qraw AS (
+  SELECT item_id, term, tf * ln(n / (coalesce(df, 0) + 1)) AS w
+  FROM qtf LEFT JOIN df USING (term) CROSS JOIN size),
+qweights AS (
+  SELECT item_id, term,
+         coalesce(w / nullif(sqrt(sum(w * w) OVER (PARTITION BY item_id)), 0), 0) AS weight
+  FROM qraw),
+scored AS (
+  SELECT item_id AS query_id, doc_id AS row_id, round(sum(q.weight * d.weight), 6) AS score
+  FROM qweights q JOIN weights d USING (term) GROUP BY ALL),
+topk AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
+                        AS INTEGER) AS rank, row_id, score
+  FROM scored WHERE score > 0 QUALIFY rank <= 5)
+"""
+
+_PAIRS = """
+cosine AS (
+  SELECT q.vec_id AS query_id, q.label AS q_label, d.vec_id AS row_id, d.label,
+         round(list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) AS score
+  FROM embeddings q, embeddings d)
+"""
+
+_VECTOR_TOPK = _PAIRS + """,
+topk AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
+                        AS INTEGER) AS rank, row_id, score
+  FROM cosine QUALIFY rank <= 5)
+"""
+
+_GOLDEN = """
+golden AS (
+  SELECT vec_id AS query_id, unnest(CASE WHEN vec_id % 3 = 0 THEN [vec_id, vec_id + 1]
+                                         ELSE [vec_id] END) AS row_id
+  FROM embeddings)
+"""
+
 ORACLES = {
     "raw_documents": f"""
 WITH {_TEXT_FILES}
@@ -249,5 +306,84 @@ numbered AS (
   FROM bare)
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, substring(t, i * 800 + 1, 1000) AS chunk
 FROM numbered
+""",
+    "tfidf_weights": f"""
+WITH {_WEIGHTS}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights
+""",
+    "text_topk": f"""
+WITH {_TEXT_TOPK}
+SELECT * FROM topk
+""",
+    "answer_context": f"""
+WITH {_TEXT_TOPK}
+SELECT query_id, count(*) AS n_rows, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context,
+       array_to_string(list_sort(list_distinct(list(source))), ', ') AS sources
+FROM topk JOIN documents ON doc_id = row_id GROUP BY query_id
+""",
+    "vector_topk_cosine": f"""
+WITH {_VECTOR_TOPK}
+SELECT * FROM topk
+""",
+    "vector_topk_cells": f"""
+WITH {_VECTOR_TOPK}
+SELECT * FROM topk
+""",
+    "vector_topk_l2": """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS row_id,
+         0.0 - round(list_distance(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) AS score
+  FROM embeddings q, embeddings d)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
+                      AS INTEGER) AS rank, row_id, score
+FROM pairs QUALIFY rank <= 5
+""",
+    "vector_topk_filtered": f"""
+WITH {_PAIRS}
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
+                      AS INTEGER) AS rank, row_id, score
+FROM cosine
+WHERE CASE WHEN query_id % 2 = 0 THEN label = q_label
+           ELSE label IN (q_label, (q_label + 1) % 10) OR label < 2 END
+QUALIFY rank <= least(5, 1 + query_id % 7)
+""",
+    "retrieval_eval": f"""
+WITH {_PAIRS},
+ranked AS (
+  SELECT query_id, q_label = label AS hit,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id) AS rank
+  FROM cosine WHERE query_id <> row_id QUALIFY rank <= 5),
+per_question AS (
+  SELECT vec_id AS query_id, coalesce(bool_or(hit), false) AS hit,
+         coalesce(1.0::DOUBLE / min(CASE WHEN hit THEN rank END), 0) AS reciprocal_rank
+  FROM embeddings LEFT JOIN ranked ON query_id = vec_id GROUP BY vec_id),
+rates AS (
+  SELECT count(*) AS n_questions, round(avg(hit::INTEGER::DOUBLE), 6) AS hit_rate,
+         round(avg(reciprocal_rank), 6) AS mrr
+  FROM per_question)
+SELECT *, hit_rate >= 1.0 AS hit_rate_ok, mrr >= 0.9 AS mrr_ok FROM rates
+""",
+    "retrieval_must_find": f"""
+WITH {_VECTOR_TOPK}, {_GOLDEN}
+SELECT query_id, CAST(count(*) - count(topk.row_id) AS INTEGER) AS n_missing,
+       count(*) = count(topk.row_id) AS found_all
+FROM golden LEFT JOIN topk USING (query_id, row_id) GROUP BY query_id
+""",
+    "retrieval_golden": f"""
+WITH {_VECTOR_TOPK}, {_GOLDEN}
+SELECT query_id, count(rank) > 0 AS hit, coalesce(1.0::DOUBLE / min(rank), 0) AS reciprocal_rank
+FROM golden LEFT JOIN topk USING (query_id, row_id) GROUP BY query_id
+""",
+    "index_roundtrip": f"""
+WITH {_DICTIONARY},
+counted AS (
+  SELECT 'raw' AS kind, count(DISTINCT source) AS n FROM dict
+  UNION ALL SELECT 'table', count(DISTINCT source) FROM dict
+  UNION ALL SELECT 'column', count(*) FROM dict
+  UNION ALL SELECT 'raw', count(*) FROM part
+  UNION ALL SELECT 'sql_summary', count(*) FROM part)
+SELECT kind, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_ids,
+       CAST(sum(n) AS BIGINT) AS n_vectors
+FROM counted GROUP BY kind
 """,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscope.functions.parsing import with_parsed
@@ -19,7 +19,18 @@ from corpuscope.plans.ingest import (
     ingest_warnings,
     with_extension,
 )
-from corpuscope.config import DEFAULT_EXTENSIONS
+from corpuscope.config import DEFAULT_EXTENSIONS, EVAL_TOP_K, TEST_COLLECTION, EngineConfig
+from corpuscope.operators import answers, evaluation, terms
+from corpuscope.operators.nearest import (
+    nearest,
+    nearest_approximate,
+    nearest_diverse,
+    recall,
+)
+from corpuscope.plans.ask import question_vectors
+from corpuscope.plans.index import write_collection
+from corpuscope.session import scratch_path
+from corpuscope.sources.collections import open_collection
 
 
 def _only(suffix: str) -> dict:
@@ -171,6 +182,161 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source", "ordinal", "page_content")
 
 
+# --- term retrieval ----------------------------------------------------------
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpora.spread_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), "source", F.col("text").alias("page_content")
+    )
+
+
+def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpora.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("question")
+    )
+
+
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    vectors = terms.vectors(docs, terms.fit(docs))
+    pairs = vectors.select("row_id", F.explode(F.arrays_zip("terms", "weights")).alias("p"))
+    return pairs.select(
+        F.col("row_id").alias("doc_id"),
+        F.col("p.terms").alias("term"),
+        F.round("p.weights", 6).alias("weight"),
+    )
+
+
+def _text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    vocabulary = terms.fit(docs)
+    asked = question_vectors(_questions(spark, sf_dir), vocabulary)
+    return nearest(asked, terms.vectors(docs, vocabulary), EVAL_TOP_K, "terms")
+
+
+def text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_results(spark, sf_dir)
+
+
+def answer_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    answered = answers.assemble(_text_results(spark, sf_dir), _documents(spark, sf_dir))
+    return answered.select(
+        "query_id", "n_rows", "context", F.array_join("sources", ", ").alias("sources")
+    )
+
+
+# --- vector retrieval --------------------------------------------------------
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpora.spread_table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "row_id")
+
+
+def _embedded_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpora.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "query_id")
+
+
+def vector_topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), EVAL_TOP_K)
+
+
+def vector_topk_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(
+        _embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), EVAL_TOP_K, "l2"
+    )
+
+
+def vector_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for question sets too large to send to every task."""
+    config = EngineConfig(broadcast_bytes=0, cell_rows=200)
+    return nearest(
+        _embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), EVAL_TOP_K, "cosine", config
+    )
+
+
+def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each question has a metadata filter and a limit of its own."""
+    label = F.col("label").cast("string")
+    following = ((F.col("label") + 1) % 10).cast("string")
+    same = F.concat(F.lit('{"eq": ["label", '), label, F.lit("]}"))
+    either = F.concat(
+        F.lit('{"or": [{"in": ["label", ['), label, F.lit(", "), following,
+        F.lit(']]}, {"lt": ["label", 2]}]}'),
+    )
+    questions = _embedded_questions(spark, sf_dir).select(
+        "query_id", "embedding",
+        F.when(F.col("query_id") % 2 == 0, same).otherwise(either).alias("filter"),
+        (1 + F.col("query_id") % 7).cast("int").alias("limit"),
+    )
+    return nearest(questions, _embeddings(spark, sf_dir), EVAL_TOP_K)
+
+
+def vector_mmr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_diverse(_embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), k=8)
+
+
+def vector_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    questions, rows = _embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir)
+    return recall(
+        nearest_approximate(questions, rows, EVAL_TOP_K, "l2"),
+        nearest(questions, rows, EVAL_TOP_K, "l2"),
+    )
+
+
+# --- evaluation --------------------------------------------------------------
+def retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit rate and MRR over all embeddings; a row is right if it has the label
+    of the question. The question's own row is left out."""
+    questions, rows = _embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir)
+    ranked = nearest(questions, rows, EVAL_TOP_K + 1).where(F.col("row_id") != F.col("query_id"))
+    order = Window.partitionBy("query_id").orderBy("rank")
+    ranked = ranked.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= EVAL_TOP_K
+    )
+    labelled = ranked.join(rows.select("row_id", F.col("label").alias("row_label")), "row_id")
+    marked = questions.select("query_id", "label").join(labelled, "query_id", "left").select(
+        "query_id", "rank", F.coalesce(F.col("label") == F.col("row_label"), F.lit(False)).alias("hit")
+    )
+    return evaluation.summary(evaluation.per_question(marked))
+
+
+def _golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("query_id")
+    expected = F.when(key % 3 == 0, F.array(key, key + 1)).otherwise(F.array(key))
+    return _embedded_questions(spark, sf_dir).select("query_id", expected.alias("expected_ids"))
+
+
+def retrieval_must_find(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = vector_topk_cosine(spark, sf_dir)
+    return evaluation.containment(results, _golden(spark, sf_dir), "row_id")
+
+
+def retrieval_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reciprocal rank per question against lists of expected rows."""
+    results = vector_topk_cosine(spark, sf_dir)
+    return evaluation.per_question(
+        evaluation.mark_expected(results, _golden(spark, sf_dir), "row_id")
+    )
+
+
+# --- index -------------------------------------------------------------------
+def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store two collections, read one back."""
+    root = scratch_path(spark, "index")
+    write_collection(ingest(corpora.python_files(spark, sf_dir)), root)
+    write_collection(
+        ingest(
+            corpora.sql_files(spark, sf_dir).unionByName(corpora.dictionary_files(spark, sf_dir))
+        ),
+        root,
+        EngineConfig(collection=TEST_COLLECTION),
+    )
+    stored = open_collection(spark, root, TEST_COLLECTION)
+    vectors = stored.vectors.groupBy("kind").agg(F.count("terms").alias("n_vectors"))
+    return (
+        stored.documents.groupBy("kind")
+        .agg(F.count("*").alias("n_rows"), F.countDistinct("row_id").alias("n_ids"))
+        .join(vectors, "kind")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -193,5 +359,18 @@ QUERIES = {
         union_hybrid,
         chunk_windows,
         chunk_recursive,
+        tfidf_weights,
+        text_topk,
+        answer_context,
+        vector_topk_cosine,
+        vector_topk_l2,
+        vector_topk_cells,
+        vector_topk_filtered,
+        vector_mmr,
+        vector_lsh_recall,
+        retrieval_eval,
+        retrieval_must_find,
+        retrieval_golden,
+        index_roundtrip,
     )
 }
