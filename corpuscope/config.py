@@ -28,7 +28,7 @@ class EngineConfig:
     # retrieval operators switch to a shuffled plan.
     broadcast_bytes: int = 64 << 20
     # Largest number of terms that may be broadcast with their frequencies.
-    broadcast_terms: int = 200_000
+    broadcast_terms: int = 1_000_000
     # Rows per shuffled scoring cell (question block x document block).
     cell_rows: int = 50_000
     # Parallelism of the repository reader; None = 4 tasks per core.

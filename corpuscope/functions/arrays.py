@@ -60,7 +60,7 @@ def counts(items: Column) -> Column:
 
         return let(F.filter(positions, starts_here), tally)
 
-    return let(F.array_sort(items), count)
+    return let(F.sort_array(items), count)
 
 
 def distinct_in_order(items: Column) -> Column:

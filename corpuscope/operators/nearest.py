@@ -51,12 +51,16 @@ def _question_bytes(kind: str) -> Column:
     return F.coalesce(vector, F.lit(0)) + F.coalesce(F.octet_length("filter"), F.lit(0)) + 64
 
 
-def _filter_attributes(questions: DataFrame) -> list[str]:
-    """Attributes named by any filter: as few as the rows have columns."""
+def _look_at(questions: DataFrame, kind: str) -> tuple[int, list[str]]:
+    """Bytes of the question side, and the attributes its filters name."""
     names = F.regexp_extract_all(
         "filter", F.lit(r'"(?:eq|ne|lte|lt|gte|gt|in)":\s*\["([^"\\]*)"'), F.lit(1)
     )
-    return sorted(r[0] for r in questions.select(F.explode(names)).distinct().collect())
+    distinct = F.collect_set(F.array_sort(F.array_distinct(names)))
+    seen = questions.agg(
+        F.coalesce(F.sum(_question_bytes(kind)), F.lit(0)), F.array_distinct(F.flatten(distinct))
+    ).first()
+    return int(seen[0]), sorted(name for name in seen[1] if name != "row_id")
 
 
 def _result_schema(questions: DataFrame, rows: DataFrame) -> T.StructType:
@@ -90,11 +94,10 @@ def nearest(
     """Exact top k. ``kind``: ``cosine``, ``l2`` (score is minus the distance) or
     ``terms``. Ties are broken by ``row_id``; scores have six decimals."""
     questions = _question_columns(questions, kind)
-    size = questions.agg(F.count("*"), F.sum(_question_bytes(kind))).first()
-    attribute_names = [a for a in _filter_attributes(questions) if a != "row_id"]
+    size, attribute_names = _look_at(questions, kind)
     rows = rows.select("row_id", *_vector_columns(kind), *attribute_names)
     rows = rows.where(F.col(_vector_columns(kind)[0]).isNotNull())
-    if (size[1] or 0) <= config.broadcast_bytes:
+    if size <= config.broadcast_bytes:
         candidates = _against_broadcast(questions, rows, k, kind)
     else:
         one = F.lit(0)
@@ -169,7 +172,7 @@ def nearest_approximate(
     truncated, so the result depends on the hash functions only.
     """
     questions = _question_columns(questions, kind)
-    attribute_names = [a for a in _filter_attributes(questions) if a != "row_id"]
+    _, attribute_names = _look_at(questions, kind)
     rows = rows.select("row_id", "embedding", *attribute_names)
     hasher = BucketedRandomProjectionLSH(
         inputCol="v", outputCol="hashes", numHashTables=tables, bucketLength=bucket_length,

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuscope.config import EngineConfig
 from corpuscope.functions.arrays import counts, let
 from corpuscope.functions.text import terms
 from corpuscope.session import materialize
 
+_COUNT = T.StructType(
+    [T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]
+)
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -63,22 +71,58 @@ def _frequent_cut(vocabulary: Vocabulary, config: EngineConfig) -> int:
         cut = max(2, 4 * cut)
 
 
-def with_frequency(
-    postings: DataFrame, vocabulary: Vocabulary, config: EngineConfig = EngineConfig()
+def _frequent_weights(
+    counted: DataFrame, frequent: DataFrame, n_docs: int, complete: bool
 ) -> DataFrame:
-    """Add ``df`` to ``(row_id, term, tf)``; unknown terms get 0."""
-    cut = _frequent_cut(vocabulary, config)
-    frequent = vocabulary.table.where(F.col("df") >= cut)
-    tagged = postings.join(F.broadcast(frequent), "term", "left")
-    if cut == 0:
-        return tagged.withColumn("df", F.coalesce("df", F.lit(0)))
-    rare = vocabulary.table.where(F.col("df") < cut).withColumnRenamed("df", "rare_df")
-    common = tagged.where(F.col("df").isNotNull())
-    rest = tagged.where(F.col("df").isNull()).drop("df").join(rare, "term", "left")
-    return common.unionByName(
-        rest.select("term", "row_id", "tf", F.coalesce("rare_df", F.lit(0)).alias("df"))
+    """Weigh the broadcast terms inside each document's row.
+
+    ``row_id, terms, weights, rare``: the weights are not normalised yet, and
+    ``rare`` holds the counts of the terms that were not broadcast. With
+    ``complete`` there are none: what is not in the vocabulary has frequency 0.
+    """
+    spark = counted.sparkSession
+    shared = spark.sparkContext.broadcast(frequent.select("term", "df").toArrow())
+    id_field = counted.schema["row_id"]
+    schema = T.StructType(
+        [
+            id_field,
+            T.StructField("terms", T.ArrayType(T.StringType())),
+            T.StructField("weights", T.ArrayType(T.DoubleType())),
+            T.StructField("rare", T.ArrayType(_COUNT)),
+        ]
     )
 
+    def lists(owner: np.ndarray, n: int, values: pa.Array) -> pa.ListArray:
+        ends = np.cumsum(np.bincount(owner, minlength=n))
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, values)
+
+    def run(batches):
+        known = shared.value["term"].combine_chunks()
+        log_of_known = np.log((n_docs + 1.0) / (shared.value["df"].to_numpy() + 1.0))
+        for batch in batches:
+            n = batch.num_rows
+            owner = pc.list_parent_indices(batch.column("counts")).to_numpy()
+            entries = pc.list_flatten(batch.column("counts"))
+            terms_flat, tf = entries.field("term"), entries.field("tf").to_numpy()
+            code = pc.fill_null(pc.index_in(terms_flat, value_set=known), -1).to_numpy()
+            here = code >= 0
+            idf = np.full(len(code), np.log(n_docs + 1.0))
+            idf[here] = log_of_known[code[here]]
+            kept = np.ones(len(code), bool) if complete else here
+            pick, rest = np.flatnonzero(kept), np.flatnonzero(~kept)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row_id"),
+                    lists(owner[pick], n, terms_flat.take(pa.array(pick))),
+                    lists(owner[pick], n, pa.array((tf * idf)[pick])),
+                    lists(owner[rest], n, entries.take(pa.array(rest))),
+                ],
+                names=["row_id", "terms", "weights", "rare"],
+            )
+
+    return counted.select("row_id", "counts").mapInArrow(run, schema)
+
 
 def vectors(
     docs: DataFrame,
@@ -89,19 +133,40 @@ def vectors(
     """``row_id, terms, weights`` with weights of unit length per document.
 
     weight = tf * ln((n_docs + 1) / (df + 1)), divided by the document's norm.
-    Documents without terms have no row.
+    Documents without terms have no row. While the vocabulary can be broadcast
+    nothing is shuffled; beyond that only the rare terms are.
     """
-    postings = term_counts(docs, text).select("row_id", F.explode("counts").alias("c"))
-    postings = postings.select("row_id", "c.term", "c.tf")
-    raw = F.col("tf") * F.log(F.lit(float(vocabulary.n_docs + 1)) / (F.col("df") + 1))
-    weighted = with_frequency(postings, vocabulary, config).select(
-        "row_id", F.struct("term", raw.alias("w")).alias("entry")
+    counted = term_counts(docs, text)
+    cut = _frequent_cut(vocabulary, config)
+    frequent = vocabulary.table.where(F.col("df") >= cut)
+    parts = _frequent_weights(counted, frequent, vocabulary.n_docs, complete=cut == 0)
+    if cut > 0:
+        parts = _with_rare_terms(parts, vocabulary, cut)
+    return parts.where(F.size("terms") > 0).select(
+        "row_id", "terms", _unit_length(F.col("weights")).alias("weights")
+    )
+
+
+def _with_rare_terms(parts: DataFrame, vocabulary: Vocabulary, cut: int) -> DataFrame:
+    """Look up the remaining terms by a join on the term, then bring them back."""
+    rare = vocabulary.table.where(F.col("df") < cut)
+    postings = parts.select("row_id", F.explode("rare").alias("c")).select("row_id", "c.*")
+    df = F.coalesce("df", F.lit(0))
+    weight = F.col("tf") * F.log(F.lit(float(vocabulary.n_docs + 1)) / (df + 1))
+    found = (
+        postings.join(rare, "term", "left")
+        .groupBy("row_id")
+        .agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("w")))).alias("found"))
     )
-    grouped = weighted.groupBy("row_id").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-    return grouped.select(
+    whole = parts.select("row_id", "terms", "weights").join(found, "row_id", "left")
+
+    def both(own: str, other: Column) -> Column:
+        return F.when(F.col("found").isNull(), F.col(own)).otherwise(F.concat(own, other))
+
+    return whole.select(
         "row_id",
-        F.col("entries.term").alias("terms"),
-        _unit_length(F.col("entries.w")).alias("weights"),
+        both("terms", F.col("found.term")).alias("terms"),
+        both("weights", F.col("found.w")).alias("weights"),
     )
 
 

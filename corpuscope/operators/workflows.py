@@ -180,7 +180,7 @@ def neighbours(tasks: Column, links: Column) -> Column:
         return F.transform(F.filter(run, lambda x: x["role"] == role), lambda x: x["other"])
 
     grouped = runs(
-        F.array_sort(F.concat(selves, ups, downs)), lambda x: F.struct(x["key"], x["odd"])
+        F.sort_array(F.concat(selves, ups, downs)), lambda x: F.struct(x["key"], x["odd"])
     )
     per_task = F.transform(
         F.filter(grouped, lambda r: F.get(r, F.lit(0))["role"] == 0),
@@ -190,7 +190,7 @@ def neighbours(tasks: Column, links: Column) -> Column:
             side(r, 2).alias("after"),
         ),
     )
-    return F.array_sort(per_task)
+    return F.sort_array(per_task)
 
 
 def _clause(lead: str, names: Column) -> Column:
