@@ -29,6 +29,8 @@ class EngineConfig:
     broadcast_bytes: int = 64 << 20
     # Largest number of terms that may be broadcast with their frequencies.
     broadcast_terms: int = 1_000_000
+    # Largest number of rows (ids, ranks and scores) broadcast into a join.
+    broadcast_rows: int = 1_000_000
     # Rows per shuffled scoring cell (question block x document block).
     cell_rows: int = 50_000
     # Parallelism of the repository reader; None = 4 tasks per core.

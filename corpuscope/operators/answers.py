@@ -5,18 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuscope.config import EngineConfig
+from corpuscope.session import materialize_for_join
+
 # Fixed value: separator between the texts handed on as context.
 SEPARATOR = "\n\n"
 
 
-def assemble(results: DataFrame, rows: DataFrame) -> DataFrame:
+def assemble(
+    results: DataFrame, rows: DataFrame, config: EngineConfig = EngineConfig()
+) -> DataFrame:
     """``query_id, n_rows, context, sources``.
 
     ``rows`` has ``row_id, source, page_content``. Texts are joined to the few
-    ranked rows only after ranking, so scoring never carries them. A question
+    ranked rows only after ranking, so scoring never carries them, and the
+    texts are scanned without a shuffle while the results are few. A question
     has at most k rows.
     """
-    texts = results.join(rows.select("row_id", "source", "page_content"), "row_id")
+    found = materialize_for_join(results, config.broadcast_rows)
+    texts = rows.select("row_id", "source", "page_content").join(found, "row_id")
     ordered = F.sort_array(F.collect_list(F.struct("rank", "page_content")))
     return (
         texts.groupBy("query_id")

@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from corpuscope.config import EngineConfig
 from corpuscope.functions.topk import DECIMALS, score_batches
+from corpuscope.session import materialize_for_join
 
 METRICS = ("cosine", "l2", "terms")
 
@@ -192,7 +193,8 @@ def nearest_approximate(
 
     asked = hashed(questions)
     # Rows in buckets that no question falls into need not be shuffled.
-    kept = hashed(rows).join(asked.select("cell").distinct(), "cell", "left_semi")
+    cells = materialize_for_join(asked.select("cell").distinct(), config.broadcast_rows)
+    kept = hashed(rows).join(cells, "cell", "left_semi")
     candidates = _in_cells(asked, kept, k, kind, config)
     unique = candidates.groupBy("query_id", "row_id").agg(
         F.max("score").alias("score"), F.max("limit").alias("limit")
@@ -230,7 +232,7 @@ def _greedy(table: pa.Table, k: int, weight: float, kind: str) -> pa.Table:
     picked, nearest_picked = [], np.zeros(len(m))
     for step in range(min(k, len(m))):
         gain = weight * relevance - (1 - weight) * nearest_picked
-        gain = np.round(gain, DECIMALS)
+        gain = np.round(gain, DECIMALS + 3)  # equal gains stay equal
         gain[picked] = -np.inf
         best = int(np.argmax(gain))
         picked.append(best)
@@ -261,7 +263,8 @@ def nearest_diverse(
     if kind == "l2":
         raise ValueError("diversity needs similarities: use cosine or terms")
     best = nearest(questions, rows, fetch_k, kind, config)
-    with_vectors = best.join(rows.select("row_id", *_vector_columns(kind)), "row_id")
+    found = materialize_for_join(best, config.broadcast_rows)
+    with_vectors = rows.select("row_id", *_vector_columns(kind)).join(found, "row_id")
     schema = T.StructType(
         [
             T.StructField("query_id", best.schema["query_id"].dataType),

@@ -31,9 +31,11 @@ class Vocabulary:
     n_pairs: int
 
 
-def term_counts(docs: DataFrame, text: str = "page_content") -> DataFrame:
+def term_counts(
+    docs: DataFrame, text: str = "page_content", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """``row_id, counts``: terms of each document, counted inside its row."""
-    return docs.select("row_id", counts(terms(F.col(text))).alias("counts"))
+    return docs.select("row_id", *keep, counts(terms(F.col(text))).alias("counts"))
 
 
 def frequencies(docs: DataFrame, text: str = "page_content") -> DataFrame:
@@ -82,10 +84,11 @@ def _frequent_weights(
     """
     spark = counted.sparkSession
     shared = spark.sparkContext.broadcast(frequent.select("term", "df").toArrow())
-    id_field = counted.schema["row_id"]
+    carried = [f for f in counted.schema.fields if f.name != "counts"]
+    names = [f.name for f in carried] + ["terms", "weights", "rare"]
     schema = T.StructType(
-        [
-            id_field,
+        carried
+        + [
             T.StructField("terms", T.ArrayType(T.StringType())),
             T.StructField("weights", T.ArrayType(T.DoubleType())),
             T.StructField("rare", T.ArrayType(_COUNT)),
@@ -112,16 +115,16 @@ def _frequent_weights(
             kept = np.ones(len(code), bool) if complete else here
             pick, rest = np.flatnonzero(kept), np.flatnonzero(~kept)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row_id"),
+                [batch.column(f.name) for f in carried]
+                + [
                     lists(owner[pick], n, terms_flat.take(pa.array(pick))),
                     lists(owner[pick], n, pa.array((tf * idf)[pick])),
                     lists(owner[rest], n, entries.take(pa.array(rest))),
                 ],
-                names=["row_id", "terms", "weights", "rare"],
+                names=names,
             )
 
-    return counted.select("row_id", "counts").mapInArrow(run, schema)
+    return counted.mapInArrow(run, schema)
 
 
 def vectors(
@@ -129,22 +132,21 @@ def vectors(
     vocabulary: Vocabulary,
     text: str = "page_content",
     config: EngineConfig = EngineConfig(),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``row_id, terms, weights`` with weights of unit length per document.
+    """``row_id, *keep, terms, weights`` with weights of unit length per document.
 
     weight = tf * ln((n_docs + 1) / (df + 1)), divided by the document's norm.
-    Documents without terms have no row. While the vocabulary can be broadcast
+    Documents without terms have empty arrays. While the vocabulary can be broadcast
     nothing is shuffled; beyond that only the rare terms are.
     """
-    counted = term_counts(docs, text)
+    counted = term_counts(docs, text, keep)
     cut = _frequent_cut(vocabulary, config)
     frequent = vocabulary.table.where(F.col("df") >= cut)
     parts = _frequent_weights(counted, frequent, vocabulary.n_docs, complete=cut == 0)
     if cut > 0:
         parts = _with_rare_terms(parts, vocabulary, cut)
-    return parts.where(F.size("terms") > 0).select(
-        "row_id", "terms", _unit_length(F.col("weights")).alias("weights")
-    )
+    return parts.select("row_id", *keep, "terms", _unit_length(F.col("weights")).alias("weights"))
 
 
 def _with_rare_terms(parts: DataFrame, vocabulary: Vocabulary, cut: int) -> DataFrame:
@@ -158,15 +160,16 @@ def _with_rare_terms(parts: DataFrame, vocabulary: Vocabulary, cut: int) -> Data
         .groupBy("row_id")
         .agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("w")))).alias("found"))
     )
-    whole = parts.select("row_id", "terms", "weights").join(found, "row_id", "left")
+    whole = parts.drop("rare").join(found, "row_id", "left")
 
     def both(own: str, other: Column) -> Column:
         return F.when(F.col("found").isNull(), F.col(own)).otherwise(F.concat(own, other))
 
-    return whole.select(
-        "row_id",
-        both("terms", F.col("found.term")).alias("terms"),
-        both("weights", F.col("found.w")).alias("weights"),
+    return whole.withColumns(
+        {
+            "terms": both("terms", F.col("found.term")),
+            "weights": both("weights", F.col("found.w")),
+        }
     )
 
 

@@ -128,6 +128,48 @@ topk AS (
   FROM cosine QUALIFY rank <= 5)
 """
 
+_VECTOR_TOPK_L2 = """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS row_id,
+         0.0 - round(list_distance(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) AS score
+  FROM embeddings q, embeddings d)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
+                      AS INTEGER) AS rank, row_id, score
+FROM pairs QUALIFY rank <= 5
+"""
+
+_MMR_STEPS = ", ".join(
+    f"""
+near{i} AS (
+  SELECT c.query_id, c.row_id, c.score, c.rank, max(a.alike) AS near
+  FROM cand c JOIN pick{i - 1} p ON p.query_id = c.query_id
+  JOIN alike a ON a.query_id = c.query_id AND a.x = c.row_id AND a.y = p.row_id
+  GROUP BY c.query_id, c.row_id, c.score, c.rank),
+gain{i} AS (
+  SELECT n.*, round(0.5 * n.score - 0.5 * near, 9) AS gain
+  FROM near{i} n LEFT JOIN pick{i - 1} p ON p.query_id = n.query_id AND p.row_id = n.row_id
+  WHERE p.row_id IS NULL),
+pick{i} AS (
+  SELECT * FROM pick{i - 1}
+  UNION ALL
+  SELECT query_id, row_id, score, {i} FROM gain{i}
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, rank) = 1)"""
+    for i in range(2, 9)
+)
+
+_MMR = _PAIRS + f""",
+cand AS (
+  SELECT query_id, row_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id) AS rank
+  FROM cosine QUALIFY rank <= 20),
+alike AS (
+  SELECT a.query_id, a.row_id AS x, b.row_id AS y, c.score AS alike
+  FROM cand a JOIN cand b ON a.query_id = b.query_id
+  JOIN cosine c ON c.query_id = a.row_id AND c.row_id = b.row_id),
+pick1 AS (SELECT query_id, row_id, score, 1 AS step FROM cand WHERE rank = 1),
+{_MMR_STEPS}
+"""
+
 _GOLDEN = """
 golden AS (
   SELECT vec_id AS query_id, unnest(CASE WHEN vec_id % 3 = 0 THEN [vec_id, vec_id + 1]
@@ -329,15 +371,7 @@ SELECT * FROM topk
 WITH {_VECTOR_TOPK}
 SELECT * FROM topk
 """,
-    "vector_topk_l2": """
-WITH pairs AS (
-  SELECT q.vec_id AS query_id, d.vec_id AS row_id,
-         0.0 - round(list_distance(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) AS score
-  FROM embeddings q, embeddings d)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
-                      AS INTEGER) AS rank, row_id, score
-FROM pairs QUALIFY rank <= 5
-""",
+    "vector_topk_l2": _VECTOR_TOPK_L2,
     "vector_topk_filtered": f"""
 WITH {_PAIRS}
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
@@ -346,6 +380,10 @@ FROM cosine
 WHERE CASE WHEN query_id % 2 = 0 THEN label = q_label
            ELSE label IN (q_label, (q_label + 1) % 10) OR label < 2 END
 QUALIFY rank <= least(5, 1 + query_id % 7)
+""",
+    "vector_mmr": f"""
+WITH {_MMR}
+SELECT query_id, CAST(step AS INTEGER) AS rank, row_id, score FROM pick8
 """,
     "retrieval_eval": f"""
 WITH {_PAIRS},

@@ -21,11 +21,10 @@ def question_vectors(
     config: EngineConfig = EngineConfig(),
 ) -> DataFrame:
     """Term vectors of ``query_id, question``; other columns are kept."""
-    asked = questions.select(
-        F.col("query_id").alias("row_id"), F.col("question").alias("page_content")
-    )
-    vectors = terms.vectors(asked, vocabulary, config=config)
-    return questions.join(vectors.withColumnRenamed("row_id", "query_id"), "query_id")
+    kept = tuple(c for c in questions.columns if c not in ("query_id", "row_id"))
+    asked = questions.withColumn("row_id", F.col("query_id"))
+    vectors = terms.vectors(asked, vocabulary, "question", config, kept)
+    return vectors.withColumnRenamed("row_id", "query_id")
 
 
 def retrieve(

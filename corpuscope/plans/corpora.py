@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuscope.session import materialize_for_join
 from corpuscope.sources.tables import read_spread, read_table
 
 LINES_PER_FILE = 1000
+MOST_LONG_ORDERS = 1_000_000
 CUSTOMERS_PER_FILE = 1000
 ORDERS_PER_FILE = 5
 
@@ -53,34 +55,36 @@ def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     key gathers more than about one file's worth of rows.
     """
     lines = table(spark, sf_dir, "lineitem")
-    long_orders = (
+    # Long orders are few, mostly none: computed once, and only then joined.
+    long_orders = materialize_for_join(
         lines.groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.floor(F.count("*") / LINES_PER_FILE).alias("more_files"))
-        .where(F.col("more_files") > 0)
+        .where(F.col("more_files") > 0),
+        MOST_LONG_ORDERS,
     )
-    more_files = F.coalesce("more_files", F.lit(0).cast("long"))
+    no_long_orders = long_orders.isEmpty()
+
+    def with_more_files(df: DataFrame) -> DataFrame:
+        if no_long_orders:
+            return df.withColumn("more_files", F.lit(0).cast("long"))
+        joined = df.join(long_orders, "o_orderkey", "left")
+        return joined.withColumn("more_files", F.coalesce("more_files", F.lit(0).cast("long")))
+
+    more_files = F.col("more_files")
     line = F.struct(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
         "l_returnflag", "l_linestatus",
     )
-    line_rows = (
-        lines.withColumnRenamed("l_orderkey", "o_orderkey")
-        .join(long_orders, "o_orderkey", "left")
-        .select(
-            "o_orderkey", F.pmod(F.col("l_partkey"), 1 + more_files).alias("file_no"),
-            line.alias("line"),
-        )
+    line_rows = with_more_files(lines.withColumnRenamed("l_orderkey", "o_orderkey")).select(
+        "o_orderkey", F.pmod(F.col("l_partkey"), 1 + more_files).alias("file_no"),
+        line.alias("line"),
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    order_rows = (
-        table(spark, sf_dir, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(long_orders, "o_orderkey", "left")
-        .select(
-            "o_orderkey", F.explode(F.sequence(F.lit(0).cast("long"), more_files)).alias("file_no"),
-            F.struct("o_custkey", "o_orderpriority", "c_name", (more_files == 0).alias("short"))
-            .alias("o"),
-        )
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    order_rows = with_more_files(orders).select(
+        "o_orderkey", F.explode(F.sequence(F.lit(0).cast("long"), more_files)).alias("file_no"),
+        F.struct("o_custkey", "o_orderpriority", "c_name", (more_files == 0).alias("short"))
+        .alias("o"),
     )
     grouped = (
         line_rows.unionByName(order_rows, allowMissingColumns=True)

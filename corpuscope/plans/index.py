@@ -53,11 +53,11 @@ def write_collection(
     size = [(vocabulary.n_docs, vocabulary.n_terms, vocabulary.n_pairs)]
     write(spark.createDataFrame(size, "n_docs long, n_terms long, n_pairs long"), "sizes")
 
-    vectors = terms.vectors(documents, vocabulary, config=config)
-    described = documents.select(*METADATA)
+    kept = [f for f in METADATA if f != "row_id"]
     if vectoriser is not None:
-        described = vectoriser(documents).select(*METADATA, "embedding")
-    write(described.join(vectors, "row_id", "left"), "vectors")
+        documents = vectoriser(documents)
+        kept.append("embedding")
+    write(terms.vectors(documents, vocabulary, config=config, keep=tuple(kept)), "vectors")
     return True
 
 

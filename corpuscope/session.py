@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,5 +33,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_for_join(df: DataFrame, most_rows: int) -> DataFrame:
+    """Compute a side that is expected to be small, and look at its size.
+
+    Up to ``most_rows`` rows it is broadcast, so the other side of a join stays
+    where it is; above that the planner decides as for any table.
+    """
+    stored = materialize(df)
+    return F.broadcast(stored) if stored.count() <= most_rows else stored
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
