@@ -61,7 +61,3 @@ def counts(items: Column) -> Column:
         return let(F.filter(positions, starts_here), tally)
 
     return let(F.sort_array(items), count)
-
-
-def distinct_in_order(items: Column) -> Column:
-    return F.array_distinct(items)

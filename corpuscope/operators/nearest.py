@@ -35,7 +35,8 @@ def _vector_columns(kind: str) -> list[str]:
 def _question_columns(questions: DataFrame, kind: str) -> DataFrame:
     present = set(questions.columns)
     null = F.lit(None)
-    return questions.select(
+    with_vector = questions.where(F.col(_vector_columns(kind)[0]).isNotNull())
+    return with_vector.select(
         "query_id",
         *_vector_columns(kind),
         (F.col("filter") if "filter" in present else null).cast("string").alias("filter"),
@@ -163,20 +164,22 @@ def nearest_approximate(
     k: int,
     kind: str = "l2",
     tables: int = 8,
-    bucket_length: float = 0.5,
+    width: int = 3,
+    bucket_length: float = 0.4,
     seed: int = 17,
     config: EngineConfig = EngineConfig(),
 ) -> DataFrame:
     """Top k among rows that share a random-projection bucket with the question.
 
-    Candidates are scored exactly. Buckets that hold many rows are cut, never
+    A bucket is the joint value of ``width`` projections; there are ``tables`` of
+    them, and sharing one is enough. Candidates are scored exactly. Buckets that hold many rows are cut, never
     truncated, so the result depends on the hash functions only.
     """
     questions = _question_columns(questions, kind)
     _, attribute_names = _look_at(questions, kind)
     rows = rows.select("row_id", "embedding", *attribute_names)
     hasher = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="hashes", numHashTables=tables, bucketLength=bucket_length,
+        inputCol="v", outputCol="hashes", numHashTables=tables * width, bucketLength=bucket_length,
         seed=seed,
     )
 
@@ -186,10 +189,14 @@ def nearest_approximate(
     model = hasher.fit(vectorised(rows))
 
     def hashed(side: DataFrame) -> DataFrame:
-        cells = model.transform(vectorised(side)).select(
-            *side.columns, F.posexplode("hashes").alias("t", "h")
+        hashes = F.col("hashes").cast("array<string>")
+        cells = F.transform(
+            F.sequence(F.lit(0), F.lit(tables - 1)),
+            lambda t: F.xxhash64(t, F.slice(hashes, t * width + 1, F.lit(width))),
+        )
+        return model.transform(vectorised(side)).select(
+            *side.columns, F.explode(cells).alias("cell")
         )
-        return cells.withColumn("cell", F.xxhash64("t", F.col("h").cast("string"))).drop("t", "h")
 
     asked = hashed(questions)
     # Rows in buckets that no question falls into need not be shuffled.

@@ -272,7 +272,7 @@ def vector_topk_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for question sets too large to send to every task."""
-    config = EngineConfig(broadcast_bytes=0, cell_rows=200)
+    config = EngineConfig(broadcast_bytes=0)
     return nearest(
         _embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), EVAL_TOP_K, "cosine", config
     )

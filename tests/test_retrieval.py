@@ -156,7 +156,7 @@ def test_approximate(spark):
     questions[1] = rows[0]
     questions, df = frames(spark, rows, questions)
     exact = nearest(questions, df, 5, "l2")
-    wide = nearest_approximate(questions, df, 5, bucket_length=1000.0, config=CELLS)
+    wide = nearest_approximate(questions, df, 5, width=1, bucket_length=1000.0, config=CELLS)
     # Two huge buckets per table, cut into cells: no cell may lose a row.
     assert collected(wide) == collected(exact)
     narrow = recall(nearest_approximate(questions, df, 5, bucket_length=1.0, config=CELLS), exact)
