@@ -30,6 +30,8 @@ def text_of(value: Any) -> str | None:
     if value is None:
         return None
     text = value if isinstance(value, str) else str(value)
+    if text.isascii():
+        return text
     return text.encode("utf-8", "replace").decode("utf-8")
 
 
