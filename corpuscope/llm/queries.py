@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscope.llm import exact, sharding, simhash
+from corpuscope.llm import exact, sentences, sharding, simhash, substrings
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(_documents(spark, sf_dir))
+
+
 def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_documents(spark, sf_dir))
 
@@ -23,12 +27,18 @@ def op6_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.report(_documents(spark, sf_dir))
 
 
+def op10_repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.report(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_repeated_bytes,
         op3_simhash_components,
         op4_byte_shards,
         op6_exact_groups,
+        op10_repeated_sentences,
     )
 }
 
@@ -41,4 +51,5 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
             doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op10_repeated_sentences": sentences.SQL,
 }
