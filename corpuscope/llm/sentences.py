@@ -131,7 +131,7 @@ def report(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataF
         "n_sentences",
         "n_removed",
         "n_spans",
-        F.coalesce("sources", F.array().cast("array<long>")).alias("copied_from"),
+        F.array_min("sources").alias("copied_from"),
         F.octet_length("kept").cast("long").alias("kept_bytes"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
@@ -156,7 +156,7 @@ SQL = r"""
         WINDOW w AS (PARTITION BY run ORDER BY doc_id, place)),
     later AS (SELECT * FROM spans WHERE k > 1),
     gone AS (
-        SELECT DISTINCT doc_id, place + k AS place FROM later, (VALUES (0), (1)) AS t(k)),
+        SELECT DISTINCT doc_id, place + step AS place FROM later, (VALUES (0), (1)) AS t(step)),
     marked AS (
         SELECT p.doc_id, p.i, p.place, g.place IS NOT NULL AS away,
             lag(g.place) OVER (PARTITION BY p.doc_id ORDER BY p.place) IS NOT NULL AS before
@@ -169,9 +169,9 @@ SQL = r"""
         SELECT p.doc_id, coalesce(string_agg(p.piece, '' ORDER BY p.i)
             FILTER (m.away IS NOT TRUE), '') AS text
         FROM pieces p LEFT JOIN marked m ON m.doc_id = p.doc_id AND m.i = p.i GROUP BY p.doc_id),
-    origin AS (SELECT doc_id, list_sort(list(DISTINCT source)) AS s FROM later GROUP BY doc_id)
+    origin AS (SELECT doc_id, min(source) AS s FROM later GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed,
-        coalesce(n_spans, 0) AS n_spans, coalesce(s, []) AS copied_from,
+        coalesce(n_spans, 0) AS n_spans, s AS copied_from,
         strlen(coalesce(k.text, '')) AS kept_bytes, sha256(coalesce(k.text, '')) AS kept_sha256
     FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
         LEFT JOIN origin o ON o.doc_id = d.doc_id"""
