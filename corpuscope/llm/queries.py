@@ -4,7 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscope.llm import exact, sentences, sharding, simhash, substrings
+from corpuscope.llm import (
+    exact,
+    packing,
+    secrets,
+    sentences,
+    sharding,
+    simhash,
+    substrings,
+    warc,
+)
+
+
+def tokenizer() -> str:
+    """Path of the tokenizer file, which is the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +31,10 @@ def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_documents(spark, sf_dir))
 
 
+def op2_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(_documents(spark, sf_dir), tokenizer())
+
+
 def op3_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_documents(spark, sf_dir))
 
@@ -27,6 +47,14 @@ def op6_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.report(_documents(spark, sf_dir))
 
 
+def op7_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(_documents(spark, sf_dir))
+
+
 def op10_repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.report(_documents(spark, sf_dir))
 
@@ -35,9 +63,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_repeated_bytes,
+        op2_packed_sequences,
         op3_simhash_components,
         op4_byte_shards,
         op6_exact_groups,
+        op7_archived_pages,
+        op9_secret_spans,
         op10_repeated_sentences,
     )
 }
