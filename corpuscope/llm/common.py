@@ -56,7 +56,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """(node, root): root is the smallest node that edges ``(a, b)`` lead to.
 
     Large-star and small-star rounds over tables in the shared folder. A round
-    groups with partial aggregation and joins the minima back, so a node with a
+    groups with partial aggregation and joins the stored minima back, so a node with a
     third of all edges is split by adaptive execution. Nodes without edges are
     not returned.
     """
@@ -77,14 +77,15 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             edges.select("lo", "hi")
         )
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = (
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")), name)
+        large = stored(
             both.join(least, "u")
             .where("v > u")
             .select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
-            .distinct()
+            .distinct(),
+            name,
         )
-        roots = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        roots = stored(large.groupBy("hi").agg(F.min("lo").alias("m")), name)
         small = (
             large.join(roots, "hi")
             .where("lo <> m")

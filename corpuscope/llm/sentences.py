@@ -7,7 +7,7 @@ other of them covers is removed.
 
 Only hashes are counted over all spans. What occurs once leaves there, and the rest is
 told apart by 128 bits. Groups of any size are met by partial aggregation and a join with
-their first place, which adaptive execution can split.
+the stored table of their first places, which adaptive execution can split.
 
 Cases: null text is empty; texts without a span keep all; repeated rows are one document
 written several times and lose the same sentences; rows of one id but different texts are
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuscope.llm.common import id_back, stored
-from corpuscope.llm.substrings import batch_of, beside, marked
+from corpuscope.llm.substrings import batch_of, marked
 
 RUN = 2
 MIN_WORDS = 10
@@ -73,12 +73,15 @@ def scan(docs: DataFrame, run: int, min_words: int) -> DataFrame:
 def repeated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, mark, places, sources): starts of non-first spans, ids of the first ones."""
     spans = scan(docs, run, min_words)
-    shared = spans.groupBy("key").count().where("count > 1").select("key")
+    shared = stored(
+        spans.groupBy("key").count().where("count > 1").select("key"), "sentence-keys"
+    )
     left = stored(spans.join(shared, "key"), "sentence-spans")
-    first = (
+    first = stored(
         left.groupBy("key", "check")
         .agg(F.min(F.struct("doc", "mark", "place")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
+        .where("n > 1"),
+        "sentence-first",
     )
     later = left.join(first, ["key", "check"]).where(F.struct("doc", "mark", "place") != F.col("first"))
     return stored(
@@ -93,8 +96,9 @@ def repeated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> Dat
 def remove(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """Per row: doc, n_sentences, n_removed, n_spans (removed runs), sources, kept (text)."""
     places = repeated(docs, run, min_words)
-    rows = places.agg(F.sum(F.size("places") + F.size("sources"))).first()[0] or 0
-    joined = beside(docs, places, rows, "left").select("doc", "text", "places", "sources")
+    joined = marked(docs).join(places, ["doc", "mark"], "left").select(
+        "doc", "text", "places", "sources"
+    )
     kinds = {"doc": "int64", "n_sentences": "int64", "n_removed": "int64", "n_spans": "int64"}
 
     def rebuild(batches):

@@ -106,7 +106,7 @@ def links(nodes: DataFrame, differing: int = 2, segments: int = SEGMENTS) -> Dat
         F.col("fp"),
         F.col("i"),
     )
-    counted = rows.groupBy("key").count().where("count > 1")
+    counted = stored(rows.groupBy("key").count().where("count > 1"), "simhash-keys")
     rows = stored(rows.join(counted, "key"), "simhash-buckets")
     few = rows.where(F.col("count") <= BUCKET)
     left, right = few.alias("l"), few.select("key", F.col("fp").alias("other")).alias("r")
@@ -129,9 +129,12 @@ def links(nodes: DataFrame, differing: int = 2, segments: int = SEGMENTS) -> Dat
     flipped = rows.where(F.col("count") > BUCKET).select(
         "i", "fp", F.explode(flips).alias("neighbour")
     )
-    least = flipped.groupBy("i", "neighbour").agg(
-        F.min("fp").alias("other"), F.count("*").alias("n")
-    ).where("n > 1")
+    least = stored(
+        flipped.groupBy("i", "neighbour")
+        .agg(F.min("fp").alias("other"), F.count("*").alias("n"))
+        .where("n > 1"),
+        "simhash-neighbours",
+    )
     stars = flipped.join(least, ["i", "neighbour"]).where("fp <> other").select(
         back("fp").alias("a"), back("other").alias("b")
     )

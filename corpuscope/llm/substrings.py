@@ -15,7 +15,8 @@ group leaves, and groups that reach the full depth are the repeated windows.
    with more than GROUP different runs is taken apart further by Spark: its windows are
    the next digit, counted with partial aggregation.
 
-The table of texts is exchanged only if the ranges it has to meet are more than
+Each list of what occurs several times is stored before it meets the rows again, so the
+rows of a hot gram can be split. The table of texts is exchanged only if the ranges it has to meet are more than
 BROADCAST_ROWS; below that they are broadcast.
 
 Cases: null text is empty and, like texts under WINDOW bytes, has nothing removed;
@@ -257,7 +258,10 @@ def count_windows(rows: DataFrame, window: int) -> DataFrame:
     expanded = rows.select("gram", "own", "doc", "mark", "start", "data").mapInArrow(
         run, "gram long, window long, own boolean, doc long, mark int, start int"
     )
-    twice = expanded.groupBy("gram", "window").count().where("count > 1").drop("count")
+    twice = stored(
+        expanded.groupBy("gram", "window").count().where("count > 1").drop("count"),
+        "substring-windows",
+    )
     return expanded.where("own").join(twice, ["gram", "window"]).select(
         "doc", "mark", "start", (F.col("start") + window).alias("end")
     )
@@ -295,13 +299,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if not 136 <= window <= 319:
         raise ValueError("window out of range")
     runs = scan(docs, window)
-    shared = runs.groupBy("gram").count().where("count > 1").select("gram")
+    shared = stored(
+        runs.groupBy("gram").count().where("count > 1").select("gram"), "substring-grams"
+    )
     left = stored(runs.join(shared, "gram"), "substring-runs")
     different = left.groupBy("gram", "run").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "pack", "start")).alias("one")
     )
     different = stored(different, "substring-different")
-    several = different.groupBy("gram").agg(F.count("*").alias("several")).where("several > 1")
+    several = stored(
+        different.groupBy("gram").agg(F.count("*").alias("several")).where("several > 1"),
+        "substring-several",
+    )
     wanted = stored(
         unpacked(
             different.join(several, "gram").select(
