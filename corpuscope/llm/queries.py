@@ -12,6 +12,7 @@ from corpuscope.llm import (
     sharding,
     simhash,
     substrings,
+    toxicity,
     warc,
 )
 
@@ -51,6 +52,11 @@ def op7_archived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.report(_documents(spark, sf_dir), labels)
+
+
 def op9_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(_documents(spark, sf_dir))
 
@@ -68,6 +74,7 @@ QUERIES = {
         op4_byte_shards,
         op6_exact_groups,
         op7_archived_pages,
+        op8_toxicity_scores,
         op9_secret_spans,
         op10_repeated_sentences,
     )
