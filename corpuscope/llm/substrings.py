@@ -38,7 +38,8 @@ from corpuscope.llm.common import id_back, slices, stored, texts
 from corpuscope.llm.windows import CHUNK, GRAM, Strings, anchors
 
 WINDOW = 200
-GROUP = 256
+#: Different runs of one gram that a task may hold: about 5 MB of bytes, a million windows.
+GROUP = 16_384
 BROADCAST_ROWS = 1_000_000
 PLACE = {"doc": "int64", "mark": "int32", "start": "int32"}
 RUNS = "gram long, run long, doc long, pack int, start int"
