@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuscope.llm import (
+    decontaminate,
     exact,
     packing,
     secrets,
@@ -44,6 +45,11 @@ def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(_documents(spark, sf_dir))
 
 
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.report(_documents(spark, sf_dir), benchmark)
+
+
 def op6_exact_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.report(_documents(spark, sf_dir))
 
@@ -65,6 +71,12 @@ def op10_repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.report(_documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # which imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,11 +84,13 @@ QUERIES = {
         op2_packed_sequences,
         op3_simhash_components,
         op4_byte_shards,
+        op5_benchmark_leaks,
         op6_exact_groups,
         op7_archived_pages,
         op8_toxicity_scores,
         op9_secret_spans,
         op10_repeated_sentences,
+        pipeline,
     )
 }
 

@@ -31,12 +31,15 @@ BUCKET = 256
 LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
 
 
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the rows of bytes (n, width) have each bit set."""
+    sums = np.add.reduceat(LANES[hashes], np.arange(0, len(hashes), 255), axis=0)
+    return sums.view(np.uint8).reshape(len(sums), -1).sum(axis=0, dtype=np.int64)
+
+
 def majority(hashes: np.ndarray) -> np.ndarray:
     """Bits set in over half of the rows of bytes (n, width), packed."""
-    rows = len(hashes)
-    sums = np.add.reduceat(LANES[hashes], np.arange(0, rows, 255), axis=0)
-    counts = sums.view(np.uint8).reshape(len(sums), -1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > rows)
+    return np.packbits(2 * bit_counts(hashes) > len(hashes))
 
 
 def shingle_hashes(text: str, words: int, seed: int) -> list[int]:
