@@ -33,5 +33,9 @@ class EngineConfig:
     broadcast_rows: int = 1_000_000
     # Rows per shuffled scoring cell (question block x document block).
     cell_rows: int = 50_000
+    # Bytes of vectors per side of such a cell.
+    cell_bytes: int = 64 << 20
+    # Scoring tasks per core; each task sends its best rows of every question on.
+    tasks_per_core: int = 4
     # Tasks of the repository reader; None = by the size of the files.
     read_partitions: int | None = None

@@ -13,12 +13,15 @@ _BLOCK_CELLS = 4_000_000
 
 
 class BestPerQuestion:
-    """Keeps the k best (score desc, id asc) rows per question over many blocks."""
+    """Keeps the best (score desc, id asc) rows per question over many blocks.
 
-    def __init__(self, n_questions: int, k: int, id_type: pa.DataType):
-        self.k = k
-        self.n = n_questions
-        self.floor = np.full(n_questions, -np.inf)
+    ``k`` has the number of rows each question wants.
+    """
+
+    def __init__(self, k: np.ndarray, id_type: pa.DataType):
+        self.k = np.maximum(k, 0)
+        self.most = int(self.k.max(initial=0))
+        self.floor = np.where(self.k > 0, -np.inf, np.inf)
         self.empty = pa.table(
             {
                 "q": pa.array([], pa.int64()),
@@ -33,8 +36,8 @@ class BestPerQuestion:
         order = pc.sort_indices(ids)
         ids, s = ids.take(order), scores[:, order.to_numpy()]
         keep = (s >= self.floor[:, None]) & (s > -np.inf)
-        if s.shape[1] > self.k:
-            kth = np.partition(s, s.shape[1] - self.k, axis=1)[:, s.shape[1] - self.k]
+        if s.shape[1] > self.most > 0:
+            kth = np.partition(s, s.shape[1] - self.most, axis=1)[:, s.shape[1] - self.most]
             keep &= s >= kth[:, None]
         q, c = np.nonzero(keep)
         if not len(q):
@@ -43,11 +46,11 @@ class BestPerQuestion:
         best = np.lexsort((c, -v, q))
         q, c, v = q[best], c[best], v[best]
         first = np.searchsorted(q, q, side="left")
-        chosen = np.arange(len(q)) - first < self.k
+        chosen = np.arange(len(q)) - first < self.k[q]
         q, c, v = q[chosen], c[chosen], v[chosen]
         self.parts.append(pa.table({"q": q, "score": v, "id": ids.take(pa.array(c))}))
         self.held += len(q)
-        if self.held > 4 * self.n * self.k + 100_000:
+        if self.held > 4 * int(self.k.sum()) + 100_000:
             self._shrink()
 
     def _shrink(self) -> None:
@@ -56,9 +59,10 @@ class BestPerQuestion:
         )
         q = table["q"].to_numpy()
         rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-        table = table.filter(pa.array(rank < self.k))
-        q, rank = q[rank < self.k], rank[rank < self.k]
-        last = rank == self.k - 1
+        best = rank < self.k[q]
+        table = table.filter(pa.array(best))
+        q, rank = q[best], rank[best]
+        last = rank == self.k[q] - 1
         self.floor[q[last]] = table["score"].to_numpy()[last]
         self.parts, self.held = [table], table.num_rows
 
@@ -79,9 +83,11 @@ class DenseScorer:
         self.q = _matrix(questions["embedding"])
         if metric == "cosine":
             self.q = _unit(self.q)
-        self.q_square = (self.q**2).sum(axis=1)
 
     def blocks(self, rows: pa.Table):
+        # Vectors of another length than the questions' cannot be compared.
+        length = pc.list_value_length(rows["embedding"])
+        rows = rows.filter(pc.equal(length, self.q.shape[1]))
         step = max(1, _BLOCK_CELLS // max(1, len(self.q)))
         for at in range(0, rows.num_rows, step):
             part = rows.slice(at, step)
@@ -89,10 +95,16 @@ class DenseScorer:
             if self.metric == "cosine":
                 s = self.q @ _unit(d).T
             else:
-                square = self.q_square[:, None] + (d**2).sum(axis=1)[None, :] - 2 * (self.q @ d.T)
-                s = -np.sqrt(np.maximum(square, 0.0))
+                s = -self._distances(d)
             yield part, np.round(s, DECIMALS) + 0.0
 
+    def _distances(self, d: np.ndarray) -> np.ndarray:
+        """Differences are squared and summed; the expansion of the square cancels."""
+        square = np.zeros((len(self.q), len(d)))
+        for k in range(self.q.shape[1]):
+            square += (self.q[:, k, None] - d[None, :, k]) ** 2
+        return np.sqrt(square)
+
 
 class TermScorer:
     """Dot product of sparse term vectors; rows without a common term do not qualify."""
@@ -173,9 +185,11 @@ def _mask_for(spec, rows: pa.Table) -> np.ndarray:
 
 
 def score_batches(batches, questions: pa.Table, kind: str, k: int, id_type: pa.DataType):
-    """Best k rows per question over all batches of a task, as one table."""
+    """Best rows per question over all batches of a task, as one table: as many as the
+    question's limit says, else k."""
     scorer = scorer_for(kind, questions)
-    best = BestPerQuestion(questions.num_rows, k, id_type)
+    wanted = pc.fill_null(questions["limit"].combine_chunks(), k).to_numpy(zero_copy_only=False)
+    best = BestPerQuestion(wanted.astype(np.int64), id_type)
     by_filter: dict[str, list[int]] = {}
     if "filter" in questions.column_names:
         for i, spec in enumerate(questions["filter"].to_pylist()):

@@ -13,9 +13,13 @@ SEPARATOR = "\n\n"
 
 
 def assemble(
-    results: DataFrame, rows: DataFrame, config: EngineConfig = EngineConfig()
+    results: DataFrame,
+    rows: DataFrame,
+    config: EngineConfig = EngineConfig(),
+    questions: DataFrame | None = None,
 ) -> DataFrame:
-    """``query_id, n_rows, context, sources``.
+    """``query_id, n_rows, context, sources``: a row for each of ``questions``, with no
+    rows, an empty context and no sources where nothing was found.
 
     ``rows`` has ``row_id, source, page_content``. Texts are joined to the few
     ranked rows only after ranking, so scoring never carries them, and the
@@ -25,7 +29,7 @@ def assemble(
     found = materialize_for_join(results, config.broadcast_rows)
     texts = rows.select("row_id", "source", "page_content").join(found, "row_id")
     ordered = F.sort_array(F.collect_list(F.struct("rank", "page_content")))
-    return (
+    answered = (
         texts.groupBy("query_id")
         .agg(
             F.count("*").alias("n_rows"),
@@ -39,3 +43,11 @@ def assemble(
             "sources",
         )
     )
+    if questions is None:
+        return answered
+    return questions.select("query_id").join(answered, "query_id", "left").select(
+        "query_id",
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.coalesce("context", F.lit("")).alias("context"),
+        F.coalesce("sources", F.array().cast("array<string>")).alias("sources"),
+    )

@@ -140,6 +140,26 @@ def tables(query: Column) -> Column:
     return let(_marked(query), extract)
 
 
+# First words of the statements that are analysed.
+STATEMENTS = "select with insert replace create update delete drop alter truncate merge".split()
+
+
+# Clause words that cannot stand where a table is expected.
+_NO_TABLE = "select|from|where|on|using|join|group|order|having|union|intersect|except|limit|set"
+
+
+def is_query(query: Column) -> Column:
+    """Whether the text is a statement with something after each FROM and JOIN."""
+
+    def check(text: Column) -> Column:
+        bare = strip(F.regexp_replace(text, r"\A[\s(]+", ""))
+        statement = F.rlike(bare, F.lit(rf"(?i)\A(?:{'|'.join(STATEMENTS)})\b"))
+        dangling = F.rlike(text, F.lit(rf"(?i)\b(?:from|join)\s*(?:\b(?:{_NO_TABLE})\b|[;)]|\z)"))
+        return statement & ~dangling
+
+    return let(F.regexp_replace(query, _COMMENT_OR_LITERAL, " "), check)
+
+
 def summary_text(names: Column) -> Column:
     # Sentence template.
     listing = F.when(F.size(names) > 0, F.array_join(names, ", ")).otherwise(F.lit("none"))
@@ -156,6 +176,9 @@ def documents(content: Column, strict: bool = False) -> Column:
             content_type=F.lit("sql_summary"),
             page_content=let(tables(main_query(script, strict)), summary_text),
         )
-        return F.array(raw, summary)
+        # A script that cannot be analysed has its text only.
+        return F.when(is_query(main_query(script, strict)), F.array(raw, summary)).otherwise(
+            F.array(raw)
+        )
 
     return let(clean_script(content), build)

@@ -11,6 +11,7 @@ against a block of questions with numpy and emits at most k rows per question.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
@@ -21,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from corpuscope.config import EngineConfig
 from corpuscope.functions.topk import DECIMALS, score_batches
+from corpuscope.operators.filters import problem
 from corpuscope.session import materialize_for_join
 
 METRICS = ("cosine", "l2", "terms")
@@ -32,37 +34,74 @@ def _vector_columns(kind: str) -> list[str]:
     return ["terms", "weights"] if kind == "terms" else ["embedding"]
 
 
-def _question_columns(questions: DataFrame, kind: str) -> DataFrame:
-    present = set(questions.columns)
-    null = F.lit(None)
-    with_vector = questions.where(F.col(_vector_columns(kind)[0]).isNotNull())
-    return with_vector.select(
-        "query_id",
-        *_vector_columns(kind),
-        (F.col("filter") if "filter" in present else null).cast("string").alias("filter"),
-        (F.col("limit") if "limit" in present else null).cast("int").alias("limit"),
+def _attribute_types(rows: DataFrame) -> dict[str, str]:
+    """Columns of the rows a filter may name."""
+    vectors = {"embedding", "terms", "weights"}
+    return {name: kind for name, kind in rows.dtypes if name not in vectors}
+
+
+def _filter_problem(types: dict[str, str]):
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        known = {t: problem(t, types) for t in texts.dropna().unique()}
+        return texts.map(lambda t: known.get(t)).astype(object)
+
+    return run
+
+
+def question_warnings(questions: DataFrame, rows: DataFrame) -> DataFrame:
+    """``query_id, class, message`` of questions whose filter cannot be used on the rows.
+
+    They get no results; the other questions of the batch are not touched.
+    """
+    found = questions.where(F.col("filter").isNotNull()).select(
+        "query_id", _filter_problem(_attribute_types(rows))("filter").alias("message")
+    )
+    return found.where(F.col("message").isNotNull()).select(
+        "query_id", F.lit("invalid_filter").alias("class"), "message"
     )
 
 
-def _question_bytes(kind: str) -> Column:
+def _question_columns(questions: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
+    present = set(questions.columns)
+    null = F.lit(None)
+    usable = questions.where(F.col(_vector_columns(kind)[0]).isNotNull())
+    if "filter" in present:
+        message = _filter_problem(_attribute_types(rows))("filter")
+        usable = usable.where(F.col("filter").isNull() | message.isNull())
+    columns = {
+        "query_id": F.col("query_id"),
+        **{c: F.col(c) for c in _vector_columns(kind)},
+        "filter": (F.col("filter") if "filter" in present else null).cast("string"),
+        "limit": (F.col("limit") if "limit" in present else null).cast("int"),
+    }
+    # Under names of their own first: questions may be made from the rows themselves.
+    own = usable.select(*(c.alias(f"_asked_{n}") for n, c in columns.items()))
+    return own.select(*(F.col(f"_asked_{n}").alias(n) for n in columns))
+
+
+def _vector_bytes(kind: str) -> Column:
     vector = (
         F.aggregate("terms", F.lit(0), lambda n, t: n + F.octet_length(t) + 16)
         if kind == "terms"
         else F.size("embedding") * 8
     )
-    return F.coalesce(vector, F.lit(0)) + F.coalesce(F.octet_length("filter"), F.lit(0)) + 64
+    return F.coalesce(vector, F.lit(0)).cast("long") + 64
 
 
-def _look_at(questions: DataFrame, kind: str) -> tuple[int, list[str]]:
-    """Bytes of the question side, and the attributes its filters name."""
-    names = F.regexp_extract_all(
-        "filter", F.lit(r'"(?:eq|ne|lte|lt|gte|gt|in)":\s*\["([^"\\]*)"'), F.lit(1)
-    )
-    distinct = F.collect_set(F.array_sort(F.array_distinct(names)))
-    seen = questions.agg(
-        F.coalesce(F.sum(_question_bytes(kind)), F.lit(0)), F.array_distinct(F.flatten(distinct))
-    ).first()
-    return int(seen[0]), sorted(name for name in seen[1] if name != "row_id")
+def _look_at(questions: DataFrame, kind: str, rows: DataFrame) -> tuple[int, list[str]]:
+    """Bytes of the question side, and the attributes its filters name.
+
+    Only usable filters are left, so the names are columns of the rows.
+    """
+    names = [
+        F.max(F.contains(F.col("filter"), F.lit(f'"{n}"'))).alias(f"_{k}")
+        for k, n in enumerate(_attribute_types(rows))
+    ]
+    size = _vector_bytes(kind) + F.coalesce(F.octet_length("filter"), F.lit(0))
+    seen = questions.agg(F.coalesce(F.sum(size), F.lit(0)), *names).first()
+    named = [n for n, hit in zip(_attribute_types(rows), seen[1:]) if hit]
+    return int(seen[0]), [name for name in named if name != "row_id"]
 
 
 def _result_schema(questions: DataFrame, rows: DataFrame) -> T.StructType:
@@ -80,8 +119,7 @@ def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "row_id")
     return (
         candidates.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .where(F.col("limit").isNull() | (F.col("rank") <= F.col("limit")))
+        .where(F.col("rank") <= F.coalesce("limit", F.lit(k)))
         .select("query_id", "rank", "row_id", "score")
     )
 
@@ -93,24 +131,53 @@ def nearest(
     kind: str = "cosine",
     config: EngineConfig = EngineConfig(),
 ) -> DataFrame:
-    """Exact top k. ``kind``: ``cosine``, ``l2`` (score is minus the distance) or
-    ``terms``. Ties are broken by ``row_id``; scores have six decimals."""
-    questions = _question_columns(questions, kind)
-    size, attribute_names = _look_at(questions, kind)
+    """Exact top k, or as many rows as the question's own ``limit``. ``kind``: ``cosine``,
+    ``l2`` (score is minus the distance) or ``terms``. Scores have six decimals; what is
+    equal then is ordered by ``row_id``."""
+    questions = _question_columns(questions, rows, kind)
+    size, attribute_names = _look_at(questions, kind, rows)
     rows = rows.select("row_id", *_vector_columns(kind), *attribute_names)
     rows = rows.where(F.col(_vector_columns(kind)[0]).isNotNull())
     if size <= config.broadcast_bytes:
-        candidates = _against_broadcast(questions, rows, k, kind)
+        candidates = _against_broadcast(questions, rows, k, kind, config)
     else:
-        one = F.lit(0)
-        candidates = _in_cells(
-            questions.withColumn("cell", one), rows.withColumn("cell", one), k, kind, config
+        row_bytes = rows.agg(F.sum(_vector_bytes(kind))).first()[0] or 0
+        cuts = [max(1, -(-n // config.cell_bytes)) for n in (row_bytes, size)]
+        candidates = _scored_cells(
+            _spread(questions, "query_id", "question_cut", cuts[1], "row_cut", cuts[0]),
+            _spread(rows, "row_id", "row_cut", cuts[0], "question_cut", cuts[1]),
+            ["row_cut", "question_cut"], k, kind,
         )
     return _ranked(candidates, k)
 
 
-def _against_broadcast(questions: DataFrame, rows: DataFrame, k: int, kind: str) -> DataFrame:
-    """Rows stay where they are; the size-checked questions go to every task."""
+def _spread(side: DataFrame, key: str, own: str, n: int, other: str, copies: int) -> DataFrame:
+    """Each row in the cut its id hashes to, once for each cut of the other side."""
+    mine = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    theirs = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+    return side.withColumn(own, mine).withColumn(other, theirs)
+
+
+def _scored_cells(
+    questions: DataFrame, rows: DataFrame, keys: list[str], k: int, kind: str
+) -> DataFrame:
+    id_type = to_arrow_type(rows.schema["row_id"].dataType)
+
+    def run(some_questions: pa.Table, some_rows: pa.Table) -> pa.Table:
+        return score_batches([some_rows], some_questions, kind, k, id_type)
+
+    left, right = questions.groupBy(*keys), rows.groupBy(*keys)
+    return left.cogroup(right).applyInArrow(run, _result_schema(questions, rows))
+
+
+def _against_broadcast(
+    questions: DataFrame, rows: DataFrame, k: int, kind: str, config: EngineConfig
+) -> DataFrame:
+    """Rows stay where they are; the size-checked questions go to every task.
+
+    A task sends on the best rows of every question, so splits are read by a number of
+    tasks that follows the cores, not the data.
+    """
     schema = _result_schema(questions, rows)
     id_type = to_arrow_type(rows.schema["row_id"].dataType)
     shared = rows.sparkSession.sparkContext.broadcast(questions.toArrow())
@@ -119,7 +186,8 @@ def _against_broadcast(questions: DataFrame, rows: DataFrame, k: int, kind: str)
         if shared.value.num_rows:
             yield from score_batches(batches, shared.value, kind, k, id_type).to_batches()
 
-    return rows.mapInArrow(run, schema)
+    tasks = config.tasks_per_core * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(tasks).mapInArrow(run, schema)
 
 
 def _in_cells(
@@ -131,8 +199,6 @@ def _in_cells(
     rows and as many questions, so that no task gets more than that. Both sides
     are spread by hash of their unique id and copied to the other side's cuts.
     """
-    schema = _result_schema(questions, rows)
-    id_type = to_arrow_type(rows.schema["row_id"].dataType)
 
     def cuts(side: DataFrame, name: str) -> DataFrame:
         # Only cells that need more than one cut are kept: few rows.
@@ -147,14 +213,11 @@ def _in_cells(
         theirs = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
         return side.withColumn(own, mine).withColumn(other, theirs)
 
-    keys = ["cell", "row_cuts", "question_cuts"]
-    left = spread(questions, "query_id", "question_cuts", "row_cuts").groupBy(*keys)
-    right = spread(rows, "row_id", "row_cuts", "question_cuts").groupBy(*keys)
-
-    def run(some_questions: pa.Table, some_rows: pa.Table) -> pa.Table:
-        return score_batches([some_rows], some_questions, kind, k, id_type)
-
-    return left.cogroup(right).applyInArrow(run, schema)
+    return _scored_cells(
+        spread(questions, "query_id", "question_cuts", "row_cuts"),
+        spread(rows, "row_id", "row_cuts", "question_cuts"),
+        ["cell", "row_cuts", "question_cuts"], k, kind,
+    )
 
 
 # --- approximate -----------------------------------------------------------------
@@ -175,8 +238,8 @@ def nearest_approximate(
     them, and sharing one is enough. Candidates are scored exactly. Buckets that hold many rows are cut, never
     truncated, so the result depends on the hash functions only.
     """
-    questions = _question_columns(questions, kind)
-    _, attribute_names = _look_at(questions, kind)
+    questions = _question_columns(questions, rows, kind)
+    _, attribute_names = _look_at(questions, kind, rows)
     rows = rows.select("row_id", "embedding", *attribute_names)
     hasher = BucketedRandomProjectionLSH(
         inputCol="v", outputCol="hashes", numHashTables=tables * width, bucketLength=bucket_length,
@@ -263,14 +326,19 @@ def nearest_diverse(
     weight: float = 0.5,
     config: EngineConfig = EngineConfig(),
 ) -> DataFrame:
-    """Maximal marginal relevance over the ``fetch_k`` most similar rows.
+    """Maximal marginal relevance over the ``fetch_k`` most similar rows, of which k or
+    the question's own ``limit`` are picked.
 
-    A group holds at most ``fetch_k`` rows of one question.
+    A group holds at most ``fetch_k`` or ``limit`` rows of one question.
     """
     if kind == "l2":
         raise ValueError("diversity needs similarities: use cosine or terms")
-    best = nearest(questions, rows, fetch_k, kind, config)
-    found = materialize_for_join(best, config.broadcast_rows)
+    own = F.col("limit") if "limit" in questions.columns else F.lit(None)
+    take = F.coalesce(own.cast("int"), F.lit(k))
+    fetched = questions.withColumn("limit", F.greatest(take, F.lit(fetch_k)))
+    best = nearest(fetched, rows, fetch_k, kind, config)
+    wanted = questions.select("query_id", take.alias("take"))
+    found = materialize_for_join(best.join(wanted, "query_id"), config.broadcast_rows)
     with_vectors = rows.select("row_id", *_vector_columns(kind)).join(found, "row_id")
     schema = T.StructType(
         [
@@ -281,5 +349,5 @@ def nearest_diverse(
         ]
     )
     return with_vectors.groupBy("query_id").applyInArrow(
-        lambda table: _greedy(table, k, weight, kind), schema
+        lambda table: _greedy(table, max(0, table["take"][0].as_py()), weight, kind), schema
     )

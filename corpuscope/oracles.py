@@ -383,7 +383,27 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM cosine
 WHERE CASE WHEN query_id % 2 = 0 THEN label = q_label
            ELSE label IN (q_label, (q_label + 1) % 10) OR label < 2 END
-QUALIFY rank <= least(5, 1 + query_id % 7)
+QUALIFY rank <= 1 + query_id % 7
+""",
+    "question_warnings": """
+SELECT vec_id AS query_id, 'invalid_filter' AS class,
+       CASE vec_id % 6 WHEN 1 THEN 'filter is not JSON' WHEN 2 THEN 'unknown comparison ''near'''
+                       WHEN 3 THEN 'cannot filter on ''owner'''
+                       ELSE 'value of ''label'' is not of type int' END AS message
+FROM embeddings WHERE vec_id % 6 BETWEEN 1 AND 4
+""",
+    "answer_all_questions": f"""
+WITH {_PAIRS},
+found AS (
+  SELECT query_id, row_id, label,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id) AS rank
+  FROM cosine WHERE query_id % 4 = 3 OR query_id % 4 = 0 AND label = q_label
+  QUALIFY rank <= 1 + query_id % 7)
+SELECT vec_id AS query_id, count(row_id) AS n_rows,
+       coalesce(string_agg('vector ' || row_id, chr(10) || chr(10) ORDER BY rank), '') AS context,
+       coalesce(array_to_string(list_sort(list_distinct(list('label ' || found.label)
+                FILTER (row_id IS NOT NULL))), ', '), '') AS sources
+FROM embeddings LEFT JOIN found ON query_id = vec_id GROUP BY vec_id
 """,
     "vector_mmr": f"""
 WITH {_MMR}

@@ -10,7 +10,7 @@ from corpuscope.functions.text import strip
 from corpuscope.model import FILTERABLE
 from corpuscope.operators import answers, terms
 from corpuscope.operators.filters import to_column
-from corpuscope.operators.nearest import nearest, nearest_diverse
+from corpuscope.operators.nearest import nearest, nearest_diverse, question_warnings
 from corpuscope.plans.index import Vectoriser
 from corpuscope.sources.collections import Collection
 
@@ -59,5 +59,15 @@ def retrieve(
 
 
 def ask(collection: Collection, questions: DataFrame, **options) -> DataFrame:
-    """``query_id, n_rows, context, sources`` of each answered question."""
-    return answers.assemble(retrieve(collection, questions, **options), collection.documents)
+    """``query_id, n_rows, context, sources`` of each question that is not blank.
+
+    Why a question got no rows because of its filter, ``question_warnings`` tells.
+    """
+    asked = questions.where(F.length(strip(F.col("question"))) > 0)
+    found = retrieve(collection, questions, **options)
+    return answers.assemble(found, collection.documents, questions=asked)
+
+
+def warnings(collection: Collection, questions: DataFrame) -> DataFrame:
+    """``query_id, class, message`` of questions whose filter cannot be used."""
+    return question_warnings(questions, collection.vectors)

@@ -31,6 +31,7 @@ from corpuscope.operators.nearest import (
     nearest_diverse,
     recall,
 )
+from corpuscope.operators.nearest import question_warnings as find_warnings
 from corpuscope.plans import corpora
 from corpuscope.plans.ask import question_vectors
 from corpuscope.plans.index import write_collection
@@ -271,10 +272,14 @@ def vector_topk_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for question sets too large to send to every task."""
-    config = EngineConfig(broadcast_bytes=0)
+    """The plan for question sets too large to send to every task: questions and rows of
+    one table, in several cuts of both."""
+    config = EngineConfig(broadcast_bytes=0, cell_bytes=128 << 10)
+    vectors = corpora.table(spark, sf_dir, "embeddings")
     return nearest(
-        _embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), EVAL_TOP_K, "cosine", config
+        vectors.withColumnRenamed("vec_id", "query_id"),
+        vectors.withColumnRenamed("vec_id", "row_id"),
+        EVAL_TOP_K, "cosine", config,
     )
 
 
@@ -295,6 +300,45 @@ def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(questions, _embeddings(spark, sf_dir), EVAL_TOP_K)
 
 
+def question_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters of all kinds, most of which cannot be used."""
+    key = F.col("query_id") % 6
+    spec = (
+        F.when(key == 0, F.lit('{"eq": ["label", 3]}'))
+        .when(key == 1, F.lit('{"eq": ["label"'))
+        .when(key == 2, F.lit('{"near": ["label", 1]}'))
+        .when(key == 3, F.lit('{"and": [{"lt": ["label", 3]}, {"eq": ["owner", 1]}]}'))
+        .when(key == 4, F.lit('{"in": ["label", [1, "x"]]}'))
+    )
+    questions = _embedded_questions(spark, sf_dir).withColumn("filter", spec)
+    return find_warnings(questions, _embeddings(spark, sf_dir))
+
+
+def answer_all_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer for each question, though some filters match nothing or are malformed."""
+    key = F.col("query_id") % 4
+    same = F.concat(F.lit('{"eq": ["label", '), F.col("label").cast("string"), F.lit("]}"))
+    spec = (
+        F.when(key == 0, same)
+        .when(key == 1, F.lit('{"eq": ["label", 99]}'))
+        .when(key == 2, F.lit('{"eq": "label"}'))
+    )
+    questions = _embedded_questions(spark, sf_dir).select(
+        "query_id", "embedding", spec.alias("filter"),
+        (1 + F.col("query_id") % 7).cast("int").alias("limit"),
+    )
+    rows = _embeddings(spark, sf_dir)
+    texts = rows.select(
+        "row_id",
+        F.concat(F.lit("label "), "label").alias("source"),
+        F.concat(F.lit("vector "), "row_id").alias("page_content"),
+    )
+    answered = answers.assemble(nearest(questions, rows, EVAL_TOP_K), texts, questions=questions)
+    return answered.select(
+        "query_id", "n_rows", "context", F.array_join("sources", ", ").alias("sources")
+    )
+
+
 def vector_mmr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_diverse(_embedded_questions(spark, sf_dir), _embeddings(spark, sf_dir), k=8)
 
@@ -395,6 +439,8 @@ QUERIES = {
         vector_topk_l2,
         vector_topk_cells,
         vector_topk_filtered,
+        question_warnings,
+        answer_all_questions,
         vector_mmr,
         vector_lsh_recall,
         retrieval_eval,
