@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -28,6 +29,12 @@ def features(text: str) -> Counter:
     return found
 
 
+def counted(text: str) -> tuple[Counter, int]:
+    """Features and number of words."""
+    counts = features(text)
+    return counts, sum(n for f, n in counts.items() if f[-1] != "-")
+
+
 def weight(n, total):
     """Of a feature that n of a text's words have."""
     return np.sqrt(np.minimum(n / np.maximum(total, 1), 0.05)) * np.log1p(n)
@@ -36,18 +43,17 @@ def weight(n, total):
 class Rows:
     """Sparse rows over a vocabulary."""
 
-    def __init__(self, counted: list[tuple[dict, int]], vocabulary: dict[str, int]):
+    def __init__(self, counted: Iterable[tuple[dict, int]], vocabulary: dict[str, int]):
         place, number, total = [], [], []
-        size = []
         for counts, words in counted:
-            known = [(vocabulary[f], n) for f, n in counts.items() if f in vocabulary]
-            size.append(len(known))
-            place += [p for p, _ in known]
-            number += [n for _, n in known]
-            total += [words] * len(known)
-        self.row = np.repeat(np.arange(len(size)), size)
-        self.place = np.array(place, dtype=np.int64)
-        self.value = weight(np.array(number, dtype=float), np.array(total, dtype=float))
+            known = [f for f in counts if f in vocabulary]
+            place.append(np.array([vocabulary[f] for f in known], dtype=np.int32))
+            number.append(np.array([counts[f] for f in known], dtype=np.int32))
+            total.append(words)
+        size = [len(p) for p in place]
+        self.row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.place = np.concatenate(place)
+        self.value = weight(np.concatenate(number), np.repeat(np.array(total), size))
         self.n = len(size)
 
     def scores(self, w: np.ndarray, bias: float) -> np.ndarray:
@@ -87,11 +93,12 @@ def fit(positive: Rows, unlabelled: Rows, n: int, prior: float, steps=300, rate=
 
 def train(positive: list[str], unlabelled: list[str], prior: float, least=4, most=50_000, **options):
     """({feature: weight}, bias), of features that at least ``least`` of the texts have."""
-    counted = [(c, sum(n for f, n in c.items() if f[-1] != "-")) for c in map(features, positive + unlabelled)]
-    seen = Counter(f for c, _ in counted for f in c)
+    # The counts of one text at a time are held, so they are made twice.
+    seen: Counter = Counter()
+    for text in positive + unlabelled:
+        seen.update(features(text).keys())
     chosen = sorted((f for f, k in seen.items() if k >= least), key=lambda f: (-seen[f], f))[:most]
     vocabulary = {f: k for k, f in enumerate(chosen)}
-    p = Rows(counted[: len(positive)], vocabulary)
-    u = Rows(counted[len(positive) :], vocabulary)
+    p, u = (Rows(map(counted, texts), vocabulary) for texts in (positive, unlabelled))
     w, bias = fit(p, u, len(chosen), prior, **options)
     return dict(zip(chosen, w)), bias

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from corpuscope.llm import classifier
 from corpuscope.llm.common import NULL_ID, id_back, id_key, texts
 
-MEMBERS = 4
+MEMBERS = 8
 POSITIVE = 4_000
 UNLABELLED = 12_000
-KNOWN = 300_000
+KNOWN = 200_000
 HELD_OUT = 2
 THRESHOLD = 0.3
 
