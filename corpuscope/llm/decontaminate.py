@@ -4,8 +4,8 @@ The benchmark is read in blocks of ITEMS items or TERMS different words, each a
 query set that meets all documents. For a block:
 
 1. Passages of PASSAGE words of all documents are counted: in how many each word of the
-   block occurs. Words in over COMMON of the passages are left out, the others weigh
-   tf x idf.
+   block occurs. Words in over COMMON of the passages are left out, unless they are among
+   the RAREST of an item; the others weigh tf x idf.
 2. Distributed randomised SVD of these passages, the block's own among them: every task
    projects its passages on a random basis and back, ``A' (A R)``, and gives the rows of
    the words it has met; their sum (words x RANK, bounded by the block) gives the leading
@@ -26,8 +26,8 @@ from __future__ import annotations
 
 import bisect
 import math
-import re
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,41 +40,35 @@ ITEMS = 256
 TERMS = 8_192
 RANK = 272
 PASSAGE = 32
-COMMON = 0.05
+COMMON = 0.002
+#: Words of an item that are kept whatever their share, its rarest.
+RAREST = 8
 COSINE = 0.45
 LCS = 0.8
 LOOSE = 0.6
 ANSWER = 0.25
 #: Distinct words of an item a window must have to be compared at all.
 SHARED = 2
-KNOWN = 300_000
-EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+MARKS = ".,;:!?()[]{}\"|"
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in (EDGE.sub("", t) for t in text.lower().split()) if w]
+    """Lower-case words; the marks in MARKS part them like white space."""
+    text = text.lower()
+    for mark in MARKS:
+        text = text.replace(mark, " ")
+    return text.split()
 
 
 class Reader:
     """Numbers of a block's words in a text: one per word, -1 for other words."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary = vocabulary
-        self.known: dict[str, int] = {}
+        self.number = vocabulary.get
 
     def __call__(self, text: str) -> np.ndarray:
-        tokens = text.lower().split()
-        known = self.known
-        new = set(tokens).difference(known)
-        if new:
-            if len(known) > KNOWN:
-                known.clear()
-                new = set(tokens)
-            for t in new:
-                word = EDGE.sub("", t)
-                known[t] = self.vocabulary.get(word, -1) if word else -2
-        found = np.fromiter(map(known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        return found[found > -2]
+        words = words_of(text)
+        return np.fromiter(map(self.number, words, repeat(-1)), dtype=np.int32, count=len(words))
 
 
 def length_class(n: int) -> int:
@@ -95,7 +89,11 @@ class Block:
 
     def weigh(self, passages: int, containing: np.ndarray) -> None:
         share = containing / max(1, passages)
-        self.idf = np.where(share <= COMMON, np.log((1 + passages) / (1 + containing)) + 1, 0.0)
+        kept = share <= COMMON
+        for numbers in self.numbers:
+            own = np.unique(numbers)
+            kept[own[np.argsort(share[own], kind="stable")[:RAREST]]] = True
+        self.idf = np.where(kept, np.log((1 + passages) / (1 + containing)) + 1, 0.0)
         self.basis = np.random.default_rng(5).standard_normal((len(self.vocabulary), RANK))
 
     def span(self, summed: np.ndarray) -> None:
@@ -149,7 +147,7 @@ def count(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]
                 at = np.flatnonzero(numbers >= 0)
                 total += -(-len(numbers) // PASSAGE)
                 pairs = np.unique((at // PASSAGE) * len(vocabulary) + numbers[at])
-                found += np.bincount(pairs % len(vocabulary), minlength=len(vocabulary))
+                np.add.at(found, pairs % len(vocabulary), 1)
         met = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.r_[-1, met]), pa.array(np.r_[total, found[met]])], names=["term", "n"]
