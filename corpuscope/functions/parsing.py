@@ -40,18 +40,22 @@ def option(mapping: Mapping, key: str) -> dict:
     return {"present": present, "value": text_of(mapping[key]) if present else None}
 
 
-def with_parsed(files: DataFrame, parsers: Mapping[str, Parser]) -> DataFrame:
+def with_parsed(
+    files: DataFrame, parsers: Mapping[str, Parser], keep: tuple[str, ...] | None = None
+) -> DataFrame:
     """Add a struct column ``parsed`` with one field per key of ``parsers``.
 
     ``files`` has ``path, ext, content``; only the field whose key equals the
-    row's ``ext`` is filled. One pass over the files, whatever their kind.
+    row's ``ext`` is filled. One pass over the files, whatever their kind. Of the other
+    columns those in ``keep`` come back, all by default.
     """
     keys = list(parsers)
     names = [f"p{i}" for i in range(len(keys))]
     types = [to_arrow_type(parsers[k].schema) for k in keys]
     functions = [parsers[k].parse for k in keys]
     struct = T.StructType([T.StructField(n, parsers[k].schema) for n, k in zip(names, keys)])
-    schema = T.StructType(files.schema.fields + [T.StructField("parsed", struct)])
+    kept = list(files.columns if keep is None else keep)
+    schema = T.StructType([files.schema[n] for n in kept] + [T.StructField("parsed", struct)])
 
     def run(batches):
         for batch in batches:
@@ -66,7 +70,7 @@ def with_parsed(files: DataFrame, parsers: Mapping[str, Parser]) -> DataFrame:
                 columns.append(pa.array(values, type=arrow_type))
             parsed = pa.StructArray.from_arrays(columns, names=names)
             yield pa.RecordBatch.from_arrays(
-                list(batch.columns) + [parsed], names=batch.schema.names + ["parsed"]
+                [batch.column(n) for n in kept] + [parsed], names=kept + ["parsed"]
             )
 
     return files.mapInArrow(run, schema)

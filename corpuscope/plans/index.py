@@ -6,6 +6,8 @@ one step and never a second parse of the repository.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,14 @@ from corpuscope.config import EngineConfig
 from corpuscope.model import DOCUMENT_SCHEMA, WARNING_KIND
 from corpuscope.operators import terms
 from corpuscope.plans.ingest import ingest_repository
-from corpuscope.sources.collections import Collection, collection_path, open_collection, read_part
+from corpuscope.sources.collections import (
+    CURRENT,
+    CURRENT_SCHEMA,
+    Collection,
+    collection_path,
+    open_collection,
+    read_part,
+)
 
 # A function that adds an ``embedding array<float>`` column from ``page_content``.
 Vectoriser = Callable[[DataFrame], DataFrame]
@@ -31,33 +40,43 @@ def write_collection(
 ) -> bool:
     """Store ingested rows as ``config.collection``; False if there are no documents.
 
-    Documents and warnings come from the same pass over the files.
+    Documents and warnings come from the same pass over the files. The new version is
+    used once all of it is written. Without documents the collection stays as it is, and
+    the warnings are kept beside it (``latest_warnings``).
     """
     spark = rows.sparkSession
     name = config.collection
     is_warning = F.col("kind") == WARNING_KIND
-    if rows.where(~is_warning).isEmpty():
-        return False
+    version = uuid.uuid4().hex
 
     def write(df: DataFrame, table: str, *partitions: str) -> DataFrame:
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*partitions).parquet(collection_path(root, table, name))
-        return read_part(spark, root, table, name)
+        df.write.partitionBy(*partitions).parquet(collection_path(root, table, name, version))
+        return read_part(spark, root, table, name, version)
 
     record = F.when(is_warning, "warning").otherwise("document")
-    stored = write(rows.withColumn("record", record), "documents", "record")
+    # An empty repository leaves no partition to read a schema from.
+    rows.withColumn("record", record).write.partitionBy("record").parquet(
+        collection_path(root, "documents", name, version)
+    )
+    schema = rows.withColumn("record", record).schema
+    stored = spark.read.schema(schema).parquet(collection_path(root, "documents", name, version))
     documents = stored.where(F.col("record") == "document")
+    n_docs = documents.count()
+    if not n_docs:
+        stored.drop("record").write.mode("append").parquet(collection_path(root, "rejected", name))
+        return False
 
     frequencies = write(terms.frequencies(documents), "vocabulary")
-    vocabulary = terms.vocabulary_of(frequencies, documents.count())
-    size = [(vocabulary.n_docs, vocabulary.n_terms, vocabulary.n_pairs)]
-    write(spark.createDataFrame(size, "n_docs long, n_terms long, n_pairs long"), "sizes")
+    vocabulary = terms.vocabulary_of(frequencies, n_docs)
 
     kept = [f for f in METADATA if f != "row_id"]
     if vectoriser is not None:
         documents = vectoriser(documents)
         kept.append("embedding")
     write(terms.vectors(documents, vocabulary, config=config, keep=tuple(kept)), "vectors")
+    now = (time.time_ns(), version, vocabulary.n_docs, vocabulary.n_terms, vocabulary.n_pairs)
+    pointer = spark.createDataFrame([now], CURRENT_SCHEMA).coalesce(1)
+    pointer.write.mode("append").parquet(collection_path(root, CURRENT, name))
     return True
 
 

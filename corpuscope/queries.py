@@ -79,7 +79,7 @@ def dag_summary_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dag_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = with_extension(corpora.workflow_files(spark, sf_dir), (".yaml",))
-    parsed = with_parsed(files, {".yaml": workflows.PARSER})
+    parsed = with_parsed(files, {".yaml": workflows.PARSER}, keep=("path",))
     return workflows.edge_rows(parsed, F.col("parsed.p0"))
 
 

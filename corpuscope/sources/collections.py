@@ -1,7 +1,8 @@
 """Named collections under one folder: documents, vocabulary, vectors.
 
-Layout: ``{root}/{table}/collection={name}/…`` in Parquet. A collection is
-overwritten as a whole; the others stay untouched.
+Layout: ``{root}/{table}/collection={name}/version={v}/…`` in Parquet. Each indexing
+writes a version of its own; the last step adds one small row to ``current``, so readers
+see the old collection or the new one, whole, and a failure leaves the old one.
 """
 
 from __future__ import annotations
@@ -16,15 +17,22 @@ from pyspark.sql import functions as F
 from corpuscope.operators.terms import Vocabulary
 
 
-def collection_path(root: str, table: str, collection: str) -> str:
+CURRENT = "current"
+CURRENT_SCHEMA = "at long, version string, n_docs long, n_terms long, n_pairs long"
+
+
+def collection_path(root: str, table: str, collection: str, version: str | None = None) -> str:
     if not re.fullmatch(r"[A-Za-z0-9._-]+", collection):
         raise ValueError(f"not a collection name: {collection!r}")
-    return f"{root.rstrip('/')}/{table}/collection={collection}"
+    path = f"{root.rstrip('/')}/{table}/collection={collection}"
+    return path if version is None else f"{path}/version={version}"
 
 
-def read_part(spark: SparkSession, root: str, table: str, collection: str) -> DataFrame:
+def read_part(
+    spark: SparkSession, root: str, table: str, collection: str, version: str | None = None
+) -> DataFrame:
     try:
-        return spark.read.parquet(collection_path(root, table, collection))
+        return spark.read.parquet(collection_path(root, table, collection, version))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(
@@ -44,21 +52,30 @@ class Collection:
 
 def open_collection(spark: SparkSession, root: str, collection: str) -> Collection:
     """The stored collection; ``FileNotFoundError`` if it was never indexed."""
-    rows = read_part(spark, root, "documents", collection).withColumn(
-        "collection", F.lit(collection)
-    )
-    size = read_part(spark, root, "sizes", collection).first()
-    vocabulary = Vocabulary(
-        read_part(spark, root, "vocabulary", collection), size.n_docs, size.n_terms, size.n_pairs
-    )
+    now = read_part(spark, root, CURRENT, collection).orderBy(F.desc("at"), "version").first()
+
+    def part(table: str) -> DataFrame:
+        return read_part(spark, root, table, collection, now.version)
+
+    rows = part("documents").withColumn("collection", F.lit(collection))
+    vocabulary = Vocabulary(part("vocabulary"), now.n_docs, now.n_terms, now.n_pairs)
     return Collection(
         collection,
         rows.where(F.col("record") == "document").drop("record"),
-        rows.where(F.col("record") == "warning").select(
-            F.col("source").alias("path"),
-            F.col("content_type").alias("class"),
-            F.col("page_content").alias("message"),
-        ),
-        read_part(spark, root, "vectors", collection).withColumn("collection", F.lit(collection)),
+        warning_rows(rows.where(F.col("record") == "warning")),
+        part("vectors").withColumn("collection", F.lit(collection)),
         vocabulary,
     )
+
+
+def warning_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("source").alias("path"),
+        F.col("content_type").alias("class"),
+        F.col("page_content").alias("message"),
+    )
+
+
+def latest_warnings(spark: SparkSession, root: str, collection: str) -> DataFrame:
+    """Warnings of indexing runs that found no document and so left the collection alone."""
+    return warning_rows(read_part(spark, root, "rejected", collection))

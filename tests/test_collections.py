@@ -10,7 +10,7 @@ from corpuscope.operators.filters import to_json
 from corpuscope.plans.ask import ask, retrieve
 from corpuscope.plans.index import index_repository, write_collection
 from corpuscope.plans.ingest import ingest
-from corpuscope.sources.collections import open_collection
+from corpuscope.sources.collections import latest_warnings, open_collection
 from corpuscope.sources.golden import read_golden
 
 
@@ -28,16 +28,16 @@ def repository(tmp_path_factory):
     (root / "dags").mkdir()
     for name, owner, day in (("sales", "ana", 1), ("stock", "bob", 2), ("score", "ana", 1)):
         (root / "dags" / f"{name}.yaml").write_text(dag(name, owner, f"0 5 * * {day}"))
-    (root / "broken.yaml").write_text("a: b: c")
+    (root / "broken.yaml").write_text("depth: [1, 2")
     (root / "dim.json").write_text(
         json.dumps(
             {
-                "schema": "produto", "table": "dim_produto", "table_description": "Todos os atributos",
-                "column_types": {"id": {"description": "Identificação"}},
+                "schema": "harbour", "table": "berths", "table_description": "Berths and piers",
+                "column_types": {"id": {"description": "Berth number"}},
             }
         )
     )
-    (root / "q.sql").write_text("select * from produto.dim_produto")
+    (root / "q.sql").write_text("select * from harbour.berths")
     (root / "u.py").write_text('def util():\n    """Cleans phone numbers."""\n')
     (root / "n.md").write_text("Notes about phone numbers")
     return str(root)
@@ -59,7 +59,7 @@ def test_index_and_ask(spark, collection, repository):
         spark,
         ("owner", "Who is the owner of the DAG 'sales'?", to_json({"eq": ["dag_id", "sales"]}), 1),
         ("purpose", "What is the purpose of the util function?", None, None),
-        ("reads", "Which SQL scripts read from the table produto.dim_produto?", None, 1),
+        ("reads", "Which SQL scripts read from the table harbour.berths?", None, 1),
         ("blank", " \n", None, None),
     )
     answers = {r.query_id: r for r in ask(collection, asked, k=3).collect()}
@@ -82,7 +82,7 @@ def test_filter_for_all_questions(spark, collection):
 
 
 def test_diverse_retrieval_finds_the_table(spark, collection):
-    asked = questions(spark, ("t", "describes the table 'dim_produto'", None, None))
+    asked = questions(spark, ("t", "describes the table 'berths'", None, None))
     found = retrieve(collection, asked, k=8, diverse=True).join(collection.documents, "row_id")
     assert "table" in {r.kind for r in found.collect()}
 
@@ -114,6 +114,9 @@ def test_collections_are_separate_and_overwritten(spark, tmp_path):
     texts = lambda n: [r.page_content for r in open_collection(spark, root, n).documents.collect()]
     assert texts("default") == ["four"] and texts("other") == ["three"]
     assert not write_collection(rows("five").where("false"), root, other)
+    broken = ingest(spark.createDataFrame([("/b.json", "{")], "path string, content string"))
+    assert not write_collection(broken.where("kind = 'warning'"), root, other)
+    assert [r.path for r in latest_warnings(spark, root, "other").collect()] == ["/b.json"]
     assert texts("other") == ["three"]
     with pytest.raises(FileNotFoundError):
         open_collection(spark, root, "absent")
@@ -126,12 +129,12 @@ def test_empty_repository(spark, tmp_path):
 
 
 def test_golden_questions(spark, tmp_path):
-    """Two rows, three questions: every expected row is found, and first."""
+    """Each of three questions has its expected row first among four."""
     path = str(tmp_path / "golden.json")
     items = [
-        ("Which script does the classify_seller task run?", "seller_score:classify_seller"),
-        ("What is the schedule for the seller score DAG?", "seller_score:__DAG_SUMMARY__"),
-        ("Who owns the dag 'seller_score'?", "seller_score:__DAG_SUMMARY__"),
+        ("Where are tide gauges calibrated?", "tides:calibrate"),
+        ("Who publishes the mooring fees?", "fees:publish"),
+        ("Which job archives pilot logbooks at midnight?", "pilots:archive"),
     ]
     with open(path, "w") as f:
         json.dump(
@@ -140,8 +143,10 @@ def test_golden_questions(spark, tmp_path):
     golden = read_golden(spark, path)
     assert golden.count() == 3
     docs = [
-        ("1", "seller_score:classify_seller", "The task classify_seller runs src/classify.py"),
-        ("2", "seller_score:__DAG_SUMMARY__", "The DAG seller_score runs on schedule 0 3 * * *"),
+        ("1", "tides:calibrate", "Tide gauges are calibrated at the north pier"),
+        ("2", "fees:publish", "Mooring fees are published by the harbour office"),
+        ("3", "pilots:archive", "Pilot logbooks go to the archive at midnight"),
+        ("4", "lamps:replace", "Lamps of the beacon are replaced in spring"),
     ]
     rows = ingest(spark.createDataFrame([], "path string, content string"))
     data = spark.createDataFrame(docs, "row_id string, doc_id string, page_content string")

@@ -7,19 +7,19 @@ from corpuscope.operators import dictionary
 from corpuscope.plans.ingest import with_extension
 
 COLUMNS = {
-    "zeta_id": {
-        "column_type": "int", "max_length": "None", "description": "Identificação.",
+    "zone_id": {
+        "column_type": "int", "max_length": "None", "description": "Berth number.",
         "pii_confidentiality_impact_level": None,
     },
     "alpha": {
-        "column_type": "string", "max_length": "200", "description": "Nome.",
-        "pii_confidentiality_impact_level": "high_sensibility",
+        "column_type": "string", "max_length": "64", "description": "Name of the pier.",
+        "pii_confidentiality_impact_level": "restricted",
     },
     "missing": {},
     "null": {"description": None},
 }
 TABLE = {
-    "schema": "produto", "table": "dim", "table_description": "Todos os atributos.",
+    "schema": "harbour", "table": "dim", "table_description": "Berths and piers.",
     "source": ["lake.a", "lake.b"], "column_types": COLUMNS, "table_id": ["id", "id2"],
 }
 
@@ -31,15 +31,15 @@ def test_table_and_columns_in_file_order(ingest_texts):
     assert [d.kind for d in docs] == ["raw", "table"] + ["column"] * 4
     assert docs[0].page_content == text and docs[0].doc_id is None
     assert docs[1].page_content == (
-        "This document describes the table 'dim' in the schema 'produto'. "
-        "Description: Todos os atributos."
+        "This document describes the table 'dim' in the schema 'harbour'. "
+        "Description: Berths and piers."
     )
     assert [d.column for d in docs[2:]] == list(COLUMNS)
     assert [d.page_content.rsplit(": ", 1)[1] for d in docs[2:]] == [
-        "Identificação.", "Nome.", "N/A", "None",
+        "Berth number.", "Name of the pier.", "N/A", "None",
     ]
-    assert docs[2].page_content.startswith("In table 'dim', column 'zeta_id' has the description: ")
-    assert (docs[2].schema, docs[2].table) == ("produto", "dim")
+    assert docs[2].page_content.startswith("In table 'dim', column 'zone_id' has the description: ")
+    assert (docs[2].schema, docs[2].table) == ("harbour", "dim")
 
 
 def test_not_a_dictionary(ingest_texts):
@@ -81,13 +81,13 @@ def test_rich_texts(spark):
     docs = parsed.select(
         F.explode(dictionary.derived_documents(F.col("parsed.p0"), rich=True)).alias("d")
     ).select("d.*").collect()
-    assert docs[0].table == "produto.dim"
+    assert docs[0].table == "harbour.dim"
     for part in (
-        "describes the table 'produto.dim'", "Description: Todos os atributos.",
+        "describes the table 'harbour.dim'", "Description: Berths and piers.",
         "primary key(s) are: id, id2", "sourced from the following locations: lake.a, lake.b",
     ):
         assert part in docs[0].page_content
-    assert "In table 'produto.dim', the column 'zeta_id'" in docs[1].page_content
+    assert "In table 'harbour.dim', the column 'zone_id'" in docs[1].page_content
     assert "type 'int'" in docs[1].page_content and "PII" not in docs[1].page_content
-    assert "max length of '200'" in docs[2].page_content
-    assert "impact level of 'high_sensibility'" in docs[2].page_content
+    assert "max length of '64'" in docs[2].page_content
+    assert "impact level of 'restricted'" in docs[2].page_content

@@ -86,3 +86,16 @@ def test_summary(ingest_texts, text, listing):
         text, f"This SQL script reads from the following tables: {listing}.",
     ]
     assert docs[1].content_type == "sql_summary"
+
+
+@pytest.mark.parametrize("script", ["", " -- only a note", "hello world", "select from from", "select a from", "select 1 from where x"])
+def test_scripts_that_are_no_statements_have_their_text_only(ingest_texts, script):
+    docs, _ = ingest_texts({"/s.sql": script})
+    assert [d.kind for d in docs] == ["raw"]
+
+
+@pytest.mark.parametrize("script", ["select 1", "with a as (select 1) select * from a", "(select x from t)",
+                                    "select * from values (1) v", "select extract(year from d) from t"])
+def test_statements_have_a_summary(ingest_texts, script):
+    docs, _ = ingest_texts({"/s.sql": script})
+    assert [d.kind for d in docs] == ["raw", "sql_summary"]

@@ -13,6 +13,7 @@ from corpuscope.operators.nearest import (
     nearest,
     nearest_approximate,
     nearest_diverse,
+    question_warnings,
     recall,
 )
 
@@ -251,3 +252,59 @@ def test_quality_measures(spark):
 
 def test_text_that_arrow_cannot_carry():
     assert text_of("a\ud800b") == "a?b" and text_of(None) is None and text_of(True) == "True"
+
+
+def test_limit_above_k_is_honoured(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)], "row_id long, embedding array<double>")
+    asked = spark.createDataFrame(
+        [(1, [1.0, 0.0], 10), (2, [0.0, 1.0], None), (3, [1.0, 1.0], 0)],
+        "query_id long, embedding array<double>, limit int",
+    )
+    for config in (EngineConfig(), EngineConfig(broadcast_bytes=0, cell_bytes=200)):
+        got = nearest(asked, rows, 4, "l2", config).groupBy("query_id").count().collect()
+        assert {r.query_id: r["count"] for r in got} == {1: 10, 2: 4}
+    picked = nearest_diverse(asked, rows, 4, "cosine").groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in picked} == {1: 10, 2: 4}
+
+
+def test_questions_made_from_the_rows(spark):
+    both = spark.createDataFrame(
+        [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "row_id long, embedding array<double>"
+    )
+    asked = both.withColumnRenamed("row_id", "query_id")
+    want = sorted(map(tuple, nearest(asked, both, 3).collect()))
+    cells = nearest(asked, both, 3, "cosine", EngineConfig(broadcast_bytes=0, cell_bytes=400))
+    assert sorted(map(tuple, cells.collect())) == want
+    assert "NestedLoop" not in cells._jdf.queryExecution().toString()
+    assert nearest_approximate(asked, both, 3).where("query_id = row_id").count() > 0
+
+
+def test_distances_of_long_vectors_and_vectors_of_other_lengths(spark):
+    rows = spark.createDataFrame(
+        [(1, [1e4, 2e4, 3e4]), (2, [1e4, 2e4, 3e4 + 1e-3]), (3, [1.0, 2.0]), (4, None)],
+        "row_id long, embedding array<double>",
+    )
+    asked = rows.where("row_id = 1").withColumnRenamed("row_id", "query_id")
+    got = {r.row_id: r.score for r in nearest(asked, rows, 5, "l2").collect()}
+    assert got == {1: 0.0, 2: -0.001}
+
+
+def test_bad_filters_do_not_touch_other_questions(spark):
+    rows = spark.createDataFrame([(i, [1.0, float(i)], "ab"[i % 2]) for i in range(6)],
+                                 "row_id long, embedding array<double>, owner string")
+    specs = [None, '{"eq": ["owner", "a"]}', "{", '{"eq": ["nobody", 1]}', '{"lt": ["owner", 3]}', '{"and": []}', "[1]"]
+    asked = spark.createDataFrame([(k, [0.0, 1.0], s) for k, s in enumerate(specs)],
+                                  "query_id long, embedding array<double>, filter string")
+    got = {r.query_id: r["count"] for r in nearest(asked, rows, 9).groupBy("query_id").count().collect()}
+    assert got == {0: 6, 1: 3}
+    assert sorted(r.query_id for r in question_warnings(asked, rows).collect()) == [2, 3, 4, 5, 6]
+
+
+@pytest.mark.parametrize("splits", [4, 64])
+def test_candidates_do_not_grow_with_the_splits(spark, splits):
+    from corpuscope.operators import nearest as module
+
+    rows = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(640)], "row_id long, embedding array<double>")
+    asked = module._question_columns(rows.limit(5).withColumnRenamed("row_id", "query_id"), rows, "cosine")
+    found = module._against_broadcast(asked, rows.repartition(splits), 3, "cosine", EngineConfig(tasks_per_core=1))
+    assert found.count() <= 4 * 5 * 3

@@ -1,24 +1,18 @@
-VALID = """
-shared: &libs
-  - one
+FORKED = """
 dag:
-  dag_id: "sales_dag"
-  schedule_interval: "0 5 * * 1"
-  description: "Loads sales."
-  default_args:
-    owner: "ana@example.com"
+  dag_id: tide_tables
+  schedule_interval: "30 2 * * *"
+  description: "Tides per harbour"
+  default_args: {owner: "mara"}
 tasks:
-  start:
-    operator: "dummy"
-  load:
-    operator: "ecs"
-    file: "src/load.py"
-    libraries: *libs
-  report:
-    operator: "databricks"
-    file: "src/report.py"
+  gauges: {operator: sensor, file: jobs/gauges.py}
+  north: {operator: batch, file: jobs/north.py}
+  south: {operator: batch}
+  publish: {operator: upload, file: jobs/publish.py}
 execution:
-  - "start >> load >> report"
+  - "gauges >> north >> publish"
+  - "gauges >> south >> publish"
+  - "gauges >> north"
 """
 
 
@@ -26,32 +20,35 @@ def tasks(docs):
     return {d.task_name: d for d in docs if d.kind == "dag_task"}
 
 
-def test_valid_file(ingest_texts):
-    docs, warnings = ingest_texts({"/r/a.yaml": VALID})
-    assert [d.kind for d in docs] == ["raw", "dag_summary", "dag_task", "dag_task", "dag_task"]
-    assert [d.ordinal for d in docs] == [0, 1, 2, 3, 4]
-    assert not warnings
-    raw, summary, start, load, report = docs
-    assert raw.page_content == VALID and raw.doc_id == "raw:/r/a.yaml"
-    assert summary.page_content == (
-        "This document describes the DAG configuration with ID 'sales_dag'. "
-        "The owner is 'ana@example.com', it runs on schedule: '0 5 * * 1', "
-        "and its description is: 'Loads sales.'."
+def test_fork_and_join(ingest_texts):
+    docs, warnings = ingest_texts({"/w/tides.yaml": FORKED})
+    assert [d.kind for d in docs] == ["raw", "dag_summary"] + ["dag_task"] * 4
+    assert [d.ordinal for d in docs] == list(range(6)) and not warnings
+    assert docs[0].page_content == FORKED and docs[0].doc_id == "raw:/w/tides.yaml"
+    assert docs[1].doc_id == "tide_tables:__DAG_SUMMARY__"
+    assert docs[1].page_content == (
+        "This document describes the DAG configuration with ID 'tide_tables'. "
+        "The owner is 'mara', it runs on schedule: '30 2 * * *', "
+        "and its description is: 'Tides per harbour'."
     )
-    assert summary.doc_id == "sales_dag:__DAG_SUMMARY__"
-    assert start.page_content == (
-        "The DAG 'sales_dag' contains a task named 'start'. This task uses the 'dummy' operator "
-        "and runs the script 'not specified'. It runs before the following task(s): load."
-    )
-    assert load.page_content == (
-        "The DAG 'sales_dag' contains a task named 'load'. This task uses the 'ecs' operator and "
-        "runs the script 'src/load.py'. It runs after the following task(s): start. "
-        "It runs before the following task(s): report."
-    )
-    assert report.page_content.endswith("It runs after the following task(s): load.")
-    assert (load.dag_id, load.owner, load.operator) == ("sales_dag", "ana@example.com", "ecs")
-    assert (load.schedule, load.script_file) == ("0 5 * * 1", "src/load.py")
-    assert len({d.row_id for d in docs}) == 5
+    found = tasks(docs)
+    assert "script 'jobs/gauges.py'" in found["gauges"].page_content
+    assert "after" not in found["gauges"].page_content
+    assert "script 'not specified'" in found["south"].page_content
+    # Neighbours stand in the order of the flows; an edge that is written twice counts twice.
+    ends = {
+        "gauges": "It runs before the following task(s): north, south, north.",
+        "north": "It runs after the following task(s): gauges, gauges. "
+        "It runs before the following task(s): publish.",
+        "south": "It runs after the following task(s): gauges. "
+        "It runs before the following task(s): publish.",
+        "publish": "It runs after the following task(s): north, south.",
+    }
+    assert all(found[t].page_content.endswith(f"'. {end}") for t, end in ends.items())
+    north = found["north"]
+    assert (north.dag_id, north.owner, north.operator) == ("tide_tables", "mara", "batch")
+    assert (north.schedule, north.script_file) == ("30 2 * * *", "jobs/north.py")
+    assert len({d.row_id for d in docs}) == 6
 
 
 def test_no_dag_empty_and_invalid(ingest_texts):
