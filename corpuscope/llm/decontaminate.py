@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import id_back, texts
+from corpuscope.llm.common import id_back, slices, texts
 
 ITEMS = 256
 TERMS = 8_192
@@ -177,7 +177,7 @@ def project(docs: DataFrame, block: Block) -> np.ndarray:
         vocabulary, idf, basis = shared.value
         read, sums = Reader(vocabulary), np.zeros(basis.shape)
         met = np.zeros(len(vocabulary), dtype=bool)
-        weighted = idf[:, None] * basis
+        weighted = (idf[:, None] * basis).astype(np.float32)
         for batch in batches:
             held, passage, first = [], [], 0
             for text in batch.column(1):
@@ -239,64 +239,97 @@ def common_subsequence(a: list, b: list) -> int:
 
 
 class Finder:
-    """Leaks of a block's items in one text after the other."""
+    """Leaks of a block's items in texts, many texts at a time."""
 
     def __init__(self, block: Block):
         self.block, self.read = block, Reader(block.vocabulary)
+        self.widest = max(block.classes, default=8)
+        self.distinct = [set(words) for _, words in block.items]
 
-    def candidates(self, numbers: np.ndarray):
-        """(item, start, width, cosine), the best window first."""
+    def candidates(self, numbers: list[np.ndarray]):
+        """(text, item, start, width, cosine) of windows that are close to an item."""
         block = self.block
-        at = np.flatnonzero(numbers >= 0)
-        at = at[block.idf[numbers[at]] > 0]
+        # Texts lie on one line, so far apart that no window meets two of them.
+        room = [-(-len(n) // self.widest) * self.widest + 2 * self.widest for n in numbers]
+        base = np.cumsum([self.widest, *room])[:-1]
+        term = np.concatenate(numbers)
+        place = np.arange(len(term)) + np.repeat(
+            base - np.cumsum([0, *map(len, numbers)])[:-1], [len(n) for n in numbers]
+        )
+        keep = term >= 0
+        term, place = term[keep], place[keep]
+        keep = block.idf[term] > 0
+        term, place = term[keep], place[keep]
+        found = []
         for width, (members, unit) in block.classes.items():
             step = width // 2
-            window = np.r_[at // step, at // step - 1]
-            term = np.r_[numbers[at], numbers[at]]
-            order = np.argsort(window, kind="stable")
-            window, term = window[order], term[order]
-            starts = np.flatnonzero(np.r_[True, np.diff(window) != 0]) if len(window) else []
-            if not len(starts):
+            half = place // step
+            cut = np.flatnonzero(np.r_[True, np.diff(half) != 0]) if len(half) else []
+            if not len(cut):
                 continue
-            size = np.diff(np.r_[starts, len(window)])
-            keep = size >= SHARED
-            inside = np.repeat(keep, size)
-            window, term, size = window[starts][keep], term[inside], size[keep]
-            found = []
-            ends = np.cumsum(size)
-            a = 0
-            while a < len(size):
-                # So many windows at once that their vectors take a few megabytes.
-                base = ends[a] - size[a]
-                b = max(a + 1, int(np.searchsorted(ends, base + 8192, side="right")))
-                rows = block.latent[term[base : ends[b - 1]]]
-                rows = np.add.reduceat(rows, ends[a:b] - size[a:b] - base, axis=0)
-                norm = np.linalg.norm(rows, axis=1)
-                cosine = (rows @ unit.T) / np.where(norm > 0, norm, 1)[:, None]
+            size = np.diff(np.r_[cut, len(half)])
+            half = half[cut]
+            # Halves of windows with too few words are not needed.
+            follows = np.r_[np.diff(half) == 1, False]
+            enough = size + np.where(follows, np.r_[size[1:], 0], 0) >= SHARED
+            needed = enough | np.r_[False, (enough & follows)[:-1]]
+            own = term[np.repeat(needed, size)]
+            half, size = half[needed], size[needed]
+            cut = np.cumsum(size) - size
+            for a, b in slices(size.tolist(), 16_384):
+                # Sums of half windows, and of each with the half behind it, be it the first
+                # of the next slice.
+                e = min(b + 1, len(size))
+                rows = block.latent[own[cut[a] : cut[e - 1] + size[e - 1]]]
+                rows = np.add.reduceat(rows, cut[a:e] - cut[a], axis=0)
+                first, count, at = rows[: b - a].copy(), size[a:b].copy(), half[a:b]
+                joined = np.flatnonzero(np.diff(half[a:e]) == 1)
+                first[joined] += rows[joined + 1]
+                count[joined] += size[a:e][joined + 1]
+                full = np.flatnonzero(count >= SHARED)
+                norm = np.linalg.norm(first[full], axis=1)
+                cosine = (first[full] @ unit.T) / np.where(norm > 0, norm, 1)[:, None]
                 for w, k in zip(*np.nonzero(cosine >= COSINE)):
-                    found.append((float(cosine[w, k]), int(members[k]), int(window[a + w]) * step))
-                a = b
-            for cosine, item, start in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
-                yield item, start, width, cosine
-
-    def __call__(self, text: str):
-        """(item id, start, cosine, lcs, answer) of each leak, by the item's best window."""
-        numbers = self.read(text)
-        words, done = None, set()
-        for item, start, width, cosine in self.candidates(numbers):
-            if item in done:
-                continue
-            words = words_of(text) if words is None else words
-            own = self.block.items[item][1]
-            part = words[max(0, start - width // 2) : start + width + width // 2]
-            shared = common_subsequence(own, part) / len(own)
-            if shared < LOOSE:
-                continue
-            tail = own[-max(1, math.ceil(len(own) * ANSWER)) :]
-            answer = common_subsequence(tail, part) / len(tail)
-            if shared >= LCS or answer >= LCS:
-                done.add(item)
-                yield self.block.items[item][0], max(0, start), cosine, shared, answer
+                    found.append((float(cosine[w, k]), int(members[k]), int(at[full[w]]) * step, width))
+        found.sort(key=lambda f: (-f[0], f[1], f[2]))
+        for cosine, item, start, width in found:
+            text = int(np.searchsorted(base, start + width - 1, side="right")) - 1
+            yield text, item, start - int(base[text]), width, cosine
+
+    def __call__(self, texts: list[str]) -> list[list[tuple]]:
+        """Per text: (item id, start, cosine, lcs, answer), by an item's best window."""
+        out: list[list[tuple]] = [[] for _ in texts]
+        sizes = list(map(len, texts))
+        for a, b in slices(sizes, 1 << 20):
+            numbers = [self.read(t) for t in texts[a:b]]
+            words: dict[int, list[str]] = {}
+            done = set()
+            for k, item, start, width, cosine in self.candidates(numbers):
+                if (k, item) in done:
+                    continue
+                if k not in words:
+                    words[k] = words_of(texts[a + k])
+                leak = self.checked(words[k], item, start, width)
+                if leak:
+                    done.add((k, item))
+                    name = self.block.items[item][0]
+                    out[a + k].append((name, max(0, start), cosine, *leak))
+        return out
+
+    def checked(self, words: list[str], item: int, start: int, width: int):
+        """Shares of the item and of its answer that the words around a window have in order."""
+        own = self.block.items[item][1]
+        part = words[max(0, start - width // 2) : start + width + width // 2]
+        # No subsequence is longer than the words that occur at all.
+        shared = self.distinct[item].intersection(part)
+        if sum(w in shared for w in own) < LOOSE * len(own):
+            return None
+        lcs = common_subsequence(own, part) / len(own)
+        if lcs < LOOSE:
+            return None
+        tail = own[-max(1, math.ceil(len(own) * ANSWER)) :]
+        answer = common_subsequence(tail, part) / len(tail)
+        return (lcs, answer) if lcs >= LCS or answer >= LCS else None
 
 
 def prepared(docs: DataFrame, benchmark: DataFrame):
@@ -317,11 +350,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, shared=shared):
             find = Finder(shared.value)
             for batch in batches:
-                rows = [
-                    (doc, *leak)
-                    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                    for leak in find(text.as_py())
-                ]
+                ids, found = batch.column(0).to_pylist(), find(batch.column(1).to_pylist())
+                rows = [(doc, *leak) for doc, leaks in zip(ids, found) for leak in leaks]
                 if rows:
                     kinds = (*(pa.int64(),) * 3, *(pa.float64(),) * 3)
                     yield pa.RecordBatch.from_arrays(
@@ -345,7 +375,8 @@ def reject(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, shared=shared):
             find = Finder(shared.value)
             for batch in batches:
-                clean = [next(find(t.as_py() or ""), None) is None for t in batch.column(place)]
+                found = find([t or "" for t in batch.column(place).to_pylist()])
+                clean = [not leaks for leaks in found]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         left = left.mapInArrow(run, docs.schema)
