@@ -1,9 +1,9 @@
 """Toxicity scores, learnt from confirmed toxic documents and unlabelled text.
 
-MEMBERS classifiers (``classifier.py``) are trained side by side on executors, each on its
-own part of a sample; their weights are averaged. The sample is bounded: POSITIVE toxic
-documents and UNLABELLED documents of any kind, those with the smallest hashes of their
-ids, outside the held-out quarter. The class prior is the share of toxic rows among all
+Classifiers (``classifier.py``) are trained side by side on executors, each on its own part
+of a sample; their weights are averaged. The sample is bounded: POSITIVE toxic documents
+and UNLABELLED documents of any kind for each of up to MEMBERS classifiers, those with the
+smallest hashes of their ids, outside the held-out quarter. The class prior is the share of toxic rows among all
 labels outside that quarter. Scoring reads all rows and whole texts, inside each task.
 
 Cases: null text is empty; texts without known words get the score of the bias; a null id
@@ -23,8 +23,9 @@ from corpuscope.llm import classifier
 from corpuscope.llm.common import NULL_ID, id_back, id_key, texts
 
 MEMBERS = 8
-POSITIVE = 4_000
-UNLABELLED = 12_000
+#: Documents per classifier.
+POSITIVE = 500
+UNLABELLED = 1_500
 KNOWN = 200_000
 HELD_OUT = 2
 THRESHOLD = 0.3
@@ -43,20 +44,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float] |
     if not toxic:
         return None
     prior = min(0.99, max(0.001, toxic / total))
+    members = min(MEMBERS, -(-toxic // POSITIVE))
 
     def first(ids: DataFrame, n: int, positive: bool) -> DataFrame:
         order = F.xxhash64("doc")
         return ids.orderBy(order, "doc").limit(n).select("doc", F.lit(positive).alias("positive"))
 
     free = docs.where(~held_out("doc_id")).select(id_key("doc_id").alias("doc"))
-    chosen = first(mine.where("toxic = 1"), POSITIVE, True).union(
-        first(free.distinct(), UNLABELLED, False)
+    chosen = first(mine.where("toxic = 1"), members * POSITIVE, True).union(
+        first(free.distinct(), members * UNLABELLED, False)
     )
     sample = (
         texts(docs)
         .join(F.broadcast(chosen), "doc")
         .dropDuplicates(["doc", "positive"])
-        .withColumn("member", F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(MEMBERS)))
+        .withColumn("member", F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(members)))
     )
 
     def train(rows):
