@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: latent semantic retrieval, then exact checks.
+"""Benchmark passages in documents: shared words, latent semantic order, exact checks.
 
 The benchmark is read in blocks of ITEMS items or TERMS different words, each a stated
 query set that meets all documents. For a block:
@@ -10,11 +10,14 @@ query set that meets all documents. For a block:
    projects its passages on a random basis and back, ``A' (A R)``, and gives the rows of
    the words it has met; their sum (words x RANK, bounded by the block) gives the leading
    right singular vectors on the driver.
-3. Windows of documents, as long as the items of a length class and half overlapping, are
-   compared with the items by cosine in the latent space, inside the task, where matrix
-   products give no row per pair. Those at COSINE or more are checked: the longest common
-   subsequence of words with the item, and with its last words, the answer. A leak has
-   LCS of the item's words in order, or at least LOOSE and the answer as well.
+3. Windows of documents, as long as the items of a length class and half overlapping, meet
+   all items of the class inside the task, with no row per pair. A window and half of one on
+   either side is a set of BITS bits, each standing for words of the block, and so is an
+   item; a window is a candidate if it has as many of the item's bits as LOOSE of the item's
+   words need at least, which loses none, however common the words. Candidates are checked
+   in the order of their cosine in the latent space: the longest common subsequence of words
+   with the item, and with its last words, the answer. A leak has LCS of the item's words in
+   order, or at least LOOSE and the answer as well.
 
 Cases: null text is empty and has no leaks; items without words are left out; repeated
 rows are one document and reported once; rows of one id but different texts count
@@ -43,12 +46,11 @@ PASSAGE = 32
 COMMON = 0.002
 #: Words of an item that are kept whatever their share, its rarest.
 RAREST = 8
-COSINE = 0.45
+#: The more common half of the bits stands for a word each, the others for several.
+BITS = 512
 LCS = 0.8
 LOOSE = 0.6
 ANSWER = 0.25
-#: Distinct words of an item a window must have to be compared at all.
-SHARED = 2
 MARKS = ".,;:!?()[]{}\"|"
 
 
@@ -94,6 +96,9 @@ class Block:
             own = np.unique(numbers)
             kept[own[np.argsort(share[own], kind="stable")[:RAREST]]] = True
         self.idf = np.where(kept, np.log((1 + passages) / (1 + containing)) + 1, 0.0)
+        rank = np.empty(len(share), dtype=np.int64)
+        rank[np.argsort(-share, kind="stable")] = np.arange(len(share))
+        self.bit = np.where(rank < BITS // 2, rank, BITS // 2 + rank % (BITS // 2))
         self.basis = np.random.default_rng(5).standard_normal((len(self.vocabulary), RANK))
 
     def span(self, summed: np.ndarray) -> None:
@@ -108,7 +113,10 @@ class Block:
         left, _, _ = np.linalg.svd(half, full_matrices=False)
         self.basis = None
         self.latent = (self.idf[:, None] * left).astype(np.float32)
-        self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        lane = np.arange(BITS // 64) == (self.bit // 64)[:, None]
+        self.masks = np.where(lane, np.uint64(1) << (self.bit % 64).astype(np.uint64)[:, None], np.uint64(0))
+        self.unit = np.zeros((len(self.numbers), self.latent.shape[1]), dtype=np.float32)
+        self.classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         groups = defaultdict(list)
         for k, numbers in enumerate(self.numbers):
             groups[length_class(len(numbers))].append(k)
@@ -116,7 +124,15 @@ class Block:
             rows = np.stack([self.latent[self.numbers[k]].sum(0) for k in members])
             size = np.linalg.norm(rows, axis=1, keepdims=True)
             unit = np.where(size > 0, rows / np.where(size > 0, size, 1), 0)
-            self.classes[width] = (np.array(members), unit.astype(np.float32))
+            self.unit[members] = unit
+            bits = np.stack([np.bitwise_or.reduce(self.masks[self.numbers[k]]) for k in members])
+            least = np.array([self.least_bits(self.numbers[k]) for k in members], dtype=np.uint16)
+            self.classes[width] = (np.array(members), bits, least)
+
+    def least_bits(self, numbers: np.ndarray) -> int:
+        """Bits that LOOSE of an item's words have at least."""
+        words = np.sort(np.bincount(self.bit[numbers]))[::-1]
+        return 1 + int(np.searchsorted(np.cumsum(words), LOOSE * len(numbers)))
 
 
 def blocks(benchmark: DataFrame):
@@ -247,7 +263,7 @@ class Finder:
         self.distinct = [set(words) for _, words in block.items]
 
     def candidates(self, numbers: list[np.ndarray]):
-        """(text, item, start, width, cosine) of windows that are close to an item."""
+        """(text, item, start, width, cosine) of windows with enough of an item's words."""
         block = self.block
         # Texts lie on one line, so far apart that no window meets two of them.
         room = [-(-len(n) // self.widest) * self.widest + 2 * self.widest for n in numbers]
@@ -258,39 +274,38 @@ class Finder:
         )
         keep = term >= 0
         term, place = term[keep], place[keep]
-        keep = block.idf[term] > 0
-        term, place = term[keep], place[keep]
+        if not len(term):
+            return
         found = []
-        for width, (members, unit) in block.classes.items():
+        for width, (members, bits, least) in block.classes.items():
             step = width // 2
             half = place // step
-            cut = np.flatnonzero(np.r_[True, np.diff(half) != 0]) if len(half) else []
-            if not len(cut):
-                continue
-            size = np.diff(np.r_[cut, len(half)])
+            cut = np.flatnonzero(np.r_[True, np.diff(half) != 0])
             half = half[cut]
-            # Halves of windows with too few words are not needed.
-            follows = np.r_[np.diff(half) == 1, False]
-            enough = size + np.where(follows, np.r_[size[1:], 0], 0) >= SHARED
-            needed = enough | np.r_[False, (enough & follows)[:-1]]
-            own = term[np.repeat(needed, size)]
-            half, size = half[needed], size[needed]
-            cut = np.cumsum(size) - size
-            for a, b in slices(size.tolist(), 16_384):
-                # Sums of half windows, and of each with the half behind it, be it the first
-                # of the next slice.
-                e = min(b + 1, len(size))
-                rows = block.latent[own[cut[a] : cut[e - 1] + size[e - 1]]]
-                rows = np.add.reduceat(rows, cut[a:e] - cut[a], axis=0)
-                first, count, at = rows[: b - a].copy(), size[a:b].copy(), half[a:b]
-                joined = np.flatnonzero(np.diff(half[a:e]) == 1)
-                first[joined] += rows[joined + 1]
-                count[joined] += size[a:e][joined + 1]
-                full = np.flatnonzero(count >= SHARED)
-                norm = np.linalg.norm(first[full], axis=1)
-                cosine = (first[full] @ unit.T) / np.where(norm > 0, norm, 1)[:, None]
-                for w, k in zip(*np.nonzero(cosine >= COSINE)):
-                    found.append((float(cosine[w, k]), int(members[k]), int(at[full[w]]) * step, width))
+            own = np.empty((len(half), BITS // 64), dtype=np.uint64)
+            ends = np.r_[cut, len(term)]
+            for a, b in slices(np.diff(ends).tolist(), 16_384):
+                own[a:b] = np.bitwise_or.reduceat(block.masks[term[ends[a] : ends[b]]], cut[a:b] - ends[a])
+            # The first word of a leak is in the first half of a window.
+            around = own.copy()
+            for away in (-1, 1, 2):
+                at = np.minimum(np.searchsorted(half, half + away), len(half) - 1)
+                met = half[at] == half + away
+                around[met] |= own[at[met]]
+            full = np.flatnonzero(np.bitwise_count(around).sum(axis=1, dtype=np.uint16) >= least.min())
+            for a in range(0, len(full), 512):
+                rows = around[full[a : a + 512]]
+                shared = np.zeros((len(rows), len(members)), dtype=np.uint16)
+                for k in range(rows.shape[1]):
+                    shared += np.bitwise_count(rows[:, k, None] & bits[:, k])
+                windows, items = np.nonzero(shared >= least)
+                for w in np.unique(windows):
+                    start = int(half[full[a + w]]) * step
+                    i, j = np.searchsorted(place, [start, start + width])
+                    row = block.latent[term[i:j]].sum(0)
+                    norm = float(np.linalg.norm(row)) or 1.0
+                    for k in members[items[windows == w]]:
+                        found.append((float(row @ block.unit[k]) / norm, int(k), start, width))
         found.sort(key=lambda f: (-f[0], f[1], f[2]))
         for cosine, item, start, width in found:
             text = int(np.searchsorted(base, start + width - 1, side="right")) - 1

@@ -43,6 +43,22 @@ def test_planted_leaks_are_found_and_others_stay(spark, monkeypatch):
     assert left.count() == len(rows) - len({d for d, _ in got})
 
 
+def test_paraphrases_without_the_rare_words(spark):
+    rng, items, rows = random.Random(23), [], []
+    for k in range(30):
+        common = cases.words(rng, 15, 300).split()
+        rare = ["rare%d_%d" % (k, i) for i in range(9)]
+        items.append((k, " ".join(rare + common)))
+        host = cases.words(rng, rng.randrange(100, 300), 300).split()
+        cut = rng.randrange(len(host))
+        host[cut:cut] = ["other%d" % rng.randrange(10**6) for _ in rare] + common
+        rows.append((k, " ".join(host)))
+    rows += [(100 + k, cases.words(rng, 300, 300)) for k in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.report(cases.frame(spark, rows), bench).collect()}
+    assert got == {(k, k) for k in range(30)}
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
