@@ -19,8 +19,8 @@ query set that meets all documents. For a block:
    with the item, and with its last words, the answer. A leak has LCS of the item's words in
    order, or at least LOOSE and the answer as well.
 
-Cases: null text is empty and has no leaks; items without words are left out; repeated
-rows are one document and reported once; rows of one id but different texts count
+Cases: null text is empty and has no leaks; items without words are left out, an
+item of one word is in each document with that word; repeated rows are one document and reported once; rows of one id but different texts count
 together; an empty table on either side gives no leaks; columns besides id and text are
 not looked at.
 """

@@ -59,6 +59,14 @@ def test_paraphrases_without_the_rare_words(spark):
     assert got == {(k, k) for k in range(30)}
 
 
+def test_items_of_one_word(spark):
+    docs = cases.frame(spark, [(1, "some text with zebra in it"), (2, "some text"), (3, "Zebra")])
+    bench = spark.createDataFrame([(7, "zebra"), (8, "Ox ox")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.report(docs, bench).collect()}
+    assert got == {(1, 7), (3, 7)}
+    assert [r.doc_id for r in decontaminate.reject(docs, bench).collect()] == [2]
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
