@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import bisect
 import math
+import sys
+import unicodedata
 from collections import defaultdict
 from itertools import repeat
 
@@ -51,13 +53,17 @@ BITS = 512
 LCS = 0.8
 LOOSE = 0.6
 ANSWER = 0.25
-MARKS = ".,;:!?()[]{}\"|"
+#: All punctuation of Unicode, and the ASCII marks like it.
+MARKS = frozenset(
+    c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "P" or c in "|`"
+)
+ASCII_MARKS = "".join(sorted(m for m in MARKS if m.isascii()))
 
 
 def words_of(text: str) -> list[str]:
     """Lower-case words; the marks in MARKS part them like white space."""
     text = text.lower()
-    for mark in MARKS:
+    for mark in ASCII_MARKS if text.isascii() else MARKS.intersection(text):
         text = text.replace(mark, " ")
     return text.split()
 

@@ -47,7 +47,7 @@ def test_paraphrases_without_the_rare_words(spark):
     rng, items, rows = random.Random(23), [], []
     for k in range(30):
         common = cases.words(rng, 15, 300).split()
-        rare = ["rare%d_%d" % (k, i) for i in range(9)]
+        rare = ["rare%dx%d" % (k, i) for i in range(9)]
         items.append((k, " ".join(rare + common)))
         host = cases.words(rng, rng.randrange(100, 300), 300).split()
         cut = rng.randrange(len(host))
@@ -67,6 +67,12 @@ def test_items_of_one_word(spark):
     assert [r.doc_id for r in decontaminate.reject(docs, bench).collect()] == [2]
 
 
+def test_marks_of_any_script_part_words():
+    want = ["the", "answer", "is", "here"]
+    for text in ("“The” answer… *is* here", "«the» ‘answer’ —is— ¿here?", "'the' _answer_ (is) ¡here!", "the、answer。is–here"):
+        assert decontaminate.words_of(text) == want
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     for _ in range(50):
