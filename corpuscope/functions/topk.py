@@ -79,30 +79,37 @@ class DenseScorer:
     columns = ("embedding",)
 
     def __init__(self, questions: pa.Table, metric: str):
-        self.metric = metric
-        self.q = _matrix(questions["embedding"])
-        if metric == "cosine":
-            self.q = _unit(self.q)
+        self.metric, self.n = metric, questions.num_rows
+        # Only vectors of one length can be compared: (length, questions, their vectors).
+        lengths = pc.list_value_length(questions["embedding"]).to_numpy()
+        self.groups = []
+        for length in np.unique(lengths[lengths > 0]):
+            members = np.flatnonzero(lengths == length)
+            q = _matrix(questions["embedding"].take(pa.array(members)))
+            self.groups.append((int(length), members, _unit(q) if metric == "cosine" else q))
 
     def blocks(self, rows: pa.Table):
-        # Vectors of another length than the questions' cannot be compared.
         length = pc.list_value_length(rows["embedding"])
-        rows = rows.filter(pc.equal(length, self.q.shape[1]))
-        step = max(1, _BLOCK_CELLS // max(1, len(self.q)))
-        for at in range(0, rows.num_rows, step):
-            part = rows.slice(at, step)
-            d = _matrix(part["embedding"])
-            if self.metric == "cosine":
-                s = self.q @ _unit(d).T
-            else:
-                s = -self._distances(d)
-            yield part, np.round(s, DECIMALS) + 0.0
-
-    def _distances(self, d: np.ndarray) -> np.ndarray:
+        step = max(1, _BLOCK_CELLS // max(1, self.n))
+        for own, members, q in self.groups:
+            alike = rows.filter(pc.equal(length, own))
+            for at in range(0, alike.num_rows, step):
+                part = alike.slice(at, step)
+                d = _matrix(part["embedding"])
+                s = q @ _unit(d).T if self.metric == "cosine" else -self._distances(q, d)
+                s = np.round(s, DECIMALS) + 0.0
+                if len(members) < self.n:
+                    scores = np.full((self.n, len(d)), -np.inf)
+                    scores[members] = s
+                    s = scores
+                yield part, s
+
+    @staticmethod
+    def _distances(q: np.ndarray, d: np.ndarray) -> np.ndarray:
         """Differences are squared and summed; the expansion of the square cancels."""
-        square = np.zeros((len(self.q), len(d)))
-        for k in range(self.q.shape[1]):
-            square += (self.q[:, k, None] - d[None, :, k]) ** 2
+        square = np.zeros((len(q), len(d)))
+        for k in range(q.shape[1]):
+            square += (q[:, k, None] - d[None, :, k]) ** 2
         return np.sqrt(square)
 
 

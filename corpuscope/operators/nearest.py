@@ -50,15 +50,42 @@ def _filter_problem(types: dict[str, str]):
 
 
 def question_warnings(questions: DataFrame, rows: DataFrame) -> DataFrame:
-    """``query_id, class, message`` of questions whose filter cannot be used on the rows.
+    """``query_id, class, message`` of questions that cannot be used on the rows as asked.
 
-    They get no results; the other questions of the batch are not touched.
+    ``invalid_filter``: they get no results; the other questions of the batch are not touched.
+    ``vector_length``: only rows with vectors of the question's own length are compared, and
+    some have others.
     """
-    found = questions.where(F.col("filter").isNotNull()).select(
+    found = _length_warnings(questions, rows)
+    if "filter" not in questions.columns:
+        return found
+    bad = questions.where(F.col("filter").isNotNull()).select(
         "query_id", _filter_problem(_attribute_types(rows))("filter").alias("message")
     )
-    return found.where(F.col("message").isNotNull()).select(
+    return bad.where(F.col("message").isNotNull()).select(
         "query_id", F.lit("invalid_filter").alias("class"), "message"
+    ).union(found)
+
+
+def _length_warnings(questions: DataFrame, rows: DataFrame) -> DataFrame:
+    texts = F.lit("").alias("class"), F.lit("").alias("message")
+    if "embedding" not in questions.columns or "embedding" not in rows.columns:
+        return questions.select("query_id", *texts).limit(0)
+    whole = rows.where(F.col("embedding").isNotNull())
+    # One row for each length.
+    lengths = whole.groupBy(F.size("embedding").alias("length")).agg(F.count("*").alias("own"))
+    total = whole.count()
+    asked = questions.where(F.col("embedding").isNotNull()).select(
+        "query_id", F.size("embedding").alias("length")
+    )
+    others = F.lit(total) - F.coalesce("own", F.lit(0))
+    message = F.concat(
+        others, F.lit(f" of {total} rows have vectors of another length than "), F.col("length")
+    )
+    return (
+        asked.join(F.broadcast(lengths), "length", "left")
+        .where(others > 0)
+        .select("query_id", F.lit("vector_length").alias("class"), message.alias("message"))
     )
 
 

@@ -289,6 +289,21 @@ def test_distances_of_long_vectors_and_vectors_of_other_lengths(spark):
     assert got == {1: 0.0, 2: -0.001}
 
 
+@pytest.mark.parametrize("kind", ["cosine", "l2"])
+def test_questions_of_mixed_lengths(spark, kind):
+    vectors = [[1.0, 2.0], [3.0, 1.0, 2.0], [2.0], [4.0, 1.0], []]
+    rows = spark.createDataFrame(list(enumerate(vectors)), "row_id long, embedding array<double>").coalesce(1)
+    asked = rows.withColumnRenamed("row_id", "query_id")
+    for config in (EngineConfig(), EngineConfig(broadcast_bytes=0, cell_bytes=200)):
+        got = nearest(asked, rows, 5, kind, config).collect()
+        best = {r.query_id: (r.row_id, r.score) for r in got if r["rank"] == 1}
+        assert best == {k: (k, 1.0 if kind == "cosine" else 0.0) for k in range(4)}
+        assert sorted((r.query_id, r.row_id) for r in got) == [(0, 0), (0, 3), (1, 1), (2, 2), (3, 0), (3, 3)]
+    warned = question_warnings(asked, rows).collect()
+    assert {r["class"] for r in warned} == {"vector_length"}
+    assert {r.query_id: r.message.split()[0] for r in warned} == {0: "3", 1: "4", 2: "4", 3: "3", 4: "4"}
+
+
 def test_bad_filters_do_not_touch_other_questions(spark):
     rows = spark.createDataFrame([(i, [1.0, float(i)], "ab"[i % 2]) for i in range(6)],
                                  "row_id long, embedding array<double>, owner string")
