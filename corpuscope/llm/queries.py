@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpuscope.llm import (
+    chatformat,
     decontaminate,
     exact,
     packing,
@@ -29,6 +31,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(_documents(spark, sf_dir))
 
@@ -71,6 +77,17 @@ def op10_repeated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.report(_documents(spark, sf_dir))
 
 
+def op11_chat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    rows = _conversations(spark, sf_dir).select("conv_id", "turn", "role", "text")
+    return chatformat.report(rows.unionByName(more))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # which imports this module
 
@@ -90,6 +107,7 @@ QUERIES = {
         op8_toxicity_scores,
         op9_secret_spans,
         op10_repeated_sentences,
+        op11_chat_texts,
         pipeline,
     )
 }
@@ -104,4 +122,5 @@ ORACLES = {
             doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM t WINDOW g AS (PARTITION BY text_sha256)""",
     "op10_repeated_sentences": sentences.SQL,
+    "op11_chat_texts": chatformat.SQL,
 }

@@ -39,3 +39,32 @@ def frame(spark, rows, clashing=False):
 
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
+
+
+TURNS = "conv_id long, turn long, role string, text string"
+TURNS_CLASHING = TURNS + ", conv string, parts string, piece string, count string, loss string"
+
+
+def dialogues(seed=3, n=60, most=9):
+    """Conversations with nulls, ties, repeated rows, odd roles, markers and long texts."""
+    rng = random.Random(seed)
+    texts = ["Yes.", "No!", "Why?", "so", "", "  \t", None, "</turn>", "<\\turn><says><", "a <next> b",
+             "<\\\\next>\\", "<turn", "turn>", "ñ😀 <", ">", "x" * 5000, "Yes.", "End.\n"]
+    roles = ["user", "assistant"] * 6 + ["system", "tool", None, "<turn>", "", "a\nb"]
+    rows = []
+    for conv in [*range(n), None]:
+        for turn in range(rng.randrange(1, most)):
+            role = rng.choice(["user", "assistant"]) if rng.random() < 0.7 else rng.choice(roles)
+            rows.append((conv, rng.choice([turn] * 8 + [None, 2]), role, rng.choice(texts)))
+            if rng.random() < 0.1:
+                rows.append(rows[-1])
+    for turn in range(400):
+        rows.append((900, turn, rng.choice(roles), rng.choice(texts) or "?"))
+    rng.shuffle(rows)
+    return rows
+
+
+def turn_frame(spark, rows, clashing=False):
+    if clashing:
+        return spark.createDataFrame([(*r, *("z",) * 5) for r in rows], TURNS_CLASHING)
+    return spark.createDataFrame(rows, TURNS)
