@@ -10,6 +10,7 @@ from corpuscope.llm import (
     decontaminate,
     exact,
     packing,
+    repair,
     secrets,
     sentences,
     sharding,
@@ -88,6 +89,10 @@ def op11_chat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chatformat.report(rows.unionByName(more))
 
 
+def op12_repaired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(_conversations(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # which imports this module
 
@@ -108,6 +113,7 @@ QUERIES = {
         op9_secret_spans,
         op10_repeated_sentences,
         op11_chat_texts,
+        op12_repaired_turns,
         pipeline,
     )
 }
@@ -123,4 +129,5 @@ ORACLES = {
         FROM t WINDOW g AS (PARTITION BY text_sha256)""",
     "op10_repeated_sentences": sentences.SQL,
     "op11_chat_texts": chatformat.SQL,
+    "op12_repaired_turns": repair.SQL,
 }
