@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuscope.llm import (
     chatformat,
+    collocations,
     decontaminate,
     exact,
     packing,
@@ -93,6 +94,10 @@ def op12_repaired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(_conversations(spark, sf_dir))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.report(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # which imports this module
 
@@ -114,6 +119,7 @@ QUERIES = {
         op10_repeated_sentences,
         op11_chat_texts,
         op12_repaired_turns,
+        op13_phrases,
         pipeline,
     )
 }
@@ -130,4 +136,5 @@ ORACLES = {
     "op10_repeated_sentences": sentences.SQL,
     "op11_chat_texts": chatformat.SQL,
     "op12_repaired_turns": repair.SQL,
+    "op13_phrases": collocations.SQL,
 }
