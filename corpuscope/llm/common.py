@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.session import scratch_path
+from corpuscope.session import materialize_for_join, scratch_path
 
 #: A null id takes part in joins under this value, so it meets only other null ids.
 NULL_ID = -(2**63)
@@ -35,11 +35,35 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     return docs.select(id_key(id_column).alias("doc"), text_of(text_column).alias("text"))
 
 
+def marked(docs: DataFrame) -> DataFrame:
+    """(doc, text, mark, twin): mark and twin, 128 bits, name a row; equal rows share them."""
+    return texts(docs).select("doc", "text", *marks("doc", "text"))
+
+
+def marks(doc: str, text: str) -> list[Column]:
+    return [F.xxhash64(doc, text).alias("mark"), F.xxhash64(text, doc).alias("twin")]
+
+
 def id_back(column: str = "doc", name: str = "doc_id") -> Column:
     """The id a key stands for."""
     return F.nullif(F.col(column), F.lit(NULL_ID)).alias(name)
 
 
+def without(docs: DataFrame, gone: DataFrame, twice: DataFrame, rows: int) -> DataFrame:
+    """The rows of ``docs``, all columns, whose (mark, twin) is not in ``gone``; of those in
+    ``twice`` one each. Up to ``rows`` of either list are broadcast."""
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    named = docs.select(
+        F.struct(*columns).alias("all"), id_key("doc_id").alias("doc"), text_of("text").alias("text")
+    ).select("all", *marks("doc", "text"))
+    left = named.join(materialize_for_join(gone, rows), ["mark", "twin"], "left_anti")
+    twice = materialize_for_join(twice, rows)
+    if not twice.isEmpty():
+        once = left.join(twice, ["mark", "twin"], "left_semi").dropDuplicates(["mark", "twin"])
+        left = left.join(twice, ["mark", "twin"], "left_anti").unionByName(once)
+    return left.select("all.*")
+
+
 def slices(sizes, most: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows whose sizes add up to ``most`` at most, or one row."""
     first, total = 0, 0

@@ -10,9 +10,10 @@ told apart by 128 bits. Groups of any size are met by partial aggregation and a
 the stored table of their first places, which adaptive execution can split.
 
 Cases: null text is empty; texts without a span keep all; repeated rows are one document
-written several times and lose the same sentences; rows of one id but different texts are
-told apart by a hash; rows without an id come first; an empty table gives no rows; columns
-besides id and text are not looked at.
+written several times and lose the same sentences; rows are told apart by 128 bits of
+hash over id and text, so ids may repeat or be null; rows without an id come first, rows
+of one id are in the order of that hash; a text is split whole in one task, however long; an
+empty table gives no rows; columns besides id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import id_back, stored
-from corpuscope.llm.substrings import batch_of, marked
+from corpuscope.llm.common import id_back, marked, stored
+from corpuscope.llm.substrings import batch_of
 
 RUN = 2
 MIN_WORDS = 10
+ROW = ("doc", "mark", "twin")
 PIECE = re.compile(rb"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 
 
@@ -51,27 +53,27 @@ def spans_of(text: bytes, run: int, min_words: int) -> list[tuple[int, int, int]
 
 
 def scan(docs: DataFrame, run: int, min_words: int) -> DataFrame:
-    kinds = {"doc": "int64", "mark": "int32", "place": "int32", "key": "int64", "check": "int64"}
+    kinds = {"doc": "int64", "mark": "int64", "twin": "int64", "place": "int32", "key": "int64", "check": "int64"}
 
     def spans(batches):
         for batch in batches:
             rows = []
-            ids, marks = (batch.column(k).to_pylist() for k in (0, 1))
-            for doc, mark, text in zip(ids, marks, batch.column(2)):
-                rows += [(doc, mark, *s) for s in spans_of(text.as_py().encode(), run, min_words)]
+            keys = zip(*(batch.column(k).to_pylist() for k in range(3)))
+            for key, text in zip(keys, batch.column(3)):
+                rows += [(*key, *s) for s in spans_of(text.as_py().encode(), run, min_words)]
                 if len(rows) > 50_000:
                     yield batch_of(rows, kinds)
                     rows = []
             if rows:
                 yield batch_of(rows, kinds)
 
-    return marked(docs).select("doc", "mark", "text").mapInArrow(
-        spans, "doc long, mark int, place int, key long, check long"
+    return marked(docs).select(*ROW, "text").mapInArrow(
+        spans, "doc long, mark long, twin long, place int, key long, check long"
     )
 
 
 def repeated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, mark, places, sources): starts of non-first spans, ids of the first ones."""
+    """(doc, mark, twin, places, sources): starts of non-first spans, ids of the first ones."""
     spans = scan(docs, run, min_words)
     shared = stored(
         spans.groupBy("key").count().where("count > 1").select("key"), "sentence-keys"
@@ -79,13 +81,13 @@ def repeated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> Dat
     left = stored(spans.join(shared, "key"), "sentence-spans")
     first = stored(
         left.groupBy("key", "check")
-        .agg(F.min(F.struct("doc", "mark", "place")).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(F.struct(*ROW, "place")).alias("first"), F.count("*").alias("n"))
         .where("n > 1"),
         "sentence-first",
     )
-    later = left.join(first, ["key", "check"]).where(F.struct("doc", "mark", "place") != F.col("first"))
+    later = left.join(first, ["key", "check"]).where(F.struct(*ROW, "place") != F.col("first"))
     return stored(
-        later.groupBy("doc", "mark").agg(
+        later.groupBy(*ROW).agg(
             F.sort_array(F.collect_set("place")).alias("places"),
             F.sort_array(F.collect_set(id_back("first.doc", "source"))).alias("sources"),
         ),
@@ -96,7 +98,7 @@ def repeated(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> Dat
 def remove(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """Per row: doc, n_sentences, n_removed, n_spans (removed runs), sources, kept (text)."""
     places = repeated(docs, run, min_words)
-    joined = marked(docs).join(places, ["doc", "mark"], "left").select(
+    joined = marked(docs).join(places, list(ROW), "left").select(
         "doc", "text", "places", "sources"
     )
     kinds = {"doc": "int64", "n_sentences": "int64", "n_removed": "int64", "n_spans": "int64"}

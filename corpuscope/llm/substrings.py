@@ -20,9 +20,10 @@ rows of a hot gram can be split. The table of texts is exchanged only if the ran
 BROADCAST_ROWS; below that they are broadcast.
 
 Cases: null text is empty and, like texts under WINDOW bytes, has nothing removed;
-repeated rows are all removed, as each repeats the other; rows of one id but different
-texts are told apart by a hash; an empty table gives no rows; columns besides id and text
-are not looked at.
+repeated rows are all removed, as each repeats the other; rows are told apart by 128 bits
+of hash over id and text, so ids may repeat or be null; texts of any length are read in blocks; a
+tie, which of equal strings counts as repeated, does not arise, as all do; an empty table
+gives no rows; columns besides id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -34,15 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import id_back, slices, stored, texts
+from corpuscope.llm.common import id_back, marked, slices, stored
 from corpuscope.llm.windows import CHUNK, GRAM, Strings, anchors
 
 WINDOW = 200
 #: Different runs of one gram that a task may hold: about 5 MB of bytes, a million windows.
 GROUP = 16_384
 BROADCAST_ROWS = 1_000_000
-PLACE = {"doc": "int64", "mark": "int32", "start": "int32"}
-RUNS = "gram long, run long, doc long, pack int, start int"
+PLACE = {"mark": "int64", "twin": "int64", "start": "int32"}
+RUNS = "gram long, run long, mark long, twin long, span int, start int"
 
 
 def batch_of(rows: list[tuple], kinds: dict[str, str]) -> pa.RecordBatch:
@@ -52,13 +53,6 @@ def batch_of(rows: list[tuple], kinds: dict[str, str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
 
-def marked(docs: DataFrame) -> DataFrame:
-    """(doc, mark, text): mark tells apart texts of one id."""
-    return texts(docs).withColumn(
-        "mark", F.shiftrightunsigned(F.xxhash64("text"), 40).cast("int")
-    )
-
-
 def runs_of(pieces: list[bytes], window: int):
     """Of pieces that are hashed together: (piece, start in it, last - start, gram, run)."""
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
@@ -81,12 +75,11 @@ def runs_of(pieces: list[bytes], window: int):
 
 
 def scan(docs: DataFrame, window: int) -> DataFrame:
-    """RUNS of all texts. pack holds the mark and, in its low byte, the run's length - 1."""
+    """RUNS of all texts; span is the number of a run's windows - 1."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            marks = batch.column(1).to_numpy()
+            marks, twins = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             pieces = [
                 (row, base, text[base : base + CHUNK + window - 1])
                 for row, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist())
@@ -101,50 +94,45 @@ def scan(docs: DataFrame, window: int) -> DataFrame:
                     [
                         pa.array(gram.view(np.int64)),
                         pa.array(whole.view(np.int64)),
-                        pa.array(ids[row]),
-                        pa.array(((marks[row] << 8) | span).astype(np.uint32).view(np.int32)),
+                        pa.array(marks[row]),
+                        pa.array(twins[row]),
+                        pa.array(span.astype(np.int32)),
                         pa.array((start + base[piece]).astype(np.int32)),
                     ],
-                    names=["gram", "run", "doc", "pack", "start"],
+                    names=["gram", "run", "mark", "twin", "span", "start"],
                 )
 
-    return marked(docs).select("doc", "mark", "text").mapInArrow(run, RUNS)
-
-
-def unpacked(df: DataFrame) -> DataFrame:
-    return df.withColumn("span", F.col("pack").bitwiseAND(255)).withColumn(
-        "mark", F.shiftrightunsigned("pack", 8)
-    )
+    return marked(docs).select("mark", "twin", "text").mapInArrow(run, RUNS)
 
 
 def beside(docs: DataFrame, lists: DataFrame, rows: int, how: str) -> DataFrame:
     """Texts joined with one row of lists per text; the lists have ``rows`` entries."""
     lists = F.broadcast(lists) if rows <= BROADCAST_ROWS else lists
-    return marked(docs).join(lists, ["doc", "mark"], how)
+    return marked(docs).join(lists, ["mark", "twin"], how)
 
 
 def with_bytes(docs: DataFrame, wanted: DataFrame, rows: int, window: int) -> DataFrame:
-    """(gram, several, own, doc, mark, start, data) for the runs in ``wanted``."""
+    """(gram, several, own, mark, twin, start, data) for the runs in ``wanted``."""
     entry = F.struct("gram", "several", "own", "start", "span")
-    lists = wanted.groupBy("doc", "mark").agg(F.collect_list(entry).alias("runs"))
+    lists = wanted.groupBy("mark", "twin").agg(F.collect_list(entry).alias("runs"))
     joined = beside(docs, lists, rows, "inner")
     kinds = {"gram": "int64", "several": "int64", "own": "bool", **PLACE, "data": "binary"}
 
     def run(batches):
         for batch in batches:
             out = []
-            ids, marks, data, runs = (batch.column(i) for i in range(4))
-            rows = zip(ids.to_pylist(), marks.to_pylist(), data.cast(pa.binary()).to_pylist(), runs)
-            for doc, mark, text, entries in rows:
+            marks, twins, data, runs = (batch.column(i) for i in range(4))
+            data = data.cast(pa.binary()).to_pylist()
+            for mark, twin, text, entries in zip(marks.to_pylist(), twins.to_pylist(), data, runs):
                 for x in entries.as_py():
                     part = text[x["start"] : x["start"] + x["span"] + window]
-                    out.append((x["gram"], x["several"], x["own"], doc, mark, x["start"], part))
+                    out.append((x["gram"], x["several"], x["own"], mark, twin, x["start"], part))
             if out:
                 yield batch_of(out, kinds)
 
-    return joined.select("doc", "mark", "text", "runs").mapInArrow(
+    return joined.select("mark", "twin", "text", "runs").mapInArrow(
         run,
-        "gram long, several long, own boolean, doc long, mark int, start int, data binary",
+        "gram long, several long, own boolean, mark long, twin long, start int, data binary",
     )
 
 
@@ -176,12 +164,12 @@ def stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sort_groups(rows: DataFrame, window: int) -> DataFrame:
-    """(doc, mark, start, end) covered by windows repeated within their gram's runs."""
+    """(mark, twin, start, end) covered by windows repeated within their gram's runs."""
 
     kinds = {**PLACE, "end": "int32"}
 
     def settle(parts):
-        grams, own, docs, marks, starts, data = (sum(c, []) for c in zip(*parts))
+        grams, own, marks, twins, starts, data = (sum(c, []) for c in zip(*parts))
         if not data:
             return []
         size = np.array([len(d) for d in data])
@@ -198,7 +186,7 @@ def sort_groups(rows: DataFrame, window: int) -> DataFrame:
             if own[k]:
                 a, b = stretches(hit[first[k] : first[k] + n[k]])
                 found += [
-                    (docs[k], marks[k], starts[k] + int(x), starts[k] + int(y) - 1 + window)
+                    (marks[k], twins[k], starts[k] + int(x), starts[k] + int(y) - 1 + window)
                     for x, y in zip(a, b)
                 ]
         return found
@@ -222,10 +210,10 @@ def sort_groups(rows: DataFrame, window: int) -> DataFrame:
             yield batch_of(found, kinds)
 
     return (
-        rows.select("gram", "own", "doc", "mark", "start", "data")
+        rows.select("gram", "own", "mark", "twin", "start", "data")
         .repartition("gram")
         .sortWithinPartitions("gram")
-        .mapInArrow(run, "doc long, mark int, start int, end int")
+        .mapInArrow(run, "mark long, twin long, start int, end int")
     )
 
 
@@ -234,7 +222,7 @@ def count_windows(rows: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            gram, own, doc, mark, start = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:5])
+            gram, own, mark, twin, start = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:5])
             data = batch.column(5).to_pylist()
             for a, b in slices([len(d) for d in data], CHUNK):
                 size = np.array([len(d) for d in data[a:b]])
@@ -249,29 +237,32 @@ def count_windows(rows: DataFrame, window: int) -> DataFrame:
                         pa.array(gram[row]),
                         pa.array(whole.view(np.int64)),
                         pa.array(own[row]),
-                        pa.array(doc[row]),
                         pa.array(mark[row]),
+                        pa.array(twin[row]),
                         pa.array((start[row] + inside).astype(np.int32)),
                     ],
-                    names=["gram", "window", "own", "doc", "mark", "start"],
+                    names=["gram", "window", "own", "mark", "twin", "start"],
                 )
 
-    expanded = rows.select("gram", "own", "doc", "mark", "start", "data").mapInArrow(
-        run, "gram long, window long, own boolean, doc long, mark int, start int"
+    expanded = rows.select("gram", "own", "mark", "twin", "start", "data").mapInArrow(
+        run, "gram long, window long, own boolean, mark long, twin long, start int"
     )
     twice = stored(
         expanded.groupBy("gram", "window").count().where("count > 1").drop("count"),
         "substring-windows",
     )
     return expanded.where("own").join(twice, ["gram", "window"]).select(
-        "doc", "mark", "start", (F.col("start") + window).alias("end")
+        "mark", "twin", "start", (F.col("start") + window).alias("end")
     )
 
 
 def merged(intervals: DataFrame) -> DataFrame:
-    """(doc, mark, spans): the union of a text's intervals, as arrays of start and end."""
-    lists = intervals.groupBy("doc", "mark").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")
+    """(mark, twin, spans): the union of a text's intervals, as arrays of start and end.
+
+    Repeated rows have the same intervals, which count once before they are exchanged.
+    """
+    lists = intervals.groupBy("mark", "twin").agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
     )
 
     def run(batches):
@@ -289,14 +280,14 @@ def merged(intervals: DataFrame) -> DataFrame:
                 out.append(np.stack([s[at], reach[np.r_[at[1:] - 1, len(s) - 1]]], 1).ravel())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))],
-                names=["doc", "mark", "spans"],
+                names=["mark", "twin", "spans"],
             )
 
-    return lists.mapInArrow(run, "doc long, mark int, spans array<int>")
+    return lists.mapInArrow(run, "mark long, twin long, spans array<int>")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc, mark, spans): bytes covered by windows that start somewhere else as well."""
+    """(mark, twin, spans): bytes covered by windows that start somewhere else as well."""
     if not 136 <= window <= 319:
         raise ValueError("window out of range")
     runs = scan(docs, window)
@@ -305,7 +296,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     left = stored(runs.join(shared, "gram"), "substring-runs")
     different = left.groupBy("gram", "run").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc", "pack", "start")).alias("one")
+        F.count("*").alias("n"), F.min(F.struct("mark", "twin", "span", "start")).alias("one")
     )
     different = stored(different, "substring-different")
     several = stored(
@@ -313,17 +304,15 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "substring-several",
     )
     wanted = stored(
-        unpacked(
-            different.join(several, "gram").select(
-                "gram", "several", (F.col("n") == 1).alias("own"), "one.*"
-            )
+        different.join(several, "gram").select(
+            "gram", "several", (F.col("n") == 1).alias("own"), "one.*"
         ),
         "substring-wanted",
     )
     data = stored(with_bytes(docs, wanted, wanted.count(), window), "substring-bytes")
-    whole = unpacked(left.join(different.where("n > 1").select("gram", "run"), ["gram", "run"]))
+    whole = left.join(different.where("n > 1").select("gram", "run"), ["gram", "run"])
     intervals = (
-        whole.select("doc", "mark", "start", (F.col("start") + F.col("span") + window).alias("end"))
+        whole.select("mark", "twin", "start", (F.col("start") + F.col("span") + window).alias("end"))
         .union(sort_groups(data.where(F.col("several") <= GROUP), window))
         .union(count_windows(data.where(F.col("several") > GROUP), window))
     )

@@ -62,3 +62,47 @@ def test_radix_tells_windows_apart():
 
 def test_empty_table(spark):
     assert substrings.report(cases.empty(spark)).count() == 0
+
+
+def clashing_texts(seed=3, n=30000):
+    """Two unrelated texts whose hashes agree in the upper 24 bits."""
+    import random
+
+    import xxhash
+
+    rng, seen = random.Random(seed), {}
+    for _ in range(n):
+        text = cases.words(rng, 60) + ". " + cases.words(rng, 20) + "."
+        high = xxhash.xxh64_intdigest(text, 42) >> 40
+        if high in seen:
+            return seen[high], text
+        seen[high] = text
+    raise AssertionError("no clash")
+
+
+@pytest.mark.parametrize("id_", [None, 5])
+def test_rows_of_one_id_are_told_apart_by_more_than_a_short_hash(spark, id_):
+    one, other = clashing_texts()
+    rows = [(id_, one), (id_, other), (7, one)]
+    got = substrings.report(cases.frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(rows)
+    from corpuscope.llm import sentences
+
+    kept = {(r.doc_id, r.n_removed) for r in sentences.report(cases.frame(spark, rows)).collect()}
+    # Of equal spans those of the smallest id stay, null first.
+    assert kept == {(id_, 0), (7, 2)}
+
+
+def test_equal_rows_in_bounded_groups(spark):
+    """Intervals of a row that is there very often count once before they are gathered."""
+    text = cases.words(__import__("random").Random(1), 300)
+    docs = spark.range(100000).selectExpr("5L AS doc_id", f"'{text}' AS text")
+    spans = substrings.repeated_spans(docs)
+    assert [list(r.spans) for r in spans.collect()] == [[0, len(text)]]
+    intervals = spark.range(100000).selectExpr(
+        "1L AS mark", "2L AS twin", "int(id % 20 * 10) AS start", "int(id % 20 * 10 + 200) AS end"
+    )
+    merged = substrings.merged(intervals)
+    assert list(merged.first().spans) == [0, 390]
+    plan = merged._jdf.queryExecution().toString()
+    assert "partial_collect_set" in plan
