@@ -8,8 +8,8 @@ through, and only then are all bits counted.
 
 Cases: null text is empty; no words give fingerprint zero; fewer words than a shingle
 give one shingle of all words; repeated rows and equal fingerprints are one node;
-a null id takes part in a group, but never names one that has another id. Columns
-besides id and text are not looked at.
+a null id takes part in a group, but never names one that has another id; a text is
+hashed whole in one task, however long. Columns besides id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -22,11 +22,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import NULL_ID, connected_components, id_back, stored, texts
-from corpuscope.session import materialize_for_join
+from corpuscope.llm.common import (
+    NULL_ID,
+    connected_components,
+    id_back,
+    marked,
+    stored,
+    texts,
+    without,
+)
 
 SEGMENTS = 16
 BUCKET = 256
+BROADCAST_ROWS = 500_000
 #: Eight byte lanes for each byte: lane j counts bit j, highest first.
 LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view("<u8").ravel()
 
@@ -61,17 +69,19 @@ def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
     return int.from_bytes(packed.tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """(doc, fp) for each row; doc is the key of common.id_key."""
+def fingerprints(rows: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
+    """The columns of ``rows``, all long, with ``fp`` in the place of ``text``."""
+    keys = [c for c in rows.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t, words, seed) for t in batch.column(1).to_pylist()]
+            found = [fingerprint(t, words, seed) for t in batch.column(len(keys)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.int64())], names=["doc", "fp"]
+                [*batch.columns[: len(keys)], pa.array(found, pa.int64())], names=[*keys, "fp"]
             )
 
-    return texts(docs).mapInArrow(run, "doc long, fp long")
+    schema = ", ".join(f"{c} long" for c in [*keys, "fp"])
+    return rows.select(*keys, "text").mapInArrow(run, schema)
 
 
 def ring(bits: int, segments: int, differing: int) -> tuple[int, list[tuple[int, int]]]:
@@ -144,17 +154,38 @@ def links(nodes: DataFrame, differing: int = 2, segments: int = SEGMENTS) -> Dat
     return pairs.union(stars).distinct()
 
 
+def rooted(nodes: DataFrame, differing: int) -> DataFrame:
+    """The columns of ``nodes`` with ``root``, a fingerprint that names the component."""
+    found = connected_components(links(nodes, differing))
+    return nodes.join(found, nodes.fp == found.node, "left").select(
+        *nodes.columns, F.coalesce("root", "fp").alias("root")
+    )
+
+
 def components(docs: DataFrame, words: int = 3, seed: int = 42, differing: int = 2) -> DataFrame:
     """Per row: doc_id, fingerprint, component_id (smallest id its links lead to)."""
-    rows = stored(fingerprints(docs, words, seed), "simhash-fingerprints")
+    rows = stored(fingerprints(texts(docs), words, seed), "simhash-fingerprints")
     real = F.when(F.col("doc") != NULL_ID, F.col("doc"))
     nodes = stored(rows.groupBy("fp").agg(F.min(real).alias("least")), "simhash-nodes")
-    found = connected_components(links(nodes, differing))
-    rooted = nodes.join(found, nodes.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(least, "root").select("fp", "component_id")
+    with_root = rooted(nodes, differing)
+    least = with_root.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_fp = with_root.join(least, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
         id_back(), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def deduplicate(docs: DataFrame, words: int = 3, seed: int = 42, differing: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one of each component, that with the
+    smallest id (null last; of equal ids the smallest hash of the row)."""
+    rows = stored(fingerprints(marked(docs), words, seed), "simhash-rows")
+    one = F.struct((F.col("doc") == NULL_ID).alias("missing"), "doc", "mark", "twin")
+    nodes = stored(rows.groupBy("fp").agg(F.min(one).alias("least")), "simhash-nodes")
+    roots = stored(rooted(nodes, differing), "simhash-roots")
+    first = stored(roots.groupBy("root").agg(F.min("least").alias("first")), "simhash-first")
+    stays = stored(roots.join(first, "root").select("fp", "first"), "simhash-stays")
+    decided = rows.join(stays, "fp")
+    here = (F.col("mark") == F.col("first.mark")) & (F.col("twin") == F.col("first.twin"))
+    gone = decided.where(~here).select("mark", "twin").distinct()
+    twice = decided.where(here).groupBy("mark", "twin").count().where("count > 1").drop("count")
+    return without(docs, gone, twice, BROADCAST_ROWS)
