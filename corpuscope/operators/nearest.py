@@ -10,6 +10,10 @@ against a block of questions with numpy and emits at most k rows per question.
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,10 +26,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from corpuscope.config import EngineConfig
 from corpuscope.functions.topk import DECIMALS, score_batches
-from corpuscope.operators.filters import problem
+from corpuscope.operators.filters import problem, to_column
 from corpuscope.session import materialize_for_join
 
 METRICS = ("cosine", "l2", "terms")
+#: Different filters of a batch that are looked for in the scan already.
+MOST_FILTERS = 64
 
 
 def _vector_columns(kind: str) -> list[str]:
@@ -131,6 +137,21 @@ def _look_at(questions: DataFrame, kind: str, rows: DataFrame) -> tuple[int, lis
     return int(seen[0]), [name for name in named if name != "row_id"]
 
 
+def _wanted_by_any(questions: DataFrame, rows: DataFrame, attributes: list[str]) -> DataFrame:
+    """Rows that the filter of at least one question lets through.
+
+    Only if every question has a filter, and there are at most MOST_FILTERS different ones: then
+    what they have in common is a predicate of the scan. The questions' own filters are
+    applied when scoring, so the result is the same without it.
+    """
+    if not attributes:
+        return rows
+    found = questions.select("filter").distinct().limit(MOST_FILTERS + 1).collect()
+    if len(found) > MOST_FILTERS or any(not r[0] for r in found):
+        return rows
+    return rows.where(reduce(or_, (to_column(json.loads(r[0])) for r in found), F.lit(False)))
+
+
 def _result_schema(questions: DataFrame, rows: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -165,6 +186,7 @@ def nearest(
     size, attribute_names = _look_at(questions, kind, rows)
     rows = rows.select("row_id", *_vector_columns(kind), *attribute_names)
     rows = rows.where(F.col(_vector_columns(kind)[0]).isNotNull())
+    rows = _wanted_by_any(questions, rows, attribute_names)
     if size <= config.broadcast_bytes:
         candidates = _against_broadcast(questions, rows, k, kind, config)
     else:

@@ -374,6 +374,13 @@ SELECT * FROM topk
     "vector_topk_cells": f"""
 WITH {_VECTOR_TOPK}
 SELECT * FROM topk
+""",
+    "vector_cells_all": f"""
+WITH {_VECTOR_TOPK}
+SELECT * FROM topk
+""",
+    "vector_cells_recall": """
+SELECT 5 * count(*) AS n_expected, true AS enough FROM embeddings
 """,
     "vector_topk_l2": _VECTOR_TOPK_L2,
     "vector_topk_filtered": f"""

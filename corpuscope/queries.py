@@ -19,6 +19,7 @@ from corpuscope.functions.text import WHITESPACE, unix_newlines
 from corpuscope.operators import (
     answers,
     chunks,
+    coarse,
     dictionary,
     evaluation,
     lineage,
@@ -351,6 +352,28 @@ def vector_lsh_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _coarse(spark: SparkSession, sf_dir: str, probes: int, kind: str = "cosine") -> DataFrame:
+    rows = corpora.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "row_id")
+    index = coarse.store(rows, scratch_path(spark, "coarse"), coarse.Cells(cells=32))
+    return coarse.nearest_stored(
+        index, _embedded_questions(spark, sf_dir), EVAL_TOP_K, kind, probes
+    )
+
+
+def vector_cells_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index with all cells probed: exact."""
+    return _coarse(spark, sf_dir, 32)
+
+
+def vector_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some cells probed, against the exact result: at least 0.9 is found.
+
+    The given vectors are nearly without direction, so many cells are needed.
+    """
+    found = recall(_coarse(spark, sf_dir, 20), vector_topk_cosine(spark, sf_dir))
+    return found.select("n_expected", (F.col("recall") >= 0.9).alias("enough"))
+
+
 # --- evaluation --------------------------------------------------------------
 def retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit rate and MRR over all embeddings; a row is right if it has the label
@@ -443,6 +466,8 @@ QUERIES = {
         answer_all_questions,
         vector_mmr,
         vector_lsh_recall,
+        vector_cells_all,
+        vector_cells_recall,
         retrieval_eval,
         retrieval_must_find,
         retrieval_golden,
