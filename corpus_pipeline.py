@@ -2,7 +2,13 @@
 
 A stage takes (spark, docs, sf_dir) and returns rows; each result is written to the shared
 folder and read again as the next stage's docs. All but the last keep the columns of
-documents.
+documents, whatever others there are and however they are named.
+
+Null texts count as empty: toxicity scores them by the bias, exact and near dedup keep one of
+them, decontamination keeps it, packing makes it an end token. Repeated rows are judged
+alike in toxicity, and exact dedup leaves one of them. Of equal or linked texts the row
+with the smallest id stays, null last. Texts are read whole, however long. Empty tables
+pass through.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscope.llm import decontaminate, exact, nearcopies, packing, toxicity
+from corpuscope.llm import decontaminate, exact, packing, simhash, toxicity
 from corpuscope.llm.common import stored
 from corpuscope.llm.queries import tokenizer
 
@@ -28,8 +34,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return nearcopies.deduplicate(docs)
+    """One document of each group whose fingerprints link: three-word shingles, two bits."""
+    return simhash.deduplicate(docs, words=3, differing=2)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
