@@ -360,6 +360,10 @@ SELECT doc_id, term, round(weight, 6) AS weight FROM weights
     "text_topk": f"""
 WITH {_TEXT_TOPK}
 SELECT * FROM topk
+""",
+    "text_topk_postings": f"""
+WITH {_TEXT_TOPK}
+SELECT * FROM topk
 """,
     "answer_context": f"""
 WITH {_TEXT_TOPK}

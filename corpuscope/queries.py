@@ -23,6 +23,7 @@ from corpuscope.operators import (
     dictionary,
     evaluation,
     lineage,
+    postings,
     terms,
     workflows,
 )
@@ -246,6 +247,15 @@ def text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_results(spark, sf_dir)
 
 
+def text_topk_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of text_topk from stored postings: only the questions' terms are read."""
+    docs = _documents(spark, sf_dir)
+    vocabulary = terms.fit(docs)
+    blocks = postings.store(terms.vectors(docs, vocabulary), scratch_path(spark, "postings"))
+    asked = question_vectors(_questions(spark, sf_dir), vocabulary)
+    return postings.nearest_posted(blocks, asked, EVAL_TOP_K)
+
+
 def answer_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = answers.assemble(_text_results(spark, sf_dir), _documents(spark, sf_dir))
     return answered.select(
@@ -457,6 +467,7 @@ QUERIES = {
         chunk_coverage,
         tfidf_weights,
         text_topk,
+        text_topk_postings,
         answer_context,
         vector_topk_cosine,
         vector_topk_l2,
