@@ -5,15 +5,17 @@ a piece goes where the sum of the squares of these counts gets smallest, be it a
 sequence with room or a new one, so that no level piles up. Documents longer than a
 sequence fill whole ones with their front. Once OPEN sequences are open, the next piece is
 cut to close the fullest of them, which bounds what a task holds. At the end of its input
-a task pours its open sequences together, cutting pieces, and what is left over becomes
-sequences whose lengths are powers of two. So nothing is padded.
+a task takes the emptiest of its open sequences apart, their pieces are cut to fill the
+others, and what is left over becomes sequences whose lengths are powers of two. So nothing
+is padded, and the other sequences stay as they were placed.
 
 A sequence's number is its task's number and a count, so numbers are unique without an
 exchange; a task that runs again gives the same numbers.
 
 Cases: null text is empty; an empty text is its end token alone; repeated rows and rows
-without an id are packed each; an empty table gives no rows; columns besides id and text
-are not looked at.
+without an id are packed each; a text is tokenised whole in one task, however long; of
+equally good levels the fullest is taken; an empty table gives no rows; columns besides id
+and text are not looked at.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ class Packer:
         self.level = np.zeros(length + 1, dtype=np.int64)
         self.at: dict[int, list[list]] = {}
         self.open = 0
+        #: Tokens moved after their placement.
+        self.poured = 0
 
     def _take(self, level: int) -> list:
         self.level[level] -= 1
@@ -93,24 +97,48 @@ class Packer:
             yield from self._put(sequence, level + size)
 
     def finish(self):
-        """Yields the rest: full sequences, then lengths that are powers of two."""
-        levels = sorted((k for k, v in self.at.items() for _ in v), reverse=True)
-        pieces = [p for k in levels for p in self._take(k)]
-        left = sum(len(p[2]) // 4 for p in pieces)
-        pieces.reverse()
+        """Yields the rest: full sequences, then lengths that are powers of two.
+
+        The fuller sequences stay as they were placed; only the emptiest are taken apart, and
+        their pieces, cut where needed, fill the room left in the others.
+        """
+        rest = [s for level in sorted(self.at) for s in self.at[level]]
+        size = [sum(len(p[2]) // 4 for p in s) for s in rest]
+        self.at, self.open = {}, 0
+        self.level[:] = 0
+        loose: list[tuple] = []
+        emptiest, fullest = 0, len(rest) - 1
+        while emptiest <= fullest:
+            sequence, room = rest[fullest], self.length - size[fullest]
+            fullest -= 1
+            while room and (loose or emptiest <= fullest):
+                if not loose:
+                    loose = rest[emptiest][::-1]
+                    emptiest += 1
+                room = self._pour(loose, sequence, room)
+            if room:
+                loose = sequence[::-1]
+                break
+            yield sequence
+        left = sum(len(p[2]) // 4 for p in loose)
         while left:
             room = min(self.length, 1 << left.bit_length() - 1)
             left -= room
-            sequence = []
+            sequence: list[tuple] = []
             while room:
-                document, start, ids, total = pieces.pop()
-                n = min(room, len(ids) // 4)
-                sequence.append((document, start, ids[: 4 * n], total))
-                if 4 * n < len(ids):
-                    pieces.append((document, start + n, ids[4 * n :], total))
-                room -= n
+                room = self._pour(loose, sequence, room)
             yield sequence
 
+    def _pour(self, loose: list[tuple], sequence: list[tuple], room: int) -> int:
+        """Moves the last loose piece, or what fits of it; the room left after it."""
+        document, start, ids, total = loose.pop()
+        n = min(room, len(ids) // 4)
+        sequence.append((document, start, ids[: 4 * n], total))
+        if 4 * n < len(ids):
+            loose.append((document, start + n, ids[4 * n :], total))
+        self.poured += n
+        return room - n
+
 
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END) -> DataFrame:
     """Per piece: doc, start, length, ids (little-endian unsigned 32 bit), doc_tokens,
@@ -139,8 +167,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
             number += 1
 
         for batch in batches:
-            for document, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for sequence in packer.add(document, encode(text.as_py()) + last):
+            ids = encode.each(batch.column(1).to_pylist())
+            for document, found in zip(batch.column(0).to_pylist(), ids):
+                for sequence in packer.add(document, found + last):
                     note(sequence)
                 if len(rows) > 2000:
                     yield written()

@@ -2,8 +2,8 @@
 
 The tokenizer splits a text into words first and encodes each alone, so equal words have
 equal ids. Texts whose characters fold and split the same way under Python's rules are
-split here, and only words not met before go to the tokenizer. All other texts go to it
-whole.
+split here, and the words of many texts that were not met before go to the tokenizer in
+one call. All other texts go to it whole.
 """
 
 from __future__ import annotations
@@ -12,10 +12,18 @@ import functools
 import os
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
-WORDS = 400_000
+from corpuscope.llm.common import slices
+
+#: Bytes of words that are remembered, about, and what each has besides its own.
+REMEMBERED, OVERHEAD = 96 << 20, 200
+#: Words longer than this are not remembered.
+LONG = 64
+#: Characters of texts that are encoded together.
+TOGETHER = 1 << 18
 #: Characters below this code point have a lower case below it too, and NFC leaves them.
 LAST = 0x180
 
@@ -32,7 +40,41 @@ SPLIT = re.compile(
 )
 #: White space is told differently for separators, and a dotted capital I grows; "<|" may
 #: begin a special token.
-OTHER = re.compile(f"[^\\x00-{chr(LAST - 1)}]|[\\x1c-\\x1fİ]|<\\|")
+SEPARATORS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"<|")
+OTHER = re.compile(f"[^\\x00-{chr(LAST - 1)}]|[\\x1c-\\x1f\u0130]|<\\|")
+#: Stands between words that are encoded in one call; its id is no part of any other token.
+BAR = "|"
+
+
+def plain(text: str) -> bool:
+    """Whether a text may be split under Python's rules."""
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return OTHER.search(text) is None
+    return not any(s in data for s in SEPARATORS)
+
+
+class Memory:
+    """Ids of words; forgotten together once they take too much."""
+
+    def __init__(self):
+        self.ids: dict[str, bytes] = {}
+        self.held = 0
+
+    def learn(self, words: list[str], ids: list[bytes]) -> None:
+        self.ids.update(zip(words, ids))
+        self.held += OVERHEAD * len(words) + sum(map(len, words)) + sum(map(len, ids))
+
+    def shed(self, words: list[str]) -> None:
+        """Forgets the long ones, or all."""
+        if self.held > REMEMBERED:
+            self.ids.clear()
+            self.held = 0
+            return
+        for w in words:
+            if len(w) > LONG:
+                self.held -= OVERHEAD + len(w) + len(self.ids.pop(w))
 
 
 class Encoder:
@@ -41,25 +83,49 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        (self.bar,) = self.tokenizer.encode(BAR, add_special_tokens=False).ids
+        self.words = Memory()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if OTHER.search(text):
-            return self._whole([text])[0]
-        words = SPLIT.findall(text.lower())
-        known = self.known
-        new = [w for w in set(words) if w not in known]
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of SPLIT, in one text with a mark between them."""
+        barred = [w for w in words if BAR in w]
+        if barred:
+            apart = dict(zip(barred, self._whole(barred)))
+            free = [w for w in words if BAR not in w]
+            found = dict(zip(free, self._words(free))) if free else {}
+            return [apart[w] if w in apart else found[w] for w in words]
+        ids = np.frombuffer(self._whole([f" {BAR} ".join(words)])[0], dtype="<u4")
+        cut = 4 * np.flatnonzero(ids == self.bar)
+        if len(cut) != len(words) - 1:
+            return self._whole(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *(cut + 4).tolist()], [*cut.tolist(), len(data)])]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        whole = [not plain(t) for t in texts]
+        split = [[] if w else SPLIT.findall(t.lower()) for t, w in zip(texts, whole)]
+        new = list(set().union(*split).difference(self.words.ids))
         if new:
-            if len(known) > WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._whole(new)))
-        return b"".join(map(known.__getitem__, words))
+            self.words.learn(new, self._words(new))
+        get = self.words.ids.__getitem__
+        out = [
+            self._whole([t])[0] if w else b"".join(map(get, s))
+            for t, w, s in zip(texts, whole, split)
+        ]
+        self.words.shed(new)
+        return out
+
+    def each(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        for a, b in slices([len(t) + 1 for t in texts], TOGETHER):
+            yield from self._together(texts[a:b])
+
+    def __call__(self, text: str) -> bytes:
+        return self._together([text])[0]
 
 
 @functools.cache
