@@ -1,8 +1,9 @@
 """Overlapping text chunks.
 
-``windows`` cuts text that has no separators and stays in the JVM. ``parse``
-prefers paragraph, line and word borders; it works on offsets into the text of
-one file, so no piece is copied before its chunk is final.
+``windows`` cuts text that has no separators. ``recursive`` prefers paragraph, line and word
+borders; a text is split at the coarsest border, pieces that are too long at the next one,
+and runs of the others are packed by a fold that carries where the chunk begins. Both stay in the
+JVM. ``split`` is the same in Python, on offsets into the text of one file.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from corpuscope.config import CHUNK_OVERLAP, CHUNK_SIZE
 from corpuscope.functions.arrays import let
 from corpuscope.functions.parsing import Parser
+from corpuscope.functions.text import strip
 from corpuscope.model import DOC_ARRAY, doc, no_docs
 
 # Borders tried from coarse to fine; after them single characters.
@@ -107,6 +109,114 @@ def parser(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Parser:
     return Parser(lambda text: split(text, size, overlap), T.ArrayType(T.StringType()))
 
 
+def _pieces(text: Column, border: str) -> Column:
+    """Parts of a text; a border opens a part."""
+
+    def opened(parts: Column) -> Column:
+        whole = F.transform(
+            parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit(border), p))
+        )
+        return F.when(
+            F.get(parts, F.lit(0)) == "", F.slice(whole, F.lit(2), F.size(whole))
+        ).otherwise(whole)
+
+    return let(F.split(text, border, -1), opened)
+
+
+def _packed(pieces: Column, size: int, overlap: int) -> Column:
+    """Chunks of consecutive pieces, each shorter than ``size``."""
+
+    def fold(lengths: Column) -> Column:
+        def step(state: Column, last: Column) -> Column:
+            begin = state["end"]
+            end = begin + F.get(lengths, last - 1)
+            full = (end - state["from"] > size) & (state["first"] < last - 1)
+
+            def later(s: Column, length: Column) -> Column:
+                far = (begin - s["from"] > overlap) | (end - s["from"] > size)
+                return F.when(
+                    far,
+                    F.struct((s["first"] + 1).alias("first"), (s["from"] + length).alias("from")),
+                ).otherwise(s)
+
+            # Only pieces of the chunk that is full are looked at again.
+            moved = F.aggregate(
+                F.slice(lengths, state["first"] + 1, last - 1 - state["first"]),
+                F.struct(state["first"].alias("first"), state["from"].alias("from")),
+                later,
+            )
+            span = F.struct(state["first"].alias("first"), (last - 1).alias("last"))
+            same = F.struct(
+                state["first"].alias("first"), state["from"].alias("from"), end.alias("end"),
+                state["spans"].alias("spans"),
+            )
+            return F.when(
+                full,
+                let(
+                    moved,
+                    lambda m: F.struct(
+                        m["first"].alias("first"), m["from"].alias("from"), end.alias("end"),
+                        F.concat(state["spans"], F.array(span)).alias("spans"),
+                    ),
+                ),
+            ).otherwise(same)
+
+        none = F.array().cast("array<struct<first:int,last:int>>")
+        zero = F.lit(0)
+        start = F.struct(
+            zero.alias("first"), zero.alias("from"), zero.alias("end"), none.alias("spans")
+        )
+        n = F.size(pieces)
+
+        def spans(state: Column) -> Column:
+            rest = F.struct(state["first"].alias("first"), n.alias("last"))
+            return F.concat(state["spans"], F.array(rest))
+
+        found = F.aggregate(F.sequence(F.lit(1), n), start, step, spans)
+        return F.transform(
+            found,
+            lambda s: F.array_join(F.slice(pieces, s["first"] + 1, s["last"] - s["first"]), ""),
+        )
+
+    return let(F.transform(pieces, F.char_length), fold)
+
+
+def _level(text: Column, level: int, size: int, overlap: int) -> Column:
+    """Chunks of a text that may be split at the borders from ``level`` on."""
+    if level == len(BORDERS):
+        return windows(text, size, overlap)
+
+    def grouped(pieces: Column) -> Column:
+        n = F.size(pieces)
+        long = lambda k: F.char_length(F.get(pieces, k)) >= size
+        starts = F.filter(
+            F.sequence(F.lit(0), n - 1), lambda k: (k == 0) | long(k) | long(k - 1)
+        )
+
+        def chunks_of(begin: Column, end: Column) -> Column:
+            first = F.get(pieces, begin)
+            return F.when(
+                F.char_length(first) >= size, _level(first, level + 1, size, overlap)
+            ).otherwise(let(F.slice(pieces, begin + 1, end - begin), lambda p: _packed(p, size, overlap)))
+
+        return let(
+            starts,
+            lambda s: F.flatten(
+                F.transform(s, lambda b, i: chunks_of(b, F.coalesce(F.get(s, i + 1), n)))
+            ),
+        )
+
+    return let(_pieces(text, BORDERS[level]), grouped)
+
+
+def recursive(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
+    """``array<string>`` as ``split`` gives it, without leaving the JVM."""
+    found = F.when(F.char_length(text) > 0, _level(text, 0, size, overlap)).otherwise(
+        F.array().cast("array<string>")
+    )
+    return F.filter(F.transform(found, strip), lambda c: c != "")
+
+
 def documents(parsed: Column) -> Column:
     chunks = F.transform(parsed, lambda c: doc(kind=F.lit("chunk"), page_content=c))
     return F.coalesce(chunks.cast(DOC_ARRAY), no_docs())

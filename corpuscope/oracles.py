@@ -177,6 +177,87 @@ golden AS (
   FROM embeddings)
 """
 
+# Pieces of a text at each border, the long ones again at the next. Consecutive short pieces
+# are a run; a recursive step finds where the next chunk of a run ends and where the one after it
+# begins. A long piece without borders is cut into windows.
+_CHUNKS = """
+texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS text FROM documents),
+l0 AS (
+  SELECT doc_id, i AS a, 0 AS b, 0 AS c, piece FROM (
+    SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i,
+           CASE WHEN i = 1 THEN part ELSE chr(10) || chr(10) || part END AS piece
+    FROM (SELECT doc_id, string_split(text, chr(10) || chr(10)) AS parts FROM texts))
+  WHERE piece <> ''),
+l1 AS (
+  SELECT doc_id, a, i AS b, 0 AS c, piece FROM (
+    SELECT doc_id, a, unnest(parts) AS part, generate_subscripts(parts, 1) AS i,
+           CASE WHEN i = 1 THEN part ELSE chr(10) || part END AS piece
+    FROM (SELECT doc_id, a, string_split(piece, chr(10)) AS parts FROM l0 WHERE length(piece) >= 1000))
+  WHERE piece <> ''),
+l2 AS (
+  SELECT doc_id, a, b, i AS c, piece FROM (
+    SELECT doc_id, a, b, unnest(parts) AS part, generate_subscripts(parts, 1) AS i,
+           CASE WHEN i = 1 THEN part ELSE ' ' || part END AS piece
+    FROM (SELECT doc_id, a, b, string_split(piece, ' ') AS parts FROM l1 WHERE length(piece) >= 1000))
+  WHERE piece <> ''),
+leaves AS (
+  SELECT *, 0 AS level FROM l0 UNION ALL SELECT *, 1 FROM l1 UNION ALL SELECT *, 2 FROM l2),
+short AS (
+  SELECT *, row_number() OVER w - count(*) FILTER (short) OVER w AS run FROM (
+    SELECT *, length(piece) < 1000 AS short,
+           [level, CASE WHEN level > 0 THEN a END, CASE WHEN level > 1 THEN b END] AS parent
+    FROM leaves)
+  WINDOW w AS (PARTITION BY doc_id, parent ORDER BY a, b, c)),
+placed AS (
+  SELECT doc_id, parent, run, a, b, c, piece, row_number() OVER w AS k,
+         sum(length(piece)) OVER w AS upto, sum(length(piece)) OVER w - length(piece) AS since
+  FROM short WHERE short
+  WINDOW w AS (PARTITION BY doc_id, parent, run ORDER BY a, b, c)),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY doc_id, parent, run) AS r,
+         count(*) OVER (PARTITION BY doc_id, parent, run) AS n
+  FROM placed),
+cut AS (
+  SELECT r, 1::BIGINT AS head, 0::BIGINT AS tail, 1::BIGINT AS next_head, n, 1::BIGINT AS seen
+  FROM numbered WHERE k = 1
+  UNION ALL
+  SELECT r, head, tail, next_head, n, seen FROM (
+    SELECT x.r, x.next_head AS head, coalesce(x.last - 1, x.n) AS tail, x.n,
+           coalesce(x.last, x.n + 1) AS seen,
+           CASE WHEN x.last IS NULL THEN x.n + 1 ELSE (
+             SELECT min(p.k) FROM numbered p
+             WHERE p.r = x.r AND p.k >= x.next_head
+               AND (p.k = x.last OR (x.begin_ - p.since <= 200 AND x.end_ - p.since <= 1000))) END
+             AS next_head
+    FROM (
+      SELECT s.r, s.next_head, s.n, min(p.k) AS last, min(p.since) AS begin_, min(p.upto) AS end_
+      FROM cut s JOIN numbered f ON f.r = s.r AND f.k = s.next_head
+      LEFT JOIN numbered p ON p.r = s.r AND p.k >= s.seen AND p.k > s.next_head + 0
+                          AND p.upto - f.since > 1000
+      WHERE s.next_head <= s.n GROUP BY s.r, s.next_head, s.n) x)),
+runs AS (
+  SELECT doc_id, min(a) AS a, min(b) AS b, min(c) AS c, head AS i,
+         string_agg(piece, '' ORDER BY k) AS chunk
+  FROM cut JOIN numbered USING (r) WHERE tail > 0 AND k BETWEEN head AND tail
+  GROUP BY doc_id, r, head, tail),
+windows AS (
+  SELECT doc_id, a, b, c, i, substring(piece, i * 800 + 1, 1000) AS chunk
+  FROM (SELECT *, unnest(range(greatest(CAST(ceil((length(piece) - 1000) / 800.0) AS BIGINT), 0) + 1)) AS i
+        FROM l2 WHERE length(piece) >= 1000)),
+chunks AS (
+  SELECT doc_id, a, b, c, i, regexp_replace(chunk, '^[BLANKS]+|[BLANKS]+$', '', 'g') AS chunk
+  FROM (SELECT * FROM runs UNION ALL SELECT * FROM windows))
+""".replace("BLANKS", BLANKS)
+
+_CHUNK_RECURSIVE = f"""
+WITH RECURSIVE {_CHUNKS}
+SELECT '/text/' || doc_id || '.md' AS source,
+       CAST(row_number() OVER (PARTITION BY doc_id ORDER BY a, b, c, i) - 1 AS INTEGER) AS ordinal,
+       chunk AS page_content
+FROM chunks WHERE chunk <> ''
+"""
+
 ORACLES = {
     "raw_documents": f"""
 WITH {_TEXT_FILES}
@@ -349,6 +430,8 @@ numbered AS (
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, substring(t, i * 800 + 1, 1000) AS chunk
 FROM numbered
 """,
+    "chunk_recursive": _CHUNK_RECURSIVE,
+    "chunk_recursive_columns": _CHUNK_RECURSIVE,
     "chunk_coverage": f"""
 SELECT doc_id, md5(regexp_replace(text, '[{BLANKS}]+', '', 'g')) AS digest, true AS all_fit
 FROM documents
@@ -378,6 +461,28 @@ SELECT * FROM topk
     "vector_topk_cells": f"""
 WITH {_VECTOR_TOPK}
 SELECT * FROM topk
+""",
+    "latent_topk": """
+WITH tok AS (
+  SELECT p_partkey AS id, unnest(string_split_regex(lower(p_name), '[^\\p{L}\\p{N}_]+')) AS term
+  FROM part),
+tf AS (SELECT id, term, count(*) AS tf FROM tok WHERE term <> '' GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+size AS (SELECT count(*) + 1.0::DOUBLE AS n FROM part),
+raw AS (SELECT id, term, tf * ln(n / (df + 1)) AS w FROM tf JOIN df USING (term) CROSS JOIN size),
+weights AS (
+  SELECT id, term, w / nullif(sqrt(sum(w * w) OVER (PARTITION BY id)), 0) AS weight FROM raw),
+near AS (
+  SELECT q.id AS query_id, d.id AS row_id, sum(q.weight * d.weight) AS score
+  FROM weights q JOIN weights d USING (term) WHERE q.id % 20 = 0 GROUP BY ALL),
+scored AS (
+  SELECT q.p_partkey AS query_id, d.p_partkey AS row_id, round(coalesce(score, 0), 6) AS score
+  FROM part q CROSS JOIN part d
+  LEFT JOIN near ON near.query_id = q.p_partkey AND near.row_id = d.p_partkey
+  WHERE q.p_partkey % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id)
+                      AS INTEGER) AS rank, row_id, score
+FROM scored QUALIFY rank <= 40
 """,
     "vector_cells_all": f"""
 WITH {_VECTOR_TOPK}

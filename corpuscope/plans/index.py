@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from corpuscope.config import EngineConfig
 from corpuscope.model import DOCUMENT_SCHEMA, WARNING_KIND
-from corpuscope.operators import terms
+from corpuscope.operators import coarse, latent, postings, terms
 from corpuscope.plans.ingest import ingest_repository
 from corpuscope.sources.collections import (
     CURRENT,
@@ -37,9 +37,16 @@ def write_collection(
     root: str,
     config: EngineConfig = EngineConfig(),
     vectoriser: Vectoriser | None = None,
+    dense: int | None = None,
+    cells: coarse.Cells | None = None,
+    blocks: postings.Shape | None = None,
 ) -> bool:
     """Store ingested rows as ``config.collection``; False if there are no documents.
 
+    Besides term vectors a collection may have dense vectors, from a ``vectoriser`` or its own
+    of ``dense`` columns, a coarse index over them (``cells``), and postings in the order of
+    their impact (``blocks``).
+
     Documents and warnings come from the same pass over the files. The new version is
     used once all of it is written. Without documents the collection stays as it is, and
     the warnings are kept beside it (``latest_warnings``).
@@ -73,8 +80,29 @@ def write_collection(
     if vectoriser is not None:
         documents = vectoriser(documents)
         kept.append("embedding")
-    write(terms.vectors(documents, vocabulary, config=config, keep=tuple(kept)), "vectors")
-    now = (time.time_ns(), version, vocabulary.n_docs, vocabulary.n_terms, vocabulary.n_pairs)
+    vectors = write(terms.vectors(documents, vocabulary, config=config, keep=tuple(kept)), "vectors")
+
+    def path(table: str) -> str:
+        return collection_path(root, table, name, version)
+
+    parts = []
+    if dense is not None and vectoriser is None:
+        model = latent.fit(vectors, vocabulary, dense)
+        latent.store(spark, model, path("latent"))
+        embedded = latent.embed(vectors, model).withColumn(
+            "embedding", F.col("embedding").cast("array<float>")
+        )
+        vectors = write(embedded.drop("terms", "weights"), "dense")
+        parts.append("latent")
+    if cells is not None and "embedding" in vectors.columns:
+        coarse.store(vectors.drop("terms", "weights"), path("cells"), cells)
+        parts.append("cells")
+    if blocks is not None:
+        own = read_part(spark, root, "vectors", name, version)
+        postings.store(own.select("row_id", "terms", "weights"), path("postings"), blocks)
+        parts.append("postings")
+    counted = (vocabulary.n_docs, vocabulary.n_terms, vocabulary.n_pairs)
+    now = (time.time_ns(), version, *counted, ",".join(parts))
     pointer = spark.createDataFrame([now], CURRENT_SCHEMA).coalesce(1)
     pointer.write.mode("append").parquet(collection_path(root, CURRENT, name))
     return True
@@ -87,9 +115,11 @@ def index_repository(
     config: EngineConfig = EngineConfig(),
     vectoriser: Vectoriser | None = None,
     processors=None,
+    **options,
 ) -> Collection | None:
-    """Read, ingest and store a repository; None if nothing was found."""
+    """Read, ingest and store a repository; None if nothing was found. ``options`` are those of
+    ``write_collection``."""
     rows = ingest_repository(spark, repository, config, processors)
-    if not write_collection(rows, root, config, vectoriser):
+    if not write_collection(rows, root, config, vectoriser, **options):
         return None
     return open_collection(spark, root, config.collection)

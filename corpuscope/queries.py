@@ -22,6 +22,7 @@ from corpuscope.operators import (
     coarse,
     dictionary,
     evaluation,
+    latent,
     lineage,
     postings,
     terms,
@@ -198,6 +199,15 @@ def chunk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source", "ordinal", "page_content")
 
 
+def chunk_recursive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks of chunk_recursive by built-in functions only."""
+    text = unix_newlines(F.coalesce(F.col("text"), F.lit("")))
+    return corpora.spread_table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("/text/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("source"),
+        F.posexplode(chunks.recursive(text)).alias("ordinal", "page_content"),
+    )
+
+
 def chunk_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks without overlap, joined again, are the whole text but for blanks."""
     files = corpora.spread_table(spark, sf_dir, "documents").select(
@@ -384,6 +394,18 @@ def vector_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("n_expected", (F.col("recall") >= 0.9).alias("enough"))
 
 
+def latent_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names by dense vectors of the corpus's own. The names have fewer words than the
+    vectors have columns, so similarities are those of the term weights."""
+    docs = corpora.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("row_id"), F.col("p_name").alias("page_content")
+    )
+    vocabulary, model = latent.fit_documents(docs, rank=32)
+    rows = latent.embed(terms.vectors(docs, vocabulary), model).select("row_id", "embedding")
+    asked = rows.where(F.col("row_id") % 20 == 0).withColumnRenamed("row_id", "query_id")
+    return nearest(asked, rows, 40)
+
+
 # --- evaluation --------------------------------------------------------------
 def retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit rate and MRR over all embeddings; a row is right if it has the label
@@ -464,6 +486,7 @@ QUERIES = {
         union_hybrid,
         chunk_windows,
         chunk_recursive,
+        chunk_recursive_columns,
         chunk_coverage,
         tfidf_weights,
         text_topk,
@@ -479,6 +502,7 @@ QUERIES = {
         vector_lsh_recall,
         vector_cells_all,
         vector_cells_recall,
+        latent_topk,
         retrieval_eval,
         retrieval_must_find,
         retrieval_golden,

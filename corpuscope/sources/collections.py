@@ -14,11 +14,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuscope.operators.coarse import CoarseIndex, open_index
+from corpuscope.operators.latent import Latent, load
+from corpuscope.operators.postings import open_blocks
 from corpuscope.operators.terms import Vocabulary
 
-
 CURRENT = "current"
-CURRENT_SCHEMA = "at long, version string, n_docs long, n_terms long, n_pairs long"
+CURRENT_SCHEMA = (
+    "at long, version string, n_docs long, n_terms long, n_pairs long, parts string"
+)
 
 
 def collection_path(root: str, table: str, collection: str, version: str | None = None) -> str:
@@ -29,10 +33,16 @@ def collection_path(root: str, table: str, collection: str, version: str | None
 
 
 def read_part(
-    spark: SparkSession, root: str, table: str, collection: str, version: str | None = None
+    spark: SparkSession,
+    root: str,
+    table: str,
+    collection: str,
+    version: str | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(collection_path(root, table, collection, version))
+        return reader.parquet(collection_path(root, table, collection, version))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(
@@ -48,23 +58,43 @@ class Collection:
     warnings: DataFrame  # path, class, message
     vectors: DataFrame  # row_id, metadata, terms, weights, optionally embedding
     vocabulary: Vocabulary
+    latent: Latent | None = None  # model of the collection's own dense vectors
+    dense: DataFrame | None = None  # row_id, metadata, embedding
+    cells: CoarseIndex | None = None  # the same rows by cell
+    postings: DataFrame | None = None  # blocks of the term vectors
 
 
 def open_collection(spark: SparkSession, root: str, collection: str) -> Collection:
     """The stored collection; ``FileNotFoundError`` if it was never indexed."""
-    now = read_part(spark, root, CURRENT, collection).orderBy(F.desc("at"), "version").first()
+    pointers = read_part(spark, root, CURRENT, collection, schema=CURRENT_SCHEMA)
+    now = pointers.orderBy(F.desc("at"), "version").first()
+    parts = (now.parts or "").split(",")
 
     def part(table: str) -> DataFrame:
         return read_part(spark, root, table, collection, now.version)
 
     rows = part("documents").withColumn("collection", F.lit(collection))
     vocabulary = Vocabulary(part("vocabulary"), now.n_docs, now.n_terms, now.n_pairs)
+    path = lambda table: collection_path(root, table, collection, now.version)
+    vectors = part("vectors").withColumn("collection", F.lit(collection))
+    dense = vectors if "embedding" in vectors.columns else None
+    cells = blocks = None
+    if "latent" in parts:
+        dense = part("dense").withColumn("collection", F.lit(collection))
+    if "cells" in parts:
+        cells = open_index(spark, path("cells"))
+    if "postings" in parts:
+        blocks = open_blocks(spark, path("postings"), vectors.schema["row_id"].dataType)
     return Collection(
         collection,
         rows.where(F.col("record") == "document").drop("record"),
         warning_rows(rows.where(F.col("record") == "warning")),
-        part("vectors").withColumn("collection", F.lit(collection)),
+        vectors,
         vocabulary,
+        load(spark, path("latent")) if "latent" in parts else None,
+        dense,
+        cells,
+        blocks,
     )
 
 

@@ -1,9 +1,12 @@
+import random
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpuscope.functions.arrays import counts, runs
-from corpuscope.operators.chunks import split, windows
+from corpuscope.operators.chunks import recursive, split, windows
 
 WORDS = st.text(alphabet="ab \n", max_size=400)
 
@@ -60,3 +63,23 @@ def test_counts_and_runs(spark, groups):
     for group, row in zip(groups, got):
         assert [(c.term, c.tf) for c in row.c] == [(t, group.count(t)) for t in sorted(set(group))]
         assert row.r == [[t] * group.count(t) for t in sorted(set(group))]
+
+
+def random_texts(seed=3, n=120):
+    rng = random.Random(seed)
+    parts = ["word", " ", " ", "\n", "\n\n", "\n\n\n", "x" * 990, "y" * 1000, "z" * 2500, "é ", "\t", "  ", "　", "a b\nc"]
+    texts = ["", " ", "\n\n", "\n\n\n\n", " a", "q" * 1000, "q" * 1001, "\n\n" + "r " * 700, ("s" * 999 + "\n") * 5]
+    for _ in range(n):
+        weights = [rng.random() for _ in parts]
+        texts.append("".join(rng.choices(parts, weights, k=rng.randrange(1, 400))))
+    return texts
+
+
+@pytest.mark.parametrize("size,overlap", [(1000, 200), (50, 20), (7, 3), (5, 0)])
+def test_columns_split_as_python_does(spark, size, overlap):
+    texts = random_texts()
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(4)
+    got = rows.select("id", recursive(F.col("text"), size, overlap).alias("c")).collect()
+    for r in got:
+        assert r.c == split(texts[r.id], size, overlap), texts[r.id][:200]
+    assert len(got) == len(texts)
