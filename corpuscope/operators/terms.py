@@ -46,6 +46,19 @@ def frequencies(docs: DataFrame, text: str = "page_content") -> DataFrame:
     )
 
 
+def frequencies_of(counted: DataFrame) -> DataFrame:
+    """``term, df`` of stored term counts; no text is read again."""
+    rows = counted.select(F.explode("counts.term").alias("term"))
+    return rows.groupBy("term").agg(F.count("*").alias("df"))
+
+
+def changed_frequencies(before: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """``term, df`` after rows came and went: signed differences, nothing else is counted."""
+    minus = removed.select("term", (-F.col("df")).alias("df"))
+    rows = before.select("term", "df").unionByName(added).unionByName(minus)
+    return rows.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+
+
 def vocabulary_of(table: DataFrame, n_docs: int) -> Vocabulary:
     size = table.agg(F.count("*"), F.coalesce(F.sum("df"), F.lit(0))).first()
     return Vocabulary(table, n_docs, int(size[0]), int(size[1]))
@@ -140,7 +153,17 @@ def vectors(
     Documents without terms have empty arrays. While the vocabulary can be broadcast
     nothing is shuffled; beyond that only the rare terms are.
     """
-    counted = term_counts(docs, text, keep)
+    return weighted(term_counts(docs, text, keep), vocabulary, config, keep)
+
+
+def weighted(
+    counted: DataFrame,
+    vocabulary: Vocabulary,
+    config: EngineConfig = EngineConfig(),
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """The same from ``row_id, *keep, counts``."""
+    counted = counted.select("row_id", *keep, "counts")
     cut = _frequent_cut(vocabulary, config)
     frequent = vocabulary.table.where(F.col("df") >= cut)
     parts = _frequent_weights(counted, frequent, vocabulary.n_docs, complete=cut == 0)

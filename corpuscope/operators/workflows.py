@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuscope.functions import budget
 from corpuscope.functions.arrays import let, runs
 from corpuscope.functions.parsing import OPTION, Parser, option, text_of
 from corpuscope.functions.text import given, given_or_null, strip
@@ -40,7 +41,7 @@ DAG = T.StructType(
 )
 PARSED = T.StructType(
     [
-        T.StructField("status", T.StringType()),  # ok | invalid_syntax | unexpected
+        T.StructField("status", T.StringType()),  # ok | invalid_syntax | too_large | unexpected
         T.StructField("error", T.StringType()),
         T.StructField("dags", T.ArrayType(DAG)),
     ]
@@ -89,7 +90,10 @@ def _dag(index: int, content: dict) -> dict:
 
 def parse(text: str) -> dict:
     try:
+        budget.check(text)
         contents = list(yaml.load_all(text, Loader=_LOADER))
+    except budget.TooLarge as problem:
+        return {"status": "too_large", "error": text_of(problem), "dags": []}
     except yaml.YAMLError as problem:
         return {"status": "invalid_syntax", "error": text_of(problem), "dags": []}
     except Exception as problem:  # e.g. an impossible date, or too deep nesting

@@ -332,6 +332,16 @@ WITH {_BATCHES}
 SELECT DISTINCT source AS path, 'unexpected' AS class FROM flagged WHERE first_bad IS NOT NULL
 UNION ALL
 SELECT '/py/' || p_partkey || '.py', 'unexpected' FROM part WHERE p_partkey % 11 = 0
+""",
+    "nested_file_docs": """
+WITH file AS (
+  SELECT *, '/nested/' || s_suppkey || '.yaml' AS source, s_suppkey % 8 >= 5 AS large FROM supplier)
+SELECT source, 0::INTEGER AS ordinal, 'raw' AS kind, 'raw:' || source AS doc_id,
+       NULL::VARCHAR AS content_type FROM file
+UNION ALL
+SELECT source, 1::INTEGER, CASE WHEN large THEN 'warning' ELSE 'dag_summary' END,
+       CASE WHEN NOT large THEN s_name || ':__DAG_SUMMARY__' END,
+       CASE WHEN large THEN 'too_large' END FROM file
 """,
     "dictionary_table_docs": f"""
 WITH {_DICTIONARY}
@@ -563,5 +573,20 @@ counted AS (
 SELECT kind, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_ids,
        CAST(sum(n) AS BIGINT) AS n_vectors
 FROM counted GROUP BY kind
+""",
+    "index_update": f"""
+WITH {_PY},
+left_ AS (
+  SELECT source, p_partkey, CASE WHEN p_partkey % 10 = 3 THEN ['altered_' || p_partkey]
+           ELSE list_sort(['lib_' || (p_size % 7), 'lib_' || (p_size % 5) || '.sub',
+                           'pkg_' || (p_size % 3)]) END AS libraries
+  FROM py WHERE p_partkey % 10 <> 4 AND (p_partkey % 10 = 3 OR p_partkey % 11 <> 0)),
+texts AS (
+  SELECT source, 'This Python script imports the following libraries: '
+           || array_to_string(libraries, ', ') || '.' AS page_content FROM left_)
+SELECT source, 1::INTEGER AS ordinal, page_content,
+       CAST(len(list_distinct(list_filter(string_split_regex(lower(page_content),
+            '[^\\p{{L}}\\p{{N}}_]+'), lambda t: t <> ''))) AS INTEGER) AS n_terms
+FROM texts
 """,
 }

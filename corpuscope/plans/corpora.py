@@ -163,6 +163,30 @@ def faulty_workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One workflow per supplier with lists of ten aliases each, up to six levels of them, or
+    brackets in brackets."""
+    level = F.pmod(F.col("s_suppkey"), F.lit(8)).cast("int")
+    name = lambda k: F.concat(F.lit("x"), k.cast("string"))
+
+    def line(k: Column) -> Column:
+        item = F.when(k == 0, F.lit("lol")).otherwise(F.concat(F.lit("*"), name(k - 1)))
+        return F.concat(
+            name(k), F.lit(": &"), name(k), F.lit(" ["),
+            F.array_join(F.array_repeat(item, 10), ", "), F.lit("]\n"),
+        )
+
+    aliases = F.array_join(F.transform(F.sequence(F.lit(0), level), line), "")
+    brackets = F.concat(F.lit("deep: "), F.repeat(F.lit("["), 3000), F.repeat(F.lit("]"), 3000), F.lit("\n"))
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("/nested/"), F.col("s_suppkey").cast("string"), F.lit(".yaml")).alias("path"),
+        F.concat(
+            F.when(level == 7, brackets).otherwise(aliases),
+            F.lit("dag:\n  dag_id: "), _quoted(F.col("s_name")), F.lit("\n"),
+        ).alias("content"),
+    )
+
+
 def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dictionary per nation and block of customer keys; columns are customers
     in descending key order."""

@@ -37,7 +37,7 @@ from corpuscope.operators.nearest import (
 from corpuscope.operators.nearest import question_warnings as find_warnings
 from corpuscope.plans import corpora
 from corpuscope.plans.ask import question_vectors
-from corpuscope.plans.index import write_collection
+from corpuscope.plans.index import update_collection, write_collection
 from corpuscope.plans.ingest import (
     FALLBACK,
     default_processors,
@@ -112,6 +112,12 @@ def file_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_warnings(ingest(files)).select("path", "class")
 
 
+def nested_file_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and warnings of files whose aliases or brackets may not fit the budget."""
+    rows = ingest(corpora.nested_files(spark, sf_dir), processors=_only(".yaml"))
+    return rows.select("source", "ordinal", "kind", "doc_id", "content_type")
+
+
 def dictionary_table_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _rows_of(corpora.dictionary_files(spark, sf_dir), "table", ".json")
     return rows.select("source", "ordinal", "page_content", "schema", "table", "table_description")
@@ -464,6 +470,23 @@ def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index scripts, alter a tenth, take a tenth away, index again what changed."""
+    files = corpora.python_files(spark, sf_dir)
+    key = F.regexp_extract("path", r"(\d+)\.py", 1).cast("long")
+    other = F.concat(F.lit("import altered_"), key.cast("string"), F.lit("\n"))
+    altered = files.where(key % 10 != 4).withColumn(
+        "content", F.when(key % 10 == 3, other).otherwise(F.col("content"))
+    )
+    root = scratch_path(spark, "update")
+    update_collection(files, root)
+    update_collection(altered, root)
+    stored = open_collection(spark, root, EngineConfig().collection)
+    vectors = stored.vectors.select("row_id", F.size("terms").alias("n_terms"))
+    rows = stored.documents.where(F.col("kind") == "python_summary")
+    return rows.join(vectors, "row_id").select("source", "ordinal", "page_content", "n_terms")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -475,6 +498,7 @@ QUERIES = {
         dag_by_schedule,
         dag_fault_prefix,
         file_warnings,
+        nested_file_docs,
         dictionary_table_docs,
         dictionary_column_docs,
         dictionary_rich_docs,
@@ -507,5 +531,6 @@ QUERIES = {
         retrieval_must_find,
         retrieval_golden,
         index_roundtrip,
+        index_update,
     )
 }

@@ -8,7 +8,7 @@ from corpuscope.config import EVAL_TOP_K, EngineConfig
 from corpuscope.operators import evaluation
 from corpuscope.operators.filters import to_json
 from corpuscope.plans.ask import ask, retrieve
-from corpuscope.plans.index import index_repository, write_collection
+from corpuscope.plans.index import index_repository, update_collection, write_collection
 from corpuscope.plans.ingest import ingest
 from corpuscope.sources.collections import latest_warnings, open_collection
 from corpuscope.sources.golden import read_golden
@@ -161,3 +161,74 @@ def test_golden_questions(spark, tmp_path):
         evaluation.per_question(evaluation.mark_expected(results, golden))
     ).first()
     assert row.hit_rate_ok and row.mrr_ok
+
+
+def test_an_update_equals_a_full_index(spark, tmp_path):
+    def files(texts):
+        return spark.createDataFrame(list(texts.items()), "path string, content string")
+
+    first = {f"/p/{k}.py": f"import lib_{k % 5}\n\n\ndef f{k}():\n    '''Does {k % 7} things.'''\n" for k in range(60)}
+    first |= {"/bad.py": "def (:", "/d.yaml": dag("sales", "ana", "0 5 * * 1"), "/skip.txt": "no"}
+    then = {p: t for p, t in first.items() if p not in ("/p/3.py", "/p/4.py")}
+    then |= {"/p/7.py": "import other\n", "/bad.py": "import fixed\n", "/p/9.py": "def (:", "/new.md": "lib_1 is new"}
+    root, whole = str(tmp_path / "inc"), str(tmp_path / "full")
+    assert update_collection(files(first), root)
+    assert update_collection(files(then), root)
+    write_collection(ingest(files(then)), whole)
+    a, b = (open_collection(spark, r, "default") for r in (root, whole))
+    key = lambda df: sorted(map(str, (r.asDict(True) for r in df.collect())))
+    assert key(a.documents) == key(b.documents)
+    assert key(a.warnings) == key(b.warnings) and a.warnings.count() == 1
+    assert key(a.vocabulary.table) == key(b.vocabulary.table)
+    assert (a.vocabulary.n_docs, a.vocabulary.n_terms, a.vocabulary.n_pairs) == (
+        b.vocabulary.n_docs, b.vocabulary.n_terms, b.vocabulary.n_pairs
+    )
+    columns = b.vectors.columns
+    assert key(a.vectors.select(columns)) == key(b.vectors)
+    # Nothing differs: nothing is parsed, and the collection stays what it is.
+    assert update_collection(files(then), root)
+    assert key(open_collection(spark, root, "default").vectors.select(columns)) == key(b.vectors)
+    assert not update_collection(files({"/x.txt": "none"}), root)
+    assert open_collection(spark, root, "default").documents.count() == b.documents.count()
+
+
+def test_only_changed_files_are_parsed(spark, tmp_path):
+    """A processor that fails on any content it has been given before."""
+    from corpuscope.functions.parsing import Parser
+    from corpuscope.model import doc
+    from corpuscope.plans.ingest import Processor
+    from pyspark.sql import types as T
+
+    folder = tmp_path / "seen"
+    folder.mkdir()
+
+    def parse(text):
+        # One empty file per parse of a text.
+        name = str(len(text)) + "-" + text.strip().replace(" ", "_")
+        open(os.path.join(str(folder), f"{name}-{os.getpid()}-{os.urandom(4).hex()}"), "w").close()
+        return text
+
+    one = Processor(
+        lambda path, content, parsed: F.array(doc(kind=F.lit("note"), page_content=parsed)),
+        parser=Parser(parse, T.StringType()),
+    )
+    files = lambda texts: spark.createDataFrame(list(texts.items()), "path string, content string")
+    config = EngineConfig(extensions=(".note",))
+    texts = {f"/{k}.note": f"note {k}" for k in range(30)}
+    update_collection(files(texts), str(tmp_path / "s"), config, {".note": one})
+    before = len(os.listdir(folder))
+    texts["/3.note"] = "note changed"
+    update_collection(files(texts), str(tmp_path / "s"), config, {".note": one})
+    new = os.listdir(folder)
+    assert len(new) - before <= 2 and any("note_changed" in n for n in new)
+    found = open_collection(spark, str(tmp_path / "s"), "default")
+    assert found.documents.count() == 30
+
+
+def test_documents_are_counted_by_their_write(spark, tmp_path):
+    texts = {f"/{k}.md": f"text {k}" for k in range(25)} | {"/bad.py": "def (:"}
+    files = spark.createDataFrame(list(texts.items()), "path string, content string")
+    assert write_collection(ingest(files), str(tmp_path))
+    stored = open_collection(spark, str(tmp_path), "default")
+    assert stored.vocabulary.n_docs == stored.documents.count() == 26
+    assert stored.warnings.count() == 1

@@ -170,3 +170,34 @@ def test_large_dag_with_hub(ingest_texts):
     hub = tasks(docs)["hub"].page_content
     assert hub.count(", ") == n - 1 + 0 and hub.endswith(f"t{n - 1}.")
     assert tasks(docs)["t7"].page_content.endswith("before the following task(s): hub.")
+
+
+def bomb(levels):
+    lines = ["x0: &x0 [%s]" % ", ".join(["lol"] * 10)]
+    for k in range(1, levels):
+        lines.append("x%d: &x%d [%s]" % (k, k, ", ".join(["*x%d" % (k - 1)] * 10)))
+    return "\n".join(lines) + "\ndag: {dag_id: *x%d}\n" % (levels - 1)
+
+
+def test_files_beyond_their_budget_are_warnings(ingest_texts):
+    texts = {
+        "/a.yaml": bomb(9),
+        "/b.yaml": "dag: {dag_id: b}\ndeep: " + "[" * 100000,
+        "/c.yaml": "dag: {dag_id: c}\nlist:\n" + "- " * 3000 + "x",
+        "/d.yaml": "dag: &d {dag_id: d, self: *d}",
+        "/e.yaml": "\n".join("  " * k + "k%d:" % k for k in range(600)),
+        "/f.yaml": bomb(2),
+        "/g.yaml": "base: &b {owner: ana}\ndag: {dag_id: g, default_args: {<<: *b}}",
+        "/h.yaml": "dag: {dag_id: h}\nnote: 'a * b & c [ [ ['",
+        "/i.yaml": "dag: {dag_id: *nothing}\nx: &y 1",
+        "/j.yaml": "big: " + "{a: [1, 2]}, " * 300,
+    }
+    docs, found = ingest_texts(texts)
+    classes = {w.source: w.content_type for w in found}
+    assert {p for p, c in classes.items() if c == "too_large"} == {"/a.yaml", "/b.yaml", "/c.yaml", "/d.yaml", "/e.yaml"}
+    assert classes["/i.yaml"] == classes["/j.yaml"] == "invalid_syntax"
+    summaries = {d.source: d.owner for d in docs if d.kind == "dag_summary"}
+    assert set(summaries) == {"/f.yaml", "/g.yaml", "/h.yaml"} and summaries["/g.yaml"] == "ana"
+    assert {d.source for d in docs if d.kind == "raw"} == set(texts)
+    # The longest name that is written out stays within the budget.
+    assert max(len(d.page_content) for d in docs if d.kind != "raw") < 2000
