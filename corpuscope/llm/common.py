@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpuscope.session import materialize_for_join, scratch_path
 
@@ -13,6 +17,27 @@ from corpuscope.session import materialize_for_join, scratch_path
 NULL_ID = -(2**63)
 
 
+def in_tasks(df: DataFrame, run, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` that gives memory back when a task ends: workers are used again by
+    later stages, which need the room."""
+
+    def task(batches):
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Free memory of Python, Arrow and, where there is one to ask, the C library."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, lineage cut,
     readable after the executors that wrote it are lost."""

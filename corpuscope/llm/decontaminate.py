@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import id_back, slices, texts
+from corpuscope.llm.common import id_back, in_tasks, slices, texts
 
 ITEMS = 256
 TERMS = 8_192
@@ -175,7 +175,7 @@ def count(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]
             [pa.array(np.r_[-1, met]), pa.array(np.r_[total, found[met]])], names=["term", "n"]
         )
 
-    rows = texts(docs).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n"))
+    rows = in_tasks(texts(docs), run, "term long, n long").groupBy("term").agg(F.sum("n"))
     found = np.zeros(len(vocabulary) + 1, dtype=np.int64)
     for term, n in rows.collect():
         found[term] = n
@@ -238,9 +238,10 @@ def project(docs: DataFrame, block: Block) -> np.ndarray:
 
     schema = "term long, row binary"
     summed = np.zeros((len(block.vocabulary), width))
-    partial = texts(docs).mapInArrow(run, schema)
-    for r in partial.repartition("term").mapInArrow(total, schema).toLocalIterator():
+    partial = in_tasks(texts(docs), run, schema)
+    for r in in_tasks(partial.repartition("term"), total, schema).toLocalIterator():
         summed[r.term] = np.frombuffer(r.row, np.float64)
+    shared.destroy()
     return summed
 
 
@@ -380,7 +381,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         names=["doc", "item", "start", "cosine", "lcs", "answer"],
                     )
 
-        found = found.union(texts(docs).mapInArrow(run, schema))
+        found = found.union(in_tasks(texts(docs), run, schema))
     best = F.max(F.struct("lcs", "answer", "cosine", (-F.col("start")).alias("start")))
     return found.groupBy("doc", "item").agg(best.alias("b")).select(
         "doc", "item", (-F.col("b.start")).alias("start"), "b.cosine", "b.lcs", "b.answer"
@@ -400,7 +401,7 @@ def reject(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 clean = [not leaks for leaks in found]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        left = left.mapInArrow(run, docs.schema)
+        left = in_tasks(left, run, docs.schema)
     return left
 
 

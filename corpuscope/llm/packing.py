@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import id_back, texts
+from corpuscope.llm.common import id_back, in_tasks, texts
 from corpuscope.llm.tokens import encoder
 
 LENGTH = 4096
@@ -179,7 +179,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
         if rows:
             yield written()
 
-    return texts(docs).mapInArrow(
+    return in_tasks(
+        texts(docs),
         run,
         "doc long, start long, length long, ids binary, doc_tokens long, sequence_id long,"
         " offset long",

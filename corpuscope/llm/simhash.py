@@ -26,6 +26,7 @@ from corpuscope.llm.common import (
     NULL_ID,
     connected_components,
     id_back,
+    in_tasks,
     marked,
     stored,
     texts,
@@ -81,7 +82,7 @@ def fingerprints(rows: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
             )
 
     schema = ", ".join(f"{c} long" for c in [*keys, "fp"])
-    return rows.select(*keys, "text").mapInArrow(run, schema)
+    return in_tasks(rows.select(*keys, "text"), run, schema)
 
 
 def ring(bits: int, segments: int, differing: int) -> tuple[int, list[tuple[int, int]]]:

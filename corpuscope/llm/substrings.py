@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.common import id_back, marked, slices, stored
+from corpuscope.llm.common import id_back, in_tasks, marked, slices, stored
 from corpuscope.llm.windows import CHUNK, GRAM, Strings, anchors
 
 WINDOW = 200
@@ -102,7 +102,7 @@ def scan(docs: DataFrame, window: int) -> DataFrame:
                     names=["gram", "run", "mark", "twin", "span", "start"],
                 )
 
-    return marked(docs).select("mark", "twin", "text").mapInArrow(run, RUNS)
+    return in_tasks(marked(docs).select("mark", "twin", "text"), run, RUNS)
 
 
 def beside(docs: DataFrame, lists: DataFrame, rows: int, how: str) -> DataFrame:

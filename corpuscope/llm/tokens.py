@@ -19,7 +19,7 @@ import numpy as np
 from corpuscope.llm.common import slices
 
 #: Bytes of words that are remembered, about, and what each has besides its own.
-REMEMBERED, OVERHEAD = 96 << 20, 200
+REMEMBERED, OVERHEAD = 40 << 20, 200
 #: Words longer than this are not remembered.
 LONG = 64
 #: Characters of texts that are encoded together.

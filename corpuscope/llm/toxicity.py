@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscope.llm import classifier
-from corpuscope.llm.common import NULL_ID, id_back, id_key, texts
+from corpuscope.llm.common import NULL_ID, give_back, id_back, id_key, in_tasks, texts
 
 MEMBERS = 8
 #: Documents per classifier.
 POSITIVE = 500
 UNLABELLED = 1_500
-KNOWN = 200_000
+KNOWN = 100_000
 HELD_OUT = 2
 THRESHOLD = 0.3
 
@@ -66,8 +66,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float] |
         unlabelled = rows.text[~rows.positive].tolist()
         if not positive or not unlabelled:
             return _frame({}, 0.0, 0)
-        weights, bias = classifier.train(positive, unlabelled, prior)
-        return _frame(weights, bias, 1)
+        found = _frame(*classifier.train(positive, unlabelled, prior), 1)
+        give_back()
+        return found
 
     found = sample.groupBy("member").applyInPandas(
         train, "feature string, weight double, member int"
@@ -136,7 +137,7 @@ def score(docs: DataFrame, model) -> DataFrame:
                 [batch.column(0), pa.array(found, pa.float64())], names=["doc", "score"]
             )
 
-    return texts(docs).mapInArrow(run, "doc long, score double")
+    return in_tasks(texts(docs), run, "doc long, score double")
 
 
 def reject(docs: DataFrame, model, threshold: float) -> DataFrame:
@@ -150,7 +151,7 @@ def reject(docs: DataFrame, model, threshold: float) -> DataFrame:
             keep = [one(t.as_py() or "") < threshold for t in batch.column(place)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_tasks(docs, run, docs.schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -67,7 +67,9 @@ def test_every_operator_and_the_pipeline_is_registered():
 def test_near_dedup_keeps_one_whole_row(spark):
     from corpuscope.llm import simhash
 
-    rows = cases.corpus() + [(-99, "seen three times as the same row")] * 3
+    # Two groups with one smallest id could not be told apart here.
+    rows = [r for r in cases.corpus() if r[1] != "other text of the same id"]
+    rows += [(-99, "seen three times as the same row")] * 3
     docs = cases.frame(spark, rows, clashing=True)
     left = simhash.deduplicate(docs)
     assert left.columns == docs.columns
