@@ -11,9 +11,10 @@ Of records with equal payloads the one with the smallest page id is a response,
 are revisits of it; their block keeps the HTTP head, with the length of the payload.
 
 Cases: null html is the empty payload; a null URL is written as the page's own name; a
-null page id comes before all others; rows that repeat page id, URL and payload of a
-response are responses as well; an empty table gives no files and no rows; columns besides
-page id, URL and html are not looked at.
+null page id comes after all others, a null URL before; of rows that repeat page id, URL and
+payload one is the response, the others revisit it; a record is compressed in one piece,
+however long; an empty table gives no files and no rows; columns besides page id, URL and
+html are not looked at.
 """
 
 from __future__ import annotations
@@ -27,15 +28,17 @@ import zlib
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpuscope.llm.common import id_back, id_key, stored
+from corpuscope.llm.common import NULL_ID, id_back, id_key, stored
 from corpuscope.session import materialize_for_join, scratch_path
 
 GAP = 64 << 10
 RANGE = 8 << 20
+#: Bytes of archives that a reading task fetches, about.
+TASK = 32 << 20
 BROADCAST_ROWS = 500_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -100,22 +103,37 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
     )
     key = [F.sha1("payload").alias("sha"), F.octet_length("payload").alias("octets")]
+    first = F.struct((F.col("page") == NULL_ID).alias("missing"), "page", "url")
     groups = (
         rows.select("page", "url", *key)
         .where(F.col("octets") >= least_bytes)
+        .groupBy("sha", "octets", "page", "url")
+        .agg(F.count("*").alias("n"))
         .groupBy("sha", "octets")
-        .agg(F.min(F.struct("page", "url")).alias("first"), F.count("*").alias("n"))
+        .agg(F.min(first).alias("first"), F.min_by("n", first).alias("same"), F.sum("n").alias("n"))
         .where("n > 1")
     )
     groups = materialize_for_join(groups.drop("n"), BROADCAST_ROWS)
-    revisits = ~F.struct("page", "url").eqNullSafe(F.col("first"))
-    decided = rows.select("*", *key).join(groups, ["sha", "octets"], "left").select(
-        "page",
-        "url",
-        "payload",
-        F.when(F.col("first").isNotNull() & revisits, F.col("first.page")).alias("refers"),
-        F.col("first.url").alias("refers_url"),
+    joined = rows.select("*", *key).join(groups, ["sha", "octets"], "left")
+    is_first = F.coalesce(
+        (F.col("page") == F.col("first.page")) & F.col("url").eqNullSafe(F.col("first.url")),
+        F.lit(False),
     )
+    several = is_first & (F.col("same") > 1)
+
+    def settled(df: DataFrame, refers: Column) -> DataFrame:
+        return df.select(
+            "page", "url", "payload", refers.alias("refers"), F.col("first.url").alias("refers_url")
+        )
+
+    decided = settled(joined.where(~several), F.when(~is_first, F.col("first.page")))
+    if not groups.where("same > 1").isEmpty():
+        # Equal rows: one of them is taken, and written as often as it was there.
+        once = joined.where(several).dropDuplicates(["sha", "octets", "page", "url"])
+        copies = once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "same")))
+        decided = decided.union(
+            settled(copies, F.when(F.col("copy") > 1, F.col("first.page")))
+        )
 
     def run(batches):
         from pyarrow import fs
@@ -162,6 +180,10 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
         .groupBy("file", "range")
         .agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("records"))
     )
+    # Ranges are dealt out by the bytes they stand for, not by the size of their own rows.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    ranges = ranges.repartition(max(cores, -(-total // TASK)), "file", "range")
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
     names = ["page", "payload_bytes", "payload_digest", "record_type", "refers", "payload"]
 

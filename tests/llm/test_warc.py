@@ -17,6 +17,9 @@ SCHEMA = "page_id long, url string, html string, page string, sha string, first
 def pages():
     rows = [(i, f"http://a.example/{i % 7}?q={i} x", t) for i, (_, t) in enumerate(cases.corpus(n=30))]
     rows += [(900 + i, None, "same page\r\n\r\nwith breaks") for i in range(40)]
+    # An id-less copy, and the response's own row several times.
+    rows += [(None, "http://n.example", "same page\r\n\r\nwith breaks")] + [rows[-40]] * 3
+    rows += [(None, None, "twice without id")] * 2
     return rows + [(None, "http://null.example", "no id"), (990, "http://b\r\n.example", None)]
 
 
@@ -30,11 +33,13 @@ def test_round_trip(spark, least):
     groups = collections.defaultdict(list)
     for p, _, h in rows:
         groups[(h or "").encode()].append(p)
-    want = []
+    want, responded = [], set()
     for p, _, h in rows:
         data = (h or "").encode()
-        first = min(groups[data], key=lambda x: (x is not None, x))
-        again = len(data) >= least and p != first
+        first = min(groups[data], key=lambda x: (x is None, x or 0))
+        again = len(data) >= least and (p != first or data in responded)
+        if p == first:
+            responded.add(data)
         want.append((str(p), len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
                      "revisit" if again else "response", str(first) if again else "None"))
     got = warc.report(frame(spark, rows), least).collect()
