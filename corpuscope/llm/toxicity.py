@@ -8,7 +8,8 @@ labels outside that quarter. Scoring reads all rows and whole texts, inside each
 
 Cases: null text is empty; texts without known words get the score of the bias; a null id
 is not held out; repeated rows are scored each; ids with several labels count as toxic if
-one says so, null labels are left out; without a toxic label all scores are 0; an empty
+one says so, null labels and labels without an id are left out; of several texts of one id
+that with the smallest hash is learnt from; texts are scored whole, however long; without a toxic label all scores are 0; an empty
 table gives no rows. Language, source and id are no inputs of a score.
 """
 
@@ -38,7 +39,8 @@ def held_out(column: str) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float] | None:
     """({feature: weight}, bias), or None without a toxic label."""
-    mine = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id"))
+    known = F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
+    mine = labels.where(known & ~held_out("doc_id"))
     mine = mine.groupBy(id_key("doc_id").alias("doc")).agg(F.max("toxic").alias("toxic"))
     total, toxic = mine.agg(F.count("*"), F.sum("toxic")).first()
     if not toxic:
@@ -57,7 +59,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float] |
     sample = (
         texts(docs)
         .join(F.broadcast(chosen), "doc")
-        .dropDuplicates(["doc", "positive"])
+        .groupBy("doc", "positive")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
         .withColumn("member", F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(members)))
     )
 

@@ -67,3 +67,19 @@ def test_nothing_to_learn_from(spark):
     assert toxicity.report(cases.empty(spark), none).count() == 0
     some = spark.createDataFrame([(1, 1, 1)], none.schema)
     assert toxicity.report(cases.empty(spark), some).count() == 0
+
+
+def test_choice_of_text_and_labels_is_fixed(spark):
+    """Several texts of one id, in any order, and labels without an id change nothing."""
+    rows, labels = toxic_corpus()
+    rows += [(10000 + i, "another text of this id %d" % i) for i in range(0, 600, 6)]
+    labels += [(None, 1, 1)] * 5
+    models = []
+    for order in (1, -1):
+        docs = cases.frame(spark, rows[::order]).repartition(3)
+        marked = spark.createDataFrame(labels[::order], "doc_id long, quality int, toxic int")
+        weights, bias = toxicity.fit(docs, marked)
+        models.append((bias, sorted(weights.items())))
+    assert abs(models[0][0] - models[1][0]) < 1e-9
+    assert [f for f, _ in models[0][1]] == [f for f, _ in models[1][1]]
+    assert np.allclose([w for _, w in models[0][1]], [w for _, w in models[1][1]], atol=1e-9)
