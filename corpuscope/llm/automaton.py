@@ -26,6 +26,17 @@ class _Builder:
         self.free.append([])
         return len(self.moves) - 1
 
+    def turn(self) -> None:
+        """Every move and free move the other way round."""
+        moves, free = self.moves, self.free
+        self.moves, self.free = [[] for _ in moves], [[] for _ in free]
+        for state, out in enumerate(moves):
+            for chosen, to in out:
+                self.moves[to].append((chosen, state))
+        for state, out in enumerate(free):
+            for to in out:
+                self.free[to].append(state)
+
     def pattern(self, text: str) -> tuple[int, int]:
         self.text, self.at = text, 0
         ends = self._choice()
@@ -139,16 +150,23 @@ class Automaton:
     width: int
     found: np.ndarray  #: state -> bits of the patterns that end here, uint32
     resets: np.ndarray  #: byte -> whether it leads to the start from everywhere
+    dead: int  #: state that nothing leads out of, or -1
 
 
-def compiled(patterns: list[str]) -> Automaton:
+def compiled(patterns: list[str], anchored: bool = False, backward: bool = False) -> Automaton:
+    """Searches at every place, or with ``anchored`` only at the first. With ``backward`` it reads
+    from right to left and reports where matches begin."""
     builder = _Builder()
     root = builder.state()
     final = {}
+    firsts = []
     for k, text in enumerate(patterns):
         first, last = builder.pattern(text)
-        builder.free[root].append(first)
-        final[last] = 1 << k
+        firsts.append(last if backward else first)
+        final[first if backward else last] = 1 << k
+    if backward:
+        builder.turn()
+    builder.free[root] += firsts
 
     sets = list(dict.fromkeys(c for moves in builder.moves for c, _ in moves))
     told = [tuple(b in s for s in sets) for b in range(256)]
@@ -172,7 +190,8 @@ def compiled(patterns: list[str]) -> Automaton:
     for states in todo:
         row = []
         for b in sample:
-            target = closure({t for s in states for c, t in builder.moves[s] if b in c}) | start
+            target = closure({t for s in states for c, t in builder.moves[s] if b in c})
+            target = target if anchored else target | start
             if target not in known:
                 known[target] = len(todo)
                 todo.append(target)
@@ -195,35 +214,131 @@ def compiled(patterns: list[str]) -> Automaton:
     block = rank[block]
     step = block[step[np.sort(order)]]
     found = found[np.sort(order)]
+    stuck = np.flatnonzero((step == np.arange(len(step))[:, None]).all(axis=1) & (found == 0))
     return Automaton(
         columns,
         step.astype(np.int32).ravel(),
         step.shape[1],
         found,
         (step == 0).all(axis=0)[columns],
+        int(stuck[0]) if anchored and len(stuck) else -1,
     )
 
 
-def scan(machine: Automaton, data: np.ndarray, lane: int = 1024):
+class Spans:
+    """Spans of several patterns, read off transition arrays: leftmost, longest, without overlap.
+
+    One pass from right to left tells where matches begin; from the first beginning not yet
+    passed an anchored automaton of the pattern alone runs on to the last place it can end at.
+    """
+
+    def __init__(self, patterns: list[str]):
+        self.back = _Listed(compiled(patterns, backward=True))
+        self.ahead = [_Listed(compiled([p], anchored=True)) for p in patterns]
+
+    def __call__(self, data: bytes, begin: int, end: int, wanted: int):
+        """(start, pattern, end) of the patterns whose bits are in ``wanted``."""
+        starts: dict[int, list[int]] = {k: [] for k in range(len(self.ahead)) if wanted >> k & 1}
+        step, columns, width, found = self.back.parts
+        state = 0
+        for at in range(end - 1, begin - 1, -1):
+            state = step[state * width + columns[data[at]]]
+            hit = found[state] & wanted
+            while hit:
+                starts[(hit & -hit).bit_length() - 1].append(at)
+                hit &= hit - 1
+        for k, places in starts.items():
+            passed = begin
+            for at in reversed(places):
+                if at >= passed:
+                    passed = self.ahead[k].longest(data, at, end)
+                    yield at, k, passed
+
+
+class _Listed:
+    """An automaton as lists, for one text at a time."""
+
+    def __init__(self, machine: Automaton):
+        self.dead = machine.dead
+        self.parts = (
+            machine.step.tolist(), machine.columns.tolist(), machine.width, machine.found.tolist(),
+        )
+
+    def longest(self, data: bytes, at: int, end: int) -> int:
+        """Last place behind ``at`` where the pattern ends, or ``at``."""
+        step, columns, width, found = self.parts
+        state, last = 0, at
+        for place in range(at, end):
+            state = step[state * width + columns[data[place]]]
+            if state == self.dead:
+                break
+            if found[state]:
+                last = place + 1
+        return last
+
+
+def scan(machine: Automaton, data: np.ndarray, lane: int = 1024, most: int = 4096):
     """(start, end, bits) of the lanes of ``data`` in which patterns end.
 
     The buffer is cut behind bytes after which nothing can go on, into lanes of about
-    equal length that take each step together; every byte is read once.
+    equal length that take each step together; every byte is read once. Lanes longer than
+    ``most`` are cut anywhere. The parts start as if nothing had gone before; where the part in
+    front ends in another state, a part is read again up to where both ways agree.
     """
     columns = machine.columns[data]
     stops = np.flatnonzero(machine.resets[data]) + 1
     wanted = np.searchsorted(stops, np.arange(lane, len(data), lane))
     cuts = np.unique(np.r_[0, stops[wanted[wanted < len(stops)]], len(data)])
     begin, size = cuts[:-1], np.diff(cuts)
-    order = np.argsort(-size, kind="stable")
-    begin, size = begin[order], size[order]
-    state = np.zeros(len(begin), dtype=np.int32)
-    bits = np.zeros(len(begin), dtype=np.uint32)
-    active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
+    parts = -(-size // most)
+    owner = np.repeat(np.arange(len(begin)), parts)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+    start = begin[owner] + number * most
+    length = np.minimum(most, size[owner] - number * most)
+    order = np.argsort(-length, kind="stable")
+    at, left = start[order], length[order]
+    state = np.zeros(len(at), dtype=np.int32)
+    bits = np.zeros(len(at), dtype=np.uint32)
+    # States in the first steps of parts that follow others.
+    later = number[order] > 0
+    trail = np.full((AGREE, int(later.sum())), -1, dtype=np.int32)
+    active = np.searchsorted(-left, -np.arange(left[0] if len(left) else 0), side="left")
     for t, n in enumerate(active):
-        now = machine.step[state[:n] * machine.width + columns[begin[:n] + t]]
+        now = machine.step[state[:n] * machine.width + columns[at[:n] + t]]
         state[:n] = now
         bits[:n] |= machine.found[now]
-    hit = np.flatnonzero(bits)
-    hit = hit[np.argsort(begin[hit])]
-    return begin[hit], begin[hit] + size[hit], bits[hit]
+        if t < AGREE and trail.shape[1]:
+            held = later[:n]
+            trail[t, : int(held.sum())] = now[held]
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    state, bits = state[back], bits[back]
+    if trail.shape[1]:
+        _mend(machine, columns, start, length, number, state, bits, trail, back, later)
+    found = np.bitwise_or.reduceat(bits, np.cumsum(parts) - parts) if len(begin) else bits
+    hit = np.flatnonzero(found)
+    return begin[hit], begin[hit] + size[hit], found[hit]
+
+
+#: Steps in which a part read again may agree with its first reading.
+AGREE = 64
+
+
+def _mend(machine, columns, start, length, number, state, bits, trail, back, later) -> None:
+    """Reads parts again whose predecessor does not end in the start."""
+    place = np.cumsum(later) - 1
+    step, found, width = machine.step.tolist(), machine.found.tolist(), machine.width
+    for p in np.flatnonzero(number > 0).tolist():
+        now = int(state[p - 1])
+        if not now:
+            continue
+        first = trail[:, place[back[p]]].tolist()
+        seen = 0
+        for t, column in enumerate(columns[start[p] : start[p] + length[p]].tolist()):
+            now = step[now * width + column]
+            seen |= found[now]
+            if t < AGREE and now == first[t]:
+                break
+        else:
+            state[p] = now
+        bits[p] |= np.uint32(seen)

@@ -1,18 +1,19 @@
 """Secrets in texts, found by one automaton for all rules.
 
 All rules are compiled into one transition array (``automaton.py``) that reads each byte
-once. Where it reports a rule, the rule's expression gives the spans, leftmost first and
-without overlap; nothing else of the text is looked at again. A lane ends behind a byte no
-rule can pass, so no match, wanted or not, crosses its border.
+once. Only where it reports a rule, transition arrays give the spans: one that reads backward
+tells where matches begin, and one of the rule alone how far they reach, leftmost first and
+without overlap. A lane ends behind a byte no rule can pass, so no match, wanted or not, crosses
+its border; a text without such bytes is cut into parts that are read side by side.
 
-Cases: null text is empty and has no spans; repeated rows are reported each; an empty
+Cases: null text is empty and has no spans; repeated rows are reported each; texts are scanned
+whole, however long; spans of several kinds at one place are in the order of the rules; an empty
 table gives no rows; columns besides id and text are not looked at. Places are counted in
 code points, ends exclusive.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscope.llm.automaton import compiled, scan
+from corpuscope.llm.automaton import Spans, compiled, scan
 from corpuscope.llm.common import id_back, slices, texts
 
 BYTES = 1 << 20
@@ -36,17 +37,17 @@ class Rule:
     #: What the automaton looks for: a string that every span of the rule has. Counting far is
     #: left to ``spans`` where the counts of several rules would multiply the states.
     pattern: str
-    #: Gives the spans; of group ``group`` at least ``least`` bytes.
+    #: Gives the spans; behind ``lead`` they have at least ``least`` bytes.
     spans: str
     least: int = 0
-    group: int = 0
+    lead: str = ""
 
 
 KEYS = "|".join([*map(either, ("password", "passwd", "secret", "token")), "[Aa][Pp][Ii]_?[Kk][Ee][Yy]"])
-GLUE = r"""["']?\x20*[:=]\x20*["']?"""
+LEAD = f"({KEYS})" + r"""["']?\x20*[:=]\x20*["']?"""
 
 BASE = (
-    Rule("assign", f"({KEYS}){GLUE}[A-Za-z0-9+/_.=-]{{6,}}", f"({KEYS}){GLUE}([A-Za-z0-9+/_.=-]+)", 6, 2),
+    Rule("assign", f"{LEAD}[A-Za-z0-9+/_.=-]{{6,}}", f"{LEAD}[A-Za-z0-9+/_.=-]+", 6, LEAD),
     Rule("access", "AKIA[A-Z0-9]", "AKIA[A-Z0-9]+", 20),
     Rule("hex", "[0-9a-f]{24,}", "[0-9a-f]+", 24),
 )
@@ -60,14 +61,14 @@ RULES = BASE + MORE
 def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc, spans): per row, array of (kind, start, end) by start, then order of rules."""
     machine = compiled([r.pattern for r in rules])
-    exact = [re.compile(r.spans.encode()) for r in rules]
+    exact = Spans([r.spans for r in rules])
+    leads = [Spans([r.lead]).ahead[0] if r.lead else None for r in rules]
 
     def spans_in(data: bytes, begin: int, end: int, bits: int):
-        for k, rule in enumerate(rules):
-            if bits >> k & 1:
-                for m in exact[k].finditer(data, begin, end):
-                    if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                        yield m.start(), k, m.end()
+        for s, k, e in exact(data, begin, end, bits):
+            own = leads[k].longest(data, s, e) if leads[k] else s
+            if e - own >= rules[k].least:
+                yield s, k, e
 
     def run(batches):
         for batch in batches:

@@ -78,3 +78,35 @@ def test_lanes_do_not_change_what_is_found():
 
 def test_empty_table(spark):
     assert secrets.report(cases.empty(spark)).count() == 0
+
+
+def test_spans_are_read_off_transition_arrays():
+    patterns = [r.spans for r in secrets.RULES]
+    spans, rng = automaton.Spans(patterns), random.Random(11)
+    for _ in range(500):
+        data = noisy(rng).encode()
+        want = sorted((m.start(), k, m.end()) for k, p in enumerate(patterns) for m in re.finditer(p.encode(), data))
+        assert sorted(spans(data, 0, len(data), (1 << len(patterns)) - 1)) == want
+
+
+@pytest.mark.parametrize("most", [1, 3, 50, 4096])
+def test_long_lanes_are_cut_without_loss(most):
+    machine = automaton.compiled([r.pattern for r in secrets.RULES])
+    rng = random.Random(13)
+    for _ in range(60):
+        body = "".join(rng.choice(["token = ", "abcdef0123456789", "word ", "AKIA", "AKIAB1", "ghp_x", "password:", "zz9 ", "é"]) for _ in range(rng.randrange(1, 80)))
+        data = np.frombuffer(body.encode() + b"\n", np.uint8)
+        whole = [(int(a), int(b), int(c)) for a, b, c in zip(*automaton.scan(machine, data, 64, 1 << 20))]
+        assert [(int(a), int(b), int(c)) for a, b, c in zip(*automaton.scan(machine, data, 64, most))] == whole
+
+
+@pytest.mark.parametrize("unit", ["word and more words ", "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo0123456789"])
+def test_long_texts_without_line_ends_take_little_time(unit):
+    import time
+
+    machine = automaton.compiled([r.pattern for r in secrets.RULES])
+    data = (unit * (4_000_000 // len(unit)) + " token = abcdefgh").encode()
+    begin = time.process_time()
+    found = automaton.scan(machine, np.frombuffer(data + b"\n", np.uint8))
+    assert time.process_time() - begin < 2.4  # 100 MB in a minute
+    assert int(np.bitwise_or.reduce(found[2])) & 1
