@@ -62,10 +62,13 @@ def explode_documents(df: DataFrame, docs: Column) -> DataFrame:
     ``df`` must have a ``path`` column. Nothing is shuffled.
     """
     rows = df.select(F.col("path").alias("source"), F.posexplode(docs).alias("ordinal", "d"))
-    row_id = F.sha2(
-        F.concat_ws("|", "source", F.col("d.kind"), F.col("ordinal").cast("string")), 256
-    )
-    return rows.select(row_id.alias("row_id"), "source", "ordinal", "d.*")
+    return with_row_id(rows.select("source", "ordinal", "d.*"))
+
+
+def with_row_id(rows: DataFrame) -> DataFrame:
+    """The canonical columns of rows with ``source, ordinal`` and the document fields."""
+    key = F.concat_ws("|", "source", "kind", F.col("ordinal").cast("string"))
+    return rows.select(F.sha2(key, 256).alias("row_id"), "source", "ordinal", *DOC_FIELDS)
 
 
 DOCUMENT_SCHEMA = T.StructType(

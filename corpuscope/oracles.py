@@ -332,6 +332,18 @@ WITH {_BATCHES}
 SELECT DISTINCT source AS path, 'unexpected' AS class FROM flagged WHERE first_bad IS NOT NULL
 UNION ALL
 SELECT '/py/' || p_partkey || '.py', 'unexpected' FROM part WHERE p_partkey % 11 = 0
+""",
+    "table_function_docs": """
+WITH file AS (SELECT *, '/settings/' || s_suppkey || '.ini' AS source FROM supplier)
+SELECT source, 0::INTEGER AS ordinal, 'section' AS kind, 'supplier' AS doc_id,
+       NULL::VARCHAR AS content_type, 'Section ''supplier'' sets name, nation.' AS page_content
+FROM file
+UNION ALL
+SELECT source, 1::INTEGER, 'section', 'level ' || (s_suppkey % 3), NULL,
+       'Section ''level ' || (s_suppkey % 3) || ''' sets depth.' FROM file
+UNION ALL
+SELECT source, 2::INTEGER, 'warning', NULL, 'unexpected', 'no value: without value'
+FROM file WHERE s_suppkey % 7 = 0
 """,
     "nested_file_docs": """
 WITH file AS (

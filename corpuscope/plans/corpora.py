@@ -163,6 +163,20 @@ def faulty_workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def settings_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of settings per supplier; a line of some has no value."""
+    key = F.col("s_suppkey")
+    broken = F.when(key % 7 == 0, F.lit("[late]\nwithout value\n[never]\nx = 1\n")).otherwise(F.lit(""))
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("/settings/"), key.cast("string"), F.lit(".ini")).alias("path"),
+        F.concat(
+            F.lit("; settings\n[supplier]\nname = "), "s_name", F.lit("\nnation="),
+            F.col("s_nationkey").cast("string"), F.lit("\n\n[level "), (key % 3).cast("string"),
+            F.lit("]\ndepth = 1\n"), broken,
+        ).alias("content"),
+    )
+
+
 def nested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One workflow per supplier with lists of ten aliases each, up to six levels of them, or
     brackets in brackets."""

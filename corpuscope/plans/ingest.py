@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from corpuscope.functions.parsing import Parser, with_parsed
 from corpuscope.functions.text import extension, has_suffix, unix_newlines
 from corpuscope.model import DOC_ARRAY, WARNING_KIND, explode_documents, no_docs, warning
 from corpuscope.operators import chunks, dictionary, lineage, pycode, workflows
+from corpuscope.plans.table_functions import table_documents
 from corpuscope.sources.repo_files import read_repository
 
 # Key of the processor for every extension that has none of its own.
@@ -72,12 +74,24 @@ def with_extension(files: DataFrame, suffixes: tuple[str, ...]) -> DataFrame:
 def ingest(
     files: DataFrame,
     config: EngineConfig = EngineConfig(),
-    processors: Mapping[str, Processor] | None = None,
+    processors: Mapping[str, Processor | type] | None = None,
 ) -> DataFrame:
-    """Document rows and warning rows (kind ``warning``) of all files."""
+    """Document rows and warning rows (kind ``warning``) of all files.
+
+    A processor may also be a Python table function (``table_functions.py``).
+    """
     registry = dict(processors or default_processors(config))
-    fallback = registry.pop(FALLBACK, None)
     files = with_extension(files, config.extensions)
+    functions = {k: registry.pop(k) for k, p in list(registry.items()) if isinstance(p, type)}
+    parts = [table_documents(files.where(F.col("ext") == k), p) for k, p in functions.items()]
+    if registry:
+        others = files.where(~F.col("ext").isin(list(functions))) if functions else files
+        parts.append(_ingest(others, registry))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ingest(files: DataFrame, registry: dict[str, Processor]) -> DataFrame:
+    fallback = registry.pop(FALLBACK, None)
     # The key a file is dispatched on; the fallback takes everything else.
     key = F.when(F.col("ext").isin(list(registry)), F.col("ext")).otherwise(F.lit(FALLBACK))
     files = files.withColumn("ext", key)

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeResult
 
 from corpuscope.config import (
     CHUNK_SIZE,
@@ -112,6 +114,35 @@ def file_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_warnings(ingest(files)).select("path", "class")
 
 
+class SettingsSections:
+    """An own processor: the sections of a file of settings, and what they set."""
+
+    @staticmethod
+    def analyze(path, content) -> AnalyzeResult:
+        fields = ("kind", "doc_id", "page_content")
+        return AnalyzeResult(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+
+    def eval(self, path, content):
+        name, keys = None, []
+        for line in [*content.split("\n"), "[]"]:
+            if line.startswith("["):
+                if name is not None:
+                    yield "section", name, f"Section '{name}' sets {', '.join(keys)}."
+                name, keys = line.strip("[]"), []
+            elif line.strip() and not line.startswith(";"):
+                key, mark, _ = line.partition("=")
+                if not mark:
+                    raise ValueError(f"no value: {line}")
+                keys.append(key.strip())
+
+
+def table_function_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of an extension that only a table function knows."""
+    config = EngineConfig(extensions=(".ini",))
+    rows = ingest(corpora.settings_files(spark, sf_dir), config, {".ini": SettingsSections})
+    return rows.select("source", "ordinal", "kind", "doc_id", "content_type", "page_content")
+
+
 def nested_file_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and warnings of files whose aliases or brackets may not fit the budget."""
     rows = ingest(corpora.nested_files(spark, sf_dir), processors=_only(".yaml"))
@@ -499,6 +530,7 @@ QUERIES = {
         dag_fault_prefix,
         file_warnings,
         nested_file_docs,
+        table_function_docs,
         dictionary_table_docs,
         dictionary_column_docs,
         dictionary_rich_docs,

@@ -96,3 +96,34 @@ def test_extension_without_processor_is_chunked(spark):
 def test_unknown_document_field():
     with pytest.raises(ValueError):
         doc(nonsense=None)
+
+
+def test_table_functions_are_processors(spark, tmp_path):
+    from corpuscope.queries import SettingsSections
+
+    put(str(tmp_path), "a.ini", "[one]\nx = 1\ny=2\n[two]\n")
+    put(str(tmp_path), "b.ini", "[one]\nx = 1\n[two]\nbroken\n")
+    put(str(tmp_path), "c.ini", b"\xff\xfe")
+    put(str(tmp_path), "d.md", "some text")
+    put(str(tmp_path), "e.ini", "")
+    config = EngineConfig(extensions=(".ini", ".md"))
+    both = {".ini": SettingsSections, FALLBACK: default_processors()[FALLBACK]}
+    rows = ingest_repository(spark, str(tmp_path), config, both).collect()
+    got = {(os.path.basename(r.source), r.ordinal, r.kind): (r.doc_id, r.content_type) for r in rows}
+    assert got == {
+        ("a.ini", 0, "section"): ("one", None), ("a.ini", 1, "section"): ("two", None),
+        ("b.ini", 0, "section"): ("one", None), ("b.ini", 1, "warning"): (None, "unexpected"),
+        ("c.ini", 0, "warning"): (None, "unexpected"), ("d.md", 0, "chunk"): (None, None),
+    }
+    assert len({r.row_id for r in rows}) == len(rows)
+
+    class Wrong(SettingsSections):
+        @staticmethod
+        def analyze(path, content):
+            from pyspark.sql import types as T
+            from pyspark.sql.udtf import AnalyzeResult
+
+            return AnalyzeResult(T.StructType([T.StructField("colour", T.StringType())]))
+
+    with pytest.raises(Exception, match="no document fields"):
+        ingest_repository(spark, str(tmp_path), config, {".ini": Wrong}).collect()
