@@ -1,7 +1,7 @@
 """Recursive repository reader.
 
 Hidden, underscore and empty files are part of a repository, and the built-in
-file sources skip them, so listing is a small Python data source. It returns
+file sources skip them, so folders are listed here, in rounds of tasks. Listing gives
 paths and sizes only; contents are read after a shuffle of the paths, so one
 folder that holds most of the files does not end in one task.
 """
@@ -9,21 +9,17 @@ folder that holds most of the files does not end in one task.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from corpuscope.functions.text import extension, has_suffix
+from corpuscope.functions.text import extension
 from corpuscope.session import materialize
 
-LISTING_SCHEMA = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("n_bytes", T.LongType())]
-)
 FILES_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -36,6 +32,10 @@ FILES_SCHEMA = T.StructType(
 )
 _FLUSH_BYTES = 16 << 20
 _PARTITION_BYTES = 128 << 20
+#: Entries below a folder that a task lists: in the first round, and at most.
+_FIRST_ENTRIES, _MOST_ENTRIES = 64, 32_768
+_FOLDERS_PER_TASK = 64
+_ROWS = 10_000
 
 
 def _open(root: str) -> tuple[pafs.FileSystem, str]:
@@ -45,71 +45,95 @@ def _open(root: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _children(filesystem: pafs.FileSystem, folder: str):
-    """Files and sub-folders directly in ``folder``; linked folders are not entered."""
+    """Files and sub-folders directly in ``folder``."""
+    if isinstance(filesystem, pafs.LocalFileSystem):
+        return _local_children(folder)
     files, folders = [], []
     for info in filesystem.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
         if info.type == pafs.FileType.File:
             files.append((info.path, info.size))
         elif info.type == pafs.FileType.Directory:
-            local = isinstance(filesystem, pafs.LocalFileSystem)
-            if not (local and os.path.islink(info.path)):
-                folders.append(info.path)
+            folders.append(info.path)
     return files, folders
 
 
-class _Folder(InputPartition):
-    def __init__(self, path: str, deep: bool):
-        self.path = path
-        self.deep = deep
-
-
-class _ListingReader(DataSourceReader):
-    def __init__(self, root: str, fanout: int):
-        self.root = root
-        self.fanout = fanout
-
-    def partitions(self):
-        """Open folders breadth-first only until there are enough to hand out.
-
-        Only folder names are kept, so planning holds no list of files.
-        """
-        filesystem, top = _open(self.root)
-        opened, folders = [], [top]
-        while folders and len(opened) + len(folders) < self.fanout:
-            folder = folders.pop(0)
-            opened.append(folder)
-            folders += _children(filesystem, folder)[1]
-        return [_Folder(f, False) for f in opened] + [_Folder(f, True) for f in folders]
-
-    def read(self, partition) -> Iterator[tuple]:
-        filesystem, _ = _open(self.root)
-        stack = [partition.path]
-        while stack:
-            files, below = _children(filesystem, stack.pop())
-            yield from files
-            if partition.deep:
-                stack += below
-
-
-class RepositoryListing(DataSource):
-    """``spark.read.format("repo_listing").load(root)``"""
-
-    @classmethod
-    def name(cls) -> str:
-        return "repo_listing"
+def _local_children(folder: str):
+    """Linked folders are not entered; a link that leads nowhere counts as a file, so that
+    reading it tells. Folders that cannot be opened are left out."""
+    files, folders = [], []
+    try:
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                if entry.is_dir(follow_symlinks=False):
+                    folders.append(entry.path)
+                elif entry.is_file():
+                    files.append((entry.path, entry.stat().st_size))
+                elif entry.is_symlink() and not os.path.exists(entry.path):
+                    files.append((entry.path, 0))
+    except OSError:
+        pass
+    return files, folders
 
-    def schema(self):
-        return LISTING_SCHEMA
 
-    def reader(self, schema):
-        return _ListingReader(self.options["path"], int(self.options.get("fanout", "64")))
+def _walked(filesystem: pafs.FileSystem, folder: str, most: int):
+    """(path, bytes, open) below a folder; after ``most`` entries the folders not looked into
+    yet are given as open."""
+    stack, seen = [folder], 0
+    while stack:
+        if seen >= most:
+            yield from ((f, 0, True) for f in stack)
+            return
+        files, below = _children(filesystem, stack.pop())
+        yield from ((path, size, False) for path, size in files)
+        stack += below
+        seen += 1 + len(files) + len(below)
 
 
 def list_repository(spark: SparkSession, root: str, suffixes: tuple[str, ...]) -> DataFrame:
-    """``path, n_bytes`` of every file whose name ends with one of ``suffixes``."""
-    spark.dataSource.register(RepositoryListing)
-    listing = spark.read.format("repo_listing").load(root)
-    return listing.where(has_suffix(F.col("path"), suffixes))
+    """``path, n_bytes`` of every file whose name ends with one of ``suffixes``.
+
+    Folders are listed in rounds: each takes the open folders as rows, dealt out anew, and a
+    task walks below a folder only for so many entries, few in the first rounds. What is
+    still open goes into the next round, so neither a deep nor a broad tree is one task.
+    """
+    _, top = _open(root)
+    wanted = list(suffixes)
+    schema = pa.schema([("path", pa.string()), ("n_bytes", pa.int64()), ("open", pa.bool_())])
+
+    def lister(most: int):
+        def run(batches):
+            filesystem, _ = _open(root)
+            rows: list[tuple] = []
+            for batch in batches:
+                for folder in batch.column(0).to_pylist():
+                    for row in _walked(filesystem, folder, most):
+                        if row[2] or row[0].rpartition("/")[2].endswith(tuple(wanted)):
+                            rows.append(row)
+                        if len(rows) >= _ROWS:
+                            yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows))), schema=schema)
+                            rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows))), schema=schema)
+
+        return run
+
+    cores = spark.sparkContext.defaultParallelism
+    frontier = spark.createDataFrame([(top,)], "path string")
+    found, most, tasks = [], _FIRST_ENTRIES, 1
+    while True:
+        # Each round is written, so that a lost executor does not list what is known again.
+        listed = materialize(
+            frontier.repartition(tasks, "path").mapInArrow(
+                lister(most), "path string, n_bytes long, open boolean"
+            )
+        )
+        found.append(listed.where("not open").select("path", "n_bytes"))
+        frontier = listed.where("open").select("path")
+        folders = frontier.count()
+        if not folders:
+            return reduce(DataFrame.union, found)
+        most = min(8 * most, _MOST_ENTRIES)
+        tasks = max(cores, -(-folders // _FOLDERS_PER_TASK))
 
 
 def _decode(data: bytes):

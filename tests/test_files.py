@@ -127,3 +127,41 @@ def test_table_functions_are_processors(spark, tmp_path):
 
     with pytest.raises(Exception, match="no document fields"):
         ingest_repository(spark, str(tmp_path), config, {".ini": Wrong}).collect()
+
+
+def test_deep_and_broad_trees_are_listed_in_rounds(spark, tmp_path, monkeypatch):
+    from corpuscope.sources import repo_files
+
+    root = str(tmp_path)
+    monkeypatch.setattr(repo_files, "_MOST_ENTRIES", 300)
+    os.makedirs(os.path.join(root, "broad"))
+    for k in range(3000):
+        open(os.path.join(root, "broad", f"f{k}.md"), "w").close()
+    deep = root
+    for k in range(400):
+        deep = os.path.join(deep, "d")
+        os.mkdir(deep)
+        if k % 10 == 0:
+            open(os.path.join(deep, "x.sql"), "w").close()
+    for k in range(200):
+        put(root, f"many/{k % 50}/{k}/a.py", "")
+
+    found = list_repository(spark, root, (".md", ".sql", ".py")).collect()
+    assert len(found) == len({r.path for r in found}) == 3000 + 40 + 200
+    # What one task walks below a folder is bounded, whatever hangs below it.
+    filesystem, top = repo_files._open(root)
+    part = list(repo_files._walked(filesystem, os.path.join(top, "many"), 64))
+    assert 0 < sum(1 for p in part if not p[2]) < 200 and any(p[2] for p in part)
+
+
+def test_links_that_lead_nowhere_are_warnings(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, "a.md", "text")
+    put(root, "real.yaml", "dag: {dag_id: x}")
+    os.symlink(os.path.join(root, "gone.yaml"), os.path.join(root, "lost.yaml"))
+    os.symlink(os.path.join(root, "real.yaml"), os.path.join(root, "same.yaml"))
+    rows = ingest_repository(spark, root).collect()
+    found = {(os.path.basename(r.source), r.kind, r.content_type) for r in rows}
+    assert ("lost.yaml", "warning", "io") in found
+    assert ("same.yaml", "dag_summary", None) in found and ("real.yaml", "raw", None) in found
+    assert not any(n == "lost.yaml" and k != "warning" for n, k, _ in found)
