@@ -153,8 +153,9 @@ class TermScorer:
             cell = self.owner[position] * (end - at) + np.repeat(owner[lo:hi] - at, w)
             value = self.weights[position] * np.repeat(weights[lo:hi], w)
             s = np.bincount(cell, weights=value, minlength=self.n * (end - at))
-            s = np.round(s.reshape(self.n, end - at), DECIMALS)
-            yield rows.slice(at, end - at), np.where(s > 0, s, -np.inf)
+            s = s.reshape(self.n, end - at)
+            # A row that has a term of the question qualifies, however small its score.
+            yield rows.slice(at, end - at), np.where(s > 0, np.round(s, DECIMALS), -np.inf)
             at = end
 
 

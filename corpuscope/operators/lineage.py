@@ -171,14 +171,16 @@ def summary_text(names: Column) -> Column:
 def documents(content: Column, strict: bool = False) -> Column:
     def build(script: Column) -> Column:
         raw = doc(kind=F.lit("raw"), page_content=script)
-        summary = doc(
-            kind=F.lit("sql_summary"),
-            content_type=F.lit("sql_summary"),
-            page_content=let(tables(main_query(script, strict)), summary_text),
-        )
-        # A script that cannot be analysed has its text only.
-        return F.when(is_query(main_query(script, strict)), F.array(raw, summary)).otherwise(
-            F.array(raw)
-        )
+
+        def analysed(query: Column) -> Column:
+            summary = doc(
+                kind=F.lit("sql_summary"),
+                content_type=F.lit("sql_summary"),
+                page_content=let(tables(query), summary_text),
+            )
+            # A script that cannot be analysed has its text only.
+            return F.when(is_query(query), F.array(raw, summary)).otherwise(F.array(raw))
+
+        return let(main_query(script, strict), analysed)
 
     return let(clean_script(content), build)

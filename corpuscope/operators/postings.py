@@ -184,9 +184,10 @@ def _scored(
                     for b in of_term.get(term, ()):
                         part = slice(begin[b], begin[b + 1])
                         total[row[part]] += w * weight[part]
+                met = total > 0
                 total = np.round(total, DECIMALS)
                 wanted = k if q["limit"] is None else q["limit"]
-                hit = np.flatnonzero((total > 0) & (total >= q["floor"] - SLACK))
+                hit = np.flatnonzero(met & (total >= q["floor"] - SLACK))
                 best = hit[np.lexsort((hit, -total[hit]))[: max(0, wanted)]]
                 columns["query_id"] += [q["query_id"]] * len(best)
                 columns["row_id"] += known.take(pa.array(best, pa.int64())).to_pylist()

@@ -404,6 +404,15 @@ SELECT table_name, count(*) AS n_scripts, CAST(sum(position) AS BIGINT) AS sum_p
 FROM (SELECT first_table AS table_name, 0 AS position FROM scripts
       UNION ALL SELECT second_table, 1 FROM scripts WHERE NOT cut)
 GROUP BY table_name
+""",
+    "sql_lineage_shapes": """
+WITH named AS (
+  SELECT p_partkey, '/shapes/' || p_partkey || '.sql' AS source,
+         'lake.part_' || p_partkey AS a, 'types.' || lower(p_type) AS b FROM part)
+SELECT source, 'This SQL script reads from the following tables: '
+         || CASE p_partkey % 6 WHEN 4 THEN b || ', ' || a WHEN 5 THEN a ELSE a || ', ' || b END
+         || '.' AS page_content
+FROM named
 """,
     "python_imports": f"""
 WITH {_PY}
@@ -602,3 +611,12 @@ SELECT source, 1::INTEGER AS ordinal, page_content,
 FROM texts
 """,
 }
+
+ORACLES["index_rows"] = f"""
+SELECT source, ordinal, kind, page_content, 1.0::DOUBLE AS norm FROM (
+  SELECT source, ordinal, 'table' AS kind, page_content FROM ({ORACLES["dictionary_table_docs"]})
+  UNION ALL
+  SELECT source, ordinal, 'column', page_content FROM ({ORACLES["dictionary_column_docs"]})
+  UNION ALL
+  SELECT source, 1::INTEGER, 'sql_summary', page_content FROM ({ORACLES["sql_lineage"]}))
+"""

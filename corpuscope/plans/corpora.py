@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscope.session import materialize_for_join
+from corpuscope.session import materialize, materialize_for_join
 from corpuscope.sources.tables import partitions_for, read_spread, read_table
 
 LINES_PER_FILE = 1000
@@ -130,17 +130,27 @@ def _numbered(prefix: str, key: Column, file_no: Column) -> Column:
     )
 
 
-def workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One workflow file per order."""
-    return _orders_with_lines(spark, sf_dir).select(
+def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines, computed once for several kinds of files."""
+    return materialize(_orders_with_lines(spark, sf_dir))
+
+
+def workflow_files(
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
+) -> DataFrame:
+    """One workflow file per order; ``orders`` are those of ``stored_orders``."""
+    rows = _orders_with_lines(spark, sf_dir) if orders is None else orders
+    return rows.select(
         _numbered("/dags/order_", F.col("o_orderkey"), F.col("file_no")).alias("path"),
         _order_workflow(F.col("lines")).alias("content"),
     )
 
 
-def faulty_workflow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_workflow_files(
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None
+) -> DataFrame:
     """Several orders per file; those divisible by seven have no task mapping."""
-    rows = _orders_with_lines(spark, sf_dir)
+    rows = _orders_with_lines(spark, sf_dir) if orders is None else orders
     n = partitions_for(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
     broken = F.concat(
         F.lit('dag:\n  dag_id: "order_'), F.col("o_orderkey").cast("string"), F.lit('"\ntasks:\n')
@@ -277,6 +287,36 @@ def sql_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sql_shape_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One script per part with comments, literals, lists of tables and several common table
+    expressions in turn."""
+    key = F.col("p_partkey")
+    first = F.concat(F.lit("lake.part_"), key.cast("string"))
+    second = F.concat(F.lit("types."), F.lower("p_type"))
+    shape = lambda text: F.format_string(text, first, second)
+    content = (
+        F.when(key % 6 == 0, shape("-- from ignored.one\nselect 1 from %1$s a, %2$s b\n"))
+        .when(
+            key % 6 == 1,
+            shape("select 'from no.where' as t from %1$s x /* join no.where */ join %2$s y on x.a = y.a"),
+        )
+        .when(
+            key % 6 == 2,
+            shape(
+                "with a as (select * from %1$s), b as (\n  select * from a join %2$s on true)\n"
+                "select * from b join a on true"
+            ),
+        )
+        .when(key % 6 == 3, shape("select * from (select * from %1$s) x, %2$s y"))
+        .when(key % 6 == 4, shape("insert into %2$s select * from %1$s"))
+        .otherwise(shape("select extract(day from d) from %1$s where x = 'it''s from %2$s'"))
+    )
+    return spread_table(spark, sf_dir, "part").select(
+        F.concat(F.lit("/shapes/"), key.cast("string"), F.lit(".sql")).alias("path"),
+        content.alias("content"),
+    )
+
+
 def python_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One script per part; async functions, missing docstrings, syntax errors."""
     key, size = F.col("p_partkey"), F.col("p_size")

@@ -34,26 +34,33 @@ class Processor:
     parser: Parser | None = None
     # False: a file that cannot be read is left out without a warning.
     reports_unreadable: bool = True
+    # True: the text itself is in no document but the raw one; all else comes from the parser.
+    text_is_raw_only: bool = False
 
 
 def default_processors(config: EngineConfig = EngineConfig()) -> dict[str, Processor]:
     return {
-        ".yaml": Processor(workflows.documents, workflows.warnings, workflows.PARSER),
+        ".yaml": Processor(
+            workflows.documents, workflows.warnings, workflows.PARSER, text_is_raw_only=True
+        ),
         ".json": Processor(
             lambda path, content, parsed: dictionary.documents(content, parsed),
             dictionary.warnings,
             dictionary.PARSER,
+            text_is_raw_only=True,
         ),
         ".sql": Processor(lambda path, content, parsed: lineage.documents(content)),
         ".py": Processor(
             lambda path, content, parsed: pycode.documents(content, parsed),
             pycode.warnings,
             pycode.PARSER,
+            text_is_raw_only=True,
         ),
         FALLBACK: Processor(
             lambda path, content, parsed: chunks.documents(parsed),
             parser=chunks.parser(config.chunk_size, config.chunk_overlap),
             reports_unreadable=False,
+            text_is_raw_only=True,
         ),
     }
 
@@ -75,10 +82,13 @@ def ingest(
     files: DataFrame,
     config: EngineConfig = EngineConfig(),
     processors: Mapping[str, Processor | type] | None = None,
+    kinds: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Document rows and warning rows (kind ``warning``) of all files.
 
-    A processor may also be a Python table function (``table_functions.py``).
+    A processor may also be a Python table function (``table_functions.py``). With ``kinds`` only
+    documents of these kinds are looked for: texts that no such document needs are left behind
+    by the parsing stage. Positions in a file are the same.
     """
     registry = dict(processors or default_processors(config))
     files = with_extension(files, config.extensions)
@@ -86,11 +96,16 @@ def ingest(
     parts = [table_documents(files.where(F.col("ext") == k), p) for k, p in functions.items()]
     if registry:
         others = files.where(~F.col("ext").isin(list(functions))) if functions else files
-        parts.append(_ingest(others, registry))
-    return reduce(DataFrame.unionByName, parts)
+        bare = kinds is not None and "raw" not in kinds
+        bare = bare and all(p.parser and p.text_is_raw_only for p in registry.values())
+        parts.append(_ingest(others, registry, bare))
+    rows = reduce(DataFrame.unionByName, parts)
+    if kinds is None:
+        return rows
+    return rows.where(F.col("kind").isin(*kinds, WARNING_KIND))
 
 
-def _ingest(files: DataFrame, registry: dict[str, Processor]) -> DataFrame:
+def _ingest(files: DataFrame, registry: dict[str, Processor], bare: bool = False) -> DataFrame:
     fallback = registry.pop(FALLBACK, None)
     # The key a file is dispatched on; the fallback takes everything else.
     key = F.when(F.col("ext").isin(list(registry)), F.col("ext")).otherwise(F.lit(FALLBACK))
@@ -98,7 +113,11 @@ def _ingest(files: DataFrame, registry: dict[str, Processor]) -> DataFrame:
     everything = registry | ({FALLBACK: fallback} if fallback else {})
 
     parsers = {k: p.parser for k, p in everything.items() if p.parser}
-    parsed = with_parsed(files, parsers) if parsers else files
+    if bare:
+        kept = tuple(c for c in files.columns if c != "content")
+        parsed = with_parsed(files, parsers, kept).withColumn("content", F.lit("").cast("string"))
+    else:
+        parsed = with_parsed(files, parsers) if parsers else files
     field = {k: F.col(f"parsed.p{i}") for i, k in enumerate(parsers)}
     nothing = F.lit(None)
 

@@ -58,7 +58,8 @@ def _only(suffix: str) -> dict:
 
 
 def _rows_of(files: DataFrame, kind: str, suffix: str) -> DataFrame:
-    return ingest(files, processors=_only(suffix)).where(F.col("kind") == kind)
+    rows = ingest(files, processors=_only(suffix), kinds=(kind,))
+    return rows.where(F.col("kind") == kind)
 
 
 # --- ingest ------------------------------------------------------------------
@@ -180,6 +181,11 @@ def sql_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("source", "page_content", "content_type")
 
 
+def sql_lineage_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rows_of(corpora.sql_shape_files(spark, sf_dir), "sql_summary", ".sql")
+    return rows.select("source", "page_content")
+
+
 def sql_table_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which scripts read from a table? Counted per table over all scripts."""
     script = lineage.clean_script(unix_newlines(F.col("content")))
@@ -202,14 +208,15 @@ def python_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _structured_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = (
-        corpora.workflow_files,
-        corpora.faulty_workflow_files,
-        corpora.dictionary_files,
-        corpora.sql_files,
-        corpora.python_files,
+    orders = corpora.stored_orders(spark, sf_dir)
+    parts = (corpora.dictionary_files, corpora.sql_files, corpora.python_files)
+    return reduce(
+        DataFrame.unionByName,
+        [part(spark, sf_dir) for part in parts],
+        corpora.workflow_files(spark, sf_dir, orders).unionByName(
+            corpora.faulty_workflow_files(spark, sf_dir, orders)
+        ),
     )
-    return reduce(DataFrame.unionByName, [part(spark, sf_dir) for part in parts])
 
 
 def union_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -501,6 +508,18 @@ def index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived documents as a stored collection gives them back, each with its vector."""
+    root = scratch_path(spark, "rows")
+    files = corpora.sql_files(spark, sf_dir).unionByName(corpora.dictionary_files(spark, sf_dir))
+    write_collection(ingest(files), root)
+    stored = open_collection(spark, root, EngineConfig().collection)
+    norm = F.aggregate("weights", F.lit(0.0), lambda total, w: total + w * w)
+    vectors = stored.vectors.select("row_id", F.round(norm, 6).alias("norm"))
+    rows = stored.documents.where(F.col("kind").isin("table", "column", "sql_summary"))
+    return rows.join(vectors, "row_id").select("source", "ordinal", "kind", "page_content", "norm")
+
+
 def index_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index scripts, alter a tenth, take a tenth away, index again what changed."""
     files = corpora.python_files(spark, sf_dir)
@@ -536,6 +555,7 @@ QUERIES = {
         dictionary_rich_docs,
         sql_main_query,
         sql_lineage,
+        sql_lineage_shapes,
         sql_table_readers,
         python_imports,
         python_functions,
@@ -563,6 +583,7 @@ QUERIES = {
         retrieval_must_find,
         retrieval_golden,
         index_roundtrip,
+        index_rows,
         index_update,
     )
 }
