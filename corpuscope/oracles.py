@@ -344,6 +344,33 @@ SELECT source, 1::INTEGER, 'section', 'level ' || (s_suppkey % 3), NULL,
 UNION ALL
 SELECT source, 2::INTEGER, 'warning', NULL, 'unexpected', 'no value: without value'
 FROM file WHERE s_suppkey % 7 = 0
+""",
+    "dag_shapes": """
+WITH file AS (SELECT *, s_suppkey % 4 AS shape, '/shapes/' || s_suppkey || '.yaml' AS source FROM supplier),
+dags AS (
+  SELECT *, CASE shape WHEN 1 THEN 'N/A' WHEN 2 THEN 'None' ELSE 's_' || s_suppkey END AS dag_id,
+         CASE shape WHEN 0 THEN 'own_' || s_nationkey WHEN 2 THEN 'None' ELSE 'N/A' END AS owner,
+         CASE shape WHEN 0 THEN '@daily' WHEN 2 THEN 'None' ELSE 'N/A' END AS schedule,
+         CASE shape WHEN 0 THEN 'fork' WHEN 2 THEN 'None'
+                    ELSE 'No description provided.' END AS description
+  FROM file),
+tasks(shape, n, task, operator, script, after, before) AS (VALUES
+  (0, 2, 'a', 'o', 'f.py', '', 'b, c'), (0, 3, 'b', 'o', 'not specified', 'a', 'd'),
+  (0, 4, 'c', 'unknown', 'c.py', 'a', 'd'), (0, 5, 'd', 'unknown', 'not specified', 'b, c', ''),
+  (1, 2, 't', 'unknown', 'not specified', '', ''), (2, 2, 't', 'None', 'None', '', ''),
+  (3, 2, 'a', 'unknown', 'not specified', '', ''), (3, 3, 'b', 'unknown', 'not specified', '', ''))
+SELECT source, 1::INTEGER AS ordinal, 'dag_summary' AS kind, dag_id || ':__DAG_SUMMARY__' AS doc_id,
+       'This document describes the DAG configuration with ID ''' || dag_id || '''. The owner is '''
+         || owner || ''', it runs on schedule: ''' || schedule || ''', and its description is: '''
+         || description || '''.' AS page_content
+FROM dags
+UNION ALL
+SELECT source, n::INTEGER, 'dag_task', dag_id || ':' || task,
+       'The DAG ''' || dag_id || ''' contains a task named ''' || task || '''. This task uses the '''
+         || operator || ''' operator and runs the script ''' || script || '''.'
+         || CASE WHEN after <> '' THEN ' It runs after the following task(s): ' || after || '.' ELSE '' END
+         || CASE WHEN before <> '' THEN ' It runs before the following task(s): ' || before || '.' ELSE '' END
+FROM dags JOIN tasks USING (shape)
 """,
     "nested_file_docs": """
 WITH file AS (

@@ -173,6 +173,36 @@ def faulty_workflow_files(
     )
 
 
+def workflow_shape_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One workflow per supplier: a fork and join, nothing given, nulls given, and an execution
+    that is no list, in turn."""
+    key = F.col("s_suppkey")
+    fork = F.format_string(
+        "dag:\n  dag_id: s_%s\n  schedule_interval: '@daily'\n  description: fork\n"
+        "  default_args: {owner: own_%s}\n"
+        "tasks:\n  a: {operator: o, file: f.py}\n  b: {operator: o}\n  c: {file: c.py}\n  d: {}\n"
+        "execution:\n  - a >> b >> d\n  - a >>c>> d\n",
+        key, F.col("s_nationkey"),
+    )
+    nulls = F.lit(
+        "dag: {dag_id: null, schedule_interval: ~, description: , default_args: {owner: null}}\n"
+        "tasks: {t: {operator: null, file: null}}\n"
+    )
+    text = F.format_string(
+        "dag: {dag_id: s_%s}\ntasks: {a: {}, b: {}}\nexecution: a >> b\n", key
+    )
+    content = (
+        F.when(key % 4 == 0, fork)
+        .when(key % 4 == 1, F.lit("dag: {}\ntasks: {t: {}}\n"))
+        .when(key % 4 == 2, nulls)
+        .otherwise(text)
+    )
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("/shapes/"), key.cast("string"), F.lit(".yaml")).alias("path"),
+        content.alias("content"),
+    )
+
+
 def settings_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file of settings per supplier; a line of some has no value."""
     key = F.col("s_suppkey")

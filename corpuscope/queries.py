@@ -97,6 +97,13 @@ def dag_task_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dag_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forks, joins, defaults, nulls and executions that are no list."""
+    files = corpora.workflow_shape_files(spark, sf_dir)
+    rows = ingest(files, processors=_only(".yaml"), kinds=("dag_summary", "dag_task"))
+    return rows.select("source", "ordinal", "kind", "doc_id", "page_content")
+
+
 def dag_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which workflows run on the schedule '0 5 * * 1'?"""
     rows = _rows_of(corpora.workflow_files(spark, sf_dir), "dag_summary", ".yaml")
@@ -545,6 +552,7 @@ QUERIES = {
         dag_summary_docs,
         dag_edges,
         dag_task_docs,
+        dag_shapes,
         dag_by_schedule,
         dag_fault_prefix,
         file_warnings,
