@@ -164,3 +164,42 @@ def test_a_group_of_a_third_of_the_rows_is_spread(spark):
 @pytest.mark.parametrize("query", [exact.report, simhash.components, sharding.report, exact.deduplicate])
 def test_empty_table(spark, query):
     assert query(cases.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("n,shards", [(400, 16), (60, 4)])
+def test_shards_and_slots_match_brute_force(spark, n, shards):
+    import random
+
+    rng = random.Random(n)
+    rows = [(k, cases.words(rng, rng.choice([1, 3, 20, 60, 300]))) for k in range(n)]
+    rows += [(n + k, rows[k % 7][1]) for k in range(30)] + [(n + 50, None), (n + 51, "")]
+    size = {d: len((t or "").encode()) + 1 for d, t in rows}
+    total = sum(size.values())
+    share = total / shards
+    units = collections.defaultdict(list)
+    for d, t in rows:
+        units[hashlib.sha256((t or "").encode()).hexdigest()].append(d)
+    # No group here is larger than a share, so none is broken.
+    weight = {u: sum(size[d] for d in docs) for u, docs in units.items()}
+    assert max(weight.values()) <= share
+    home, load = {}, [0] * shards
+    for w, u in sorted(((weight[u], u) for u in units if weight[u] > share / 64), reverse=True):
+        home[u] = min(range(shards), key=lambda k: (load[k], k))
+        load[home[u]] += w
+    room = [max(0.0, share - x) for x in load]
+    scale = (total - sum(load)) / (sum(room) or 1)
+    cuts, at = [], 0.0
+    for r in room[:-1]:
+        at += r * scale
+        cuts.append(at)
+    before = 0
+    for u in sorted((u for u in units if u not in home), key=lambda u: (min(units[u]), u)):
+        home[u] = sum(before + weight[u] / 2 >= c for c in cuts)
+        before += weight[u]
+    shard = {d: home[u] for u, docs in units.items() for d in docs}
+    slots = collections.defaultdict(list)
+    for d in sorted(shard):
+        slots[shard[d]].append(d)
+    want = sorted((d, size[d], s, slots[s].index(d)) for d, s in shard.items())
+    got = sharding.report(cases.frame(spark, rows).repartition(5), shards).collect()
+    assert sorted((r.doc_id, r["size"], r.shard, r.slot) for r in got) == want
