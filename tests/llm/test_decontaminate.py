@@ -92,3 +92,47 @@ def test_empty_tables(spark):
     assert decontaminate.report(cases.empty(spark), some).count() == 0
     assert decontaminate.reject(cases.empty(spark), some).count() == 0
     assert decontaminate.reject(docs, none).count() == 2
+
+
+def test_leaks_equal_every_item_against_every_window(spark):
+    """Subsequences of all items with the words around all windows, no candidates in between."""
+    rng = random.Random(31)
+    vocabulary = ["w%d" % k for k in range(120)]
+    items = [(k, [rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 8, 9, 20, 33]))]) for k in range(25)]
+    rows = []
+    for d in range(90):
+        host = [rng.choice(vocabulary) for _ in range(rng.randrange(0, 90))]
+        for _ in range(rng.randrange(3)):
+            words = list(rng.choice(items)[1])
+            # Near the bounds: words lost, replaced or moved apart.
+            for _ in range(rng.randrange(1 + len(words) // 2)):
+                at = rng.randrange(len(words))
+                words[at : at + 1] = rng.choice([[], ["x"], [words[at], "x", "y"]])
+                words = words or ["x"]
+            cut = rng.randrange(len(host) + 1)
+            host[cut:cut] = words
+        rows.append((d, " ".join(host)))
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                row[j], last = (last + 1 if x == y else max(row[j], row[j - 1])), row[j]
+        return row[-1]
+
+    want = set()
+    for d, text in rows:
+        words = text.split()
+        for k, own in items:
+            width = max(8, 1 << (len(own) - 1).bit_length())
+            tail = own[-max(1, -(-len(own) // 4)) :]
+            for start in range(-width // 2, len(words), width // 2):
+                part = words[max(0, start - width // 2) : start + width + width // 2]
+                lcs = common(own, part) / len(own)
+                if lcs >= 0.8 or (lcs >= 0.6 and common(tail, part) / len(tail) >= 0.8):
+                    want.add((d, k))
+                    break
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.report(cases.frame(spark, rows), bench).collect()}
+    assert got == want and len(want) > 60
