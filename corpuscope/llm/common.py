@@ -15,14 +15,18 @@ from corpuscope.session import materialize_for_join, scratch_path
 
 #: A null id takes part in joins under this value, so it meets only other null ids.
 NULL_ID = -(2**63)
+#: Rows whose texts a task holds as Python strings at once.
+ROWS = 2000
 
 
 def in_tasks(df: DataFrame, run, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` that gives memory back when a task ends: workers are used again by
-    later stages, which need the room."""
+    """``mapInArrow`` over batches of at most ROWS rows that gives memory back when a task ends:
+    workers are used again by later stages, which need the room."""
 
     def task(batches):
-        yield from run(batches)
+        yield from run(
+            batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)
+        )
         give_back()
 
     return df.mapInArrow(task, schema)

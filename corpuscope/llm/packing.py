@@ -174,6 +174,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
                 if len(rows) > 2000:
                     yield written()
                     rows = []
+        encode.words.fold()
         for sequence in packer.finish():
             note(sequence)
         if rows:

@@ -13,13 +13,14 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 
 from corpuscope.llm.common import slices
 
 #: Bytes of words that are remembered, about, and what each has besides its own.
-REMEMBERED, OVERHEAD = 40 << 20, 200
+REMEMBERED, OVERHEAD = 72 << 20, 200
 #: Words longer than this are not remembered.
 LONG = 64
 #: Characters of texts that are encoded together.
@@ -56,25 +57,44 @@ def plain(text: str) -> bool:
 
 
 class Memory:
-    """Ids of words; forgotten together once they take too much."""
+    """Ids of words. When they take too much, those learnt last are forgotten: what is
+    frequent was met early."""
 
     def __init__(self):
         self.ids: dict[str, bytes] = {}
         self.held = 0
+        self.folded: tuple[str, bytes, np.ndarray] | None = None
+
+    def fold(self) -> None:
+        """Between tasks: two strings and the lengths take a tenth of the room."""
+        if self.ids:
+            lengths = np.fromiter(map(len, self.ids.values()), np.int32, len(self.ids))
+            self.folded = " ".join(self.ids), b"".join(self.ids.values()), lengths
+            self.ids = {}
+
+    def unfold(self) -> None:
+        if self.folded:
+            words, data, lengths = self.folded
+            ends = np.cumsum(lengths).tolist()
+            self.ids = {w: data[a:b] for w, a, b in zip(words.split(" "), [0, *ends], ends)}
+            self.folded = None
 
     def learn(self, words: list[str], ids: list[bytes]) -> None:
         self.ids.update(zip(words, ids))
-        self.held += OVERHEAD * len(words) + sum(map(len, words)) + sum(map(len, ids))
+        self.held += _size(words, ids)
 
     def shed(self, words: list[str]) -> None:
-        """Forgets the long ones, or all."""
-        if self.held > REMEMBERED:
-            self.ids.clear()
-            self.held = 0
-            return
+        """Forgets the long ones, and half of all if need be."""
         for w in words:
             if len(w) > LONG:
-                self.held -= OVERHEAD + len(w) + len(self.ids.pop(w))
+                self.held -= _size([w], [self.ids.pop(w)])
+        if self.held > REMEMBERED:
+            self.ids = dict(islice(self.ids.items(), len(self.ids) // 2))
+            self.held = _size(self.ids, self.ids.values())
+
+
+def _size(words, ids) -> int:
+    return OVERHEAD * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
 
 class Encoder:
@@ -121,11 +141,12 @@ class Encoder:
 
     def each(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        self.words.unfold()
         for a, b in slices([len(t) + 1 for t in texts], TOGETHER):
             yield from self._together(texts[a:b])
 
     def __call__(self, text: str) -> bytes:
-        return self._together([text])[0]
+        return next(self.each([text]))
 
 
 @functools.cache

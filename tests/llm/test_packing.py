@@ -93,3 +93,33 @@ def test_digests_and_empty_table(spark):
     assert {r.doc_id: r.doc_tokens for r in got} == {1: 4, 2: 1}
     assert zlib.crc32(np.array([2], "<u4").tobytes()) in [r.ids_crc32 for r in got if r.doc_id == 2]
     assert packing.report(cases.empty(spark), PATH).count() == 0
+
+
+def test_memory_of_words_folds_and_forgets(monkeypatch):
+    rng = random.Random(3)
+    plain, mine = Tokenizer.from_file(PATH), tokens.Encoder(PATH)
+    monkeypatch.setattr(tokens, "REMEMBERED", 20000)
+    for k in range(30):
+        texts = [cases.words(rng, 40, 500) + " x|y '' don't " + "long" * 30 for _ in range(5)]
+        got = [list(np.frombuffer(ids, "<u4")) for ids in mine.each(texts)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert mine.words.held <= 20000 and not any(len(w) > tokens.LONG for w in mine.words.ids)
+        known = dict(mine.words.ids)
+        if k % 3 == 0:
+            mine.words.fold()
+            assert not mine.words.ids
+            mine.words.unfold()
+            assert mine.words.ids == known
+
+
+def test_most_tokens_stay_where_the_sum_of_squares_put_them():
+    rng = random.Random(5)
+    for n, most in ((120, 0.15), (1000, 0.05)):
+        packer, total, full = packing.Packer(), 0, []
+        for k in range(n):
+            size = min(20000, int(rng.paretovariate(0.8) * 60))
+            total += size
+            full += packer.add(k, b"\0" * 4 * size)
+        full += packer.finish()
+        assert sum(len(p[2]) // 4 for s in full for p in s) == total
+        assert packer.poured < most * total
