@@ -10,6 +10,14 @@ import pyarrow.compute as pc
 
 DECIMALS = 6
 _BLOCK_CELLS = 4_000_000
+#: Questions, and pairs, of one product of dense vectors.
+_QUESTIONS = 512
+_PAIRS = 1 << 19
+#: Scores kept to raise floors; with more they rise when a task's results shrink.
+_TOP_CELLS = 8_000_000
+#: Twice the rounding of single precision, and the greatest numbers that are squared in it.
+_EPSILON = 1.2e-7
+_NARROW = 1e15
 
 
 class BestPerQuestion:
@@ -30,10 +38,14 @@ class BestPerQuestion:
             }
         )
         self.parts, self.held = [], 0
+        # The best scores of each question, so that a floor rises with every block.
+        self.top = None
+        if len(self.k) * self.most <= _TOP_CELLS:
+            self.top = np.full((len(self.k), self.most), -np.inf)
 
     def add(self, scores: np.ndarray, ids: pa.Array) -> None:
         """``scores`` is questions x rows; -inf marks rows that do not qualify."""
-        order = pc.sort_indices(ids)
+        order = pc.sort_indices(ids, null_placement="at_start")
         ids, s = ids.take(order), scores[:, order.to_numpy()]
         keep = (s >= self.floor[:, None]) & (s > -np.inf)
         if s.shape[1] > self.most > 0:
@@ -42,21 +54,43 @@ class BestPerQuestion:
         q, c = np.nonzero(keep)
         if not len(q):
             return
-        v = s[q, c]
+        q, v, c = self._first(q, s[q, c], c)
+        self.hold(q, v, ids.take(pa.array(c)))
+
+    def _first(self, q: np.ndarray, v: np.ndarray, c: np.ndarray):
+        """As many of each question as it wants, by score and then by number."""
         best = np.lexsort((c, -v, q))
         q, c, v = q[best], c[best], v[best]
         first = np.searchsorted(q, q, side="left")
         chosen = np.arange(len(q)) - first < self.k[q]
-        q, c, v = q[chosen], c[chosen], v[chosen]
-        self.parts.append(pa.table({"q": q, "score": v, "id": ids.take(pa.array(c))}))
+        return q[chosen], v[chosen], c[chosen]
+
+    def choose(self, q: np.ndarray, v: np.ndarray, c: np.ndarray):
+        """The same, and the floors rise to what is held now."""
+        q, v, c = self._first(q, v, c)
+        if self.top is not None and len(q):
+            asked, first = np.unique(q, return_index=True)
+            new = np.full((len(asked), self.most), -np.inf)
+            line = np.repeat(np.arange(len(asked)), np.diff([*first, len(q)]))
+            new[line, np.arange(len(q)) - first[line]] = v
+            both = -np.sort(-np.hstack([self.top[asked], new]), axis=1)[:, : self.most]
+            self.top[asked] = both
+            self.floor[asked] = both[np.arange(len(asked)), self.k[asked] - 1]
+        return q, v, c
+
+    def hold(self, q: np.ndarray, v: np.ndarray, ids: pa.Array) -> None:
+        """Keeps pairs; what cannot be among the best is left at the next shrinking."""
+        self.parts.append(pa.table({"q": q, "score": v, "id": ids}))
         self.held += len(q)
         if self.held > 4 * int(self.k.sum()) + 100_000:
             self._shrink()
 
     def _shrink(self) -> None:
-        table = pa.concat_tables(self.parts).sort_by(
-            [("q", "ascending"), ("score", "descending"), ("id", "ascending")]
-        )
+        table = pa.concat_tables(self.parts)
+        high = table["score"].to_numpy() >= self.floor[table["q"].to_numpy()]
+        table = table.filter(pa.array(high))
+        keys = [("q", "ascending"), ("score", "descending"), ("id", "ascending")]
+        table = table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start"))
         q = table["q"].to_numpy()
         rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
         best = rank < self.k[q]
@@ -74,43 +108,130 @@ class BestPerQuestion:
 
 
 class DenseScorer:
-    """Cosine similarity or negative Euclidean distance of dense vectors."""
+    """Cosine similarity or negative Euclidean distance of dense vectors.
 
-    columns = ("embedding",)
+    A product in single precision proposes: what lies below a question's worst kept score by
+    more than the product's error is left. Only proposed pairs are scored, in double precision.
+    """
 
-    def __init__(self, questions: pa.Table, metric: str):
-        self.metric, self.n = metric, questions.num_rows
-        # Only vectors of one length can be compared: (length, questions, their vectors).
+    def __init__(self, questions: pa.Table, metric: str, best: BestPerQuestion):
+        self.metric, self.best = metric, best
+        specs = np.array([spec or "" for spec in _filters(questions)], dtype=object)
+        # Only vectors of one length can be compared: a group has one length and one filter.
         lengths = pc.list_value_length(questions["embedding"]).to_numpy()
         self.groups = []
         for length in np.unique(lengths[lengths > 0]):
             members = np.flatnonzero(lengths == length)
             q = _matrix(questions["embedding"].take(pa.array(members)))
-            self.groups.append((int(length), members, _unit(q) if metric == "cosine" else q))
-
-    def blocks(self, rows: pa.Table):
-        length = pc.list_value_length(rows["embedding"])
-        step = max(1, _BLOCK_CELLS // max(1, self.n))
-        for own, members, q in self.groups:
-            alike = rows.filter(pc.equal(length, own))
-            for at in range(0, alike.num_rows, step):
-                part = alike.slice(at, step)
-                d = _matrix(part["embedding"])
-                s = q @ _unit(d).T if self.metric == "cosine" else -self._distances(q, d)
-                s = np.round(s, DECIMALS) + 0.0
-                if len(members) < self.n:
-                    scores = np.full((self.n, len(d)), -np.inf)
-                    scores[members] = s
-                    s = scores
-                yield part, s
-
-    @staticmethod
-    def _distances(q: np.ndarray, d: np.ndarray) -> np.ndarray:
-        """Differences are squared and summed; the expansion of the square cancels."""
-        square = np.zeros((len(q), len(d)))
-        for k in range(q.shape[1]):
-            square += (q[:, k, None] - d[None, :, k]) ** 2
-        return np.sqrt(square)
+            whole = np.isfinite(q).all(axis=1)
+            members, q = members[whole], q[whole]
+            q = _unit(q) if metric == "cosine" else q
+            of_spec: dict[str, list[int]] = {}
+            for at, spec in enumerate(specs[members]):
+                of_spec.setdefault(spec, []).append(at)
+            for spec, some in of_spec.items():
+                rule = json.loads(spec) if spec else None
+                self.groups.append((int(length), rule, members[some], q[some]))
+        self.narrow = [self._narrow(q) for *_, q in self.groups]
+
+    def _narrow(self, q: np.ndarray) -> np.ndarray:
+        if self.metric == "l2":
+            q = np.hstack([q, np.ones((len(q), 1))])
+        return q.astype(np.float32 if np.abs(q).max(initial=0) < _NARROW else np.float64)
+
+    def search(self, rows: pa.Table) -> None:
+        ids = rows["row_id"].combine_chunks()
+        rows = rows.take(pc.sort_indices(ids, null_placement="at_start"))
+        ids = rows["row_id"].combine_chunks()
+        length = pc.fill_null(pc.list_value_length(rows["embedding"]), 0).to_numpy()
+        vectors, found = {}, []
+        for (own, rule, members, q), narrow in zip(self.groups, self.narrow):
+            if own not in vectors:
+                at = np.flatnonzero(length == own)
+                d = _matrix(rows["embedding"].take(pa.array(at)))
+                whole = np.isfinite(d).all(axis=1)
+                vectors[own] = at[whole], _unit(d[whole]) if self.metric == "cosine" else d[whole]
+            at, d = vectors[own]
+            if rule is not None:
+                fit = _mask_for(rule, rows)[at]
+                at, d = at[fit], d[fit]
+            if len(d):
+                found += self._group(members, q, narrow, at, d)
+        if found:
+            q, v, c = (np.concatenate(part) for part in zip(*found))
+            self.best.hold(q, v, ids.take(pa.array(c)))
+
+    def _group(self, members, q, narrow, at, d):
+        """(questions, scores, rows) of what may be among the best."""
+        side, error = self._side(d)
+        height = min(len(q), _QUESTIONS)
+        step = max(1, _PAIRS // height)
+        for a in range(0, len(q), height):
+            some = slice(a, a + height)
+            asked = members[some]
+            square = (q[some] ** 2).sum(axis=1) if self.metric == "l2" else np.ones(len(asked))
+            slack = error(square)
+            for b in range(0, len(d), step):
+                near = narrow[some] @ side[b : b + step].T
+                least = self._least(self.best.floor[asked], square, slack)
+                maybe = _not_below(near, least)
+                # Many: the block's own best set a bound as well.
+                if np.count_nonzero(maybe) > 4 * self.best.most * len(asked):
+                    if 0 < self.best.most < near.shape[1]:
+                        cut = near.shape[1] - self.best.most
+                        kth = np.partition(near, cut, axis=1)[:, cut].astype(np.float64)
+                        worst = self._score(kth, square, slack)
+                        least = self._least(worst, square, slack)
+                        maybe &= _not_below(near, least)
+                pairs = np.flatnonzero(maybe)
+                if not len(pairs):
+                    continue
+                x, y = np.divmod(pairs, near.shape[1])
+                v = self._exact(q, a + x, d, b + y)
+                good = (v > -np.inf) & (v >= self.best.floor[asked[x]])
+                kept = self.best.choose(asked[x[good]], v[good], at[b + y[good]])
+                if len(kept[0]):
+                    yield kept
+
+    def _side(self, d: np.ndarray):
+        """The rows as a factor, and the greatest error of a product with it."""
+        width = d.shape[1] + 8
+        if self.metric == "cosine":
+            side = d
+            error = lambda square: np.full(len(square), width * _EPSILON)
+        else:
+            own = (d**2).sum(axis=1)
+            side = np.hstack([2 * d, -own[:, None]])
+            error = lambda square: width * _EPSILON * (square + 2 * own.max())
+        narrow = np.abs(side).max(initial=0) < _NARROW
+        return side.astype(np.float32 if narrow else np.float64), error
+
+    def _least(self, score, square, slack):
+        """Products below this belong to scores below ``score``, also after rounding."""
+        score = score - 2 * 10.0**-DECIMALS
+        if self.metric == "cosine":
+            return score - slack
+        # A distance beyond the greatest double has no square: nothing is left out then.
+        return np.where(np.isinf(score), score, square - np.minimum(score, 0) ** 2 - slack)
+
+    def _score(self, near, square, slack):
+        """At least this is the score of a pair with such a product."""
+        if self.metric == "cosine":
+            return near - slack
+        return -np.sqrt(np.maximum(square - near + slack, 0))
+
+    def _exact(self, q, x, d, y) -> np.ndarray:
+        out = np.empty(len(x))
+        step = max(1, _BLOCK_CELLS // (2 * q.shape[1]))
+        for a in range(0, len(x), step):
+            part = slice(a, a + step)
+            left, right = q[x[part]], d[y[part]]
+            if self.metric == "cosine":
+                out[part] = np.einsum("ij,ij->i", left, right)
+            else:
+                left -= right
+                out[part] = -np.sqrt(np.einsum("ij,ij->i", left, left))
+        return np.round(out, DECIMALS) + 0.0
 
 
 class TermScorer:
@@ -159,8 +280,16 @@ class TermScorer:
             at = end
 
 
-def scorer_for(kind: str, questions: pa.Table):
-    return TermScorer(questions) if kind == "terms" else DenseScorer(questions, kind)
+def _not_below(near: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Products of at least a line's bound, and those that cannot be compared with it."""
+    below = near < least[:, None].astype(near.dtype)
+    return np.logical_not(below, out=below)
+
+
+def _filters(questions: pa.Table) -> list:
+    if "filter" not in questions.column_names:
+        return [None] * questions.num_rows
+    return questions["filter"].to_pylist()
 
 
 def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
@@ -192,25 +321,33 @@ def _mask_for(spec, rows: pa.Table) -> np.ndarray:
     return pc.fill_null(hit, False).to_numpy()
 
 
-def score_batches(batches, questions: pa.Table, kind: str, k: int, id_type: pa.DataType):
-    """Best rows per question over all batches of a task, as one table: as many as the
-    question's limit says, else k."""
-    scorer = scorer_for(kind, questions)
-    wanted = pc.fill_null(questions["limit"].combine_chunks(), k).to_numpy(zero_copy_only=False)
-    best = BestPerQuestion(wanted.astype(np.int64), id_type)
+def _add_terms(batches, questions: pa.Table, best: BestPerQuestion) -> None:
+    scorer = TermScorer(questions)
     by_filter: dict[str, list[int]] = {}
-    if "filter" in questions.column_names:
-        for i, spec in enumerate(questions["filter"].to_pylist()):
-            if spec:
-                by_filter.setdefault(spec, []).append(i)
+    for i, spec in enumerate(_filters(questions)):
+        if spec:
+            by_filter.setdefault(spec, []).append(i)
     groups = [(json.loads(spec), np.array(members)) for spec, members in by_filter.items()]
-    for batch in batches:
-        rows = batch if isinstance(batch, pa.Table) else pa.Table.from_batches([batch])
+    for rows in batches:
         for part, scores in scorer.blocks(rows):
             for spec, members in groups:
                 rejected = np.flatnonzero(~_mask_for(spec, part))
                 scores[np.ix_(members, rejected)] = -np.inf
             best.add(scores, part["row_id"].combine_chunks())
+
+
+def score_batches(batches, questions: pa.Table, kind: str, k: int, id_type: pa.DataType):
+    """Best rows per question over all batches of a task, as one table: as many as the
+    question's limit says, else k."""
+    wanted = pc.fill_null(questions["limit"].combine_chunks(), k).to_numpy(zero_copy_only=False)
+    best = BestPerQuestion(wanted.astype(np.int64), id_type)
+    batches = (b if isinstance(b, pa.Table) else pa.Table.from_batches([b]) for b in batches)
+    if kind == "terms":
+        _add_terms(batches, questions, best)
+    else:
+        scorer = DenseScorer(questions, kind, best)
+        for rows in batches:
+            scorer.search(rows)
     found = best.result()
     picked = found["q"].combine_chunks()
     columns = {
