@@ -226,7 +226,7 @@ def nearest_stored(
     if kind == "terms":
         raise ValueError("a coarse index holds dense vectors")
     asked = _question_columns(questions, index.rows, kind)
-    size, attributes = _look_at(asked, kind, index.rows)
+    size, attributes, *_ = _look_at(asked, kind, index.rows)
     wanted = _wanted_by_any(asked, index.rows, attributes)
     asked = materialize(_probed(asked, index.centroids, probes))
     # At most one row per cell of the index.

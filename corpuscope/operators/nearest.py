@@ -6,13 +6,17 @@ attribute the filters use. Results: ``query_id, rank, row_id, score``.
 
 No question/row pair is ever a row of a DataFrame. A task scores its rows
 against a block of questions with numpy and emits at most k rows per question.
+
+With many dense questions copies are scored once: of rows with the same vector and attributes
+only as many stay as a question may want, those with the smallest ids, and questions that ask
+the same are asked as one, whose results each of them gets.
 """
 
 from __future__ import annotations
 
 import json
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 import numpy as np
 import pandas as pd
@@ -27,9 +31,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 from corpuscope.config import EngineConfig
 from corpuscope.functions.topk import DECIMALS, score_batches
 from corpuscope.operators.filters import problem, to_column
-from corpuscope.session import materialize_for_join
+from corpuscope.session import materialize, materialize_for_join
 
 METRICS = ("cosine", "l2", "terms")
+#: Questions from which on a row costs more to score than to move to its copies.
+MANY = 256
+#: Greatest bytes of vectors per side of a cell.
+MOST_CELL_BYTES = 64 << 20
 #: Different filters of a batch that are looked for in the scan already.
 MOST_FILTERS = 64
 
@@ -122,8 +130,11 @@ def _vector_bytes(kind: str) -> Column:
     return F.coalesce(vector, F.lit(0)).cast("long") + 64
 
 
-def _look_at(questions: DataFrame, kind: str, rows: DataFrame) -> tuple[int, list[str]]:
-    """Bytes of the question side, and the attributes its filters name.
+def _look_at(
+    questions: DataFrame, kind: str, rows: DataFrame, k: int = 0
+) -> tuple[int, list[str], int, int]:
+    """Bytes of the question side, the attributes its filters name, the number of questions
+    and the most rows that one of them wants.
 
     Only usable filters are left, so the names are columns of the rows.
     """
@@ -132,9 +143,37 @@ def _look_at(questions: DataFrame, kind: str, rows: DataFrame) -> tuple[int, lis
         for k, n in enumerate(_attribute_types(rows))
     ]
     size = _vector_bytes(kind) + F.coalesce(F.octet_length("filter"), F.lit(0))
-    seen = questions.agg(F.coalesce(F.sum(size), F.lit(0)), *names).first()
-    named = [n for n, hit in zip(_attribute_types(rows), seen[1:]) if hit]
-    return int(seen[0]), [name for name in named if name != "row_id"]
+    most = F.max(F.coalesce("limit", F.lit(k)))
+    seen = questions.agg(
+        F.coalesce(F.sum(size), F.lit(0)), F.count("*"), F.coalesce(most, F.lit(0)), *names
+    ).first()
+    named = [n for n, hit in zip(_attribute_types(rows), seen[3:]) if hit]
+    return int(seen[0]), [name for name in named if name != "row_id"], int(seen[1]), int(seen[2])
+
+
+def _first_copies(rows: DataFrame, same: list[str], most: int) -> DataFrame:
+    """The ``most`` smallest ids of rows that agree in ``same``: no question gets more of them.
+
+    Each task sends on as many of a vector at most, so that a frequent one gathers few rows.
+    """
+    place = Window.partitionBy(F.xxhash64(*same), *same).orderBy("row_id")
+    first = rows.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= most)
+    return first.drop("_place")
+
+
+def _asked_once(questions: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Different questions under numbers of their own, and the number of each ``query_id``;
+    none if hardly any question is a copy."""
+    same = ["embedding", "filter", "limit"]
+    grouped = questions.groupBy(*same).agg(F.count("*").alias("_n"))
+    different = materialize(grouped.withColumn("_number", F.monotonically_increasing_id()))
+    n, total = different.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    if 10 * n > 9 * total:
+        return None
+    asked = different.select(F.col("_number").alias("query_id"), *same)
+    named = different.select("_number", *(F.col(c).alias(f"_same_{c}") for c in same))
+    alike = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in same))
+    return asked, questions.join(named, alike).select("query_id", "_number", "limit")
 
 
 def _wanted_by_any(questions: DataFrame, rows: DataFrame, attributes: list[str]) -> DataFrame:
@@ -183,21 +222,57 @@ def nearest(
     ``l2`` (score is minus the distance) or ``terms``. Scores have six decimals; what is
     equal then is ordered by ``row_id``."""
     questions = _question_columns(questions, rows, kind)
-    size, attribute_names = _look_at(questions, kind, rows)
+    size, attribute_names, n_questions, most = _look_at(questions, kind, rows, k)
     rows = rows.select("row_id", *_vector_columns(kind), *attribute_names)
     rows = rows.where(F.col(_vector_columns(kind)[0]).isNotNull())
     rows = _wanted_by_any(questions, rows, attribute_names)
+    if kind == "terms" or n_questions < MANY:
+        return _ranked(_candidates(questions, rows, size, k, kind, config), k)
+    rows = _first_copies(rows, ["embedding", *attribute_names], most)
+    # Dealt out again: the tasks follow the cores, not the bytes.
+    rows = rows.repartition(_scoring_tasks(rows, config))
+    once = _asked_once(questions)
+    if once is None:
+        return _ranked(_candidates(questions, rows, size, k, kind, config), k)
+    asked, numbers = once
+    size = _look_at(asked, kind, rows)[0]
+    best = _ranked(_candidates(asked, rows, size, k, kind, config), k)
+    best = materialize_for_join(
+        best.select(F.col("query_id").alias("_number"), "row_id", "score"), config.broadcast_rows
+    )
+    return _ranked(numbers.join(best, "_number"), k)
+
+
+def _candidates(
+    questions: DataFrame, rows: DataFrame, size: int, k: int, kind: str, config: EngineConfig
+) -> DataFrame:
+    """The best rows of each question in each task; ``size`` is that of the questions."""
     if size <= config.broadcast_bytes:
-        candidates = _against_broadcast(questions, rows, k, kind, config)
-    else:
-        row_bytes = rows.agg(F.sum(_vector_bytes(kind))).first()[0] or 0
-        cuts = [max(1, -(-n // config.cell_bytes)) for n in (row_bytes, size)]
-        candidates = _scored_cells(
-            _spread(questions, "query_id", "question_cut", cuts[1], "row_cut", cuts[0]),
-            _spread(rows, "row_id", "row_cut", cuts[0], "question_cut", cuts[1]),
-            ["row_cut", "question_cut"], k, kind,
-        )
-    return _ranked(candidates, k)
+        return _against_broadcast(questions, rows, k, kind, config)
+    row_bytes = rows.agg(F.sum(_vector_bytes(kind))).first()[0] or 0
+    cuts = _cuts([row_bytes, size], _scoring_tasks(rows, config), config)
+    return _scored_cells(
+        _spread(questions, "query_id", "question_cut", cuts[1], "row_cut", cuts[0]),
+        _spread(rows, "row_id", "row_cut", cuts[0], "question_cut", cuts[1]),
+        ["row_cut", "question_cut"], k, kind,
+    )
+
+
+def _scoring_tasks(rows: DataFrame, config: EngineConfig) -> int:
+    return config.tasks_per_core * rows.sparkSession.sparkContext.defaultParallelism
+
+
+def _cuts(sizes: list[int], tasks: int, config: EngineConfig) -> list[int]:
+    """Into how many parts the rows and the questions are cut.
+
+    Each side is copied to every part of the other, so cells of ``cell_bytes`` are only made
+    while they are no more than the tasks; beyond, cells grow up to MOST_CELL_BYTES a side.
+    """
+    wanted = [max(1, -(-n // config.cell_bytes)) for n in sizes]
+    most_bytes = max(config.cell_bytes, MOST_CELL_BYTES)
+    least = [max(1, -(-n // most_bytes)) for n in sizes]
+    shrink = max(1.0, (wanted[0] * wanted[1] / tasks) ** 0.5)
+    return [max(low, int(n / shrink)) for low, n in zip(least, wanted)]
 
 
 def _spread(side: DataFrame, key: str, own: str, n: int, other: str, copies: int) -> DataFrame:
@@ -235,8 +310,7 @@ def _against_broadcast(
         if shared.value.num_rows:
             yield from score_batches(batches, shared.value, kind, k, id_type).to_batches()
 
-    tasks = config.tasks_per_core * rows.sparkSession.sparkContext.defaultParallelism
-    return rows.coalesce(tasks).mapInArrow(run, schema)
+    return rows.coalesce(_scoring_tasks(rows, config)).mapInArrow(run, schema)
 
 
 def _in_cells(
@@ -288,7 +362,7 @@ def nearest_approximate(
     truncated, so the result depends on the hash functions only.
     """
     questions = _question_columns(questions, rows, kind)
-    _, attribute_names = _look_at(questions, kind, rows)
+    _, attribute_names, *_ = _look_at(questions, kind, rows)
     rows = rows.select("row_id", "embedding", *attribute_names)
     hasher = BucketedRandomProjectionLSH(
         inputCol="v", outputCol="hashes", numHashTables=tables * width, bucketLength=bucket_length,

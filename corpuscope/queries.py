@@ -48,7 +48,7 @@ from corpuscope.plans.ingest import (
     ingest_warnings,
     with_extension,
 )
-from corpuscope.session import scratch_path
+from corpuscope.session import materialize, scratch_path
 from corpuscope.sources.collections import open_collection
 
 
@@ -448,11 +448,12 @@ def vector_cells_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latent_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names by dense vectors of the corpus's own. The names have fewer words than the
     vectors have columns, so similarities are those of the term weights."""
-    docs = corpora.table(spark, sf_dir, "part").select(
+    docs = corpora.spread_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_id"), F.col("p_name").alias("page_content")
     )
     vocabulary, model = latent.fit_documents(docs, rank=32)
-    rows = latent.embed(terms.vectors(docs, vocabulary), model).select("row_id", "embedding")
+    embedded = latent.embed(terms.vectors(docs, vocabulary), model)
+    rows = materialize(embedded.select("row_id", "embedding"))
     asked = rows.where(F.col("row_id") % 20 == 0).withColumnRenamed("row_id", "query_id")
     return nearest(asked, rows, 40)
 
