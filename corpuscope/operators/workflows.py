@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuscope.functions import budget
+from corpuscope.functions import budget, plain_yaml
 from corpuscope.functions.arrays import let, runs
 from corpuscope.functions.parsing import OPTION, Parser, option, text_of
 from corpuscope.functions.text import given, given_or_null, strip
@@ -90,8 +90,12 @@ def _dag(index: int, content: dict) -> dict:
 
 def parse(text: str) -> dict:
     try:
-        budget.check(text)
-        contents = list(yaml.load_all(text, Loader=_LOADER))
+        # A plain text has no aliases, and little nesting beside that of its brackets.
+        few = text.count("[") + text.count("{") <= budget.DEPTH
+        contents = plain_yaml.read(text) if few else None
+        if contents is None:
+            budget.check(text)
+            contents = list(yaml.load_all(text, Loader=_LOADER))
     except budget.TooLarge as problem:
         return {"status": "too_large", "error": text_of(problem), "dags": []}
     except yaml.YAMLError as problem:
