@@ -69,21 +69,28 @@ def fit(docs: DataFrame, text: str = "page_content") -> Vocabulary:
 
 
 def _frequent_cut(vocabulary: Vocabulary, config: EngineConfig) -> int:
-    """Frequency from which a term is broadcast.
+    """Frequency from which a term is broadcast: the lowest whose terms keep to both bounds.
 
-    Frequencies add up to ``n_pairs``, so at most ``broadcast_terms`` terms can
-    reach ``n_pairs / broadcast_terms``: the broadcast side is bounded however
-    large the corpus is, and a term below the cut holds too small a share of all
-    rows to skew a shuffle.
+    As many terms as may be are looked up inside the document's row, and only postings of
+    the rest are shuffled. Frequencies add up to ``n_pairs``, so at most ``broadcast_terms``
+    terms can reach ``n_pairs / broadcast_terms``, and a term below the cut holds too small
+    a share of all rows to skew a shuffle.
     """
-    cut = 0
-    if vocabulary.n_terms > config.broadcast_terms:
-        cut = vocabulary.n_pairs // config.broadcast_terms + 1
-    while True:
-        held = vocabulary.table.where(F.col("df") >= cut).agg(F.sum(F.octet_length("term"))).first()
-        if (held[0] or 0) <= config.broadcast_bytes:
+    # Different frequencies add up to n_pairs at most as well: no more than sqrt(2 n_pairs) rows.
+    steps = (
+        vocabulary.table.groupBy("df")
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length("term")).alias("size"))
+        .orderBy(F.desc("df"))
+        .collect()
+    )
+    terms_held = bytes_held = 0
+    cut = steps[0].df + 1 if steps else 0
+    for step in steps:
+        terms_held, bytes_held = terms_held + step.n, bytes_held + step["size"]
+        if terms_held > config.broadcast_terms or bytes_held > config.broadcast_bytes:
             return cut
-        cut = max(2, 4 * cut)
+        cut = step.df
+    return 0
 
 
 def _frequent_weights(
