@@ -14,7 +14,9 @@ the same are asked as one, whose results each of them gets.
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 from functools import reduce
 from operator import and_, or_
 
@@ -38,6 +40,8 @@ METRICS = ("cosine", "l2", "terms")
 MANY = 256
 #: Greatest bytes of vectors per side of a cell.
 MOST_CELL_BYTES = 64 << 20
+#: Pairs of a question and a row that one task scores at most: tasks grow in number, not in length.
+MOST_PAIRS = 1 << 30
 #: Different filters of a batch that are looked for in the scan already.
 MOST_FILTERS = 64
 
@@ -228,9 +232,8 @@ def nearest(
     rows = _wanted_by_any(questions, rows, attribute_names)
     if kind == "terms" or n_questions < MANY:
         return _ranked(_candidates(questions, rows, size, k, kind, config), k)
-    rows = _first_copies(rows, ["embedding", *attribute_names], most)
-    # Dealt out again: the tasks follow the cores, not the bytes.
-    rows = rows.repartition(_scoring_tasks(rows, config))
+    # Stored: their number decides how they are dealt out.
+    rows = materialize(_first_copies(rows, ["embedding", *attribute_names], most))
     once = _asked_once(questions)
     if once is None:
         return _ranked(_candidates(questions, rows, size, k, kind, config), k)
@@ -247,14 +250,18 @@ def _candidates(
     questions: DataFrame, rows: DataFrame, size: int, k: int, kind: str, config: EngineConfig
 ) -> DataFrame:
     """The best rows of each question in each task; ``size`` is that of the questions."""
+    n_questions = 0 if kind == "terms" else questions.count()
     if size <= config.broadcast_bytes:
-        return _against_broadcast(questions, rows, k, kind, config)
-    row_bytes = rows.agg(F.sum(_vector_bytes(kind))).first()[0] or 0
-    cuts = _cuts([row_bytes, size], _scoring_tasks(rows, config), config)
+        if n_questions < MANY:
+            return _against_broadcast(questions, rows, k, kind, config)
+        return _in_parts(questions, rows, k, kind, config)
+    row_bytes, n_rows = rows.agg(F.sum(_vector_bytes(kind)), F.count("*")).first()
+    cuts = _cuts([row_bytes or 0, size], _scoring_tasks(rows, config), config)
+    cuts = _finer(cuts, n_questions * n_rows)
     return _scored_cells(
         _spread(questions, "query_id", "question_cut", cuts[1], "row_cut", cuts[0]),
         _spread(rows, "row_id", "row_cut", cuts[0], "question_cut", cuts[1]),
-        ["row_cut", "question_cut"], k, kind,
+        ["row_cut", "question_cut"], k, kind, 2 * cuts[0] * cuts[1],
     )
 
 
@@ -275,6 +282,12 @@ def _cuts(sizes: list[int], tasks: int, config: EngineConfig) -> list[int]:
     return [max(low, int(n / shrink)) for low, n in zip(least, wanted)]
 
 
+def _finer(cuts: list[int], pairs: int) -> list[int]:
+    """Both sides cut further, until a cell has about MOST_PAIRS pairs."""
+    more = max(1.0, (pairs / MOST_PAIRS / (cuts[0] * cuts[1])) ** 0.5)
+    return [math.ceil(n * more) for n in cuts]
+
+
 def _spread(side: DataFrame, key: str, own: str, n: int, other: str, copies: int) -> DataFrame:
     """Each row in the cut its id hashes to, once for each cut of the other side."""
     mine = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
@@ -283,14 +296,16 @@ def _spread(side: DataFrame, key: str, own: str, n: int, other: str, copies: int
 
 
 def _scored_cells(
-    questions: DataFrame, rows: DataFrame, keys: list[str], k: int, kind: str
+    questions: DataFrame, rows: DataFrame, keys: list[str], k: int, kind: str, tasks: int
 ) -> DataFrame:
+    """Cells dealt over ``tasks``: left to the session's number, or put together by their bytes,
+    a task would get more of them as they grow in number."""
     id_type = to_arrow_type(rows.schema["row_id"].dataType)
 
     def run(some_questions: pa.Table, some_rows: pa.Table) -> pa.Table:
         return score_batches([some_rows], some_questions, kind, k, id_type)
 
-    left, right = questions.groupBy(*keys), rows.groupBy(*keys)
+    left, right = (side.repartition(tasks, *keys).groupBy(*keys) for side in (questions, rows))
     return left.cogroup(right).applyInArrow(run, _result_schema(questions, rows))
 
 
@@ -313,6 +328,41 @@ def _against_broadcast(
     return rows.coalesce(_scoring_tasks(rows, config)).mapInArrow(run, schema)
 
 
+def _in_parts(
+    questions: DataFrame, rows: DataFrame, k: int, kind: str, config: EngineConfig
+) -> DataFrame:
+    """A task meets one part of the rows with one part of the size-checked questions.
+
+    Cut on both sides, the tasks send on fewer rows of a question than if each had all questions;
+    there are more of them once they would have over MOST_PAIRS pairs.
+    """
+    schema = _result_schema(questions, rows)
+    id_type = to_arrow_type(rows.schema["row_id"].dataType)
+    asked = questions.toArrow()
+    row_cuts, question_cuts = _finer(
+        [math.ceil(_scoring_tasks(rows, config) ** 0.5)] * 2, asked.num_rows * rows.count()
+    )
+    shared = rows.sparkSession.sparkContext.broadcast(asked)
+    dealt = _spread(rows, "row_id", "_own", row_cuts, "_other", question_cuts)
+    dealt = dealt.withColumn("_cell", F.col("_own") * question_cuts + F.col("_other"))
+    dealt = dealt.drop("_own", "_other").repartitionById(row_cuts * question_cuts, "_cell")
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # A task has one cell.
+            part = batch.column("_cell")[0].as_py() % question_cuts
+            ends = [n * shared.value.num_rows // question_cuts for n in (part, part + 1)]
+            some = shared.value.slice(ends[0], ends[1] - ends[0])
+            if some.num_rows:
+                every = itertools.chain([batch], batches)
+                yield from score_batches(every, some, kind, k, id_type).to_batches()
+            return
+
+    return dealt.mapInArrow(run, schema)
+
+
 def _in_cells(
     questions: DataFrame, rows: DataFrame, k: int, kind: str, config: EngineConfig
 ) -> DataFrame:
@@ -323,12 +373,21 @@ def _in_cells(
     are spread by hash of their unique id and copied to the other side's cuts.
     """
 
-    def cuts(side: DataFrame, name: str) -> DataFrame:
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        return materialize(side.groupBy("cell").agg(F.count("*").alias(name)))
+
+    def cuts(sizes: DataFrame, of: str, name: str) -> DataFrame:
         # Only cells that need more than one cut are kept: few rows.
-        n = F.ceil(F.count("*") / config.cell_rows).cast("int").alias(name)
-        return side.groupBy("cell").agg(n).where(F.col(name) > 1)
+        n = F.ceil(F.col(of) / config.cell_rows).cast("int").alias(name)
+        return sizes.select("cell", n).where(F.col(name) > 1)
 
-    row_cuts, question_cuts = cuts(rows, "row_cuts"), cuts(questions, "question_cuts")
+    n_rows, n_questions = counted(rows, "n_rows"), counted(questions, "n_questions")
+    row_cuts = cuts(n_rows, "n_rows", "row_cuts")
+    question_cuts = cuts(n_questions, "n_questions", "question_cuts")
+    # As doubles: a number of tasks need not be exact.
+    product = F.sum(F.col("n_rows").cast("double") * F.col("n_questions"))
+    pairs = n_rows.join(n_questions, "cell").agg(product).first()[0] or 0
+    tasks = max(_scoring_tasks(rows, config), math.ceil(pairs / MOST_PAIRS))
 
     def spread(side: DataFrame, key: str, own: str, other: str) -> DataFrame:
         side = side.join(row_cuts, "cell", "left").join(question_cuts, "cell", "left")
@@ -339,7 +398,7 @@ def _in_cells(
     return _scored_cells(
         spread(questions, "query_id", "question_cuts", "row_cuts"),
         spread(rows, "row_id", "row_cuts", "question_cuts"),
-        ["cell", "row_cuts", "question_cuts"], k, kind,
+        ["cell", "row_cuts", "question_cuts"], k, kind, tasks,
     )
 
 

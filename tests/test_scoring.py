@@ -90,3 +90,19 @@ def test_cells_follow_the_tasks():
     # No side of a cell passes its bound, however large the input.
     assert module._cuts([64 << 30, 1 << 20], 48, config)[0] >= 1024
     assert module._cuts([64 << 30, 64 << 30], 48, EngineConfig()) == [1024, 1024]
+
+
+@pytest.mark.parametrize("config", [EngineConfig(tasks_per_core=16), EngineConfig(broadcast_bytes=0)])
+@pytest.mark.parametrize("pairs", [1 << 30, 1500])
+def test_tasks_grow_in_number_and_not_in_length(spark, monkeypatch, config, pairs):
+    rows, questions = vectors(400, 7), vectors(300, 8)
+    monkeypatch.setattr(module, "MOST_PAIRS", pairs)
+    held, some = frames(spark, rows, questions)
+    asked = module._question_columns(held, some, "cosine")
+    size = module._look_at(asked, "cosine", some)[0]
+    found = module._candidates(asked, some.select("row_id", "embedding"), size, 5, "cosine", config)
+    tasks = found.rdd.getNumPartitions()
+    assert tasks >= 300 * 400 / pairs
+    # Cut on both sides: a question meets the root of the tasks, and each sends on five rows.
+    assert found.count() <= 300 * 5 * (1 + tasks**0.5)
+    assert collected(nearest(held, some, 5, "cosine", config)) == brute(rows, questions, 5, "cosine")
