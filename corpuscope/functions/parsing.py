@@ -36,8 +36,9 @@ def text_of(value: Any) -> str | None:
 
 
 def option(mapping: Mapping, key: str) -> dict:
-    present = key in mapping
-    return {"present": present, "value": text_of(mapping[key]) if present else None}
+    if key not in mapping:
+        return {"present": False, "value": None}
+    return {"present": True, "value": text_of(mapping[key])}
 
 
 def with_parsed(

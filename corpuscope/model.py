@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,13 +41,34 @@ DOC_ARRAY = T.ArrayType(DOC_STRUCT)
 WARNING_KIND = "warning"
 
 
-def doc(**fields: Column) -> Column:
-    """Struct of one document; fields that are not given are null."""
+@dataclass(frozen=True)
+class Wanted:
+    """Kinds and fields of documents that are asked for (None: all); others need not be built."""
+
+    kinds: Collection[str] | None = None
+    fields: Collection[str] | None = None
+
+    def kind(self, name: str) -> bool:
+        return self.kinds is None or name in self.kinds
+
+    def field(self, name: str) -> bool:
+        return self.fields is None or name in self.fields
+
+
+def doc(wanted: Wanted = Wanted(), **fields: Column) -> Column:
+    """Struct of one document; fields that are not given, or not wanted, are null."""
     unknown = set(fields) - set(DOC_FIELDS)
     if unknown:
         raise ValueError(f"unknown document fields: {sorted(unknown)}")
     null = F.lit(None).cast("string")
-    return F.struct(*[fields.get(f, null).alias(f) for f in DOC_FIELDS])
+    return F.struct(
+        *[(fields.get(f, null) if wanted.field(f) else null).alias(f) for f in DOC_FIELDS]
+    )
+
+
+def no_doc() -> Column:
+    """The place of a document that is not wanted."""
+    return F.lit(None).cast(DOC_STRUCT)
 
 
 def no_docs() -> Column:

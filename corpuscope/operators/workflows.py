@@ -1,22 +1,25 @@
 """Workflow (DAG) definitions in YAML: summaries, tasks, dependency edges.
 
-Python only turns the text into typed structs. Everything after that, the
-dependency pairs included, is row-local array work: one file is one row, so
-neither edges nor neighbour lists need a shuffle.
+Python only turns the text into typed structs, with the neighbours of each task by the
+flows. Everything after that is row-local array work: one file is one row, so neither edges nor
+neighbour lists need a shuffle.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from itertools import pairwise
+
 import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuscope.functions import budget, plain_yaml
-from corpuscope.functions.arrays import let, runs
+from corpuscope.functions.arrays import let
 from corpuscope.functions.parsing import OPTION, Parser, option, text_of
 from corpuscope.functions.text import given, given_or_null, strip
-from corpuscope.model import DOC_ARRAY, doc, no_docs, warning
+from corpuscope.model import DOC_ARRAY, Wanted, doc, no_doc, no_docs, warning
 
 TASK = T.StructType(
     [
@@ -25,6 +28,8 @@ TASK = T.StructType(
         T.StructField("flow_key", T.StringType()),  # null unless the key is a string
         T.StructField("operator", OPTION),
         T.StructField("file", OPTION),
+        T.StructField("before", T.ArrayType(T.StringType())),  # tasks that run before it
+        T.StructField("after", T.ArrayType(T.StringType())),
     ]
 )
 DAG = T.StructType(
@@ -56,14 +61,29 @@ def _mapping(value, what: str) -> dict:
     return value
 
 
-def _task(key, details) -> dict:
+def _neighbours(flows: list[str]) -> tuple[dict, dict]:
+    """Of each name in a flow those before and after it, in the order of the flows."""
+    before, after = defaultdict(list), defaultdict(list)
+    for flow in flows:
+        names = [name.strip() for name in flow.split(">>")]
+        for up, down in pairwise(names):
+            before[down].append(up)
+            after[up].append(down)
+    return before, after
+
+
+def _task(key, details, before: dict, after: dict) -> dict:
     details = _mapping(details, f"task {key!r}")
+    # A task whose key is not text can never be named by a flow.
+    flow_key = text_of(key) if isinstance(key, str) else None
     return {
         "name": text_of(str(key)),
         "label": text_of(key),
-        "flow_key": text_of(key) if isinstance(key, str) else None,
+        "flow_key": flow_key,
         "operator": option(details, "operator"),
         "file": option(details, "file"),
+        "before": before.get(flow_key, ()),
+        "after": after.get(flow_key, ()),
     }
 
 
@@ -74,6 +94,8 @@ def _dag(index: int, content: dict) -> dict:
         flows = flows if isinstance(flows, list) else []
         if not all(isinstance(flow, str) for flow in flows):
             raise TypeError("execution holds something that is not text")
+        flows = [text_of(flow) for flow in flows]
+        near = _neighbours(flows)
         tasks = _mapping(content.get("tasks", {}), "tasks")
         return {
             "doc_idx": index,
@@ -81,8 +103,8 @@ def _dag(index: int, content: dict) -> dict:
             "owner": option(_mapping(info.get("default_args", {}), "default_args"), "owner"),
             "schedule": option(info, "schedule_interval"),
             "description": option(info, "description"),
-            "tasks": [_task(k, v) for k, v in tasks.items()],
-            "execution": [text_of(flow) for flow in flows],
+            "tasks": [_task(k, v, *near) for k, v in tasks.items()],
+            "execution": flows,
         }
     except Exception as problem:
         return {"doc_idx": index, "error": text_of(problem)}
@@ -152,63 +174,17 @@ def edges(dag: Column) -> Column:
     return F.flatten(F.transform(dag["execution"], pairs))
 
 
-def neighbours(tasks: Column, links: Column) -> Column:
-    """``array<struct<before array<string>, after array<string>>>`` aligned with ``tasks``.
-
-    Tasks and both ends of every edge are put in one array and sorted by task
-    name, so each task meets its edges in one run: n log n, no join.
-    """
-
-    def entry(key: Column, odd: Column, role: int, seq: Column, other: Column) -> Column:
-        return F.struct(
-            key.alias("key"),
-            odd.alias("odd"),
-            F.lit(role).alias("role"),
-            seq.alias("seq"),
-            other.alias("other"),
-        )
-
-    null = F.lit(None).cast("string")
-    zero = F.lit(0)
-    # A task whose key is not text can never be named by a flow: ``odd`` keeps it apart.
-    selves = F.transform(
-        tasks,
-        lambda t, i: entry(
-            F.coalesce(t["flow_key"], F.lit("")),
-            F.when(t["flow_key"].isNull(), i + 1).otherwise(zero),
-            0,
-            i,
-            null,
-        ),
-    )
-    ups = F.transform(links, lambda e, i: entry(e["down"], zero, 1, i, e["up"]))
-    downs = F.transform(links, lambda e, i: entry(e["up"], zero, 2, i, e["down"]))
-
-    def side(run: Column, role: int) -> Column:
-        return F.transform(F.filter(run, lambda x: x["role"] == role), lambda x: x["other"])
-
-    grouped = runs(
-        F.sort_array(F.concat(selves, ups, downs)), lambda x: F.struct(x["key"], x["odd"])
-    )
-    per_task = F.transform(
-        F.filter(grouped, lambda r: F.get(r, F.lit(0))["role"] == 0),
-        lambda r: F.struct(
-            F.get(r, F.lit(0))["seq"].alias("seq"),
-            side(r, 1).alias("before"),
-            side(r, 2).alias("after"),
-        ),
-    )
-    return F.sort_array(per_task)
-
-
 def _clause(lead: str, names: Column) -> Column:
     return F.when(
         F.size(names) > 0, F.concat(F.lit(lead), F.array_join(names, ", "), F.lit("."))
     ).otherwise(F.lit(""))
 
 
-def dag_documents(dag: Column) -> Column:
-    """Summary document followed by one document per task, in file order."""
+def dag_documents(dag: Column, wanted: Wanted = Wanted()) -> Column:
+    """Summary document followed by one document per task, in file order.
+
+    What is not wanted keeps its place as null.
+    """
     dag_id = given(dag["dag_id"], NO_ID)
     owner = given(dag["owner"], NO_OWNER)
     schedule = given(dag["schedule"], NO_SCHEDULE)
@@ -221,6 +197,7 @@ def dag_documents(dag: Column) -> Column:
     }
     # Sentence templates.
     summary = doc(
+        wanted,
         kind=F.lit("dag_summary"),
         doc_id=F.concat(dag_id, F.lit(":" + SUMMARY_ID)),
         page_content=F.concat(
@@ -237,8 +214,9 @@ def dag_documents(dag: Column) -> Column:
         **shared,
     )
 
-    def task_document(task: Column, near: Column) -> Column:
+    def task_document(task: Column) -> Column:
         return doc(
+            wanted,
             kind=F.lit("dag_task"),
             doc_id=F.concat(dag_id, F.lit(":"), task["name"]),
             page_content=F.concat(
@@ -251,8 +229,8 @@ def dag_documents(dag: Column) -> Column:
                 F.lit("' operator and runs the script '"),
                 given(task["file"], NO_SCRIPT),
                 F.lit("'."),
-                _clause(" It runs after the following task(s): ", near["before"]),
-                _clause(" It runs before the following task(s): ", near["after"]),
+                _clause(" It runs after the following task(s): ", task["before"]),
+                _clause(" It runs before the following task(s): ", task["after"]),
             ),
             task_name=task["label"],
             operator=given_or_null(task["operator"], NO_OPERATOR),
@@ -260,11 +238,11 @@ def dag_documents(dag: Column) -> Column:
             **shared,
         )
 
-    tasks = let(
-        neighbours(dag["tasks"], edges(dag)),
-        lambda near: F.transform(dag["tasks"], lambda t, i: task_document(t, F.get(near, i))),
-    )
-    return F.concat(F.array(summary), tasks)
+    if wanted.kind("dag_task"):
+        tasks = F.transform(dag["tasks"], task_document)
+    else:
+        tasks = F.array_repeat(no_doc(), F.size(dag["tasks"]))
+    return F.concat(F.array(summary if wanted.kind("dag_summary") else no_doc()), tasks)
 
 
 def raw_document(path: Column, content: Column) -> Column:
@@ -273,13 +251,16 @@ def raw_document(path: Column, content: Column) -> Column:
     )
 
 
-def derived_documents(parsed: Column) -> Column:
-    docs = F.flatten(F.transform(kept_dags(parsed), dag_documents))
+def derived_documents(parsed: Column, wanted: Wanted = Wanted()) -> Column:
+    docs = F.flatten(F.transform(kept_dags(parsed), lambda dag: dag_documents(dag, wanted)))
     return F.coalesce(docs.cast(DOC_ARRAY), no_docs())
 
 
-def documents(path: Column, content: Column, parsed: Column) -> Column:
-    return F.concat(F.array(raw_document(path, content)), derived_documents(parsed))
+def documents(
+    path: Column, content: Column, parsed: Column, wanted: Wanted = Wanted()
+) -> Column:
+    raw = raw_document(path, content) if wanted.kind("raw") else no_doc()
+    return F.concat(F.array(raw), derived_documents(parsed, wanted))
 
 
 def warnings(parsed: Column) -> Column:

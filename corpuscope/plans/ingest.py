@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from corpuscope.config import EngineConfig
 from corpuscope.functions.parsing import Parser, with_parsed
 from corpuscope.functions.text import extension, has_suffix, unix_newlines
-from corpuscope.model import DOC_ARRAY, WARNING_KIND, explode_documents, no_docs, warning
+from corpuscope.model import (
+    DOC_ARRAY,
+    DOC_FIELDS,
+    WARNING_KIND,
+    Wanted,
+    explode_documents,
+    no_docs,
+    warning,
+)
 from corpuscope.operators import chunks, dictionary, lineage, pycode, workflows
 from corpuscope.plans.table_functions import table_documents
 from corpuscope.sources.repo_files import read_repository
@@ -36,12 +44,15 @@ class Processor:
     reports_unreadable: bool = True
     # True: the text itself is in no document but the raw one; all else comes from the parser.
     text_is_raw_only: bool = False
+    # True: ``documents`` takes as a fourth what is wanted, and puts null for other documents.
+    selective: bool = False
 
 
 def default_processors(config: EngineConfig = EngineConfig()) -> dict[str, Processor]:
     return {
         ".yaml": Processor(
-            workflows.documents, workflows.warnings, workflows.PARSER, text_is_raw_only=True
+            workflows.documents, workflows.warnings, workflows.PARSER, text_is_raw_only=True,
+            selective=True,
         ),
         ".json": Processor(
             lambda path, content, parsed: dictionary.documents(content, parsed),
@@ -83,12 +94,14 @@ def ingest(
     config: EngineConfig = EngineConfig(),
     processors: Mapping[str, Processor | type] | None = None,
     kinds: tuple[str, ...] | None = None,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Document rows and warning rows (kind ``warning``) of all files.
 
     A processor may also be a Python table function (``table_functions.py``). With ``kinds`` only
-    documents of these kinds are looked for: texts that no such document needs are left behind
-    by the parsing stage. Positions in a file are the same.
+    documents of these kinds are looked for: others are not built, and texts that no such document
+    needs are left behind by the parsing stage. Positions in a file are the same. With ``fields``
+    only these and the kind come back of a document.
     """
     registry = dict(processors or default_processors(config))
     files = with_extension(files, config.extensions)
@@ -96,16 +109,22 @@ def ingest(
     parts = [table_documents(files.where(F.col("ext") == k), p) for k, p in functions.items()]
     if registry:
         others = files.where(~F.col("ext").isin(list(functions))) if functions else files
-        bare = kinds is not None and "raw" not in kinds
+        wanted = Wanted(kinds, None if fields is None else ("kind", *fields))
+        bare = not (wanted.kind("raw") and wanted.field("page_content"))
         bare = bare and all(p.parser and p.text_is_raw_only for p in registry.values())
-        parts.append(_ingest(others, registry, bare))
+        parts.append(_ingest(others, registry, wanted, bare))
     rows = reduce(DataFrame.unionByName, parts)
+    if fields is not None:
+        kept = [f for f in DOC_FIELDS if f == "kind" or f in fields]
+        rows = rows.select("row_id", "source", "ordinal", *kept)
     if kinds is None:
         return rows
     return rows.where(F.col("kind").isin(*kinds, WARNING_KIND))
 
 
-def _ingest(files: DataFrame, registry: dict[str, Processor], bare: bool = False) -> DataFrame:
+def _ingest(
+    files: DataFrame, registry: dict[str, Processor], wanted: Wanted, bare: bool
+) -> DataFrame:
     fallback = registry.pop(FALLBACK, None)
     # The key a file is dispatched on; the fallback takes everything else.
     key = F.when(F.col("ext").isin(list(registry)), F.col("ext")).otherwise(F.lit(FALLBACK))
@@ -124,7 +143,9 @@ def _ingest(files: DataFrame, registry: dict[str, Processor], bare: bool = False
     docs, unreadable = None, None
     for k, p in everything.items():
         part = field.get(k, nothing)
-        built = p.documents(F.col("path"), F.col("content"), part).cast(DOC_ARRAY)
+        built = p.documents(
+            F.col("path"), F.col("content"), part, *([wanted] if p.selective else [])
+        ).cast(DOC_ARRAY)
         if p.warnings:
             built = F.concat(built, p.warnings(part).cast(DOC_ARRAY))
         here = F.col("ext") == k

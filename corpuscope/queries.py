@@ -111,7 +111,8 @@ def dag_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dag_fault_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = documents(ingest(corpora.faulty_workflow_files(spark, sf_dir), processors=_only(".yaml")))
+    files = corpora.faulty_workflow_files(spark, sf_dir)
+    rows = documents(ingest(files, processors=_only(".yaml"), fields=("doc_id",)))
     return rows.select("source", "ordinal", "kind", "doc_id")
 
 
@@ -119,7 +120,9 @@ def file_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = corpora.faulty_workflow_files(spark, sf_dir).unionByName(
         corpora.python_files(spark, sf_dir)
     )
-    return ingest_warnings(ingest(files)).select("path", "class")
+    return ingest_warnings(ingest(files, processors=_only(".yaml") | _only(".py"), kinds=())).select(
+        "path", "class"
+    )
 
 
 class SettingsSections:

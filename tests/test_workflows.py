@@ -201,3 +201,27 @@ def test_files_beyond_their_budget_are_warnings(ingest_texts):
     assert {d.source for d in docs if d.kind == "raw"} == set(texts)
     # The longest name that is written out stays within the budget.
     assert max(len(d.page_content) for d in docs if d.kind != "raw") < 2000
+
+
+def test_only_what_is_wanted_is_built(spark):
+    from corpuscope.plans.ingest import ingest
+
+    late = FORKED + "---\ndag: {dag_id: second}\ntasks: {only: {}}\n---\ndag: 1\n---\n" + FORKED
+    files = spark.createDataFrame(
+        [("/a.yaml", late), ("/b.yaml", "a: ["), ("/c.py", "def ("), ("/d.md", "text")],
+        "path string, content string",
+    )
+    whole = ingest(files)
+    for wanted in ((), ("raw",), ("dag_summary",), ("dag_task", "raw"), ("dag_summary", "dag_task")):
+        some = ingest(files, kinds=wanted)
+        kept = whole.where(whole.kind.isin(*wanted, "warning"))
+        assert sorted(some.collect(), key=str) == sorted(kept.collect(), key=str)
+        yaml = ingest(files.where("path like '%.yaml'"), kinds=wanted)
+        plan = yaml._jdf.queryExecution().optimizedPlan().toString()
+        assert ("contains a task named" in plan) == ("dag_task" in wanted)
+        assert ("describes the DAG" in plan) == ("dag_summary" in wanted)
+    some = ingest(files, fields=("doc_id", "owner"))
+    assert some.columns == ["row_id", "source", "ordinal", "kind", "doc_id", "owner"]
+    assert sorted(some.collect(), key=str) == sorted(whole.select(some.columns).collect(), key=str)
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "contains a task named" not in plan
