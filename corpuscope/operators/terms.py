@@ -16,6 +16,9 @@ from corpuscope.functions.arrays import counts, let
 from corpuscope.functions.text import terms
 from corpuscope.session import materialize
 
+#: Counts of a batch that are weighed at once.
+_ENTRIES = 1 << 19
+
 _COUNT = T.StructType(
     [T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]
 )
@@ -93,6 +96,31 @@ def _frequent_cut(vocabulary: Vocabulary, config: EngineConfig) -> int:
     return 0
 
 
+def _pieces(batch: pa.RecordBatch):
+    """Parts of a batch of about _ENTRIES counts, of whole rows."""
+    size = pc.fill_null(pc.list_value_length(batch.column("counts")), 0).to_numpy()
+    ends = np.cumsum(size)
+    at = 0
+    while at < batch.num_rows:
+        limit = (ends[at - 1] if at else 0) + _ENTRIES
+        end = max(at + 1, int(np.searchsorted(ends, limit, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _codes(texts: pa.Array, known: pa.Array) -> np.ndarray:
+    """Places of the texts in ``known``, -1 for others.
+
+    The few different texts are hashed and not ``known``, which takes a hundred MB and more.
+    """
+    coded = texts.dictionary_encode()
+    at = pc.index_in(known, value_set=coded.dictionary)
+    met = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+    place = np.full(len(coded.dictionary), -1, dtype=np.int32)
+    place[at.drop_null().to_numpy()] = met
+    return place[coded.indices.to_numpy()]
+
+
 def _frequent_weights(
     counted: DataFrame, frequent: DataFrame, n_docs: int, complete: bool
 ) -> DataFrame:
@@ -123,26 +151,28 @@ def _frequent_weights(
     def run(batches):
         known = shared.value["term"].combine_chunks()
         log_of_known = np.log((n_docs + 1.0) / (shared.value["df"].to_numpy() + 1.0))
-        for batch in batches:
-            n = batch.num_rows
-            owner = pc.list_parent_indices(batch.column("counts")).to_numpy()
-            entries = pc.list_flatten(batch.column("counts"))
-            terms_flat, tf = entries.field("term"), entries.field("tf").to_numpy()
-            code = pc.fill_null(pc.index_in(terms_flat, value_set=known), -1).to_numpy()
-            here = code >= 0
-            idf = np.full(len(code), np.log(n_docs + 1.0))
-            idf[here] = log_of_known[code[here]]
-            kept = np.ones(len(code), bool) if complete else here
-            pick, rest = np.flatnonzero(kept), np.flatnonzero(~kept)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in carried]
-                + [
-                    lists(owner[pick], n, terms_flat.take(pa.array(pick))),
-                    lists(owner[pick], n, pa.array((tf * idf)[pick])),
-                    lists(owner[rest], n, entries.take(pa.array(rest))),
-                ],
-                names=names,
-            )
+        for whole in batches:
+            codes, first = _codes(pc.list_flatten(whole.column("counts")).field("term"), known), 0
+            for batch in _pieces(whole):
+                n = batch.num_rows
+                owner = pc.list_parent_indices(batch.column("counts")).to_numpy()
+                entries = pc.list_flatten(batch.column("counts"))
+                terms_flat, tf = entries.field("term"), entries.field("tf").to_numpy()
+                code, first = codes[first : first + len(tf)], first + len(tf)
+                here = code >= 0
+                idf = np.full(len(code), np.log(n_docs + 1.0))
+                idf[here] = log_of_known[code[here]]
+                kept = np.ones(len(code), bool) if complete else here
+                pick, rest = np.flatnonzero(kept), np.flatnonzero(~kept)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(f.name) for f in carried]
+                    + [
+                        lists(owner[pick], n, terms_flat.take(pa.array(pick))),
+                        lists(owner[pick], n, pa.array((tf * idf)[pick])),
+                        lists(owner[rest], n, entries.take(pa.array(rest))),
+                    ],
+                    names=names,
+                )
 
     return counted.mapInArrow(run, schema)
 
