@@ -7,14 +7,16 @@ query set that meets all documents. For a block:
    block occurs. Words in over COMMON of the passages are left out, unless they are among
    the RAREST of an item; the others weigh tf x idf.
 2. Distributed randomised SVD of these passages, the block's own among them: every task
-   projects its passages on a random basis and back, ``A' (A R)``, and gives the rows of
-   the words it has met; their sum (words x RANK, bounded by the block) gives the leading
-   right singular vectors on the driver.
+   counts which words meet in its passages, the rows of ``A'A``; added up by word they are
+   projected on a random basis, ``(A'A) R``, which takes the same time for any number of
+   documents. These rows (words x RANK, bounded by the block) give the leading right
+   singular vectors on the driver.
 3. Windows of documents, as long as the items of a length class and half overlapping, meet
    all items of the class inside the task, with no row per pair. A window and half of one on
    either side is a set of BITS bits, each standing for words of the block, and so is an
    item; a window is a candidate if it has as many of the item's bits as LOOSE of the item's
-   words need at least, which loses none, however common the words. Candidates are checked
+   words need at least, which loses none, however common the words. TOGETHER neighbouring
+   windows meet the items as one set first. Candidates are checked
    in the order of their cosine in the latent space: the longest common subsequence of words
    with the item, and with its last words, the answer. A leak has LCS of the item's words in
    order, or at least LOOSE and the answer as well.
@@ -32,10 +34,10 @@ import math
 import sys
 import unicodedata
 from collections import defaultdict
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,15 @@ COMMON = 0.002
 RAREST = 8
 #: The more common half of the bits stands for a word each, the others for several.
 BITS = 512
+LANES = BITS // 64
+#: Neighbouring windows that meet the items as one set first.
+TOGETHER = 4
+#: Characters of the texts that are read at once.
+PORTION = 1 << 20
+#: Pairs of words a task holds before it counts them and gives them on.
+PAIRS = 1 << 19
+#: Numbers in the rows of A'A that are projected at once, or one row.
+GATHERED = 1 << 20
 LCS = 0.8
 LOOSE = 0.6
 ANSWER = 0.25
@@ -57,26 +68,56 @@ ANSWER = 0.25
 MARKS = frozenset(
     c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "P" or c in "|`"
 )
-ASCII_MARKS = "".join(sorted(m for m in MARKS if m.isascii()))
+#: White space parts words too; Arrow splits at that of ASCII_SPACE only.
+ASCII_SPACE = " \t\n\v\f\r"
+PARTING = MARKS.union(filter(str.isspace, map(chr, range(sys.maxunicode + 1)))).difference(ASCII_SPACE)
+ASCII_PARTING = "".join(sorted(m for m in PARTING if m.isascii()))
+ASCII = bytes(range(128))
 
 
-def words_of(text: str) -> list[str]:
-    """Lower-case words; the marks in MARKS part them like white space."""
+def parted(text: str) -> str:
+    """The text in lower case, with words parted by ASCII_SPACE only and none around them."""
     text = text.lower()
-    for mark in ASCII_MARKS if text.isascii() else MARKS.intersection(text):
+    for mark in ASCII_PARTING:
         text = text.replace(mark, " ")
-    return text.split()
+    if not text.isascii():
+        for mark in PARTING.intersection(text.encode().translate(None, ASCII).decode()):
+            text = text.replace(mark, " ")
+    return text.strip(ASCII_SPACE)
+
+
+def words_of(text: str) -> list[str]:
+    """Lower-case words; the marks in MARKS part them like white space."""
+    return parted(text).split()
 
 
 class Reader:
-    """Numbers of a block's words in a text: one per word, -1 for other words."""
+    """Numbers of a block's words in texts: one per word, -1 for other words."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        self.number = vocabulary.get
+        self.words = pa.array(list(vocabulary), pa.large_string())
 
-    def __call__(self, text: str) -> np.ndarray:
-        words = words_of(text)
-        return np.fromiter(map(self.number, words, repeat(-1)), dtype=np.int32, count=len(words))
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts, one after the other, and how many each text has."""
+        words = pc.ascii_split_whitespace(pa.array([parted(t) or None for t in texts], pa.large_string()))
+        numbers = pc.index_in(words.flatten(), value_set=self.words).fill_null(-1)
+        sizes = pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False)
+        return numbers.to_numpy(zero_copy_only=False), sizes.astype(np.int64)
+
+
+def portions(column: pa.Array):
+    """Texts of a column, as many as PORTION bytes or one."""
+    for a, b in slices(pc.binary_length(column).to_pylist(), PORTION):
+        yield column.slice(a, b - a).to_pylist()
+
+
+def passages(numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Numbers of the block's words, the passage of each, and the passages of all texts."""
+    each = -(-sizes // PASSAGE)
+    at = np.flatnonzero(numbers >= 0)
+    text = np.repeat(np.arange(len(sizes)), sizes)[at]
+    place = at - (np.cumsum(sizes) - sizes)[text]
+    return numbers[at], (np.cumsum(each) - each)[text] + place // PASSAGE, int(each.sum())
 
 
 def length_class(n: int) -> int:
@@ -119,7 +160,7 @@ class Block:
         left, _, _ = np.linalg.svd(half, full_matrices=False)
         self.basis = None
         self.latent = (self.idf[:, None] * left).astype(np.float32)
-        lane = np.arange(BITS // 64) == (self.bit // 64)[:, None]
+        lane = np.arange(LANES) == (self.bit // 64)[:, None]
         self.masks = np.where(lane, np.uint64(1) << (self.bit % 64).astype(np.uint64)[:, None], np.uint64(0))
         self.unit = np.zeros((len(self.numbers), self.latent.shape[1]), dtype=np.float32)
         self.classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -164,12 +205,12 @@ def count(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]
         read, total = Reader(vocabulary), 0
         found = np.zeros(len(vocabulary), dtype=np.int64)
         for batch in batches:
-            for text in batch.column(1):
-                numbers = read(text.as_py())
-                at = np.flatnonzero(numbers >= 0)
-                total += -(-len(numbers) // PASSAGE)
-                pairs = np.unique((at // PASSAGE) * len(vocabulary) + numbers[at])
-                np.add.at(found, pairs % len(vocabulary), 1)
+            for some in portions(batch.column(1)):
+                term, passage, n = passages(*read(some))
+                total += n
+                pairs = np.sort(passage * len(vocabulary) + term)
+                first = np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)]
+                found += np.bincount(pairs[first] % len(vocabulary), minlength=len(vocabulary))
         met = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.r_[-1, met]), pa.array(np.r_[total, found[met]])], names=["term", "n"]
@@ -182,64 +223,89 @@ def count(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]
     return int(found[-1]), found[:-1]
 
 
+def meeting(term: np.ndarray, passage: np.ndarray, terms: int) -> np.ndarray:
+    """All pairs of words of a passage, in both orders and each with itself, as word * terms + word."""
+    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+    size = np.diff(np.r_[starts, len(term)])
+    each = np.repeat(size, size)
+    among = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    return np.repeat(term.astype(np.int64) * terms, each) + term[np.repeat(np.repeat(starts, size), each) + among]
+
+
 def project(docs: DataFrame, block: Block) -> np.ndarray:
     """A' (A R) over the passages of all documents."""
     shared = docs.sparkSession.sparkContext.broadcast((block.vocabulary, block.idf, block.basis))
-    width = block.basis.shape[1]
-
-    def rows_of(sums: np.ndarray, met: np.ndarray):
-        for a in range(0, len(met), 1000):
-            part = met[a : a + 1000]
+    terms, width = block.basis.shape
+    kind = np.min_scalar_type(terms)
+
+    def rows_of(pairs: np.ndarray):
+        """(word, the words it meets, how often each)"""
+        keys, n = np.unique(pairs, return_counts=True)
+        term, others, n = keys // terms, (keys % terms).astype(kind), n.astype(np.int32)
+        first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]][: len(term)])
+        for at in range(0, len(first), 1000):
+            some = first[at : at + 1000]
+            ends = np.r_[first, len(term)][at + 1 : at + 1001]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array([r.tobytes() for r in sums[part].astype(np.float32)])],
-                names=["term", "row"],
+                [
+                    pa.array(term[some]),
+                    pa.array([others[a:b].tobytes() for a, b in zip(some, ends)], pa.binary()),
+                    pa.array([n[a:b].tobytes() for a, b in zip(some, ends)], pa.binary()),
+                ],
+                names=["term", "others", "n"],
             )
 
     def run(batches):
-        vocabulary, idf, basis = shared.value
-        read, sums = Reader(vocabulary), np.zeros(basis.shape)
-        met = np.zeros(len(vocabulary), dtype=bool)
-        weighted = (idf[:, None] * basis).astype(np.float32)
+        vocabulary, idf, _ = shared.value
+        read, pairs, size = Reader(vocabulary), [], 0
         for batch in batches:
             held, passage, first = [], [], 0
-            for text in batch.column(1):
-                numbers = read(text.as_py())
-                at = np.flatnonzero(numbers >= 0)
-                at = at[idf[numbers[at]] > 0]
-                held.append(numbers[at])
-                passage.append(first + at // PASSAGE)
-                first += -(-len(numbers) // PASSAGE)
+            for some in portions(batch.column(1)):
+                term, group, more = passages(*read(some))
+                kept = idf[term] > 0
+                held.append(term[kept])
+                passage.append(first + group[kept])
+                first += more
             if not held:
                 continue
             term, group = np.concatenate(held), np.concatenate(passage)
             for a in range(0, len(term), 20_000):
                 # A passage cut here counts as two.
-                t, g = term[a : a + 20_000], group[a : a + 20_000]
-                starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-                projected = np.add.reduceat(weighted[t], starts, axis=0)
-                each = np.repeat(projected, np.diff(np.r_[starts, len(t)]), axis=0)
-                order = np.argsort(t, kind="stable")
-                own = np.flatnonzero(np.r_[True, np.diff(t[order]) != 0])
-                sums[t[order][own]] += np.add.reduceat(each[order], own, axis=0)
-                met[t] = True
-        yield from rows_of(sums * idf[:, None], np.flatnonzero(met))
+                pairs.append(meeting(term[a : a + 20_000], group[a : a + 20_000], terms))
+                size += len(pairs[-1])
+                if size > PAIRS:
+                    yield from rows_of(np.concatenate(pairs))
+                    pairs, size = [], 0
+        if pairs:
+            yield from rows_of(np.concatenate(pairs))
 
     def total(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for term, row in zip(batch.column(0).to_pylist(), batch.column(1)):
-                values = np.frombuffer(row.as_py(), np.float32).astype(np.float64)
-                sums[term] = sums[term] + values if term in sums else values
-        if sums:
-            met = np.array(list(sums))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(met), pa.array([sums[t].tobytes() for t in sums])], names=["term", "row"]
+        _, idf, basis = shared.value
+        weighted = idf[:, None] * basis
+        sums, met = np.zeros((max(1, GATHERED // terms), terms)), []
+
+        def projected():
+            rows = idf[met][:, None] * (sums[: len(met)] @ weighted)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(met, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                names=["term", "row"],
             )
 
-    schema = "term long, row binary"
-    summed = np.zeros((len(block.vocabulary), width))
-    partial = in_tasks(texts(docs), run, schema)
-    for r in in_tasks(partial.repartition("term"), total, schema).toLocalIterator():
+        for batch in batches:
+            for term, others, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if not met or met[-1] != term:
+                    if len(met) == len(sums):
+                        yield projected()
+                        sums[:], met = 0, []
+                    met.append(term)
+                sums[len(met) - 1, np.frombuffer(others, kind)] += np.frombuffer(n, np.int32)
+        if met:
+            yield projected()
+
+    summed = np.zeros((terms, width))
+    partial = in_tasks(texts(docs), run, "term long, others binary, n binary")
+    by_term = partial.repartition("term").sortWithinPartitions("term")
+    for r in in_tasks(by_term, total, "term long, row binary").toLocalIterator():
         summed[r.term] = np.frombuffer(r.row, np.float64)
     shared.destroy()
     return summed
@@ -261,58 +327,90 @@ def common_subsequence(a: list, b: list) -> int:
     return len(ends)
 
 
+def neighbours(half: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The sets of each half window, the one before it and the two after it, as one."""
+    around, gap, two = own.copy(), np.diff(half), half[2:] - half[:-2]
+    around[1:] |= own[:-1] * (gap == 1)[:, None]
+    around[:-1] |= own[1:] * (gap <= 2)[:, None]
+    around[:-2] |= own[2:] * (two == 2)[:, None]
+    return around
+
+
+def enough(rows: np.ndarray, bits: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, item) of all rows that have as many of an item's bits as it needs, by row."""
+    kind = np.uint8 if int(np.bitwise_count(bits).sum(axis=1, dtype=np.int64).max()) < 256 else np.uint16
+    least = least.astype(kind)
+
+    def meet(sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        shared = np.zeros((len(sets), len(bits)), dtype=kind)
+        for k in range(LANES):
+            shared += np.bitwise_count(sets[:, k, None] & bits[:, k])
+        return np.nonzero(shared >= least)
+
+    found = [(np.zeros(0, np.int64),) * 2]
+    groups = np.bitwise_or.reduceat(rows, np.arange(0, len(rows), TOGETHER), axis=0)
+    full = np.flatnonzero(np.bitwise_count(groups).sum(axis=1, dtype=np.uint16) >= least.min())
+    for a in range(0, len(full), 256):
+        group, item = meet(groups[full[a : a + 256]])
+        row = (full[a + group, None] * TOGETHER + np.arange(TOGETHER)).ravel()
+        item = np.repeat(item, TOGETHER)
+        row, item = row[row < len(rows)], item[row < len(rows)]
+        shared = np.bitwise_count(rows[row] & bits[item]).sum(axis=1, dtype=kind)
+        found.append((row[shared >= least[item]], item[shared >= least[item]]))
+    row, item = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((item, row))
+    return row[order], item[order]
+
+
 class Finder:
     """Leaks of a block's items in texts, many texts at a time."""
 
     def __init__(self, block: Block):
         self.block, self.read = block, Reader(block.vocabulary)
         self.widest = max(block.classes, default=8)
-        self.distinct = [set(words) for _, words in block.items]
+        self.own = [numbers.tolist() for numbers in block.numbers]
+        self.distinct = [set(numbers) for numbers in self.own]
 
-    def candidates(self, numbers: list[np.ndarray]):
+    def candidates(self, numbers: np.ndarray, sizes: np.ndarray):
         """(text, item, start, width, cosine) of windows with enough of an item's words."""
         block = self.block
         # Texts lie on one line, so far apart that no window meets two of them.
-        room = [-(-len(n) // self.widest) * self.widest + 2 * self.widest for n in numbers]
-        base = np.cumsum([self.widest, *room])[:-1]
-        term = np.concatenate(numbers)
-        place = np.arange(len(term)) + np.repeat(
-            base - np.cumsum([0, *map(len, numbers)])[:-1], [len(n) for n in numbers]
-        )
-        keep = term >= 0
-        term, place = term[keep], place[keep]
+        room = -(-sizes // self.widest) * self.widest + 2 * self.widest
+        base = np.cumsum(np.r_[self.widest, room])[:-1]
+        at = np.flatnonzero(numbers >= 0)
+        term = numbers[at]
+        place = at + np.repeat(base - np.cumsum(sizes) + sizes, sizes)[at]
         if not len(term):
             return
         found = []
-        for width, (members, bits, least) in block.classes.items():
+        half, own, last = place, None, 1
+        for width in sorted(block.classes):
+            members, bits, least = block.classes[width]
             step = width // 2
-            half = place // step
-            cut = np.flatnonzero(np.r_[True, np.diff(half) != 0])
-            half = half[cut]
-            own = np.empty((len(half), BITS // 64), dtype=np.uint64)
-            ends = np.r_[cut, len(term)]
-            for a, b in slices(np.diff(ends).tolist(), 16_384):
-                own[a:b] = np.bitwise_or.reduceat(block.masks[term[ends[a] : ends[b]]], cut[a:b] - ends[a])
+            # Half windows are made of those of the class before, the first ones of words.
+            half = half // (step // last)
+            cut = np.flatnonzero(np.r_[True, half[1:] != half[:-1]])
+            half, last = half[cut], step
+            if own is None:
+                own = np.empty((len(cut), LANES), dtype=np.uint64)
+                edges = np.searchsorted(cut, np.arange(16_384, len(term), 16_384))
+                edges = np.unique(np.r_[0, edges, len(cut)])
+                ends = np.r_[cut, len(term)]
+                for a, b in zip(edges[:-1], edges[1:]):
+                    some = block.masks[term[ends[a] : ends[b]]]
+                    own[a:b] = np.bitwise_or.reduceat(some, cut[a:b] - ends[a])
+            else:
+                own = np.bitwise_or.reduceat(own, cut)
             # The first word of a leak is in the first half of a window.
-            around = own.copy()
-            for away in (-1, 1, 2):
-                at = np.minimum(np.searchsorted(half, half + away), len(half) - 1)
-                met = half[at] == half + away
-                around[met] |= own[at[met]]
-            full = np.flatnonzero(np.bitwise_count(around).sum(axis=1, dtype=np.uint16) >= least.min())
-            for a in range(0, len(full), 512):
-                rows = around[full[a : a + 512]]
-                shared = np.zeros((len(rows), len(members)), dtype=np.uint16)
-                for k in range(rows.shape[1]):
-                    shared += np.bitwise_count(rows[:, k, None] & bits[:, k])
-                windows, items = np.nonzero(shared >= least)
-                for w in np.unique(windows):
-                    start = int(half[full[a + w]]) * step
-                    i, j = np.searchsorted(place, [start, start + width])
-                    row = block.latent[term[i:j]].sum(0)
-                    norm = float(np.linalg.norm(row)) or 1.0
-                    for k in members[items[windows == w]]:
-                        found.append((float(row @ block.unit[k]) / norm, int(k), start, width))
+            windows, items = enough(neighbours(half, own), bits, least)
+            cuts = np.flatnonzero(np.r_[True, windows[1:] != windows[:-1]][: len(windows)])
+            for a, b in zip(cuts, np.r_[cuts[1:], len(windows)]):
+                start = int(half[windows[a]]) * step
+                i, j = np.searchsorted(place, [start, start + width])
+                row = block.latent[term[i:j]].sum(0)
+                norm = float(np.linalg.norm(row)) or 1.0
+                for k in members[items[a:b]]:
+                    found.append((float(row @ block.unit[k]) / norm, int(k), start, width))
         found.sort(key=lambda f: (-f[0], f[1], f[2]))
         for cosine, item, start, width in found:
             text = int(np.searchsorted(base, start + width - 1, side="right")) - 1
@@ -321,27 +419,25 @@ class Finder:
     def __call__(self, texts: list[str]) -> list[list[tuple]]:
         """Per text: (item id, start, cosine, lcs, answer), by an item's best window."""
         out: list[list[tuple]] = [[] for _ in texts]
-        sizes = list(map(len, texts))
-        for a, b in slices(sizes, 1 << 20):
-            numbers = [self.read(t) for t in texts[a:b]]
-            words: dict[int, list[str]] = {}
+        for a, b in slices(list(map(len, texts)), PORTION):
+            numbers, sizes = self.read(texts[a:b])
+            ends = np.cumsum(sizes)
             done = set()
-            for k, item, start, width, cosine in self.candidates(numbers):
+            for k, item, start, width, cosine in self.candidates(numbers, sizes):
                 if (k, item) in done:
                     continue
-                if k not in words:
-                    words[k] = words_of(texts[a + k])
-                leak = self.checked(words[k], item, start, width)
+                words = numbers[ends[k] - sizes[k] : ends[k]]
+                part = words[max(0, start - width // 2) : start + width + width // 2]
+                leak = self.checked(part.tolist(), item)
                 if leak:
                     done.add((k, item))
                     name = self.block.items[item][0]
                     out[a + k].append((name, max(0, start), cosine, *leak))
         return out
 
-    def checked(self, words: list[str], item: int, start: int, width: int):
+    def checked(self, part: list[int], item: int):
         """Shares of the item and of its answer that the words around a window have in order."""
-        own = self.block.items[item][1]
-        part = words[max(0, start - width // 2) : start + width + width // 2]
+        own = self.own[item]
         # No subsequence is longer than the words that occur at all.
         shared = self.distinct[item].intersection(part)
         if sum(w in shared for w in own) < LOOSE * len(own):

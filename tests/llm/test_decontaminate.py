@@ -1,4 +1,6 @@
 import random
+import time
+from itertools import repeat
 
 import numpy as np
 
@@ -136,3 +138,86 @@ def test_leaks_equal_every_item_against_every_window(spark):
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.report(cases.frame(spark, rows), bench).collect()}
     assert got == want and len(want) > 60
+
+
+def test_numbers_of_words_in_any_text():
+    rng = random.Random(41)
+    letters = [*"abcABCéÉßİΣñÑж日", *decontaminate.PARTING, *decontaminate.ASCII_SPACE, "\0"]
+    plain = [*"abÀ", " ", "\n", "\t", ".", "-", "\x1c", "\xa0"]
+    texts = ["", " ", "…", "a", " a  b ", "\x1c\x85a\u2003b\u3000"]
+    texts += ["".join(rng.choice(x) for _ in range(rng.randrange(40))) for x in [letters, plain] * 300]
+
+    def words(text):
+        return "".join(" " if c in decontaminate.MARKS else c for c in text.lower()).split()
+
+    assert [decontaminate.words_of(t) for t in texts] == list(map(words, texts))
+    different = sorted({w for t in texts for w in words(t)})
+    vocabulary = {w: k for k, w in enumerate(different[::2])}
+    numbers, sizes = decontaminate.Reader(vocabulary)(texts)
+    assert sizes.tolist() == [len(words(t)) for t in texts]
+    assert numbers.tolist() == [vocabulary.get(w, -1) for t in texts for w in words(t)]
+    numbers, sizes = decontaminate.Reader(vocabulary)(["", "?"])
+    assert len(numbers) == 0 and sizes.tolist() == [0, 0]
+
+
+def test_reading_takes_less_than_a_look_up_per_word():
+    rng = random.Random(43)
+    texts = [cases.words(rng, 500, 3000) + (" Größe, déjà vu." if k % 2 else ".") for k in range(300)]
+    vocabulary = {w: k for k, w in enumerate(sorted({w for t in texts for w in t.split()})[::2])}
+    read = decontaminate.Reader(vocabulary)
+
+    def plain(texts):
+        for t in texts:
+            words = decontaminate.words_of(t)
+            np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
+
+    def least(run):
+        took = []
+        for _ in range(7):
+            began = time.process_time()
+            run(texts)
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(read) < 0.8 * least(plain)
+
+
+def test_projection_equals_all_passages(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "GATHERED", 10_000)
+    monkeypatch.setattr(decontaminate, "PAIRS", 500)
+    rows, items, _ = planted(60)
+    block = decontaminate.Block([(k, decontaminate.words_of(t)) for k, t in items])
+    docs, terms = cases.frame(spark, rows, True).repartition(3), len(block.vocabulary)
+    met = []
+    for _, text in rows:
+        words = decontaminate.words_of(text or "")
+        for a in range(0, len(words), 32):
+            numbers = [block.vocabulary[w] for w in words[a : a + 32] if w in block.vocabulary]
+            met.append(np.bincount(numbers, minlength=terms))
+    met = np.array(met)
+    passages, containing = decontaminate.count(docs, block.vocabulary)
+    assert passages == len(met) and (containing == (met > 0).sum(0)).all()
+    block.weigh(passages, containing)
+    weighed = met * block.idf
+    want = weighed.T @ (weighed @ block.basis)
+    assert np.allclose(decontaminate.project(docs, block), want, rtol=0, atol=1e-12 * abs(want).max())
+
+
+def test_groups_of_windows_lose_no_item():
+    rng = np.random.default_rng(47)
+    for n, dense in ((1, 0.5), (3, 0.1), (4, 0.3), (1201, 0.05), (601, 0.6)):
+        rows, items = (rng.random((k, decontaminate.BITS)) < dense for k in (n, 30))
+        least = rng.integers(1, np.maximum(2, items.sum(1) // 3), dtype=np.uint16)
+        rows[::5] |= items[rng.integers(0, 30, len(rows[::5]))]
+        want = np.argwhere((rows[:, None] & items).sum(2) >= least).tolist()
+        packed = [np.packbits(x, axis=1).view(np.uint64) for x in (rows, items)]
+        got = decontaminate.enough(*packed, least)
+        assert np.stack(got, axis=1).tolist() == want
+    half = np.array([3, 4, 6, 7, 9, 12])
+    own = rng.integers(0, 1 << 60, (6, decontaminate.LANES), dtype=np.uint64)
+    sets = dict(zip(half.tolist(), own))
+    want = [
+        np.bitwise_or.reduce([sets[h + away] for away in (-1, 0, 1, 2) if h + away in sets])
+        for h in half.tolist()
+    ]
+    assert (decontaminate.neighbours(half, own) == np.array(want)).all()
