@@ -41,7 +41,7 @@ def has_suffix(path: Column, suffixes: tuple[str, ...]) -> Column:
 
 
 def terms(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), TERM_SEPARATOR), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), TERM_SEPARATOR), "")
 
 
 def given(option: Column, default: str) -> Column:

@@ -1,9 +1,10 @@
 """Best rows per question over stored postings, in the order of their impact.
 
-Rows are dealt into shards of bounded size, rows of like weights together (a layer is the power of
-two below a row's greatest weight), so that the greatest weight of a term in a shard says
-much about the shard. In a shard a term's postings are sorted by weight and cut into
-blocks that carry their greatest weight; blocks are stored by bucket and term.
+Rows are dealt by ``row_id`` to tasks, and there into shards of bounded size, rows of like weights
+together (a layer is the power of two below a row's greatest weight), so that the greatest
+weight of a term in a shard says much about the shard. In a shard a term's postings are sorted by
+weight and cut into blocks that carry their greatest weight. Each task writes its blocks by bucket:
+of the postings nothing but the stored blocks is ever on disk.
 
 Questions read only the blocks of their own terms, in two rounds, and exactly:
 
@@ -28,19 +29,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpuscope.config import EngineConfig
 from corpuscope.functions.topk import DECIMALS
 from corpuscope.operators.nearest import _question_columns, _ranked, _result_schema
-from corpuscope.session import materialize
+from corpuscope.session import materialize, materialize_for_join
 
 BUCKETS = 64
 #: Scores are compared after rounding, so a bound this little below the floor still counts.
 SLACK = 2 * 10.0**-DECIMALS
 LAYERS = 16
+BROADCAST_ROWS = EngineConfig.broadcast_rows
+#: Shards' worth of postings that a writing task takes, about.
+SHARDS = 4
 
 
 @dataclass(frozen=True)
@@ -49,6 +55,7 @@ class Shape:
     shard: int = 1_000_000
     block: int = 128
     questions: int = 2_000
+    #: No longer used: a task writes the blocks of its own shards.
     file_blocks: int = 200_000
 
 
@@ -56,25 +63,31 @@ def _bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
-def _dealt(vectors: DataFrame, shape: Shape) -> DataFrame:
-    """(shard, row_id, terms, weights); shards have about ``shape.shard`` postings."""
-    greatest = F.array_max("weights")
-    layer = F.least(F.greatest(F.floor(-F.log2(greatest)), F.lit(0)), F.lit(LAYERS - 1)).cast("int")
-    rows = vectors.where(greatest > 0).select("row_id", "terms", "weights", layer.alias("layer"))
-    # One row per layer.
-    sizes = rows.groupBy("layer").agg(F.sum(F.size("terms")).alias("n")).collect()
-    count = F.lit(1)
-    for r in sizes:
-        count = F.when(F.col("layer") == r.layer, F.lit(-(-r.n // shape.shard))).otherwise(count)
-    within = F.pmod(F.xxhash64("row_id"), count)
-    return rows.select(
-        (F.shiftleft(F.col("layer").cast("long"), 40) + within).alias("shard"),
-        "row_id", "terms", "weights",
-    )
+def tasks_for(n_postings: int, shape: Shape = Shape()) -> int:
+    """Tasks that write so many postings; each holds its share in memory."""
+    return max(1, -(-n_postings // (shape.shard * SHARDS)))
+
+
+def _shards(deal: np.ndarray, greatest: np.ndarray, sizes: np.ndarray, shape: Shape) -> np.ndarray:
+    """Number of each row's shard within its task, -1 for rows without weights; shards have
+    about ``shape.shard`` postings of one layer, and rows dealt alike share the layer's shard."""
+    shard = np.full(len(deal), -1, dtype=np.int64)
+    some = np.flatnonzero(greatest > 0)
+    layer = np.clip(np.floor(-np.log2(greatest[some])), 0, LAYERS - 1).astype(np.int64)
+    for at in np.unique(layer):
+        rows = some[layer == at]
+        within = deal[rows] % -(-int(sizes[rows].sum()) // shape.shard)
+        shard[rows] = (at << 40) + within
+    return shard
+
 
+def store(vectors: DataFrame, path: str, shape: Shape = Shape(), gathered: bool = False) -> DataFrame:
+    """Writes blocks of ``row_id, terms, weights`` to ``path``; the stored blocks.
 
-def store(vectors: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
-    """Writes blocks of ``row_id, terms, weights`` to ``path``; the stored blocks."""
+    Rows are dealt by ``row_id`` to tasks, which make their own shards and write their blocks
+    where they are: no posting is shuffled or sorted again. ``gathered`` vectors are dealt already
+    (``terms.vectors`` with ``tasks``), and read once.
+    """
     id_type = vectors.schema["row_id"].dataType
     schema = T.StructType(
         [
@@ -89,40 +102,71 @@ def store(vectors: DataFrame, path: str, shape: Shape = Shape()) -> DataFrame:
     )
     length = shape.block
 
-    def cut(table: pa.Table) -> pa.Table:
-        terms = table["terms"].combine_chunks()
-        owner = pc.list_parent_indices(terms).to_numpy()
-        weight = pc.list_flatten(table["weights"].combine_chunks()).to_numpy()
-        coded = pc.dictionary_encode(pc.list_flatten(terms))
-        code = coded.indices.to_numpy()
-        ids = table["row_id"].combine_chunks()
+    def cut(shard: int, ids: pa.Array, owner, code, weight, known: pa.Array) -> pa.RecordBatch:
         place = np.empty(len(ids), dtype=np.int64)
         place[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
         order = np.lexsort((place[owner], -weight, code))
         order = order[weight[order] > 0]
-        code, weight = code[order], weight[order]
+        code, weight, owner = code[order], weight[order], owner[order]
         at = np.arange(len(code)) - np.searchsorted(code, code)
         starts = np.flatnonzero(at % length == 0)
         offsets = pa.array(np.append(starts, len(code)), pa.int32())
-        return pa.table(
-            {
-                "shard": pa.array(np.full(len(starts), table["shard"][0].as_py(), dtype=np.int64)),
-                "term": coded.dictionary.take(pa.array(code[starts])),
-                "block": pa.array((at[starts] // length).astype(np.int32)),
-                "greatest": pa.array(weight[starts]),
-                "n": pa.array(np.diff(np.append(starts, len(code))).astype(np.int32)),
-                "rows": pa.ListArray.from_arrays(offsets, ids.take(pa.array(owner[order]))),
-                "weights": pa.ListArray.from_arrays(offsets, pa.array(weight)),
-            }
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(starts), shard, dtype=np.int64)),
+                known.take(pa.array(code[starts])),
+                pa.array((at[starts] // length).astype(np.int32)),
+                pa.array(weight[starts]),
+                pa.array(np.diff(np.append(starts, len(code))).astype(np.int32)),
+                pa.ListArray.from_arrays(offsets, ids.take(pa.array(owner))),
+                pa.ListArray.from_arrays(offsets, pa.array(weight)),
+            ],
+            names=schema.names,
         )
 
-    dealt = _dealt(vectors, shape)
-    n = dealt.agg(F.sum(F.size("terms"))).first()[0] or 0
-    files = max(1, -(-n // (shape.file_blocks * length)))
-    blocks = dealt.groupBy("shard").applyInArrow(cut, schema)
-    blocks.withColumn("bucket", _bucket(F.col("term"))).repartitionByRange(
-        files, "bucket", "term", "shard"
-    ).sortWithinPartitions("bucket", "term", "shard", "block").write.partitionBy("bucket").parquet(path)
+    def run(batches):
+        task = TaskContext.get().partitionId() << 16
+        ids, deal, greatest, sizes, terms, weights = [], [], [], [], [], []
+        for batch in batches:
+            size = pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy()
+            weight = pc.list_flatten(batch.column("weights")).to_numpy()
+            most, some = np.zeros(len(size)), size > 0
+            if len(weight):
+                most[some] = np.maximum.reduceat(weight, (np.cumsum(size) - size)[some])
+            ids.append(batch.column("row_id"))
+            deal.append(batch.column("deal").to_numpy())
+            greatest.append(most)
+            sizes.append(size)
+            terms.append(pc.list_flatten(batch.column("terms")).dictionary_encode())
+            weights.append(weight)
+        if not ids:
+            return
+        coded = pa.chunked_array(terms).unify_dictionaries()
+        known = coded.chunk(0).dictionary
+        by_text = pc.sort_indices(known)
+        number_of = np.empty(len(known), np.int32)
+        number_of[by_text.to_numpy()] = np.arange(len(known))
+        known = known.take(by_text)
+        ids, sizes = pa.chunked_array(ids).combine_chunks(), np.concatenate(sizes)
+        code = number_of[np.concatenate([c.indices.to_numpy() for c in coded.chunks])]
+        weight = np.concatenate(weights)
+        del terms, weights, coded
+        begin = np.cumsum(sizes) - sizes
+        shard = _shards(np.concatenate(deal), np.concatenate(greatest), sizes, shape)
+        for number in np.unique(shard[shard >= 0]):
+            rows = np.flatnonzero(shard == number)
+            owner = np.repeat(np.arange(len(rows)), sizes[rows])
+            at = np.arange(len(owner)) + (begin[rows] - np.cumsum(sizes[rows]) + sizes[rows])[owner]
+            yield cut(int(number) + task, ids.take(pa.array(rows)), owner, code[at], weight[at], known)
+
+    if not gathered:
+        n = vectors.agg(F.sum(F.size("terms"))).first()[0] or 0
+        tasks = tasks_for(n, shape)
+        vectors = vectors.repartition(tasks, "row_id").coalesce(tasks)
+    rows = vectors.select("row_id", F.xxhash64("row_id").alias("deal"), "terms", "weights")
+    blocks = rows.mapInArrow(run, schema).withColumn("bucket", _bucket(F.col("term")))
+    # In a shard, blocks are in the order of terms already.
+    blocks.sortWithinPartitions("bucket").write.partitionBy("bucket").parquet(path, compression="zstd")
     return open_blocks(vectors.sparkSession, path, id_type)
 
 
@@ -135,9 +179,11 @@ def open_blocks(spark: SparkSession, path: str, id_type: T.DataType) -> DataFram
 
 
 def own_buckets(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """Blocks in the buckets of the questions' terms; there are BUCKETS at most."""
-    buckets = sorted(r[0] for r in words.select(_bucket(F.col("term"))).distinct().collect())
-    return blocks.where(F.col("bucket").isin(buckets) if buckets else F.lit(False)).drop("bucket")
+    """Blocks of the questions' terms, in their buckets; there are BUCKETS at most."""
+    asked = materialize_for_join(words.select("term").distinct(), BROADCAST_ROWS)
+    buckets = sorted(r[0] for r in asked.select(_bucket(F.col("term"))).distinct().collect())
+    own = blocks.where(F.col("bucket").isin(buckets) if buckets else F.lit(False)).drop("bucket")
+    return own.join(asked, "term", "left_semi") if asked.count() <= BROADCAST_ROWS else own
 
 
 def _needed(pairs: DataFrame, words: DataFrame, heads: DataFrame) -> DataFrame:
@@ -150,8 +196,20 @@ def _needed(pairs: DataFrame, words: DataFrame, heads: DataFrame) -> DataFrame:
 def read_blocks(
     blocks: DataFrame, pairs: DataFrame, words: DataFrame, heads: DataFrame
 ) -> DataFrame:
-    """The blocks that the pairs (query_id, shard, bound, floor) need."""
-    needed = _needed(pairs, words, heads)
+    """The blocks that the pairs (query_id, shard, bound, floor) need.
+
+    What is too much to be sent to all tasks is first looked up by layer, so that only blocks
+    that some shard of the layer needs are shuffled.
+    """
+    needed = materialize(_needed(pairs, words, heads))
+    if needed.count() <= BROADCAST_ROWS:
+        needed = F.broadcast(needed)
+    else:
+        layer = F.shiftright("shard", 40).alias("layer")
+        rough = materialize(needed.groupBy("term", layer).agg(F.min("least").alias("rough")))
+        if rough.count() <= BROADCAST_ROWS:
+            blocks = blocks.withColumn("layer", layer).join(F.broadcast(rough), ["term", "layer"])
+            blocks = blocks.where("greatest >= rough").drop("layer", "rough")
     return blocks.join(needed, ["term", "shard"]).where("greatest >= least").drop("least")
 
 
@@ -214,6 +272,7 @@ def nearest_posted(
     words = asked.select("query_id", F.explode(F.arrays_zip("terms", "weights")).alias("t")).select(
         "query_id", F.col("t.terms").alias("term"), F.col("t.weights").alias("w")
     ).where("w > 0")
+    words = materialize_for_join(words, BROADCAST_ROWS)
     blocks = own_buckets(blocks, words)
     heads, bounds = bound_pairs(blocks, words)
     best = bounds.groupBy("query_id").agg(F.max_by("shard", F.struct("bound", "shard")).alias("shard"))
@@ -228,7 +287,7 @@ def nearest_posted(
 
 def bound_pairs(blocks: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """First blocks' (term, shard, greatest), and (query_id, shard, bound)."""
-    heads = blocks.where("block = 0").select("term", "shard", "greatest")
+    heads = materialize(blocks.where("block = 0").select("term", "shard", "greatest"))
     bounds = words.join(heads, "term").groupBy("query_id", "shard").agg(
         F.sum(F.col("w") * F.col("greatest")).alias("bound")
     )

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuscope.config import EngineConfig
-from corpuscope.functions.arrays import counts, let
+from corpuscope.functions.arrays import counts
 from corpuscope.functions.text import terms
 from corpuscope.session import materialize
 
 #: Counts of a batch that are weighed at once.
 _ENTRIES = 1 << 19
+#: Bytes of a packed posting: its code and its count.
+_BYTES = 8
 
 _COUNT = T.StructType(
     [T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())]
@@ -96,9 +98,10 @@ def _frequent_cut(vocabulary: Vocabulary, config: EngineConfig) -> int:
     return 0
 
 
-def _pieces(batch: pa.RecordBatch):
+def _pieces(batch: pa.RecordBatch, size: np.ndarray | None = None):
     """Parts of a batch of about _ENTRIES counts, of whole rows."""
-    size = pc.fill_null(pc.list_value_length(batch.column("counts")), 0).to_numpy()
+    if size is None:
+        size = pc.fill_null(pc.list_value_length(batch.column("counts")), 0).to_numpy()
     ends = np.cumsum(size)
     at = 0
     while at < batch.num_rows:
@@ -121,76 +124,188 @@ def _codes(texts: pa.Array, known: pa.Array) -> np.ndarray:
     return place[coded.indices.to_numpy()]
 
 
-def _frequent_weights(
-    counted: DataFrame, frequent: DataFrame, n_docs: int, complete: bool
-) -> DataFrame:
-    """Weigh the broadcast terms inside each document's row.
+def _lists(owner: np.ndarray, n: int, values: pa.Array) -> pa.ListArray:
+    ends = np.cumsum(np.bincount(owner, minlength=n))
+    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, values)
 
-    ``row_id, terms, weights, rare``: the weights are not normalised yet, and
-    ``rare`` holds the counts of the terms that were not broadcast. With
-    ``complete`` there are none: what is not in the vocabulary has frequency 0.
-    """
-    spark = counted.sparkSession
-    shared = spark.sparkContext.broadcast(frequent.select("term", "df").toArrow())
-    carried = [f for f in counted.schema.fields if f.name != "counts"]
-    names = [f.name for f in carried] + ["terms", "weights", "rare"]
-    schema = T.StructType(
-        carried
-        + [
-            T.StructField("terms", T.ArrayType(T.StringType())),
-            T.StructField("weights", T.ArrayType(T.DoubleType())),
-            T.StructField("rare", T.ArrayType(_COUNT)),
-        ]
+
+def _schema(carried: list[T.StructField], **lists: T.DataType) -> T.StructType:
+    return T.StructType(carried + [T.StructField(n, T.ArrayType(t)) for n, t in lists.items()])
+
+
+def _shared(spark, frequent: DataFrame):
+    """Broadcast of the terms, the most frequent first: their places are the smallest numbers."""
+    return spark.sparkContext.broadcast(
+        frequent.select("term", "df").toArrow().sort_by([("df", "descending")])
     )
 
-    def lists(owner: np.ndarray, n: int, values: pa.Array) -> pa.ListArray:
-        ends = np.cumsum(np.bincount(owner, minlength=n))
-        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
-        return pa.ListArray.from_arrays(offsets, values)
+
+def _known(shared, n_docs: int) -> tuple[pa.Array, np.ndarray]:
+    log_of_known = np.log((n_docs + 1.0) / (shared.value["df"].to_numpy() + 1.0))
+    return shared.value["term"].combine_chunks(), log_of_known
+
+
+def _unit_length(weight: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Weights divided by the norm of their row; squares are added in the order of the row."""
+    norm = np.sqrt(np.bincount(owner, weight * weight, minlength=n))[owner]
+    return np.divide(weight, norm, out=np.zeros(len(weight)), where=norm > 0)
+
+
+def _all_weights(counted: DataFrame, shared, n_docs: int) -> DataFrame:
+    """``terms, weights`` in the place of ``counts``, where the whole vocabulary is broadcast:
+    what is not in it has frequency 0."""
+    carried = [f for f in counted.schema.fields if f.name != "counts"]
+    schema = _schema(carried, terms=T.StringType(), weights=T.DoubleType())
 
     def run(batches):
-        known = shared.value["term"].combine_chunks()
-        log_of_known = np.log((n_docs + 1.0) / (shared.value["df"].to_numpy() + 1.0))
+        known, log_of_known = _known(shared, n_docs)
         for whole in batches:
             codes, first = _codes(pc.list_flatten(whole.column("counts")).field("term"), known), 0
             for batch in _pieces(whole):
                 n = batch.num_rows
                 owner = pc.list_parent_indices(batch.column("counts")).to_numpy()
                 entries = pc.list_flatten(batch.column("counts"))
-                terms_flat, tf = entries.field("term"), entries.field("tf").to_numpy()
+                tf = entries.field("tf").to_numpy()
                 code, first = codes[first : first + len(tf)], first + len(tf)
                 here = code >= 0
                 idf = np.full(len(code), np.log(n_docs + 1.0))
                 idf[here] = log_of_known[code[here]]
-                kept = np.ones(len(code), bool) if complete else here
-                pick, rest = np.flatnonzero(kept), np.flatnonzero(~kept)
+                weight = _unit_length(tf * idf, owner, n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(f.name) for f in carried]
+                    + [_lists(owner, n, entries.field("term")), _lists(owner, n, pa.array(weight))],
+                    names=schema.names,
+                )
+
+    return counted.mapInArrow(run, schema)
+
+
+def _packed(code: np.ndarray, tf: np.ndarray, owner: np.ndarray, n: int) -> pa.BinaryArray:
+    """Codes and counts of n rows as bytes that compress well: a row's first bytes of all
+    differences of ascending codes, then their second bytes and so on, and its counts alike."""
+    order = np.lexsort((code, owner))
+    code, tf = code[order].astype(np.int32), tf[order].astype(np.int32)
+    size = np.bincount(owner, minlength=n)
+    begin = np.cumsum(size) - size
+    step = np.diff(code, prepend=np.int32(0))
+    first = begin[size > 0]
+    step[first] = code[first]
+    out = np.empty(len(code) * _BYTES, dtype=np.uint8)
+    at = np.arange(len(code)) + (begin * (_BYTES - 1))[owner]
+    for plane in range(_BYTES):
+        values = step if plane < 4 else tf
+        out[at] = values >> (8 * (plane % 4)) & 255
+        at += size[owner]
+    offsets = np.append(begin, len(code)).astype(np.int64) * _BYTES
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(out)]
+    ).cast(pa.binary())
+
+
+def _unpacked(packed: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, counts and owners of ``_packed`` rows, the codes of a row ascending."""
+    size = pc.binary_length(packed).to_numpy() // _BYTES
+    begin = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(size)), size)
+    offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    data = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    at = np.arange(len(owner)) + (begin * (_BYTES - 1))[owner]
+    step, tf = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int32)
+    for plane in range(_BYTES):
+        values = step if plane < 4 else tf
+        values |= data[at].astype(np.int32) << (8 * (plane % 4))
+        at += size[owner]
+    total = np.cumsum(step, dtype=np.int64)
+    before = np.concatenate(([0], total))[begin]
+    return (total - before[owner]).astype(np.int32), tf, owner
+
+
+def _coded(counted: DataFrame, shared) -> DataFrame:
+    """``packed, rare`` in the place of ``counts``: rows that are cheap to move.
+
+    A code is the place of a broadcast term; ``rare`` holds the counts of the other terms.
+    """
+    carried = [f for f in counted.schema.fields if f.name != "counts"]
+    schema = T.StructType(
+        carried + [T.StructField("packed", T.BinaryType()), T.StructField("rare", T.ArrayType(_COUNT))]
+    )
+
+    def run(batches):
+        known = shared.value["term"].combine_chunks()
+        for whole in batches:
+            codes, first = _codes(pc.list_flatten(whole.column("counts")).field("term"), known), 0
+            for batch in _pieces(whole):
+                n = batch.num_rows
+                owner = pc.list_parent_indices(batch.column("counts")).to_numpy()
+                entries = pc.list_flatten(batch.column("counts"))
+                code, first = codes[first : first + len(owner)], first + len(owner)
+                here, rest = code >= 0, np.flatnonzero(code < 0)
+                tf = entries.field("tf").to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(f.name) for f in carried]
                     + [
-                        lists(owner[pick], n, terms_flat.take(pa.array(pick))),
-                        lists(owner[pick], n, pa.array((tf * idf)[pick])),
-                        lists(owner[rest], n, entries.take(pa.array(rest))),
+                        _packed(code[here], tf[here], owner[here], n),
+                        _lists(owner[rest], n, entries.take(pa.array(rest))),
                     ],
-                    names=names,
+                    names=schema.names,
                 )
 
     return counted.mapInArrow(run, schema)
 
 
+def _decoded(coded: DataFrame, shared, n_docs: int) -> DataFrame:
+    """``terms, weights`` in the place of ``packed, rare, found``: a row's broadcast terms in
+    their order, then those found by the join."""
+    carried = [f for f in coded.schema.fields if f.name not in ("packed", "rare", "found")]
+    schema = _schema(carried, terms=T.StringType(), weights=T.DoubleType())
+
+    def run(batches):
+        known, log_of_known = _known(shared, n_docs)
+        place = np.empty(len(known), np.int32)
+        place[pc.sort_indices(known).to_numpy()] = np.arange(len(known))
+        for whole in batches:
+            size = pc.binary_length(whole.column("packed")).to_numpy() // _BYTES
+            for batch in _pieces(whole, size):
+                n = batch.num_rows
+                code, tf, owner = _unpacked(batch.column("packed"))
+                order = np.lexsort((place[code], owner))
+                code, tf = code[order], tf[order]
+                texts, weight = known.take(pa.array(code)), tf * log_of_known[code]
+                found = pc.list_flatten(batch.column("found"))
+                if len(found):
+                    owner = np.append(owner, pc.list_parent_indices(batch.column("found")).to_numpy())
+                    order = np.argsort(owner, kind="stable")
+                    texts = pa.concat_arrays([texts, found.field("term")]).take(pa.array(order))
+                    weight = np.append(weight, found.field("w").to_numpy())[order]
+                    owner = owner[order]
+                weight = _unit_length(weight, owner, n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(f.name) for f in carried]
+                    + [_lists(owner, n, texts), _lists(owner, n, pa.array(weight))],
+                    names=schema.names,
+                )
+
+    return coded.mapInArrow(run, schema)
+
+
 def vectors(
     docs: DataFrame,
     vocabulary: Vocabulary,
     text: str = "page_content",
     config: EngineConfig = EngineConfig(),
     keep: tuple[str, ...] = (),
+    tasks: int | None = None,
 ) -> DataFrame:
     """``row_id, *keep, terms, weights`` with weights of unit length per document.
 
     weight = tf * ln((n_docs + 1) / (df + 1)), divided by the document's norm.
     Documents without terms have empty arrays. While the vocabulary can be broadcast
-    nothing is shuffled; beyond that only the rare terms are.
+    nothing is shuffled; beyond that rows travel as numbers of their terms, once, and only
+    the rare terms as texts. With ``tasks`` rows are always dealt by ``row_id`` to so many
+    tasks, so that a task has all rows of its ids.
     """
-    return weighted(term_counts(docs, text, keep), vocabulary, config, keep)
+    return weighted(term_counts(docs, text, keep), vocabulary, config, keep, tasks)
 
 
 def weighted(
@@ -198,44 +313,59 @@ def weighted(
     vocabulary: Vocabulary,
     config: EngineConfig = EngineConfig(),
     keep: tuple[str, ...] = (),
+    tasks: int | None = None,
 ) -> DataFrame:
     """The same from ``row_id, *keep, counts``."""
     counted = counted.select("row_id", *keep, "counts")
     cut = _frequent_cut(vocabulary, config)
-    frequent = vocabulary.table.where(F.col("df") >= cut)
-    parts = _frequent_weights(counted, frequent, vocabulary.n_docs, complete=cut == 0)
-    if cut > 0:
-        parts = _with_rare_terms(parts, vocabulary, cut)
-    return parts.select("row_id", *keep, "terms", _unit_length(F.col("weights")).alias("weights"))
+    shared = _shared(counted.sparkSession, vocabulary.table.where(F.col("df") >= cut))
+    if cut == 0 and tasks is None:
+        return _all_weights(counted, shared, vocabulary.n_docs)
+    dealt = _coded(counted, shared)
+    if tasks is not None:
+        # A join would deal anew what comes in fewer parts than it takes itself.
+        parts = tasks if cut == 0 else max(tasks, _join_parts(counted.sparkSession))
+        dealt = dealt.repartition(parts, "row_id")
+    if cut == 0:
+        whole = dealt.withColumn("found", _weights_of(F.col("rare"), vocabulary))
+    else:
+        whole = dealt.join(_rare_weights(dealt, vocabulary, cut), "row_id", "left")
+    # Parts are put together as they are, so rows of an id stay together.
+    whole = whole if tasks is None else whole.coalesce(tasks)
+    return _decoded(whole, shared, vocabulary.n_docs).select("row_id", *keep, "terms", "weights")
+
+
+def _join_parts(spark) -> int:
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    return max(int(spark.conf.get(name, None) or 0) for name in names)
+
+
+def _weights_of(rare: Column, vocabulary: Vocabulary) -> Column:
+    """``array<struct<term, w>>`` of counts of terms that are not in the vocabulary."""
+    unknown = F.log(F.lit(float(vocabulary.n_docs + 1)))
+    return F.transform(rare, lambda c: F.struct(c["term"].alias("term"), (c["tf"] * unknown).alias("w")))
+
+
+def _rare_weights(coded: DataFrame, vocabulary: Vocabulary, cut: int) -> DataFrame:
+    """``row_id, found``: weights of the terms that were not broadcast, by a join on the term."""
+    schema = T.StructType([coded.schema["row_id"], *_COUNT.fields])
 
-
-def _with_rare_terms(parts: DataFrame, vocabulary: Vocabulary, cut: int) -> DataFrame:
-    """Look up the remaining terms by a join on the term, then bring them back."""
+    def run(batches):
+        for batch in batches:
+            entries = pc.list_flatten(batch.column("rare"))
+            owner = pc.list_parent_indices(batch.column("rare"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_id").take(owner), entries.field("term"), entries.field("tf")],
+                names=schema.names,
+            )
+
+    # All columns are taken, so that the shuffle of the rows is the one that they are read from.
+    postings = coded.mapInArrow(run, schema)
     rare = vocabulary.table.where(F.col("df") < cut)
-    postings = parts.select("row_id", F.explode("rare").alias("c")).select("row_id", "c.*")
     df = F.coalesce("df", F.lit(0))
     weight = F.col("tf") * F.log(F.lit(float(vocabulary.n_docs + 1)) / (df + 1))
-    found = (
+    return (
         postings.join(rare, "term", "left")
         .groupBy("row_id")
         .agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("w")))).alias("found"))
     )
-    whole = parts.drop("rare").join(found, "row_id", "left")
-
-    def both(own: str, other: Column) -> Column:
-        return F.when(F.col("found").isNull(), F.col(own)).otherwise(F.concat(own, other))
-
-    return whole.withColumns(
-        {
-            "terms": both("terms", F.col("found.term")),
-            "weights": both("weights", F.col("found.w")),
-        }
-    )
-
-
-def _unit_length(weights: Column) -> Column:
-    square = F.aggregate(weights, F.lit(0.0), lambda total, w: total + w * w)
-    return let(
-        F.sqrt(square),
-        lambda norm: F.transform(weights, lambda w: F.when(norm > 0, w / norm).otherwise(0.0)),
-    )

@@ -315,7 +315,8 @@ def text_topk_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of text_topk from stored postings: only the questions' terms are read."""
     docs = _documents(spark, sf_dir)
     vocabulary = terms.fit(docs)
-    blocks = postings.store(terms.vectors(docs, vocabulary), scratch_path(spark, "postings"))
+    vectors = terms.vectors(docs, vocabulary, tasks=postings.tasks_for(vocabulary.n_pairs))
+    blocks = postings.store(vectors, scratch_path(spark, "postings"), gathered=True)
     asked = question_vectors(_questions(spark, sf_dir), vocabulary)
     return postings.nearest_posted(blocks, asked, EVAL_TOP_K)
 

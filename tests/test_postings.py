@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpuscope.config import EngineConfig
 from corpuscope.operators import postings, terms
 from corpuscope.operators.nearest import nearest
 from corpuscope.plans.ask import question_vectors
@@ -99,3 +100,54 @@ def test_empty_sides(spark, tmp_path):
     assert postings.nearest_posted(blocks, asked(spark, vocabulary), 5).count() == 0
     blocks = postings.store(terms.vectors(docs, vocabulary), str(tmp_path / "p"))
     assert postings.nearest_posted(blocks, asked(spark, vocabulary).limit(0), 5).count() == 0
+
+
+def test_postings_stay_where_they_are_cut(spark, tmp_path):
+    """All blocks of a shard are written by the task that made them, not shuffled and sorted anew."""
+    docs = corpus(spark)
+    shape = postings.Shape(shard=300, block=4, file_blocks=50)
+    blocks = postings.store(terms.vectors(docs, terms.fit(docs)), str(tmp_path / "p"), shape)
+    part = F.regexp_extract(F.input_file_name(), r"/part-(\d+)", 1)
+    places = blocks.select("shard", part.alias("part")).distinct().collect()
+    assert len({r.part for r in places}) > 1
+    assert len({r.shard for r in places}) == len(places)
+
+
+@pytest.mark.parametrize("most", [10**6, 120, 0])
+def test_reading_shuffles_only_needed_blocks(spark, tmp_path, monkeypatch, most):
+    """Also where the planner broadcasts nothing by itself, and where there is too much to broadcast."""
+    monkeypatch.setattr(postings, "BROADCAST_ROWS", most, raising=False)
+    docs, shape = corpus(spark), postings.Shape(shard=300, block=4, questions=7)
+    vocabulary = terms.fit(docs)
+    vectors, questions = terms.vectors(docs, vocabulary), asked(spark, vocabulary)
+    expected = result(nearest(questions, vectors, 5, "terms"))
+    blocks = postings.store(vectors, str(tmp_path / "p"), shape)
+    plans, read = [], postings.read_blocks
+    monkeypatch.setattr(postings, "read_blocks", lambda *a: plans.append(read(*a)) or plans[-1])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert result(postings.nearest_posted(blocks, questions, 5, shape)) == expected
+        shown = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(shown) == 2
+    if most == 10**6:
+        assert not any("hashpartitioning" in plan for plan in shown)
+    if most == 120:
+        assert any("greatest" in plan and "rough" in plan for plan in shown)
+
+
+@pytest.mark.parametrize("most", [10**6, 30, 0])
+def test_vectors_dealt_by_row(spark, most):
+    """Equal rows, whatever is broadcast; the rows of an id are in one partition."""
+    docs = corpus(spark).union(corpus(spark).limit(40)).repartition(7)
+    vocabulary, config = terms.fit(docs), EngineConfig(broadcast_terms=most)
+    plain = lambda df: sorted((r.row_id, sorted(zip(r.terms, [round(w, 12) for w in r.weights]))) for r in df.collect())
+    unique = docs.dropDuplicates(["row_id"])
+    dealt = terms.vectors(unique, vocabulary, config=config, tasks=3)
+    assert plain(dealt) == plain(terms.vectors(unique, vocabulary))
+    assert plain(dealt) == plain(terms.vectors(unique, vocabulary, config=config))
+    places = terms.vectors(docs, vocabulary, config=config, tasks=3).select("row_id", F.spark_partition_id().alias("p"))
+    assert places.distinct().groupBy("row_id").count().where("count > 1").isEmpty()
+    assert places.agg(F.max("p")).first()[0] <= 2
